@@ -1,0 +1,242 @@
+"""Structured Streaming word-cloud jobs.
+
+Two shapes:
+
+* Built-in state (``start_word_count``, ``start_sketch``, ``start_valid_dedup``): a
+  streaming ``groupBy`` (word, or sketch cell) in complete mode, kept in the state
+  store (RocksDB, see ``session``), written by ``foreachBatch`` to a versioned table.
+* Table state (``start_wordcloud``): ``foreachBatch`` over the raw micro-batch, the
+  batch persisted once and reused by both outputs (exact counts and sketch top-k);
+  state tables are versioned by batch id, so a replayed batch rewrites its own version
+  and the job survives executor and driver restarts from its checkpoint.
+
+Offsets live in the checkpoint (exactly-once with the idempotent versioned sinks).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from wordlens.functions.text import clean_words
+from wordlens.operators import cms, counts
+from wordlens.params import CMS_HEAVY_HITTER_PCT, SHIPPED_STOP_WORDS, WordCloudConfig
+from wordlens.session import scratch_path
+from wordlens.sinks.tables import save_table
+
+
+def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                fmt: str = "parquet") -> DataFrame:
+    """A file-stream source (offline twin of a topic); ``max_files_per_trigger`` caps
+    each micro-batch, as ``maxOffsetsPerTrigger`` does for Kafka."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
+def _writer(df: DataFrame, checkpoint: str, trigger_seconds: int | None, output_mode: str):
+    writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if trigger_seconds:
+        return writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
+    return writer.trigger(availableNow=True)
+
+
+class VersionedSink:
+    """foreachBatch sink: each batch overwrites version ``batch_id`` of a table."""
+
+    def __init__(self, name: str, base: str, order: list | None = None):
+        self.name, self.base, self.order = name, base, order
+        self.last_path: str | None = None
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        out = batch_df.orderBy(*self.order) if self.order else batch_df
+        self.last_path = save_table(out, self.name, version=batch_id, base=self.base)
+
+
+def start_word_count(stream: DataFrame, name: str = "wordCloud", text: str = "text",
+                     stop_words: Iterable[str] = SHIPPED_STOP_WORDS, drop_empty: bool = True,
+                     seed_stream: DataFrame | None = None, checkpoint: str | None = None,
+                     trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
+    """Running exact word count over a text stream, full snapshot written per batch.
+
+    ``seed_stream`` (word, count) starts the state from initial counts: it is a second
+    stream unioned into the same aggregation.
+    """
+    spark = stream.sparkSession
+    words = stream.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"),
+                          F.lit(1).cast("bigint").alias("count"))
+    if seed_stream is not None:
+        words = words.unionByName(seed_stream.select("word", F.col("count").cast("bigint")))
+    state = words.groupBy("word").agg(F.sum("count").cast("bigint").alias("count"))
+    sink = VersionedSink(name, scratch_path(spark, "tables", name),
+                         order=[F.desc("count"), F.asc("word")])
+    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
+    query = (_writer(state, checkpoint, trigger_seconds, "complete")
+             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
+    return query, sink
+
+
+def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text",
+                 stop_words: Iterable[str] = SHIPPED_STOP_WORDS, drop_empty: bool = True,
+                 eps: float = cms.DEFAULT_EPS, delta: float = cms.CMS_DELTA,
+                 seed: int = cms.CMS_SEED, checkpoint: str | None = None,
+                 trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
+    """Running count-min sketch: a streaming aggregation keyed by cell (bounded state)."""
+    spark = stream.sparkSession
+    words = stream.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"))
+    cells = cms.sketch_cells(words, eps=eps, delta=delta, seed=seed)
+    sink = VersionedSink(name, scratch_path(spark, "tables", name))
+    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
+    query = (_writer(cells, checkpoint, trigger_seconds, "complete")
+             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
+    return query, sink
+
+
+def start_valid_dedup(url_stream: DataFrame, pages_text: DataFrame, name: str = "wordCloud",
+                      key: str = "key", stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
+                      drop_empty: bool = True, checkpoint: str | None = None,
+                      trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
+    """URL stream -> page text -> valid only -> first arrival per URL -> word count.
+
+    ``pages_text`` is a static (url, description) table with NULL for pages without a
+    description. Validity is checked before de-duplication, so an invalid URL is never
+    remembered and is tried again when re-sent.
+    """
+    spark = url_stream.sparkSession
+    valid = (url_stream.select(F.col(key).alias("url"))
+             .join(pages_text, "url", "inner")
+             .where(F.col("description").isNotNull())
+             .dropDuplicates(["url"]))
+    words = valid.select(F.explode(clean_words("description", stop_words, drop_empty))
+                         .alias("word"))
+    state = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    sink = VersionedSink(name, scratch_path(spark, "tables", name),
+                         order=[F.desc("count"), F.asc("word")])
+    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
+    query = (_writer(state, checkpoint, trigger_seconds, "complete")
+             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
+    return query, sink
+
+
+def await_done(query: StreamingQuery) -> None:
+    """Block until an availableNow query has drained its source; re-raise failures."""
+    query.awaitTermination()
+    error = query.exception()
+    if error is not None:
+        raise RuntimeError(f"streaming query {query.name} failed: {error}")
+
+
+# ---------------------------------------------------------------------------
+# Table-state job: one pass per micro-batch feeding both outputs.
+# ---------------------------------------------------------------------------
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+
+
+class WordCloudJob:
+    """foreachBatch body of the full word-cloud job (``mode`` count / topk / both).
+
+    State per batch id b, all under ``root``:
+      counts/v=b      (word, count)        exact totals            [count, both]
+      cells/v=b       (row, bucket, cnt)   sketch                  [topk, both]
+      candidates/v=b  (word)               heavy-hitter candidates [topk, both]
+    and the output tables ``wordCloud(words, count)`` and ``topKWords(word)``.
+
+    Candidates: a word whose share is below ``pct`` in every batch is below ``pct``
+    overall, so testing each batch's words against that batch's own sketch and keeping
+    the union never misses a heavy hitter; the union is re-tested on the merged sketch.
+    """
+
+    def __init__(self, spark: SparkSession, config: WordCloudConfig, root: str,
+                 text: str = "text", seed: DataFrame | None = None):
+        self.spark, self.config, self.root, self.text = spark, config, root, text
+        self.seed = seed
+        self.last: dict[str, str] = {}
+
+    def _version(self, kind: str, batch_id: int) -> str:
+        return f"{self.root}/{kind}/v={batch_id:09d}"
+
+    def _previous(self, kind: str, batch_id: int) -> DataFrame | None:
+        for b in range(batch_id - 1, -1, -1):
+            path = self._version(kind, b)
+            if _path_exists(self.spark, path):
+                return self.spark.read.parquet(path)
+        return None
+
+    def _write(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
+        path = self._version(kind, batch_id)
+        df.write.mode("overwrite").parquet(path)
+        self.last[kind] = path
+        return self.spark.read.parquet(path)
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        c = self.config
+        words = (batch_df.select(F.explode(clean_words(self.text, c.stop_words, c.drop_empty))
+                                 .alias("word"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            if c.counts_enabled:
+                self._counts(words, batch_id)
+            if c.sketch_enabled:
+                self._sketch(words, batch_id)
+        finally:
+            words.unpersist()
+
+    def _counts(self, words: DataFrame, batch_id: int) -> None:
+        prev = self._previous("counts", batch_id)
+        if prev is None:
+            prev = self.seed if self.seed is not None else counts.seed_state(self.spark, [])
+        total = self._write(counts.merge_counts(prev, counts.count_words(words)), "counts",
+                            batch_id)
+        table = (total.select(F.col("word").alias("words"), "count")
+                 .orderBy(F.desc("count"), F.asc("words")))
+        self.last["wordCloud"] = save_table(table, "wordCloud", version=batch_id,
+                                            base=f"{self.root}/wordCloud")
+
+    def _sketch(self, words: DataFrame, batch_id: int) -> None:
+        c = self.config
+        kw = dict(eps=c.cms_eps, delta=c.cms_delta, seed=c.cms_seed)
+        delta_cells = self._write(cms.sketch_cells(words, **kw), "delta_cells", batch_id)
+        prev = self._previous("cells", batch_id)
+        merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
+        cells = self._write(merged, "cells", batch_id)
+        local = cms.heavy_hitters(cms.estimate(cms.vocabulary(words), delta_cells, **kw),
+                                  delta_cells, c.heavy_hitter_pct).select("word")
+        prev_cand = self._previous("candidates", batch_id)
+        cand = local if prev_cand is None else prev_cand.unionByName(local)
+        candidates = self._write(cand.distinct(), "candidates", batch_id)
+        top = (cms.heavy_hitters(cms.estimate(candidates, cells, **kw), cells,
+                                 c.heavy_hitter_pct)
+               .orderBy(F.desc("est"), F.asc("word")).limit(c.topk).select("word"))
+        self.last["topKWords"] = save_table(top, "topKWords", version=batch_id,
+                                            base=f"{self.root}/topKWords")
+
+
+def start_wordcloud(stream: DataFrame, config: WordCloudConfig = WordCloudConfig(),
+                    text: str = "text", root: str | None = None,
+                    checkpoint: str | None = None, seed: DataFrame | None = None,
+                    trigger_seconds: int | None = None) -> tuple[StreamingQuery, WordCloudJob]:
+    spark = stream.sparkSession
+    root = root or scratch_path(spark, "wordcloud")
+    job = WordCloudJob(spark, config, root, text, seed)
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    writer = (writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
+              if trigger_seconds else writer.trigger(availableNow=True))
+    query = writer.foreachBatch(job).queryName(f"wordcloud_{id(job)}").start()
+    return query, job
+
+
+__all__ = [
+    "CMS_HEAVY_HITTER_PCT", "VersionedSink", "WordCloudJob", "await_done", "file_stream",
+    "start_sketch", "start_valid_dedup", "start_word_count", "start_wordcloud",
+]
