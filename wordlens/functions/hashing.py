@@ -5,11 +5,15 @@ One md5 per item gives two independent 32-bit values h1, h2 (the first and secon
 Mitzenmacher, "Less hashing, same performance", 2006), so an item costs one digest, not
 k. md5 is used because the same bits come out of any SQL engine, which gives the
 sketches an exact external oracle; the arithmetic stays well inside bigint.
+
+Callers project h1 and h2 into columns once (``with_hash_pair``) and derive positions
+with plain arithmetic, which stays inside whole-stage codegen (a higher-order
+``transform`` lambda would be interpreted and would re-evaluate the digest per element).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,11 +27,28 @@ def hash_pair(item: Column, seed: int | str) -> tuple[Column, Column]:
     return _hex32(digest, 1), _hex32(digest, 9)
 
 
+def with_hash_pair(df: DataFrame, item: Column | str, seed: int | str,
+                   names: tuple[str, str] = ("_h1", "_h2")) -> DataFrame:
+    """``df`` plus columns h1, h2 (the digest is computed once per row)."""
+    col = F.col(item) if isinstance(item, str) else item
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), col.cast("string")))
+    return (df.withColumn("_digest", digest)
+            .withColumn(names[0], _hex32(F.col("_digest"), 1))
+            .withColumn(names[1], _hex32(F.col("_digest"), 9))
+            .drop("_digest"))
+
+
+def position(h1: Column, h2: Column, index: Column | int, modulus: int) -> Column:
+    """Position ``index`` in [0, modulus) from the pair (h1, h2)."""
+    idx = F.lit(index) if isinstance(index, int) else index
+    return F.pmod(h1 + idx.cast("bigint") * h2, F.lit(modulus))
+
+
 def hash_positions(item: Column, seed: int | str, count: int, modulus: int) -> Column:
-    """array<bigint> of ``count`` positions in [0, modulus); element i is row/hash i."""
+    """array<bigint> of ``count`` positions (convenience form for small inputs)."""
     h1, h2 = hash_pair(item, seed)
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)),
-                       lambda i: F.pmod(h1 + i.cast("bigint") * h2, F.lit(modulus)))
+                       lambda i: position(h1, h2, i, modulus))
 
 
 def hash_bucket(item: Column, seed: int | str, modulus: int) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.functions.hashing import hash_positions
+from wordlens.functions.hashing import position, with_hash_pair
 from wordlens.operators.lookup import probe_positions
 from wordlens.params import BLOOM_EXPECTED_ITEMS, BLOOM_FPP, bloom_shape
 
@@ -25,7 +25,9 @@ def bloom_bits(items: DataFrame, item: str = "url",
                seed: str = BLOOM_SEED) -> DataFrame:
     """(bit) positions set by the items: the filter itself."""
     m, k = bloom_shape(expected_items, fpp)
-    return (items.select(F.explode(hash_positions(F.col(item), seed, k, m)).alias("bit"))
+    hashed = with_hash_pair(items.select(item), item, seed)
+    return (hashed.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"), "_h1", "_h2")
+            .select(position(F.col("_h1"), F.col("_h2"), F.col("i"), m).alias("bit"))
             .distinct())
 
 
@@ -42,9 +44,10 @@ def might_contain(df: DataFrame, bits: DataFrame, item: str = "url",
                   seed: str = BLOOM_SEED, out: str = "might_contain") -> DataFrame:
     """Add boolean ``out``: every one of the item's k bits is set."""
     m, k = bloom_shape(expected_items, fpp)
-    probed = probe_positions(df, hash_positions(F.col(item), seed, k, m), k, bits,
-                             key="bit", value=None, max_rows=m, prefix="_bit",
-                             row_id=item)
+    hashed = with_hash_pair(df, item, seed)
+    positions = [position(F.col("_h1"), F.col("_h2"), i, m) for i in range(k)]
+    probed = probe_positions(hashed, positions, bits, key="bit", value=None, max_rows=m,
+                             prefix="_bit", row_id=item).drop("_h1", "_h2")
     present = [F.col(f"_bit{i}").isNotNull() for i in range(k)]
     flag = present[0]
     for p in present[1:]:

@@ -18,27 +18,46 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.functions.hashing import hash_positions
+from wordlens.functions.hashing import position, with_hash_pair
 from wordlens.operators.lookup import probe_positions
 from wordlens.params import CMS_DELTA, CMS_HEAVY_HITTER_PCT, CMS_SEED, cms_shape
-from wordlens.session import materialize
 
 DEFAULT_EPS = CMS_HEAVY_HITTER_PCT / 2
 
 
-def cell_positions(word: str, depth: int, width: int, seed: int) -> F.Column:
-    return hash_positions(F.col(word), seed, depth, width)
-
-
 def sketch_cells(words: DataFrame, word: str = "word", weight: str | None = None,
                  eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
-                 seed: int = CMS_SEED) -> DataFrame:
-    """(row, bucket, cnt) of all word occurrences (or of ``weight`` per row)."""
-    depth, width = cms_shape(eps, delta)
+                 seed: int = CMS_SEED, preaggregate: bool = True) -> DataFrame:
+    """(row, bucket, cnt) of all word occurrences (or of ``weight`` per row).
+
+    ``preaggregate`` (batch): occurrences are first summed per word, so the digest and
+    the d-fold explode run once per distinct word instead of once per token; the word
+    aggregate is partial in every map task. Streams use ``preaggregate=False`` (a
+    stateful stream allows one aggregation; its state is then just the d*w cells).
+    """
     amount = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    exploded = words.select(F.posexplode(cell_positions(word, depth, width, seed))
-                            .alias("row", "bucket"), amount.alias("_n"))
-    return (exploded.groupBy(F.col("row").cast("int").alias("row"), "bucket")
+    if preaggregate:
+        weighted = words.groupBy(F.col(word).alias("word")).agg(F.sum(amount).alias("count"))
+        return sketch_from_counts(weighted, eps=eps, delta=delta, seed=seed)
+    return _cells(words.select(F.col(word).alias("_w"), amount.alias("_n")), eps, delta, seed)
+
+
+def sketch_from_counts(counts: DataFrame, word: str = "word", count: str = "count",
+                       eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
+                       seed: int = CMS_SEED) -> DataFrame:
+    """Sketch cells from an exact (word, count) aggregate (e.g. a batch's counts)."""
+    return _cells(counts.select(F.col(word).alias("_w"), F.col(count).cast("bigint").alias("_n")),
+                  eps, delta, seed)
+
+
+def _cells(weighted: DataFrame, eps: float, delta: float, seed: int) -> DataFrame:
+    depth, width = cms_shape(eps, delta)
+    hashed = with_hash_pair(weighted, "_w", seed)
+    exploded = hashed.select(F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("row"),
+                             "_h1", "_h2", "_n")
+    return (exploded.groupBy(F.col("row").cast("int").alias("row"),
+                             position(F.col("_h1"), F.col("_h2"), F.col("row"), width)
+                             .alias("bucket"))
             .agg(F.sum("_n").cast("bigint").alias("cnt")))
 
 
@@ -67,10 +86,11 @@ def estimate(words: DataFrame, cells: DataFrame, word: str = "word",
     depth, width = cms_shape(eps, delta)
     keyed = cells.select((F.col("row").cast("bigint") * width + F.col("bucket")).alias("cell"),
                          "cnt")
-    cell_keys = F.transform(cell_positions(word, depth, width, seed),
-                            lambda b, i: i.cast("bigint") * width + b)
-    probed = probe_positions(words, cell_keys, depth, keyed, key="cell", value="cnt",
-                             max_rows=depth * width, prefix="_c", row_id=word)
+    hashed = with_hash_pair(words, word, seed)
+    cell_keys = [F.lit(i * width).cast("bigint") + position(F.col("_h1"), F.col("_h2"), i, width)
+                 for i in range(depth)]
+    probed = probe_positions(hashed, cell_keys, keyed, key="cell", value="cnt",
+                             max_rows=depth * width, prefix="_c", row_id=word).drop("_h1", "_h2")
     est = F.least(*[F.coalesce(F.col(f"_c{i}"), F.lit(0)) for i in range(depth)]) \
         if depth > 1 else F.coalesce(F.col("_c0"), F.lit(0))
     return probed.withColumn(out, est.cast("bigint")).drop(*[f"_c{i}" for i in range(depth)])
@@ -93,22 +113,23 @@ def vocabulary(words: DataFrame, word: str = "word") -> DataFrame:
     return words.select(word).distinct()
 
 
-def heavy_hitter_estimates(words: DataFrame, cells: DataFrame | None = None,
-                           eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
-                           seed: int = CMS_SEED, pct: float = CMS_HEAVY_HITTER_PCT,
+def heavy_hitter_estimates(vocab: DataFrame, cells: DataFrame, eps: float = DEFAULT_EPS,
+                           delta: float = CMS_DELTA, seed: int = CMS_SEED,
+                           pct: float = CMS_HEAVY_HITTER_PCT,
                            word: str = "word") -> DataFrame:
-    """(word, est) for every word whose estimate passes the heavy-hitter share."""
-    if cells is None:
-        cells = materialize(sketch_cells(words, word, eps=eps, delta=delta, seed=seed))
-    est = estimate(vocabulary(words, word), cells, word, eps, delta, seed)
+    """(word, est) for every candidate whose estimate passes the heavy-hitter share.
+
+    ``vocab`` holds distinct candidate words (e.g. the keys of a word aggregate).
+    """
+    est = estimate(vocab.select(word), cells, word, eps, delta, seed)
     return heavy_hitters(est, cells, pct)
 
 
-def sketch_topk(words: DataFrame, k: int, cells: DataFrame | None = None,
-                eps: float = DEFAULT_EPS, delta: float = CMS_DELTA, seed: int = CMS_SEED,
+def sketch_topk(vocab: DataFrame, k: int, cells: DataFrame, eps: float = DEFAULT_EPS,
+                delta: float = CMS_DELTA, seed: int = CMS_SEED,
                 pct: float = CMS_HEAVY_HITTER_PCT, word: str = "word") -> DataFrame:
     """Top k heavy hitters by estimate (ties by word)."""
-    hh = heavy_hitter_estimates(words, cells, eps, delta, seed, pct, word)
+    hh = heavy_hitter_estimates(vocab, cells, eps, delta, seed, pct, word)
     return hh.orderBy(F.desc("est"), F.asc(word)).limit(k)
 
 

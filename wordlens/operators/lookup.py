@@ -3,9 +3,9 @@
 Sketch probes (Bloom membership, count-min estimates) look up k positions per row in a
 table whose row count is bounded by the sketch parameters (m bits, d x w cells), not
 by the data. When that bound fits under the broadcast threshold, the table is
-broadcast once and probed k times inside one stage (k broadcast hash joins, reused
-exchange, no shuffle of the probe side). Otherwise the positions are exploded, joined
-with a shuffle on the position and re-aggregated per row.
+broadcast once and probed k times inside one stage (k broadcast hash joins over the
+same reused exchange, no shuffle of the probe side). Otherwise the positions are
+exploded, joined with a shuffle on the position and re-aggregated per row.
 """
 
 from __future__ import annotations
@@ -35,34 +35,35 @@ def fits_broadcast(spark: SparkSession, max_rows: int) -> bool:
     return max_rows * ROW_BYTES <= broadcast_limit_bytes(spark)
 
 
-def probe_positions(df: DataFrame, positions: Column, count: int, table: DataFrame,
-                    key: str, value: str | None, max_rows: int, prefix: str,
+def probe_positions(df: DataFrame, positions: list[Column], table: DataFrame, key: str,
+                    value: str | None, max_rows: int, prefix: str,
                     row_id: str) -> DataFrame:
-    """Add ``{prefix}0..{prefix}{count-1}``: the table value found at each position.
+    """Add ``{prefix}0..{prefix}{k-1}``: the table value found at each position.
 
     ``table`` has unique ``key``; ``value`` None means presence (the key itself, null
     when absent). ``max_rows`` is the parameter-derived bound on the table's rows.
-    ``row_id`` names a column that identifies rows of ``df`` (used only when the
-    table is too large to broadcast).
+    ``row_id`` names a column that determines the positions (the hashed item); it is
+    used only when the table is too large to broadcast.
     """
     spark = df.sparkSession
+    k = len(positions)
     value_col = value or key
-    out = df.withColumn("_positions", positions)
+    lookup = table.select(F.col(key).alias("_k"), F.col(value_col).alias("_v"))
+    out = df.select("*", *[p.alias(f"_pos{i}") for i, p in enumerate(positions)])
     if fits_broadcast(spark, max_rows):
-        lookup = F.broadcast(table.select(F.col(key).alias("_k"), F.col(value_col).alias("_v")))
-        for i in range(count):
-            probe = lookup.select(F.col("_k").alias(f"_k{i}"), F.col("_v").alias(f"{prefix}{i}"))
-            out = (out.join(probe, F.element_at("_positions", i + 1) == F.col(f"_k{i}"), "left")
-                   .drop(f"_k{i}"))
-        return out.drop("_positions")
-    # Large table: one row per (row, position), shuffle join on the position, then
-    # regroup by row with one conditional aggregate per position (partial-aggregated).
-    # ``row_id`` must determine the positions (e.g. the hashed item itself).
-    exploded = (out.select(row_id, "_positions").dropDuplicates([row_id])
-                .select(row_id, F.posexplode("_positions").alias("_i", "_k")))
-    found = (exploded.join(table.select(F.col(key).alias("_k"), F.col(value_col).alias("_v")),
-                           "_k", "left")
+        small = F.broadcast(lookup)
+        for i in range(k):
+            probe = small.select(F.col("_k").alias(f"_k{i}"), F.col("_v").alias(f"{prefix}{i}"))
+            out = (out.join(probe, F.col(f"_pos{i}") == F.col(f"_k{i}"), "left")
+                   .drop(f"_k{i}", f"_pos{i}"))
+        return out
+    # Large table: one row per (item, position), shuffle join on the position, then
+    # regroup by item with one conditional aggregate per position (partial-aggregated).
+    exploded = (out.select(row_id, *[f"_pos{i}" for i in range(k)]).dropDuplicates([row_id])
+                .select(row_id, F.posexplode(F.array(*[F.col(f"_pos{i}") for i in range(k)]))
+                        .alias("_i", "_k")))
+    found = (exploded.join(lookup, "_k", "left")
              .groupBy(row_id)
              .agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"{prefix}{i}")
-                    for i in range(count)]))
-    return out.drop("_positions").join(found, row_id, "left")
+                    for i in range(k)]))
+    return out.drop(*[f"_pos{i}" for i in range(k)]).join(found, row_id, "left")

@@ -82,8 +82,16 @@ def _processed(spark, sf):
     return urls.valid_pages(pages).select("url")
 
 
-def _cells(spark, sf):
-    return materialize(cms.sketch_cells(_occurrences(spark, sf)))
+def _word_counts(spark, sf):
+    """Exact (word, count) of the documents, computed once and checkpointed: it is
+    the vocabulary for sketch probes and the weights of the sketch build."""
+    return materialize(counts.count_words(_occurrences(spark, sf)))
+
+
+def _cells(spark, sf, word_counts=None):
+    """The documents' sketch, built from the word aggregate and checkpointed."""
+    wc = word_counts if word_counts is not None else _word_counts(spark, sf)
+    return materialize(cms.sketch_from_counts(wc))
 
 
 # SQL building blocks
@@ -338,20 +346,22 @@ def q_cms_merge(spark, sf):
 @register("cms_estimate", _EST)
 def q_cms_estimate(spark, sf):
     """A10: point estimate of every word in the vocabulary."""
-    cells = _cells(spark, sf)
-    return cms.estimate(cms.vocabulary(_occurrences(spark, sf)), cells)
+    wc = _word_counts(spark, sf)
+    return cms.estimate(wc.select("word"), _cells(spark, sf, wc))
 
 
 @register("cms_heavy_hitters", _HH)
 def q_cms_heavy_hitters(spark, sf):
     """Words whose estimate is at least 0.1% of all words."""
-    return cms.heavy_hitter_estimates(_occurrences(spark, sf), _cells(spark, sf))
+    wc = _word_counts(spark, sf)
+    return cms.heavy_hitter_estimates(wc, _cells(spark, sf, wc))
 
 
 @register("cms_topk", f"{_HH} ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_cms_topk(spark, sf):
     """O3: top k heavy hitters by estimate."""
-    return cms.sketch_topk(_occurrences(spark, sf), CMS_TOPK, _cells(spark, sf))
+    wc = _word_counts(spark, sf)
+    return cms.sketch_topk(wc, CMS_TOPK, _cells(spark, sf, wc))
 
 
 @register("cms_audit", f"""
@@ -359,8 +369,8 @@ SELECT c.word, c.count, e.est, e.est - c.count AS err
 FROM ({_WC}) c JOIN ({_EST}) e ON c.word = e.word""")
 def q_cms_audit(spark, sf):
     """Exact count next to the estimate (err >= 0 always)."""
-    exact = counts.count_words(_occurrences(spark, sf))
-    return cms.audit(exact, _cells(spark, sf))
+    wc = _word_counts(spark, sf)
+    return cms.audit(wc, _cells(spark, sf, wc))
 
 
 @register("topk_frequent_items")
@@ -388,7 +398,8 @@ def q_saved_word_table(spark, sf):
 @register("topk_words_only", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_topk_words_only(spark, sf):
     """K2: overwrite the topKWords(word) table with the sketch top-k."""
-    top = cms.sketch_topk(_occurrences(spark, sf), CMS_TOPK, _cells(spark, sf)).select("word")
+    wc = _word_counts(spark, sf)
+    top = cms.sketch_topk(wc, CMS_TOPK, _cells(spark, sf, wc)).select("word")
     return read_saved(spark, save_table(top, "topKWords"))
 
 

@@ -19,17 +19,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a text table whose scan has fewer splits than the cluster has cores.
+
+    Tokenizing and regex extraction cost far more CPU per byte than the scan, and a
+    file written as one row group is read by one task. When the planned scan has
+    fewer partitions than the default parallelism, the rows are redistributed round
+    robin (deterministic on retry) so the text work runs on every core. A scan of a
+    large table already has many splits per core and is left untouched (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str, columns=("doc_id", "text")) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", columns)
+    return spread(read_table(spark, sf_dir, "documents", columns))
 
 
 def pages(spark: SparkSession, sf_dir: str, columns=("page_id", "url", "html")) -> DataFrame:
-    return read_table(spark, sf_dir, "pages", columns)
+    df = read_table(spark, sf_dir, "pages", columns)
+    return spread(df) if "html" in columns else df
 
 
 def conversations(spark: SparkSession, sf_dir: str,
                   columns=("conv_id", "turn", "text")) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations", columns)
+    return spread(read_table(spark, sf_dir, "conversations", columns))
 
 
 def events(spark: SparkSession, sf_dir: str,

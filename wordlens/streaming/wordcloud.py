@@ -5,10 +5,11 @@ Two shapes:
 * Built-in state (``start_word_count``, ``start_sketch``, ``start_valid_dedup``): a
   streaming ``groupBy`` (word, or sketch cell) in complete mode, kept in the state
   store (RocksDB, see ``session``), written by ``foreachBatch`` to a versioned table.
-* Table state (``start_wordcloud``): ``foreachBatch`` over the raw micro-batch, the
-  batch persisted once and reused by both outputs (exact counts and sketch top-k);
-  state tables are versioned by batch id, so a replayed batch rewrites its own version
-  and the job survives executor and driver restarts from its checkpoint.
+* Table state (``start_wordcloud``): ``foreachBatch`` over the raw micro-batch; the
+  batch's word counts are persisted once and reused by both outputs (exact counts and
+  sketch top-k); state tables are versioned by batch id, so a replayed batch rewrites
+  its own version and the job survives executor and driver restarts from its
+  checkpoint.
 
 Offsets live in the checkpoint (exactly-once with the idempotent versioned sinks).
 """
@@ -24,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordlens.functions.text import clean_words
 from wordlens.operators import cms, counts
-from wordlens.params import CMS_HEAVY_HITTER_PCT, SHIPPED_STOP_WORDS, WordCloudConfig
+from wordlens.params import SHIPPED_STOP_WORDS, WordCloudConfig
 from wordlens.session import scratch_path
 from wordlens.sinks.tables import save_table
 
@@ -58,6 +59,13 @@ class VersionedSink:
         self.last_path = save_table(out, self.name, version=batch_id, base=self.base)
 
 
+def _start(state: DataFrame, name: str, sink: VersionedSink, checkpoint: str | None,
+           trigger_seconds: int | None) -> StreamingQuery:
+    checkpoint = checkpoint or scratch_path(state.sparkSession, "checkpoints", name)
+    return (_writer(state, checkpoint, trigger_seconds, "complete")
+            .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
+
+
 def start_word_count(stream: DataFrame, name: str = "wordCloud", text: str = "text",
                      stop_words: Iterable[str] = SHIPPED_STOP_WORDS, drop_empty: bool = True,
                      seed_stream: DataFrame | None = None, checkpoint: str | None = None,
@@ -75,10 +83,7 @@ def start_word_count(stream: DataFrame, name: str = "wordCloud", text: str = "te
     state = words.groupBy("word").agg(F.sum("count").cast("bigint").alias("count"))
     sink = VersionedSink(name, scratch_path(spark, "tables", name),
                          order=[F.desc("count"), F.asc("word")])
-    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
-    query = (_writer(state, checkpoint, trigger_seconds, "complete")
-             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
-    return query, sink
+    return _start(state, name, sink, checkpoint, trigger_seconds), sink
 
 
 def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text",
@@ -86,15 +91,12 @@ def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text"
                  eps: float = cms.DEFAULT_EPS, delta: float = cms.CMS_DELTA,
                  seed: int = cms.CMS_SEED, checkpoint: str | None = None,
                  trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
-    """Running count-min sketch: a streaming aggregation keyed by cell (bounded state)."""
+    """Running count-min sketch: a streaming aggregation keyed by cell (state <= d*w)."""
     spark = stream.sparkSession
     words = stream.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"))
-    cells = cms.sketch_cells(words, eps=eps, delta=delta, seed=seed)
+    cells = cms.sketch_cells(words, eps=eps, delta=delta, seed=seed, preaggregate=False)
     sink = VersionedSink(name, scratch_path(spark, "tables", name))
-    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
-    query = (_writer(cells, checkpoint, trigger_seconds, "complete")
-             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
-    return query, sink
+    return _start(cells, name, sink, checkpoint, trigger_seconds), sink
 
 
 def start_valid_dedup(url_stream: DataFrame, pages_text: DataFrame, name: str = "wordCloud",
@@ -117,10 +119,7 @@ def start_valid_dedup(url_stream: DataFrame, pages_text: DataFrame, name: str =
     state = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     sink = VersionedSink(name, scratch_path(spark, "tables", name),
                          order=[F.desc("count"), F.asc("word")])
-    checkpoint = checkpoint or scratch_path(spark, "checkpoints", name)
-    query = (_writer(state, checkpoint, trigger_seconds, "complete")
-             .foreachBatch(sink).queryName(f"{name}_{id(sink)}").start())
-    return query, sink
+    return _start(state, name, sink, checkpoint, trigger_seconds), sink
 
 
 def await_done(query: StreamingQuery) -> None:
@@ -136,19 +135,21 @@ def await_done(query: StreamingQuery) -> None:
 # ---------------------------------------------------------------------------
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
+    """A committed version exists (Spark writes _SUCCESS last)."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(marker)
 
 
 class WordCloudJob:
     """foreachBatch body of the full word-cloud job (``mode`` count / topk / both).
 
     State per batch id b, all under ``root``:
-      counts/v=b      (word, count)        exact totals            [count, both]
-      cells/v=b       (row, bucket, cnt)   sketch                  [topk, both]
-      candidates/v=b  (word)               heavy-hitter candidates [topk, both]
+      counts/v=b       (word, count)        exact totals            [count, both]
+      delta_cells/v=b  (row, bucket, cnt)   this batch's sketch     [topk, both]
+      cells/v=b        (row, bucket, cnt)   merged sketch           [topk, both]
+      candidates/v=b   (word)               heavy-hitter candidates [topk, both]
     and the output tables ``wordCloud(words, count)`` and ``topKWords(word)``.
 
     Candidates: a word whose share is below ``pct`` in every batch is below ``pct``
@@ -180,44 +181,43 @@ class WordCloudJob:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         c = self.config
-        words = (batch_df.select(F.explode(clean_words(self.text, c.stop_words, c.drop_empty))
-                                 .alias("word"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+        words = batch_df.select(
+            F.explode(clean_words(self.text, c.stop_words, c.drop_empty)).alias("word"))
+        # The batch's word counts feed both outputs: exact totals and the sketch delta.
+        batch_counts = counts.count_words(words).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if c.counts_enabled:
-                self._counts(words, batch_id)
+                self._counts(batch_counts, batch_id)
             if c.sketch_enabled:
-                self._sketch(words, batch_id)
+                self._sketch(batch_counts, batch_id)
         finally:
-            words.unpersist()
+            batch_counts.unpersist()
 
-    def _counts(self, words: DataFrame, batch_id: int) -> None:
+    def _counts(self, batch_counts: DataFrame, batch_id: int) -> None:
         prev = self._previous("counts", batch_id)
         if prev is None:
             prev = self.seed if self.seed is not None else counts.seed_state(self.spark, [])
-        total = self._write(counts.merge_counts(prev, counts.count_words(words)), "counts",
-                            batch_id)
+        total = self._write(counts.merge_counts(prev, batch_counts), "counts", batch_id)
         table = (total.select(F.col("word").alias("words"), "count")
                  .orderBy(F.desc("count"), F.asc("words")))
         self.last["wordCloud"] = save_table(table, "wordCloud", version=batch_id,
                                             base=f"{self.root}/wordCloud")
 
-    def _sketch(self, words: DataFrame, batch_id: int) -> None:
+    def _sketch(self, batch_counts: DataFrame, batch_id: int) -> None:
         c = self.config
         kw = dict(eps=c.cms_eps, delta=c.cms_delta, seed=c.cms_seed)
-        delta_cells = self._write(cms.sketch_cells(words, **kw), "delta_cells", batch_id)
+        delta_cells = self._write(cms.sketch_from_counts(batch_counts, **kw), "delta_cells",
+                                  batch_id)
         prev = self._previous("cells", batch_id)
         merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
         cells = self._write(merged, "cells", batch_id)
-        local = cms.heavy_hitters(cms.estimate(cms.vocabulary(words), delta_cells, **kw),
-                                  delta_cells, c.heavy_hitter_pct).select("word")
+        local = cms.heavy_hitter_estimates(batch_counts, delta_cells, pct=c.heavy_hitter_pct,
+                                           **kw).select("word")
         prev_cand = self._previous("candidates", batch_id)
         cand = local if prev_cand is None else prev_cand.unionByName(local)
         candidates = self._write(cand.distinct(), "candidates", batch_id)
-        top = (cms.heavy_hitters(cms.estimate(candidates, cells, **kw), cells,
-                                 c.heavy_hitter_pct)
-               .orderBy(F.desc("est"), F.asc("word")).limit(c.topk).select("word"))
-        self.last["topKWords"] = save_table(top, "topKWords", version=batch_id,
+        top = cms.sketch_topk(candidates, c.topk, cells, pct=c.heavy_hitter_pct, **kw)
+        self.last["topKWords"] = save_table(top.select("word"), "topKWords", version=batch_id,
                                             base=f"{self.root}/topKWords")
 
 
@@ -225,6 +225,7 @@ def start_wordcloud(stream: DataFrame, config: WordCloudConfig = WordCloudConfig
                     text: str = "text", root: str | None = None,
                     checkpoint: str | None = None, seed: DataFrame | None = None,
                     trigger_seconds: int | None = None) -> tuple[StreamingQuery, WordCloudJob]:
+    """Start the foreachBatch word-cloud job on a stream of texts."""
     spark = stream.sparkSession
     root = root or scratch_path(spark, "wordcloud")
     job = WordCloudJob(spark, config, root, text, seed)
@@ -237,6 +238,6 @@ def start_wordcloud(stream: DataFrame, config: WordCloudConfig = WordCloudConfig
 
 
 __all__ = [
-    "CMS_HEAVY_HITTER_PCT", "VersionedSink", "WordCloudJob", "await_done", "file_stream",
-    "start_sketch", "start_valid_dedup", "start_word_count", "start_wordcloud",
+    "VersionedSink", "WordCloudJob", "await_done", "file_stream", "start_sketch",
+    "start_valid_dedup", "start_word_count", "start_wordcloud",
 ]
