@@ -99,3 +99,22 @@ def test_seeded_stream(spark, landed):
     want = dict(want)
     want["amazon"] = want.get("amazon", 0) + 1
     assert got == want
+
+
+@pytest.mark.parametrize("membership", ["exact", "bloom"])
+def test_url_job_remembers_only_valid_urls(spark, membership):
+    """Wave 0: a, z, a. Wave 1: a, b, z. z has no page: retried, never counted."""
+    texts = spark.createDataFrame([("a", "red apple"), ("b", "blue berry apple")],
+                                  "url string, description string")
+    src = scratch_path(spark, "test-url-src")
+    for batch in (["a", "z", "a"], ["a", "b", "z"]):
+        land_files(spark.createDataFrame([(u,) for u in batch], "key string"), src, 1,
+                   mode="append")
+    query, job = stream.start_wordcloud(
+        stream.file_stream(spark, src, "key string", max_files_per_trigger=1),
+        WordCloudConfig(mode="count"), page_texts=texts, membership=membership)
+    stream.await_done(query)
+    words = _as_dict(read_saved(spark, job.last["wordCloud"]), "words")
+    assert words == {"red": 1, "apple": 2, "blue": 1, "berry": 1}
+    metrics = {r.batch: (r.n_urls, r.n_distinct, r.n_valid) for r in job.metrics().collect()}
+    assert metrics == {0: (3, 2, 1), 1: (3, 3, 1)}

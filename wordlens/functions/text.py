@@ -114,9 +114,9 @@ def first_paragraph_pattern(container: str = DEFAULT_CONTAINER,
             + container_end + r")")
 
 
-def page_description(html: Column | str, container: str = DEFAULT_CONTAINER,
-                     container_end: str = CONTAINER_END) -> Column:
-    """Visible text of the first paragraph of the description container; NULL if none.
+def page_text(html: Column | str, container: str = DEFAULT_CONTAINER,
+              container_end: str = CONTAINER_END) -> Column:
+    """Visible text of the first paragraph of the description container; "" if none.
 
     Invisible blocks are blanked first (scripts may contain a literal ``</p>``), then
     the paragraph is extracted, tags become spaces, entities are decoded and runs of
@@ -127,5 +127,23 @@ def page_description(html: Column | str, container: str = DEFAULT_CONTAINER,
     text = F.regexp_replace(inner, ANY_TAG, " ")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.when(text != "", text)
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def page_description(html: Column | str, container: str = DEFAULT_CONTAINER,
+                     container_end: str = CONTAINER_END) -> Column:
+    """``page_text`` with NULL for pages that have no description."""
+    return F.nullif(page_text(html, container, container_end), F.lit(""))
+
+
+def described_pages(pages, url: str = "url", html: str = "html", **container):
+    """(url, description) of the pages that have one, extracting each page once.
+
+    The description is produced by a generator (an exploded one-element array with
+    the empty text removed) rather than filtered with ``IS NOT NULL``: a filter would be
+    pushed below the projection with the whole regex chain inlined, so every page
+    would be parsed twice.
+    """
+    text = page_text(F.col(html), **container)
+    return pages.select(F.col(url).alias("url"),
+                        F.explode(F.array_remove(F.array(text), "")).alias("description"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.functions.text import clean_words, page_description
+from wordlens.functions.text import clean_words, described_pages, page_description
 from wordlens.params import SHIPPED_STOP_WORDS
 
 
@@ -57,9 +57,7 @@ def valid_pages(pages: DataFrame, url: str = "url", html: str = "html",
     Pages without a description are dropped here, so they are never remembered as
     processed and are tried again when their URL comes back.
     """
-    desc = page_description(F.col(html), **container)
-    return (pages.select(F.col(url).alias("url"), desc.alias("description"))
-            .where(F.col("description").isNotNull())
+    return (described_pages(pages, url, html, **container)
             .select("url", F.array_join(clean_words(F.col("description"), stop_words,
                                                     drop_empty), " ").alias("text")))
 

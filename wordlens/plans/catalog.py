@@ -464,14 +464,57 @@ def q_stream_valid_dedup(spark, sf):
     path = scratch_path(spark, "landing", "urls")
     for wave in range(WAVES):  # each wave lands after the previous one (replay order)
         land_files(log.where(F.col("wave") == wave), path, 2, mode="append")
-    pages = tables.pages(spark, sf, ("url", "html")).select(
-        "url", TX.page_description("html").alias("description"))
+    # the crawl's descriptions, extracted once into a table the stream joins against
+    texts = read_saved(spark, save_table(
+        TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
     query, sink = stream.start_valid_dedup(
-        stream.file_stream(spark, path, log.schema, max_files_per_trigger=1), pages)
+        stream.file_stream(spark, path, log.schema, max_files_per_trigger=1), texts)
     stream.await_done(query)
     return read_saved(spark, sink.last_path).select("word", "count")
 
 
+def _url_job(spark, sf, membership, config=WordCloudConfig()):
+    """The full job on the URL log: 2 waves, one landed file per micro-batch."""
+    log = _log(spark, sf)
+    path = scratch_path(spark, "landing", "urls")
+    for wave in range(WAVES):
+        land_files(log.where(F.col("wave") == wave), path, 2, mode="append")
+    texts = read_saved(spark, save_table(
+        TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
+    query, job = stream.start_wordcloud(
+        stream.file_stream(spark, path, log.schema, max_files_per_trigger=1), config,
+        page_texts=texts, membership=membership)
+    stream.await_done(query)
+    return job
+
+
+_URL_WORDS = f"""
+SELECT word AS words, CAST(count(*) AS BIGINT) AS count FROM (
+  SELECT unnest({S.clean_words('description')}) AS word
+  FROM ({_VALID}) WHERE url IN (SELECT key FROM ({_LOG})))
+GROUP BY word"""
+
+
+@register("stream_wordcloud_urls", _URL_WORDS)
+def q_stream_wordcloud_urls(spark, sf):
+    """The whole job (S1 P2 P3 T1 T2 P4 W7 A1 A3 K1): URL stream, exact membership."""
+    return read_saved(spark, _url_job(spark, sf, "exact").last["wordCloud"])
+
+
+@register("stream_wordcloud_bloom", _URL_WORDS)
+def q_stream_wordcloud_bloom(spark, sf):
+    """Same job with Bloom membership (A5-A7 in the loop). Equals the exact job
+    whenever the filter reports no false positive, which holds on this log."""
+    return read_saved(spark, _url_job(spark, sf, "bloom").last["wordCloud"])
+
+
+@register("stream_url_metrics")
+def q_stream_url_metrics(spark, sf):
+    """Per micro-batch URLs received and valid URLs processed (rows-only: the
+    split of a wave into files is Spark's round robin)."""
+    return _url_job(spark, sf, "exact", WordCloudConfig(mode="count")).metrics()
+
+
 @register("stream_both", f"SELECT word AS words, count FROM ({_WC})")
 def q_stream_both(spark, sf):
     """foreachBatch job, mode both, batch reused by both outputs."""

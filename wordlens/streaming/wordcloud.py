@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordlens.functions.text import clean_words
-from wordlens.operators import cms, counts
+from wordlens.operators import bloom, cms, counts
 from wordlens.params import SHIPPED_STOP_WORDS, WordCloudConfig
 from wordlens.session import scratch_path
 from wordlens.sinks.tables import save_table
@@ -99,20 +99,21 @@ def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text"
     return _start(cells, name, sink, checkpoint, trigger_seconds), sink
 
 
-def start_valid_dedup(url_stream: DataFrame, pages_text: DataFrame, name: str = "wordCloud",
+def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str = "wordCloud",
                       key: str = "key", stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                       drop_empty: bool = True, checkpoint: str | None = None,
                       trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
     """URL stream -> page text -> valid only -> first arrival per URL -> word count.
 
-    ``pages_text`` is a static (url, description) table with NULL for pages without a
-    description. Validity is checked before de-duplication, so an invalid URL is never
-    remembered and is tried again when re-sent.
+    ``page_texts`` is a static (url, description) table holding only the pages that
+    have a description (``described_pages``, extracted once, not per micro-batch).
+    The join keeps valid URLs before de-duplication, so an invalid URL is never
+    remembered and is tried again when re-sent. Join and dedup share the URL
+    partitioning, so the stream side is shuffled once for both.
     """
     spark = url_stream.sparkSession
     valid = (url_stream.select(F.col(key).alias("url"))
-             .join(pages_text, "url", "inner")
-             .where(F.col("description").isNotNull())
+             .join(page_texts.select("url", "description"), "url", "inner")
              .dropDuplicates(["url"]))
     words = valid.select(F.explode(clean_words("description", stop_words, drop_empty))
                          .alias("word"))
@@ -145,22 +146,40 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 class WordCloudJob:
     """foreachBatch body of the full word-cloud job (``mode`` count / topk / both).
 
-    State per batch id b, all under ``root``:
-      counts/v=b       (word, count)        exact totals            [count, both]
-      delta_cells/v=b  (row, bucket, cnt)   this batch's sketch     [topk, both]
-      cells/v=b        (row, bucket, cnt)   merged sketch           [topk, both]
-      candidates/v=b   (word)               heavy-hitter candidates [topk, both]
+    Input is either a stream of texts (``text`` column) or, when ``page_texts`` is
+    given, the URL stream itself (``url_col``), processed as the original job did:
+    in-batch distinct -> drop already-processed URLs (exact anti-join, or Bloom) ->
+    look up the page text -> keep valid pages -> count; only valid URLs are remembered.
+
+    State per batch id b, all under ``root`` (every version rewritten on replay):
+      processed/batch=b (url)               valid URLs of batch b    [exact membership]
+      bloom/v=b         (bit)               Bloom filter after b     [bloom membership]
+      metrics/v=b       (batch, n_urls, n_distinct, n_valid)
+      counts/v=b        (word, count)        exact totals            [count, both]
+      delta_cells/v=b   (row, bucket, cnt)   this batch's sketch     [topk, both]
+      cells/v=b         (row, bucket, cnt)   merged sketch           [topk, both]
+      candidates/v=b    (word)               heavy-hitter candidates [topk, both]
     and the output tables ``wordCloud(words, count)`` and ``topKWords(word)``.
 
+    Skew: a URL re-sent so often that it is a third of a batch is collapsed by the
+    map-side partial distinct before any shuffle; words are counted with partial
+    aggregation. Exact membership is one small table per batch, read with partition
+    pruning (``batch < b``) and anti-joined; Catalyst/AQE choose broadcast or shuffle.
+
     Candidates: a word whose share is below ``pct`` in every batch is below ``pct``
     overall, so testing each batch's words against that batch's own sketch and keeping
     the union never misses a heavy hitter; the union is re-tested on the merged sketch.
     """
 
     def __init__(self, spark: SparkSession, config: WordCloudConfig, root: str,
-                 text: str = "text", seed: DataFrame | None = None):
+                 text: str = "text", seed: DataFrame | None = None,
+                 page_texts: DataFrame | None = None, url_col: str = "key",
+                 membership: str = "exact"):
+        if membership not in ("exact", "bloom"):
+            raise ValueError("membership must be exact or bloom")
         self.spark, self.config, self.root, self.text = spark, config, root, text
-        self.seed = seed
+        self.seed, self.page_texts, self.url_col = seed, page_texts, url_col
+        self.membership = membership
         self.last: dict[str, str] = {}
 
     def _version(self, kind: str, batch_id: int) -> str:
@@ -181,8 +200,12 @@ class WordCloudJob:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         c = self.config
-        words = batch_df.select(
-            F.explode(clean_words(self.text, c.stop_words, c.drop_empty)).alias("word"))
+        if self.page_texts is not None:
+            texts, text_col = self._new_valid_pages(batch_df, batch_id), "description"
+        else:
+            texts, text_col = batch_df, self.text
+        words = texts.select(
+            F.explode(clean_words(text_col, c.stop_words, c.drop_empty)).alias("word"))
         # The batch's word counts feed both outputs: exact totals and the sketch delta.
         batch_counts = counts.count_words(words).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -193,6 +216,55 @@ class WordCloudJob:
         finally:
             batch_counts.unpersist()
 
+    # -- URL path ------------------------------------------------------------
+    def _processed_before(self, batch_id: int) -> DataFrame | None:
+        base = f"{self.root}/processed"
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return None
+        return (self.spark.read.parquet(base).where(F.col("batch") < batch_id)
+                .select("url"))
+
+    def _new_valid_pages(self, batch_df: DataFrame, batch_id: int) -> DataFrame:
+        c = self.config
+        # in-batch distinct, keeping each URL's arrival count for the batch metrics
+        arrivals = (batch_df.groupBy(F.col(self.url_col).alias("url"))
+                    .agg(F.count(F.lit(1)).alias("n"))
+                    .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            urls = arrivals.select("url")
+            if self.membership == "exact":
+                processed = self._processed_before(batch_id)
+                new = urls if processed is None else urls.join(processed, "url", "left_anti")
+                bits = None
+            else:
+                bits = self._previous("bloom", batch_id)
+                new = urls if bits is None else bloom.new_urls_bloom(
+                    urls, bits, expected_items=c.bloom_expected_items, fpp=c.bloom_fpp)
+            valid = self._write(new.join(self.page_texts.select("url", "description"), "url"),
+                                "valid", batch_id)
+            # remember only the URLs that turned out valid
+            if self.membership == "exact":
+                (valid.select("url").write.mode("overwrite")
+                 .parquet(f"{self.root}/processed/batch={batch_id}"))
+            else:
+                fresh = bloom.bloom_bits(valid, expected_items=c.bloom_expected_items,
+                                         fpp=c.bloom_fpp)
+                self._write(fresh if bits is None else bloom.bloom_merge(bits, fresh), "bloom",
+                            batch_id)
+            received = arrivals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_urls"),
+                                    F.count(F.lit(1)).alias("n_distinct"))
+            kept = valid.agg(F.count(F.lit(1)).alias("n_valid"))
+            metrics = (received.withColumn("batch", F.lit(batch_id).cast("long"))
+                       .join(kept.withColumn("batch", F.lit(batch_id).cast("long")), "batch"))
+            self._write(metrics, "metrics", batch_id)
+        finally:
+            arrivals.unpersist()
+        return valid
+
+    # -- outputs -------------------------------------------------------------
     def _counts(self, batch_counts: DataFrame, batch_id: int) -> None:
         prev = self._previous("counts", batch_id)
         if prev is None:
@@ -220,15 +292,21 @@ class WordCloudJob:
         self.last["topKWords"] = save_table(top.select("word"), "topKWords", version=batch_id,
                                             base=f"{self.root}/topKWords")
 
+    def metrics(self) -> DataFrame:
+        """Per-batch URL metrics written so far (batch, n_urls, n_valid)."""
+        return self.spark.read.parquet(f"{self.root}/metrics")
+
 
 def start_wordcloud(stream: DataFrame, config: WordCloudConfig = WordCloudConfig(),
                     text: str = "text", root: str | None = None,
                     checkpoint: str | None = None, seed: DataFrame | None = None,
-                    trigger_seconds: int | None = None) -> tuple[StreamingQuery, WordCloudJob]:
-    """Start the foreachBatch word-cloud job on a stream of texts."""
+                    trigger_seconds: int | None = None, page_texts: DataFrame | None = None,
+                    url_col: str = "key",
+                    membership: str = "exact") -> tuple[StreamingQuery, WordCloudJob]:
+    """Start the foreachBatch word-cloud job on a stream of texts or of URLs."""
     spark = stream.sparkSession
     root = root or scratch_path(spark, "wordcloud")
-    job = WordCloudJob(spark, config, root, text, seed)
+    job = WordCloudJob(spark, config, root, text, seed, page_texts, url_col, membership)
     checkpoint = checkpoint or f"{root}/_checkpoint"
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     writer = (writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
