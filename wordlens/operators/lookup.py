@@ -51,11 +51,14 @@ def probe_positions(df: DataFrame, positions: list[Column], table: DataFrame, ke
     lookup = table.select(F.col(key).alias("_k"), F.col(value_col).alias("_v"))
     out = df.select("*", *[p.alias(f"_pos{i}") for i, p in enumerate(positions)])
     if fits_broadcast(spark, max_rows):
+        # The same build side every time (renamed above the join), so the k probes
+        # share one broadcast exchange.
         small = F.broadcast(lookup)
         for i in range(k):
-            probe = small.select(F.col("_k").alias(f"_k{i}"), F.col("_v").alias(f"{prefix}{i}"))
-            out = (out.join(probe, F.col(f"_pos{i}") == F.col(f"_k{i}"), "left")
-                   .drop(f"_k{i}", f"_pos{i}"))
+            t = small.alias(f"_t{i}")
+            out = (out.join(t, F.col(f"_pos{i}") == F.col(f"_t{i}._k"), "left")
+                   .select(*[F.col(c) for c in out.columns if c != f"_pos{i}"],
+                           F.col(f"_t{i}._v").alias(f"{prefix}{i}")))
         return out
     # Large table: one row per (item, position), shuffle join on the position, then
     # regroup by item with one conditional aggregate per position (partial-aggregated).
