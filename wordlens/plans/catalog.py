@@ -46,7 +46,7 @@ DEPTH, WIDTH = cms_shape(EPS, CMS_DELTA)
 BITS, HASHES = bloom_shape(BLOOM_EXPECTED_ITEMS, BLOOM_FPP)
 WAVES = 2
 LOG_PARTITIONS = 4
-STREAM_FILES = 4
+STREAM_FILES = 8
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -439,7 +439,7 @@ def q_stream_batch_cap(spark, sf):
     """One landed file per micro-batch (rate cap); totals equal the batch count."""
     path, schema = _landed_docs(spark, sf)
     query, sink = stream.start_word_count(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=1))
+        stream.file_stream(spark, path, schema, max_files_per_trigger=2))
     stream.await_done(query)
     return read_saved(spark, sink.last_path).select("word", "count")
 
@@ -520,7 +520,7 @@ def q_stream_both(spark, sf):
     """foreachBatch job, mode both, batch reused by both outputs."""
     path, schema = _landed_docs(spark, sf)
     query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=2), WordCloudConfig())
+        stream.file_stream(spark, path, schema, max_files_per_trigger=4), WordCloudConfig())
     stream.await_done(query)
     return read_saved(spark, job.last["wordCloud"])
 
@@ -530,7 +530,7 @@ def q_stream_both_topk(spark, sf):
     """The topKWords table of the foreachBatch job (sketch mode)."""
     path, schema = _landed_docs(spark, sf)
     query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=2),
+        stream.file_stream(spark, path, schema, max_files_per_trigger=4),
         WordCloudConfig(mode="topk"))
     stream.await_done(query)
     return read_saved(spark, job.last["topKWords"])

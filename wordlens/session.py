@@ -38,6 +38,8 @@ def build_session(master: str | None = None, app: str = "wordlens",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        # commit a changelog per batch; full snapshots upload in background maintenance
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:

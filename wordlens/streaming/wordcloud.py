@@ -55,8 +55,17 @@ class VersionedSink:
         self.last_path: str | None = None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.orderBy(*self.order) if self.order else batch_df
-        self.last_path = save_table(out, self.name, version=batch_id, base=self.base)
+        if not self.order:
+            self.last_path = save_table(batch_df, self.name, version=batch_id, base=self.base)
+            return
+        # A global sort samples its input first; without the persist that sampling
+        # pass would re-run the whole micro-batch (scan, tokenize, state update).
+        snapshot = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.last_path = save_table(snapshot.orderBy(*self.order), self.name,
+                                        version=batch_id, base=self.base)
+        finally:
+            snapshot.unpersist()
 
 
 def _start(state: DataFrame, name: str, sink: VersionedSink, checkpoint: str | None,
@@ -155,11 +164,10 @@ class WordCloudJob:
       processed/batch=b (url)               valid URLs of batch b    [exact membership]
       bloom/v=b         (bit)               Bloom filter after b     [bloom membership]
       metrics/v=b       (batch, n_urls, n_distinct, n_valid)
-      counts/v=b        (word, count)        exact totals            [count, both]
-      delta_cells/v=b   (row, bucket, cnt)   this batch's sketch     [topk, both]
+      wordCloud/v=b     (words, count)       exact totals, sorted    [count, both]
       cells/v=b         (row, bucket, cnt)   merged sketch           [topk, both]
       candidates/v=b    (word)               heavy-hitter candidates [topk, both]
-    and the output tables ``wordCloud(words, count)`` and ``topKWords(word)``.
+    and the output tables ``wordCloud`` (the latest totals) and ``topKWords(word)``.
 
     Skew: a URL re-sent so often that it is a third of a batch is collapsed by the
     map-side partial distinct before any shuffle; words are counted with partial
@@ -266,28 +274,37 @@ class WordCloudJob:
 
     # -- outputs -------------------------------------------------------------
     def _counts(self, batch_counts: DataFrame, batch_id: int) -> None:
-        prev = self._previous("counts", batch_id)
+        """New totals = previous totals + batch counts. The sorted totals are both the
+        state version and the ``wordCloud(words, count)`` table (one write per batch)."""
+        prev = self._previous("wordCloud", batch_id)
         if prev is None:
             prev = self.seed if self.seed is not None else counts.seed_state(self.spark, [])
-        total = self._write(counts.merge_counts(prev, batch_counts), "counts", batch_id)
-        table = (total.select(F.col("word").alias("words"), "count")
+        else:
+            prev = prev.select(F.col("words").alias("word"), "count")
+        total = (counts.merge_counts(prev, batch_counts)
+                 .select(F.col("word").alias("words"), "count")
                  .orderBy(F.desc("count"), F.asc("words")))
-        self.last["wordCloud"] = save_table(table, "wordCloud", version=batch_id,
+        # same path as self._version("wordCloud", batch_id), so _previous finds it
+        self.last["wordCloud"] = save_table(total, "wordCloud", version=batch_id,
                                             base=f"{self.root}/wordCloud")
 
     def _sketch(self, batch_counts: DataFrame, batch_id: int) -> None:
         c = self.config
         kw = dict(eps=c.cms_eps, delta=c.cms_delta, seed=c.cms_seed)
-        delta_cells = self._write(cms.sketch_from_counts(batch_counts, **kw), "delta_cells",
-                                  batch_id)
-        prev = self._previous("cells", batch_id)
-        merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
-        cells = self._write(merged, "cells", batch_id)
-        local = cms.heavy_hitter_estimates(batch_counts, delta_cells, pct=c.heavy_hitter_pct,
-                                           **kw).select("word")
-        prev_cand = self._previous("candidates", batch_id)
-        cand = local if prev_cand is None else prev_cand.unionByName(local)
-        candidates = self._write(cand.distinct(), "candidates", batch_id)
+        # this batch's sketch: d*w rows at most, kept in memory for the two reads below
+        delta_cells = cms.sketch_from_counts(batch_counts, **kw).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            prev = self._previous("cells", batch_id)
+            merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
+            cells = self._write(merged, "cells", batch_id)
+            local = cms.heavy_hitter_estimates(batch_counts, delta_cells,
+                                               pct=c.heavy_hitter_pct, **kw).select("word")
+            prev_cand = self._previous("candidates", batch_id)
+            cand = local if prev_cand is None else prev_cand.unionByName(local)
+            candidates = self._write(cand.distinct(), "candidates", batch_id)
+        finally:
+            delta_cells.unpersist()
         top = cms.sketch_topk(candidates, c.topk, cells, pct=c.heavy_hitter_pct, **kw)
         self.last["topKWords"] = save_table(top.select("word"), "topKWords", version=batch_id,
                                             base=f"{self.root}/topKWords")
