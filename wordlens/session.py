@@ -83,12 +83,16 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(p.strip("/") if i else p.rstrip("/") for i, p in enumerate(pieces))
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage (reliable checkpoint in the shared folder).
-
-    Used for small parameter-bounded tables (sketch cells, filter bits) that several
-    branches of a plan read, so the expensive build runs once and a lost executor
-    re-reads the checkpoint instead of recomputing the scan.
+def materialize(df, name: str = "materialized"):
+    """Compute ``df`` once and cut its lineage: a Parquet table in the shared folder.
+
+    Used for derived tables that several branches of a plan read (sketch cells, filter
+    bits, word counts feeding estimates), so the expensive build runs once and a lost
+    executor re-reads the files instead of recomputing the scan. (``checkpoint()``
+    would run the plan twice unless persisted: once for its eager count, once to write
+    the files; a written table is one job and is read back columnar.)
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
