@@ -17,6 +17,7 @@ Offsets live in the checkpoint (exactly-once with the idempotent versioned sinks
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -175,8 +176,9 @@ class WordCloudJob:
     pruning (``batch < b``) and anti-joined; Catalyst/AQE choose broadcast or shuffle.
 
     Candidates: a word whose share is below ``pct`` in every batch is below ``pct``
-    overall, so testing each batch's words against that batch's own sketch and keeping
-    the union never misses a heavy hitter; the union is re-tested on the merged sketch.
+    overall, so keeping each batch's words whose share of that batch reaches ``pct``
+    (from the batch's exact counts, already computed) never misses a heavy hitter; the
+    union is re-tested on the merged sketch and only estimates decide the top k.
     """
 
     def __init__(self, spark: SparkSession, config: WordCloudConfig, root: str,
@@ -281,30 +283,32 @@ class WordCloudJob:
             prev = self.seed if self.seed is not None else counts.seed_state(self.spark, [])
         else:
             prev = prev.select(F.col("words").alias("word"), "count")
+        # persisted so the sort's sampling pass does not redo the merge
         total = (counts.merge_counts(prev, batch_counts)
                  .select(F.col("word").alias("words"), "count")
-                 .orderBy(F.desc("count"), F.asc("words")))
-        # same path as self._version("wordCloud", batch_id), so _previous finds it
-        self.last["wordCloud"] = save_table(total, "wordCloud", version=batch_id,
-                                            base=f"{self.root}/wordCloud")
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            # same path as self._version("wordCloud", batch_id), so _previous finds it
+            self.last["wordCloud"] = save_table(
+                total.orderBy(F.desc("count"), F.asc("words")), "wordCloud",
+                version=batch_id, base=f"{self.root}/wordCloud")
+        finally:
+            total.unpersist()
 
     def _sketch(self, batch_counts: DataFrame, batch_id: int) -> None:
         c = self.config
         kw = dict(eps=c.cms_eps, delta=c.cms_delta, seed=c.cms_seed)
-        # this batch's sketch: d*w rows at most, kept in memory for the two reads below
-        delta_cells = cms.sketch_from_counts(batch_counts, **kw).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            prev = self._previous("cells", batch_id)
-            merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
-            cells = self._write(merged, "cells", batch_id)
-            local = cms.heavy_hitter_estimates(batch_counts, delta_cells,
-                                               pct=c.heavy_hitter_pct, **kw).select("word")
-            prev_cand = self._previous("candidates", batch_id)
-            cand = local if prev_cand is None else prev_cand.unionByName(local)
-            candidates = self._write(cand.distinct(), "candidates", batch_id)
-        finally:
-            delta_cells.unpersist()
+        delta_cells = cms.sketch_from_counts(batch_counts, **kw)
+        prev = self._previous("cells", batch_id)
+        merged = delta_cells if prev is None else cms.merge_sketches(prev, delta_cells)
+        cells = self._write(merged, "cells", batch_id)
+        batch_total = batch_counts.agg(F.sum("count")).scalar()
+        local = batch_counts.where(
+            F.col("count") >= F.lit(Decimal(repr(c.heavy_hitter_pct))) * batch_total
+        ).select("word")
+        prev_cand = self._previous("candidates", batch_id)
+        cand = local if prev_cand is None else prev_cand.unionByName(local)
+        candidates = self._write(cand.distinct(), "candidates", batch_id)
         top = cms.sketch_topk(candidates, c.topk, cells, pct=c.heavy_hitter_pct, **kw)
         self.last["topKWords"] = save_table(top.select("word"), "topKWords", version=batch_id,
                                             base=f"{self.root}/topKWords")
