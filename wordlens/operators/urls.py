@@ -62,6 +62,11 @@ def valid_pages(pages: DataFrame, url: str = "url", html: str = "html",
                                                     drop_empty), " ").alias("text")))
 
 
+def keep_valid(items: DataFrame, valid_keys: DataFrame, key: str) -> DataFrame:
+    """Items whose key is in ``valid_keys`` (a semi-join: never duplicates an item)."""
+    return items.join(valid_keys.select(key), key, "left_semi")
+
+
 def url_pages(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
     """URL -> page lookup (equi-join); a URL with no crawled page drops out."""
     return urls.join(pages, url, "inner")

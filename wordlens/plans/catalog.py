@@ -194,6 +194,16 @@ def q_valid_pages(spark, sf):
     return urls.valid_pages(tables.pages(spark, sf, ("url", "html")))
 
 
+@register("valid_documents", f"""
+SELECT doc_id, array_to_string({S.clean_words('text')}, ' ') AS text FROM documents
+WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""")
+def q_valid_documents(spark, sf):
+    """P4 T6 over documents: texts whose quality label marks them valid, cleaned."""
+    good = tables.read_table(spark, sf, "labels", ("doc_id", "quality")).where("quality = 1")
+    valid = urls.keep_valid(_docs(spark, sf), good, "doc_id")
+    return valid.select("doc_id", TX.cleaned_text("text").alias("text"))
+
+
 @register("url_page_lookup", f"""
 SELECT l.key AS url, CAST(l.wave AS INTEGER) AS wave, d.description
 FROM ({_LOG}) l JOIN ({_DESC}) d ON l.key = d.url""")
