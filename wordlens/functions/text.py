@@ -71,6 +71,26 @@ def clean_words(text: Column | str,
     return F.when(F.size(kept) == 0, F.array(F.lit(""))).otherwise(kept)
 
 
+def explode_clean_words(df, text: Column | str,
+                        stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
+                        drop_empty: bool = True, alias: str = "word"):
+    """One row per kept word occurrence of ``text``: ``df.select(word)``.
+
+    With ``drop_empty`` the raw split is exploded first and filtered by a plain
+    predicate (``word != '' AND word NOT IN stops``, a hash-set test): this stays in
+    whole-stage codegen, where the array ``filter`` lambdas of ``clean_words`` are
+    interpreted per element. Same words, same order within a text.
+    """
+    if not drop_empty:
+        return df.select(F.explode(clean_words(text, stop_words, drop_empty)).alias(alias))
+    stops = sorted({w.lower() for w in stop_words})
+    words = df.select(F.explode(F.split(F.lower(_col(text)), DELIMITER)).alias(alias))
+    keep = F.col(alias) != F.lit("")
+    if stops:
+        keep = keep & ~F.col(alias).isin(*stops)
+    return words.where(keep)
+
+
 def cleaned_text(text: Column | str,
                  stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                  drop_empty: bool = True) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordlens.functions.text import clean_words, tokenize
+from wordlens.functions.text import clean_words, explode_clean_words, tokenize
 from wordlens.params import SHIPPED_STOP_WORDS
 
 STATE_SCHEMA = T.StructType([T.StructField("word", T.StringType(), False),
@@ -39,7 +39,7 @@ def word_occurrences(docs: DataFrame, text: str = "text",
                      stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                      drop_empty: bool = True) -> DataFrame:
     """One row per kept word occurrence: (word)."""
-    return docs.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"))
+    return explode_clean_words(docs, text, stop_words, drop_empty)
 
 
 def count_words(words: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wordlens.functions.text import clean_words
+from wordlens.functions.text import explode_clean_words
 from wordlens.operators import bloom, cms, counts
 from wordlens.params import SHIPPED_STOP_WORDS, WordCloudConfig
 from wordlens.session import scratch_path
@@ -86,8 +86,8 @@ def start_word_count(stream: DataFrame, name: str = "wordCloud", text: str = "te
     stream unioned into the same aggregation.
     """
     spark = stream.sparkSession
-    words = stream.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"),
-                          F.lit(1).cast("bigint").alias("count"))
+    words = (explode_clean_words(stream, text, stop_words, drop_empty)
+             .withColumn("count", F.lit(1).cast("bigint")))
     if seed_stream is not None:
         words = words.unionByName(seed_stream.select("word", F.col("count").cast("bigint")))
     state = words.groupBy("word").agg(F.sum("count").cast("bigint").alias("count"))
@@ -103,7 +103,7 @@ def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text"
                  trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
     """Running count-min sketch: a streaming aggregation keyed by cell (state <= d*w)."""
     spark = stream.sparkSession
-    words = stream.select(F.explode(clean_words(text, stop_words, drop_empty)).alias("word"))
+    words = explode_clean_words(stream, text, stop_words, drop_empty)
     cells = cms.sketch_cells(words, eps=eps, delta=delta, seed=seed, preaggregate=False)
     sink = VersionedSink(name, scratch_path(spark, "tables", name))
     return _start(cells, name, sink, checkpoint, trigger_seconds), sink
@@ -125,8 +125,7 @@ def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str =
     valid = (url_stream.select(F.col(key).alias("url"))
              .join(page_texts.select("url", "description"), "url", "inner")
              .dropDuplicates(["url"]))
-    words = valid.select(F.explode(clean_words("description", stop_words, drop_empty))
-                         .alias("word"))
+    words = explode_clean_words(valid, "description", stop_words, drop_empty)
     state = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     sink = VersionedSink(name, scratch_path(spark, "tables", name),
                          order=[F.desc("count"), F.asc("word")])
@@ -214,8 +213,7 @@ class WordCloudJob:
             texts, text_col = self._new_valid_pages(batch_df, batch_id), "description"
         else:
             texts, text_col = batch_df, self.text
-        words = texts.select(
-            F.explode(clean_words(text_col, c.stop_words, c.drop_empty)).alias("word"))
+        words = explode_clean_words(texts, text_col, c.stop_words, c.drop_empty)
         # The batch's word counts feed both outputs: exact totals and the sketch delta.
         batch_counts = counts.count_words(words).persist(StorageLevel.MEMORY_AND_DISK)
         try:
