@@ -20,12 +20,22 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 def build_session(master: str | None = None, app: str = "wordlens",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  initial_partitions: int | None = None,
+                  advisory_partition_bytes: int | None = None,
+                  max_split_bytes: int | None = None) -> SparkSession:
     """A session with the settings the operators are designed around.
 
     AQE re-plans joins and coalesces shuffle partitions at run time, skew-join splitting
     is on, the streaming state store is RocksDB (vocabulary and URL state can outgrow
     the JVM heap), and the UI server is off.
+
+    For large inputs: ``initial_partitions`` starts batch shuffles wide (AQE then
+    coalesces them to ``advisory_partition_bytes`` each, so a partition fits in
+    executor memory without spilling), and ``max_split_bytes`` caps the Parquet split
+    size; text-heavy tables expand several-fold when tokenized, so 64 MB splits keep
+    a task's exploded words in memory. ``shuffle_partitions`` also fixes the state
+    partitions of a new streaming query (they cannot change after its first start).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -44,6 +54,12 @@ def build_session(master: str | None = None, app: str = "wordlens",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
+    if advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(advisory_partition_bytes)
+    if max_split_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = str(max_split_bytes)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
