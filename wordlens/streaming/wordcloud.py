@@ -161,7 +161,8 @@ class WordCloudJob:
     look up the page text -> keep valid pages -> count; only valid URLs are remembered.
 
     State per batch id b, all under ``root`` (every version rewritten on replay):
-      processed/batch=b (url)               valid URLs of batch b    [exact membership]
+      valid/batch=b     (url, description)  new valid pages of batch b; its url column
+                                            is the exact membership  [URL input]
       bloom/v=b         (bit)               Bloom filter after b     [bloom membership]
       metrics/v=b       (batch, n_urls, n_distinct, n_valid)
       wordCloud/v=b     (words, count)       exact totals, sorted    [count, both]
@@ -226,7 +227,8 @@ class WordCloudJob:
 
     # -- URL path ------------------------------------------------------------
     def _processed_before(self, batch_id: int) -> DataFrame | None:
-        base = f"{self.root}/processed"
+        """URLs remembered by earlier batches (partition pruning, url column only)."""
+        base = f"{self.root}/valid"
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(base)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -251,13 +253,14 @@ class WordCloudJob:
                 bits = self._previous("bloom", batch_id)
                 new = urls if bits is None else bloom.new_urls_bloom(
                     urls, bits, expected_items=c.bloom_expected_items, fpp=c.bloom_fpp)
-            valid = self._write(new.join(self.page_texts.select("url", "description"), "url"),
-                                "valid", batch_id)
-            # remember only the URLs that turned out valid
-            if self.membership == "exact":
-                (valid.select("url").write.mode("overwrite")
-                 .parquet(f"{self.root}/processed/batch={batch_id}"))
-            else:
+            # only URLs that turned out valid are remembered: this batch's partition of
+            # the valid table is the exact membership record for later batches
+            path = f"{self.root}/valid/batch={batch_id}"
+            (new.join(self.page_texts.select("url", "description"), "url")
+             .write.mode("overwrite").parquet(path))
+            valid = self.spark.read.parquet(path)
+            self.last["valid"] = path
+            if self.membership == "bloom":
                 fresh = bloom.bloom_bits(valid, expected_items=c.bloom_expected_items,
                                          fpp=c.bloom_fpp)
                 self._write(fresh if bits is None else bloom.bloom_merge(bits, fresh), "bloom",
