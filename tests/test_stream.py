@@ -118,3 +118,28 @@ def test_url_job_remembers_only_valid_urls(spark, membership):
     assert words == {"red": 1, "apple": 2, "blue": 1, "berry": 1}
     metrics = {r.batch: (r.n_urls, r.n_distinct, r.n_valid) for r in job.metrics().collect()}
     assert metrics == {0: (3, 2, 1), 1: (3, 3, 1)}
+
+
+def test_url_job_restart_counts_url_that_became_valid(spark):
+    """Run 1: a valid, z has no page. Then z's page is crawled. Run 2 (same checkpoint and
+    state): a and z re-sent; a is already processed, z is now valid and counted."""
+    texts_dir = scratch_path(spark, "test-d13-texts")
+    spark.createDataFrame([("a", "red apple")], "url string, description string") \
+        .write.parquet(texts_dir)
+    src = scratch_path(spark, "test-d13-src")
+    root = scratch_path(spark, "test-d13-root")
+    land_files(spark.createDataFrame([("a",), ("z",)], "key string"), src, 1)
+    q1, job1 = stream.start_wordcloud(
+        stream.file_stream(spark, src, "key string"), WordCloudConfig(mode="count"),
+        root=root, page_texts=spark.read.parquet(texts_dir))
+    stream.await_done(q1)
+    assert _as_dict(read_saved(spark, job1.last["wordCloud"]), "words") == {"red": 1, "apple": 1}
+    spark.createDataFrame([("z", "zebra apple")], "url string, description string") \
+        .write.mode("append").parquet(texts_dir)
+    land_files(spark.createDataFrame([("a",), ("z",)], "key string"), src, 1, mode="append")
+    q2, job2 = stream.start_wordcloud(
+        stream.file_stream(spark, src, "key string"), WordCloudConfig(mode="count"),
+        root=root, page_texts=spark.read.parquet(texts_dir))
+    stream.await_done(q2)
+    assert _as_dict(read_saved(spark, job2.last["wordCloud"]), "words") == \
+        {"red": 1, "apple": 2, "zebra": 1}
