@@ -1,4 +1,4 @@
-from wordlens.functions.hashing import hash_bucket, hash_pair, hash_positions  # noqa: F401
+from wordlens.functions.hashing import hash_bucket, hash_pair, position, with_hash_pair  # noqa: F401
 from wordlens.functions.text import (  # noqa: F401
     DELIMITER,
     clean_words,

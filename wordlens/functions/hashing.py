@@ -44,13 +44,6 @@ def position(h1: Column, h2: Column, index: Column | int, modulus: int) -> Colum
     return F.pmod(h1 + idx.cast("bigint") * h2, F.lit(modulus))
 
 
-def hash_positions(item: Column, seed: int | str, count: int, modulus: int) -> Column:
-    """array<bigint> of ``count`` positions (convenience form for small inputs)."""
-    h1, h2 = hash_pair(item, seed)
-    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)),
-                       lambda i: position(h1, h2, i, modulus))
-
-
 def hash_bucket(item: Column, seed: int | str, modulus: int) -> Column:
     """A single portable bucket in [0, modulus) (h1 mod m), e.g. a Kafka-style partition."""
     h1, _ = hash_pair(item, seed)

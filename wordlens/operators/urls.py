@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.functions.text import clean_words, described_pages, page_description
+from wordlens.functions.text import clean_words, described_pages
 from wordlens.params import SHIPPED_STOP_WORDS
 
 
@@ -45,10 +45,6 @@ def new_urls_exact(batch: DataFrame, processed: DataFrame, url: str = "url") ->
     return distinct_urls(batch, url).join(processed.select(url).distinct(), url, "left_anti")
 
 
-def with_description(pages: DataFrame, html: str = "html", **container) -> DataFrame:
-    return pages.withColumn("description", page_description(F.col(html), **container))
-
-
 def valid_pages(pages: DataFrame, url: str = "url", html: str = "html",
                 stop_words=SHIPPED_STOP_WORDS, drop_empty: bool = True,
                 **container) -> DataFrame:

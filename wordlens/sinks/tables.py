@@ -7,6 +7,8 @@ disturbed and a replayed batch simply writes its version again (idempotent).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from wordlens.session import scratch_path
@@ -26,7 +28,7 @@ def save_table(df: DataFrame, name: str, version: str | int | None = None,
     spark = df.sparkSession
     root = base or table_dir(spark, name)
     if version is None:
-        path = scratch_path(spark, "tables", name) if base is None else f"{root}/v-new"
+        path = f"{root}/v-{uuid.uuid4().hex[:12]}"
     else:
         path = f"{root}/v={int(version):09d}" if str(version).isdigit() else f"{root}/v={version}"
     (df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name))
