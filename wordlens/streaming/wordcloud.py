@@ -17,6 +17,7 @@ Offsets live in the checkpoint (exactly-once with the idempotent versioned sinks
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark import StorageLevel
@@ -218,10 +219,17 @@ class WordCloudJob:
         # The batch's word counts feed both outputs: exact totals and the sketch delta.
         batch_counts = counts.count_words(words).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if c.counts_enabled:
-                self._counts(batch_counts, batch_id)
-            if c.sketch_enabled:
-                self._sketch(batch_counts, batch_id)
+            outputs = [f for on, f in ((c.counts_enabled, self._counts),
+                                       (c.sketch_enabled, self._sketch)) if on]
+            if len(outputs) == 1:
+                outputs[0](batch_counts, batch_id)
+            else:
+                # independent outputs of one persisted input: submit their Spark jobs
+                # from two driver threads so the scheduler can run them side by side
+                batch_counts.count()
+                with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+                    for done in [pool.submit(f, batch_counts, batch_id) for f in outputs]:
+                        done.result()
         finally:
             batch_counts.unpersist()
 
