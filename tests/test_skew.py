@@ -58,3 +58,19 @@ def test_url_job_with_hot_url(spark):
     assert words == {"red": 1, "apple": 1, "blue": 1, "berry": 1, "green": 1}
     metrics = {r.batch: (r.n_urls, r.n_distinct, r.n_valid) for r in job.metrics().collect()}
     assert metrics == {0: (90, 3, 2), 1: (90, 2, 1)}
+
+
+def test_dedup_stream_with_hot_url(spark):
+    """Built-in dedup stream: repeats pre-dropped per Arrow batch, results exact."""
+    texts = spark.createDataFrame([("a", "red apple"), ("b", "blue berry")],
+                                  "url string, description string")
+    src = scratch_path(spark, "test-hot-dedup")
+    land_files(spark.createDataFrame([("a",)] * 300 + [("b",)] * 10 + [("z",)] * 5,
+                                     "key string"), src, 2)
+    land_files(spark.createDataFrame([("a",)] * 300 + [("b",)] * 10, "key string"), src, 2,
+               mode="append")
+    query, sink = stream.start_valid_dedup(
+        stream.file_stream(spark, src, "key string", max_files_per_trigger=2), texts)
+    stream.await_done(query)
+    got = {r.word: r["count"] for r in read_saved(spark, sink.last_path).collect()}
+    assert got == {"red": 1, "apple": 1, "blue": 1, "berry": 1}

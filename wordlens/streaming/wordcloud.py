@@ -110,10 +110,17 @@ def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text"
     return _start(cells, name, sink, checkpoint, trigger_seconds), sink
 
 
+def _distinct_in_chunks(batches):
+    """Drop repeated URLs inside each Arrow batch of a partition (stateless)."""
+    for pdf in batches:
+        yield pdf.drop_duplicates()
+
+
 def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str = "wordCloud",
                       key: str = "key", stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                       drop_empty: bool = True, checkpoint: str | None = None,
-                      trigger_seconds: int | None = None) -> tuple[StreamingQuery, VersionedSink]:
+                      trigger_seconds: int | None = None,
+                      predup: bool = True) -> tuple[StreamingQuery, VersionedSink]:
     """URL stream -> page text -> valid only -> first arrival per URL -> word count.
 
     ``page_texts`` is a static (url, description) table holding only the pages that
@@ -121,10 +128,18 @@ def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str =
     The join keeps valid URLs before de-duplication, so an invalid URL is never
     remembered and is tried again when re-sent. Join and dedup share the URL
     partitioning, so the stream side is shuffled once for both.
+
+    ``predup``: a URL re-sent so often that it is a third of the stream would send
+    all its records to one task. A streaming query allows one stateful
+    de-duplication, so repeats are first dropped inside each Arrow batch of each
+    input partition (``mapInPandas``, stateless): a hot URL then ships at most one
+    row per batch per partition through the shuffle. Results are unchanged.
     """
     spark = url_stream.sparkSession
-    valid = (url_stream.select(F.col(key).alias("url"))
-             .join(page_texts.select("url", "description"), "url", "inner")
+    urls = url_stream.select(F.col(key).alias("url"))
+    if predup:
+        urls = urls.mapInPandas(_distinct_in_chunks, "url string")
+    valid = (urls.join(page_texts.select("url", "description"), "url", "inner")
              .dropDuplicates(["url"]))
     words = explode_clean_words(valid, "description", stop_words, drop_empty)
     state = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
