@@ -110,12 +110,6 @@ def start_sketch(stream: DataFrame, name: str = "wordSketch", text: str = "text"
     return _start(cells, name, sink, checkpoint, trigger_seconds), sink
 
 
-def _distinct_in_chunks(batches):
-    """Drop repeated URLs inside each Arrow batch of a partition (stateless)."""
-    for pdf in batches:
-        yield pdf.drop_duplicates()
-
-
 def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str = "wordCloud",
                       key: str = "key", stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                       drop_empty: bool = True, checkpoint: str | None = None,
@@ -138,7 +132,11 @@ def start_valid_dedup(url_stream: DataFrame, page_texts: DataFrame, name: str =
     spark = url_stream.sparkSession
     urls = url_stream.select(F.col(key).alias("url"))
     if predup:
-        urls = urls.mapInPandas(_distinct_in_chunks, "url string")
+        def distinct_in_chunks(batches):
+            # defined here so it is shipped to the workers by value (no package import)
+            for pdf in batches:
+                yield pdf.drop_duplicates()
+        urls = urls.mapInPandas(distinct_in_chunks, "url string")
     valid = (urls.join(page_texts.select("url", "description"), "url", "inner")
              .dropDuplicates(["url"]))
     words = explode_clean_words(valid, "description", stop_words, drop_empty)
