@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions import text as TX
+from wordlens.functions.hashing import hash_bucket
 from wordlens.operators import bloom, cms, counts, urls
 from wordlens.params import (
     BLOOM_EXPECTED_ITEMS,
@@ -47,6 +48,8 @@ BITS, HASHES = bloom_shape(BLOOM_EXPECTED_ITEMS, BLOOM_FPP)
 WAVES = 2
 LOG_PARTITIONS = 4
 STREAM_FILES = 8
+LAND_SEED = "landing"
+LAND_BUCKETS = 2
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -82,6 +85,19 @@ def _processed(spark, sf):
     return urls.valid_pages(pages).select("url")
 
 
+def _land_log(log):
+    """Land the URL log as one file per (wave, bucket), in that order: micro-batch b of
+    a one-file-per-trigger stream is wave b // 2, bucket b % 2 (portable md5 bucket)."""
+    spark = log.sparkSession
+    path = scratch_path(spark, "landing", "urls")
+    bucketed = log.withColumn("_b", hash_bucket(F.col("key"), LAND_SEED, LAND_BUCKETS))
+    for wave in range(WAVES):
+        for b in range(LAND_BUCKETS):
+            part = bucketed.where((F.col("wave") == wave) & (F.col("_b") == b)).drop("_b")
+            land_files(part, path, 1, mode="append")
+    return path
+
+
 def _word_counts(spark, sf):
     """Exact (word, count) of the documents, computed once and checkpointed: it is
     the vocabulary for sketch probes and the weights of the sketch build."""
@@ -471,9 +487,7 @@ GROUP BY word""")
 def q_stream_valid_dedup(spark, sf):
     """URL log stream -> crawl -> valid -> first arrival -> word count."""
     log = _log(spark, sf)
-    path = scratch_path(spark, "landing", "urls")
-    for wave in range(WAVES):  # each wave lands after the previous one (replay order)
-        land_files(log.where(F.col("wave") == wave), path, 2, mode="append")
+    path = _land_log(log)
     # the crawl's descriptions, extracted once into a table the stream joins against
     texts = read_saved(spark, save_table(
         TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
@@ -486,9 +500,7 @@ def q_stream_valid_dedup(spark, sf):
 def _url_job(spark, sf, membership, config=WordCloudConfig()):
     """The full job on the URL log: 2 waves, one landed file per micro-batch."""
     log = _log(spark, sf)
-    path = scratch_path(spark, "landing", "urls")
-    for wave in range(WAVES):
-        land_files(log.where(F.col("wave") == wave), path, 2, mode="append")
+    path = _land_log(log)
     texts = read_saved(spark, save_table(
         TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
     query, job = stream.start_wordcloud(
@@ -518,10 +530,19 @@ def q_stream_wordcloud_bloom(spark, sf):
     return read_saved(spark, _url_job(spark, sf, "bloom").last["wordCloud"])
 
 
-@register("stream_url_metrics")
+@register("stream_url_metrics", f"""
+WITH log AS (
+  SELECT url AS key, t.w * {LAND_BUCKETS} + {S.sql_hash_bucket('url', LAND_SEED, LAND_BUCKETS)} AS batch
+  FROM pages CROSS JOIN range({WAVES}) t(w)),
+firsts AS (SELECT key, min(batch) AS batch FROM log
+           WHERE key IN (SELECT url FROM ({_VALID})) GROUP BY key),
+nv AS (SELECT batch, count(*) AS n_valid FROM firsts GROUP BY batch)
+SELECT CAST(l.batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_urls,
+       CAST(count(DISTINCT l.key) AS BIGINT) AS n_distinct,
+       CAST(coalesce(any_value(nv.n_valid), 0) AS BIGINT) AS n_valid
+FROM log l LEFT JOIN nv ON nv.batch = l.batch GROUP BY l.batch""")
 def q_stream_url_metrics(spark, sf):
-    """Per micro-batch URLs received and valid URLs processed (rows-only: the
-    split of a wave into files is Spark's round robin)."""
+    """Per micro-batch URLs received, distinct, and new valid URLs processed."""
     return _url_job(spark, sf, "exact", WordCloudConfig(mode="count")).metrics()
 
 

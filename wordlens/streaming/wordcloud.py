@@ -336,8 +336,9 @@ class WordCloudJob:
                                             base=f"{self.root}/topKWords")
 
     def metrics(self) -> DataFrame:
-        """Per-batch URL metrics written so far (batch, n_urls, n_valid)."""
-        return self.spark.read.parquet(f"{self.root}/metrics")
+        """Per-batch URL metrics written so far (batch, n_urls, n_distinct, n_valid)."""
+        return (self.spark.read.parquet(f"{self.root}/metrics")
+                .select("batch", "n_urls", "n_distinct", "n_valid"))
 
 
 def start_wordcloud(stream: DataFrame, config: WordCloudConfig = WordCloudConfig(),
