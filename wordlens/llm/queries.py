@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import packing, quality, simhash, substring, tiling
+from wordlens.llm import (language_model, licences, merkle, packing, quality, simhash, substring, suffixes,
+                          tiling, warc)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,24 +28,48 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 @_query("op2_quality_classifier")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probability of every document."""
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query("op3_warc")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives in global order."""
+    return warc.capture_histories(_table(spark, sf_dir, "pages"))
+
+
 @_query("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 2048 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that a document shares with an earlier one."""
+    return suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 @_query("op6_substring_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without windows that an earlier document has."""
     return substring.removal_digest(_table(spark, sf_dir, "documents"))
 
 
+@_query("op7_document_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return merkle.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 @_query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -56,3 +81,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold test items, with the items."""
     return tiling.contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query("op10_lm_scoring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by add-one unigrams and by the trie."""
+    return language_model.score_texts(_table(spark, sf_dir, "documents"))
