@@ -1,0 +1,82 @@
+"""Packing: pieces against the tokenizer itself, sequences against their constraints."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from wordlens.llm import packing
+from wordlens.llm.queries import tokenizer_path
+
+SCHEMA = "piece string, doc_id bigint, text string, offset int"
+
+
+def corpus():
+    rng = random.Random(6)
+    bits = ["the", "Straße", "l'été", "don't", "x", "1234", "!!", "ǅ", "é", "́a", " b", " ", "ΣΑΣ", "<|endoftext|>", "漢字", "a\x1cb"]
+    rows = [("c", i, rng.choice([" ", "\n", "  "]).join(rng.choice(bits) for _ in range(rng.choice([0, 1, 5, 80, 900, 3000]))), 1) for i in range(70)]
+    return rows + [(None, None, None, None), ("", 7, "", 1), rows[3], rows[3], ("", 500, "a " * 2047, 1), ("", 501, "a " * 2048, 1)]
+
+
+def brute(rows):
+    t = Tokenizer.from_file(tokenizer_path())
+    t.encode_special_tokens = True
+    out = []
+    for _, d, text, _ in rows:
+        ids = t.encode(text or "", add_special_tokens=False).ids + [0]
+        for p, at in enumerate(range(0, len(ids), 2048)):
+            own = ids[at:at + 2048]
+            out.append((d, p, at, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    return out
+
+
+key = lambda t: tuple((x is None, x or 0) for x in t)
+
+
+@pytest.mark.parametrize("block", [20_000, 20])
+def test_pieces_and_sequences(spark, block):
+    rows = corpus()
+    got = packing.pack(spark.createDataFrame(rows, SCHEMA), tokenizer_path(), block_pieces=block).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(brute(rows), key=key)
+    check_sequences(got, 2048)
+    total = sum(r.length for r in got)
+    used = len({r.sequence_id for r in got})
+    assert used <= -(-total // 2048) * 11 / 9 + (1 if block > len(rows) else 10)
+
+
+def check_sequences(got, most):
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= most
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacity", [(100, 100, 10_000), (100, 3, 10_000), (100, 100, 4000), (100, 2, 5000)])
+def test_every_constraint_holds(rule, capacity):
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(1, int(min(100, capacity[2] ** 0.5)), 400)
+    bins, offsets = packing.best_fit(lengths, capacity, rule=rule)
+    for b in np.unique(bins):
+        own = lengths[bins == b]
+        assert own.sum() <= capacity[0] and len(own) <= capacity[1] and (own ** 2).sum() <= capacity[2]
+    bound = max(lengths.sum() / capacity[0], len(lengths) / capacity[1], (lengths ** 2).sum() / capacity[2])
+    assert len(np.unique(bins)) <= 1.4 * bound + 2
+
+
+def test_best_fit_takes_the_fullest_that_fits():
+    bins, offsets = packing.best_fit([60, 50, 45, 40], (100, 10, 10_000))
+    assert bins.tolist() == [0, 1, 1, 0] and offsets.tolist() == [0, 0, 50, 60]
+    with pytest.raises(ValueError):
+        packing.best_fit([101], (100, 10, 20_000))
+
+
+def test_empty_table(spark):
+    assert packing.pack(spark.createDataFrame([], SCHEMA), tokenizer_path()).count() == 0

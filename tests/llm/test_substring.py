@@ -61,7 +61,7 @@ key = lambda t: tuple((x is None, x if x is not None else 0) for x in t)  # noqa
 @pytest.mark.parametrize("seed,hot", [(1, 1000), (2, 1000), (3, 3), (4, 0)])
 def test_matches_brute_force(spark, seed, hot):
     rows = corpus(seed)
-    got = substring.removal_digest(frame(spark, rows), hot_docs=hot).collect()
+    got = substring.removal_digest(frame(spark, rows), hot_runs=hot).collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute(rows, 50), key=key)
 
 

@@ -41,6 +41,7 @@ NOTICES = [
             "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("all-rights-reserved", "copyright all rights reserved"),
 ]
 
@@ -75,8 +76,9 @@ def scan(docs: DataFrame, max_shift: int = MAX_SHIFT, min_coverage: float = MIN_
                       F.array_remove(F.split(lowered, NOT_WORD), "").alias("w"))
     # each word with the two that follow; a text without words has one row, without a place
     some = F.greatest(F.size("w"), F.lit(1))
-    rolled = own.select("doc_id", "th", F.size("w").alias("n_words"), F.posexplode_outer(F.arrays_zip(
-        F.col("w").alias("w0"), F.slice("w", 2, some).alias("w1"), F.slice("w", 3, some).alias("w2"))).alias("pos", "g"))
+    zipped = own.select("doc_id", "th", F.size("w").alias("n_words"), F.arrays_zip(
+        F.col("w").alias("w0"), F.slice("w", 2, some).alias("w1"), F.slice("w", 3, some).alias("w2")).alias("places"))
+    rolled = zipped.select("doc_id", "th", "n_words", F.posexplode_outer("places").alias("pos", "g"))
     rolled = rolled.select("doc_id", "th", "n_words", "pos", "g.w0", "g.w1", "g.w2")
     # grams of a place: that of K words, of two where a short phrase may start, and a null for each text's head row
     firsts = sorted({k.split()[0] for k in BASE if len(k.split()) < K})

@@ -17,18 +17,86 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _query(name: str):
+def _query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
         return f
     return add
 
 
+_LICENCES = ", ".join(
+    f"({i}, {str(base).lower()}, '{label}', {max(1, len(text.split()) - 2)}, {len(text.split())}, {text.split()})"
+    for i, (base, label, text) in enumerate([(True, v, k) for k, v in licences.BASE.items()]
+                                            + [(False, *x) for x in licences.NOTICES]))
+
+#: The same votes in SQL: word k-grams as strings, joined to the templates' and counted by diagonal.
+LICENCE_SQL = rf"""
+WITH templates(template, is_base, label, grams, words, ws) AS (VALUES {_LICENCES}),
+texts AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    '{licences.UPPER}', '{licences.LOWER}'), '{licences.NOT_WORD}'), lambda x: x <> '') AS ws FROM documents),
+places AS (SELECT r, unnest(range(len(ws))) AS pos, ws FROM texts WHERE len(ws) > 1),
+grams AS (SELECT r, pos, array_to_string(ws[pos + 1:pos + 3], ' ') AS gram FROM places
+          UNION ALL SELECT r, pos, array_to_string(ws[pos + 1:pos + 2], ' ') FROM places
+          WHERE ws[pos + 1] IN ('mit', 'apache') AND pos + 2 < len(ws)),
+marks AS (SELECT * EXCLUDE (ws), array_to_string(ws[t + 1:t + 3], ' ') AS gram
+          FROM (SELECT *, unnest(range(grams)) AS t FROM templates)),
+diagonals AS (SELECT r, template, is_base, label, grams, words, pos - t AS diagonal, list(DISTINCT t) AS ts,
+                     min(pos) AS a, max(pos) AS b FROM grams JOIN marks USING (gram) GROUP BY ALL),
+steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal)
+                    <= CASE WHEN is_base THEN 0 ELSE {licences.MAX_SHIFT} END THEN 0 ELSE 1 END AS apart FROM diagonals),
+spans AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM steps),
+merged AS (SELECT r, template, is_base, label, grams, words, len(list_distinct(flatten(list(ts)))) AS covered,
+                  min(a) AS a, max(b) AS b FROM spans GROUP BY r, template, is_base, label, grams, words, span),
+found AS (SELECT *, covered / grams AS coverage FROM merged
+          WHERE CASE WHEN is_base THEN covered = grams
+                ELSE covered / grams >= {licences.MIN_COVERAGE} AND b - a <= 2 * words END)
+SELECT doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_words, CAST(count(*) FILTER (is_base) AS BIGINT) AS n_base,
+       CAST(min(a) FILTER (is_base) AS BIGINT) AS first_word, CAST(max(a) FILTER (is_base) AS BIGINT) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       CAST(coalesce(max(coverage), 0) AS DOUBLE) AS score
+FROM texts LEFT JOIN found USING (r) GROUP BY r, doc_id
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, coalesce(url, '') AS url FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+             lower(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', '')) AS plain FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id,
+             regexp_replace(regexp_extract(plain, '^([^/?#]*)', 1), '^www[0-9]*[.]|:[0-9]+$|^[^@]*@', '', 'g') AS host,
+             regexp_replace(regexp_replace(plain, '^[^/?#]*', ''), '#.*$', '') AS path FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to,
+       CASE WHEN plain = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
+            || CASE WHEN path = '' THEN '/' ELSE path END END AS url_key,
+       strftime(TIMESTAMP '2020-01-01' + to_seconds(page_id % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+FROM f
+"""
+
+SUBSTRING_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (SELECT r, doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+            FROM (SELECT *, unnest(range(1, len(ws) - 48)) AS i FROM t WHERE len(ws) >= 50)),
+repeated AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY h) AS first_id FROM windows)
+             WHERE doc_id > first_id),
+gone AS (SELECT DISTINCT r, i + unnest(range(50)) AS i FROM repeated),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+         FROM (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)
+"""
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@_query("op1_license_scan")
+@_query("op1_license_scan", LICENCE_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     return licences.scan(_table(spark, sf_dir, "documents"))
@@ -40,10 +108,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-@_query("op3_warc")
+@_query("op3_warc", WARC_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's record, as read back from the archives in global order."""
-    return warc.capture_histories(_table(spark, sf_dir, "pages"))
+    """Every page's record, as read back from the archives."""
+    return warc.capture_histories(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
 
 
 @_query("op4_best_fit_packing")
@@ -58,7 +127,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
-@_query("op6_substring_dedup")
+@_query("op6_substring_dedup", SUBSTRING_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without windows that an earlier document has."""
     return substring.removal_digest(_table(spark, sf_dir, "documents"))

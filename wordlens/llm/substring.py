@@ -6,17 +6,17 @@ and one anchor serves a run of neighbouring windows. The search goes from cheap
 
 1. Runs (anchor, hash of the run's words) of all documents; only anchors that two
    documents share go on. Everything else is settled without its text.
-2. An anchor whose runs are all alike needs no text either: later documents lose the run.
-3. Other anchors: the distinct runs of an anchor are a reference shard. Its suffix
+2. A run that a document with a smaller id has word for word needs no text either: it goes as a whole.
+3. Of anchors with unlike runs, each distinct run is looked into once: the distinct runs of an anchor are a reference shard. Its suffix
    automaton grows online, in ascending doc_id: each run is streamed for its matching
    statistics against all earlier documents' runs, then added. Ends whose longest match
-   is at least a window mark a window. Copies of a run are joined as one beforehand.
-4. An anchor in more than ``HOT_DOCS`` documents with unlike surroundings (a common line)
+   is at least a window mark a window.
+4. An anchor with more than ``HOT_RUNS`` distinct runs (a common line in unlike surroundings)
    would make a shard without bound: its windows are keyed one by one, by the hash of the
    whole window, and settled by a group minimum, which partial aggregation keeps even.
 
 Spark deals the shards out by anchor and streams each in sorted order, so a task holds one
-shard's automaton (at most HOT_DOCS runs) at a time.
+shard's automaton (of at most HOT_RUNS runs) at a time.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from wordlens.llm.arrays import gram_hashes, span_hashes, texts, words
 from wordlens.session import materialize
 
-WINDOW, ANCHOR_WORDS, HOT_DOCS = 50, 16, 1000
+WINDOW, ANCHOR_WORDS, HOT_RUNS = 50, 16, 1000
 LAST_ID = (1 << 63) - 1
 
 
@@ -173,7 +173,7 @@ def _spans_of_shared(batches: Iterator[pa.RecordBatch], window: int) -> Iterator
 
 def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Distinct runs sorted by (key, id, span): the windows of each that an earlier
-    document's run has, as (key, span, id, from, n) relative to the run."""
+    document's run has, as (anchor, span, offset, count) relative to the run."""
     key, automaton, waiting, waiting_id = None, None, [], None
     for batch in batches:
         out = []
@@ -190,52 +190,45 @@ def _match(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             if len(ends):
                 cut = np.flatnonzero(np.diff(ends) > 1) + 1
                 for part in np.split(ends, cut):
-                    out.append((k, span, doc, int(part[0]) - window + 1, len(part)))
+                    out.append((k, span, int(part[0]) - window + 1, len(part)))
             if len(ends) < len(sequence) - window + 1:
                 waiting.append(sequence)
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 3 + [pa.int32()] * 2)],
-                ["key", "span", "first_id", "offset", "count"])
+                [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 2 + [pa.int32()] * 2)],
+                ["anchor", "span", "offset", "count"])
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR_WORDS,
-                     hot_docs: int = HOT_DOCS) -> DataFrame:
+                     hot_runs: int = HOT_RUNS) -> DataFrame:
     """(id, th, start, n) of docs(id, th, text): n consecutive windows from word ``start``
     on, each of which also starts in a document with a smaller id. May overlap."""
     found = materialize(runs(docs, window, anchor), "substring_runs")
     shared = (found.groupBy("anchor")
-              .agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("span").alias("low"),
-                   F.max("span").alias("high"), F.count("*").alias("places"))
-              .where("first_id < last_id")
-              .select("anchor", "first_id", (F.col("low") != F.col("high")).alias("unlike"),
-                      (F.col("places") > hot_docs).alias("hot")))
+              .agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min("span").alias("low"), F.max("span").alias("high"))
+              .where("a < b").select("anchor", (F.col("low") != F.col("high")).alias("unlike")))
     known = materialize(found.join(shared, "anchor"), "substring_shared")
-    alike = known.where("not unlike and id > first_id").select("id", "th", "start", "n")
-    lists = known.where("unlike").groupBy("id", "th").agg(
+    # a run that a smaller id has word for word goes as a whole; only first runs are looked into
+    firsts = known.groupBy("anchor", "span", "unlike").agg(F.min("id").alias("first_id"))
+    sizes = firsts.where("unlike").groupBy("anchor").agg((F.count("*") > hot_runs).alias("hot"))
+    settled = materialize(known.join(firsts, ["anchor", "span", "unlike"]), "substring_firsts")
+    copies = settled.where("id > first_id").select("id", "th", "start", "n")
+    first_runs = settled.where("unlike and id = first_id")
+    lists = first_runs.join(sizes, "anchor").groupBy("id", "th").agg(
         F.collect_set(F.struct("anchor", "span", "start", "n", "hot")).alias("runs"))
     spans = materialize(docs.select("id", "th", "text").join(lists, ["id", "th"])
                         .mapInArrow(lambda b: _spans_of_shared(b, window),
                                     "key bigint, span bigint, words binary, id bigint, th bigint, "
                                     "start int, n int, hot boolean"), "substring_spans")
-    cold = spans.where("not hot")
-    distinct = cold.groupBy("key", "span", "words").agg(F.min("id").alias("id"))
-    matched = (distinct.repartition("key").sortWithinPartitions("key", "id", "span")
-               .mapInArrow(lambda b: _match(b, window),
-                           "key bigint, span bigint, first_id bigint, offset int, count int"))
-    places = cold.select("key", "span", "id", "th", "start", "n")
-    firsts = places.groupBy("key", "span").agg(F.min("id").alias("first_id"))
-    copies = (places.join(firsts, ["key", "span"]).where("id > first_id")
-              .select("id", "th", "start", "n"))
-    partly = (places.join(matched, (places["key"] == matched["key"]) & (places["span"] == matched["span"])
-                          & (places["id"] == matched["first_id"]))
-              .select("id", "th", (F.col("start") + F.col("offset")).alias("start"),
-                      F.col("count").alias("n")))
+    distinct = spans.where("not hot").dropDuplicates(["key", "span"])
+    matched = (distinct.select("key", "span", "words", "id").repartition("key").sortWithinPartitions("key", "id", "span")
+               .mapInArrow(lambda b: _match(b, window), "anchor bigint, span bigint, offset int, count int"))
+    partly = first_runs.join(matched, ["anchor", "span"]).select(
+        "id", "th", (F.col("start") + F.col("offset")).alias("start"), F.col("count").alias("n"))
     hot = spans.where("hot").select("key", "id", "th", "start", "n")
-    least = hot.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where(
-        "first_id < last_id")
-    common = hot.join(least, "key").where("id > first_id").select("id", "th", "start", "n")
-    return alike.unionByName(copies).unionByName(partly).unionByName(common)
+    least = hot.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+    common = hot.join(least, "key").where("id > a").select("id", "th", "start", "n")
+    return copies.unionByName(partly).unionByName(common)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, keep_columns: list[str] | None,
