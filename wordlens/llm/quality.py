@@ -5,8 +5,11 @@ weight vector over hashed text features is shared by all thresholds:
 P(grade <= j) = sigmoid(theta_j - w.x), theta_0 < theta_1. From it follow the expected grade
 and the tail probability P(grade >= KEEP_GRADE), by which documents are selected.
 
-Features are hashed words (lower-cased, punctuation kept) and the shapes of words' edges, with
-log counts, inverse document frequency and unit length. The model is fitted on a bounded sample
+Features are hashed words (lower-cased, punctuation kept), their first 4 and 5 bytes, the shapes of
+their edges, and how many words repeat the one before, with log counts, inverse document
+frequency and unit length. Those count that mark a lower grade: LIFT times as frequent in it as in
+the top grade, beyond chance (Z standard deviations). A document without marks is thus as good
+as the thresholds say. The model is fitted on a bounded sample
 (``TRAIN_DOCS`` labelled documents in the order of a hash of doc_id, each of at most
 ``TRAIN_BYTES``); scoring is one scan over whole texts without a shuffle, with the weights
 (``DIMENSIONS`` numbers) broadcast.
@@ -28,8 +31,9 @@ DIMENSIONS = 1 << 18
 GRADES = 3
 KEEP_GRADE, KEEP_PROBABILITY = 2, 0.5
 TRAIN_DOCS, TRAIN_BYTES = 6000, 60_000
-STEPS, RATE, PENALTY = 150, 0.3, 1e-6
-MIN_DOCUMENTS = 2
+STEPS, RATE, PENALTY = 150, 0.1, 1e-4
+MIN_DOCUMENTS, LIFT, Z = 3, 4.0, 4.0
+PREFIXES = (4, 5)
 
 
 def _classes() -> np.ndarray:
@@ -48,19 +52,47 @@ def features(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, count) of a chunk of words, each pair of row and feature once."""
     if not len(w.starts):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    data = w.data
+    data, row = w.data, w.row()
     upper = (data >= 65) & (data <= 90)
-    lowered = Words(w.first_row, w.n_rows, np.where(upper, data + 32, data).astype(np.uint8),
-                    w.starts, w.ends, w.first)
+    lowered = np.where(upper, data + 32, data).astype(np.uint8)
+    hashed = Words(0, w.n_rows, lowered, w.starts, w.ends, w.first).hashes()
+    kinds, rows = [hashed], [row]
+    for k in PREFIXES:
+        long = np.flatnonzero(w.ends - w.starts > k)
+        own = Words(0, w.n_rows, lowered, w.starts[long], w.starts[long] + k, w.first)
+        kinds.append(mix(own.hashes() + np.uint64(k)))
+        rows.append(row[long])
     last = CLASSES[data[w.ends - 1]]
     before = CLASSES[data[np.maximum(w.ends - 2, w.starts)]]
-    shape = mix((CLASSES[data[w.starts]] << np.uint64(16)) + (before << np.uint64(8)) + last + np.uint64(1 << 24))
-    kind = np.concatenate([lowered.hashes(), shape]) % np.uint64(DIMENSIONS)
-    row = w.row().astype(np.uint64)
-    pair, count = np.unique((np.concatenate([row, row]) * np.uint64(DIMENSIONS)) + kind, return_counts=True)
+    kinds.append(mix((CLASSES[data[w.starts]] << np.uint64(16)) + (before << np.uint64(8)) + last + np.uint64(1 << 24)))
+    rows.append(row)
+    again = np.flatnonzero((hashed[1:] == hashed[:-1]) & (row[1:] == row[:-1])) + 1
+    repeats = np.bincount(row[again], minlength=w.n_rows)
+    some = np.flatnonzero(repeats)
+    kinds.append(mix((8 * repeats[some] // w.counts()[some]).astype(np.uint64) + np.uint64(1 << 32)))
+    rows.append(some)
+    pair, count = np.unique(np.concatenate(rows).astype(np.uint64) * np.uint64(DIMENSIONS)
+                            + np.concatenate(kinds) % np.uint64(DIMENSIONS), return_counts=True)
     return (pair // np.uint64(DIMENSIONS)).astype(np.int64), (pair % np.uint64(DIMENSIONS)).astype(np.int64), count
 
 
+def marks(row: np.ndarray, feature: np.ndarray, grade: np.ndarray) -> np.ndarray:
+    """True for each feature that marks a grade below the highest there is."""
+    top = grade.max()
+    share = np.bincount(grade, minlength=top + 1)
+    in_top = np.bincount(feature[(grade == top)[row]], minlength=DIMENSIONS)
+    out = np.zeros(DIMENSIONS, bool)
+    for g in range(top):
+        if not share[g]:
+            continue
+        here = np.bincount(feature[(grade == g)[row]], minlength=DIMENSIONS)
+        both, part = here + in_top, share[g] / (share[g] + share[top])
+        beyond = (here - both * part) / np.sqrt(both * part * (1 - part) + 1e-9)
+        lift = ((here + 0.5) / share[g]) / ((in_top + 0.5) / share[top])
+        out |= (beyond > Z) & (lift > LIFT) & (both >= MIN_DOCUMENTS)
+    return out
+
+
 def _values(row, feature, count, idf, n_rows) -> np.ndarray:
     x = (1 + np.log(count)) * idf[feature]
     norm = np.sqrt(np.bincount(row, x * x, minlength=n_rows))
@@ -87,7 +119,8 @@ class CumulativeLink:
 
 def train(row: np.ndarray, feature: np.ndarray, count: np.ndarray, grade: np.ndarray,
           steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> CumulativeLink:
-    """Full-batch Adam on the cumulative-link log likelihood, grades weighted evenly.
+    """Full-batch Adam on the cumulative-link log likelihood, each grade weighted by the square root of
+    its share.
 
     Thresholds are theta_0 and positive steps beyond it, so they stay ordered. With no rows
     or a single grade, every document gets that grade (the top grade if there are none).
@@ -98,13 +131,17 @@ def train(row: np.ndarray, feature: np.ndarray, count: np.ndarray, grade: np.nda
         top = int(present[0]) if n else GRADES - 1
         sure = np.where(np.arange(1, GRADES) <= top, -30.0, 30.0)
         return CumulativeLink(np.zeros(DIMENSIONS), sure, np.ones(DIMENSIONS))
+    marking = marks(row, feature, grade)
     df = np.bincount(feature, minlength=DIMENSIONS)
-    idf = np.where(df >= MIN_DOCUMENTS, np.log((n + 1) / (df + 1.0)) + 1, 0.0)
+    idf = np.where(marking, np.log((n + 1) / (df + 1.0)) + 1, 0.0)
+    own = marking[feature]
+    row, feature, count = row[own], feature[own], count[own]
     x = _values(row, feature, count, idf, n)
     used, place = np.unique(feature, return_inverse=True)
     share = np.bincount(grade, minlength=GRADES)
-    importance = (1 / (len(present) * np.maximum(share, 1)))[grade]
-    w, theta = np.zeros(len(used)), np.zeros(GRADES - 1)  # theta: first, then logs of steps
+    importance = (1 / np.sqrt(np.maximum(share, 1)))[grade]
+    importance /= importance.sum()
+    w, theta = np.zeros(len(used)), np.array([-2.0] + [0.0] * (GRADES - 2))  # theta: the first, then logs of steps
     moments = [np.zeros(len(used) + GRADES - 1) for _ in range(2)]
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for t in range(1, steps + 1):
