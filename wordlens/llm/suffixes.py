@@ -13,8 +13,9 @@
 4. Matches of two documents on one diagonal that touch or overlap are one passage.
 
 Passages of at least MIN_WORDS + SPAN - 1 words are found without exception: their first kept suffix has
-MIN_WORDS equal words to the right, and neighbours in the order have the longest such runs. For shorter ones a
-miss takes more than NEIGHBOURS other texts that share more to the right of the suffix and less to the left.
+MIN_WORDS equal words to the right, and neighbours in the order have the longest such runs (if those are
+other texts that differ to the left, up to SPAN - 1 words at the passage's start may not be covered). For shorter
+ones a miss takes more than NEIGHBOURS other texts that share more to the right of the suffix and less to the left.
 """
 
 from __future__ import annotations
