@@ -31,38 +31,50 @@ BLOCK_PIECES = 20_000
 #: Weights of tokens, documents and attention cost in the norm and the dot product.
 WEIGHTS = (1.0, 1e-3, 1e-3)
 #: Words whose ids a worker remembers at most.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 700_000
 
 
-class WordTokenizer:
+class WordTokenizer(dict):
     """Ids of a text from a tokenizers file, remembered by white-space-separated word.
 
-    Right only for tokenizers whose tokens never span or depend on white space (as the
-    one in use: its pre-tokenizer drops it), so a text's ids are its words' ids in turn.
+    Right only for tokenizers whose tokens never span or depend on white space, that lower-case, and that part letters
+    from punctuation (as the one in use), so a text's ids are its words' ids in turn. The values are little-endian
+    unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        else:
+            ids = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
 
     def ids(self, text: bytes) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        parts = text.split()
-        known = self.known
-        new = [p for p in set(parts) if p not in known]
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(set(parts))
-            for at in range(0, len(new), 1000):
-                some = new[at:at + 1000]
-                for p, e in zip(some, self.tokenizer.encode_batch(
-                        [p.decode("utf-8", "replace") for p in some], add_special_tokens=False)):
-                    known[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in parts])
+        # combining marks (lead bytes 0xCC, 0xCD) may compose with a lower-case letter only; leave those texts' case
+        if b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        return b"".join(map(self.__getitem__, text.split()))
+
+
+def _worker_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for each Python worker, so that its words stay known from task to task."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_worker_tokenizers", types.ModuleType("_worker_tokenizers")).__dict__
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
@@ -74,7 +86,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = _worker_tokenizer(tokenizer_path)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * max_tokens
         for batch in batches:
             row, piece, length, crc = [], [], [], []
