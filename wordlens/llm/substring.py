@@ -204,13 +204,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     """(id, th, start, n) of docs(id, th, text): n consecutive windows from word ``start``
     on, each of which also starts in a document with a smaller id. May overlap."""
     found = materialize(runs(docs, window, anchor), "substring_runs")
-    shared = (found.groupBy("anchor")
-              .agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min("span").alias("low"), F.max("span").alias("high"))
-              .where("a < b").select("anchor", (F.col("low") != F.col("high")).alias("unlike")))
+    # tables of their own: a join right above an aggregation can't split a common anchor's rows
+    shared = materialize(found.groupBy("anchor").agg(
+        F.min("id").alias("a"), F.max("id").alias("b"), F.min("span").alias("low"), F.max("span").alias("high"))
+        .where("a < b").select("anchor", (F.col("low") != F.col("high")).alias("unlike")), "substring_anchors")
     known = materialize(found.join(shared, "anchor"), "substring_shared")
     # a run that a smaller id has word for word goes as a whole; only first runs are looked into
-    firsts = known.groupBy("anchor", "span", "unlike").agg(F.min("id").alias("first_id"))
-    sizes = firsts.where("unlike").groupBy("anchor").agg((F.count("*") > hot_runs).alias("hot"))
+    firsts = materialize(known.groupBy("anchor", "span", "unlike").agg(F.min("id").alias("first_id")), "substring_spans")
+    sizes = materialize(firsts.where("unlike").groupBy("anchor").agg((F.count("*") > hot_runs).alias("hot")), "substring_sizes")
     settled = materialize(known.join(firsts, ["anchor", "span", "unlike"]), "substring_firsts")
     copies = settled.where("id > first_id").select("id", "th", "start", "n")
     first_runs = settled.where("unlike and id = first_id")
