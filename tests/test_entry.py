@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from wordlens.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = "events documents pages labels conversations benchmark".split()
@@ -18,7 +19,8 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert len(qs) - len(sqls) <= 2  # only the rows-only checks lack an oracle
+    own = catalog.queries()
+    assert set(own) <= set(qs) and set(own) == set(catalog.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,8 @@ def con():
 
 
 @pytest.mark.parametrize("name", ["word_count", "exact_topk", "cms_heavy_hitters",
-                                  "new_urls_bloom", "valid_pages", "latest_per_key"])
+                                  "new_urls_bloom", "valid_pages", "latest_per_key", "topk_frequent_items",
+                                  "saved_table_sql", "stream_batch_cap", "stream_url_metrics"])
 def test_matches_oracle_on_smallest_tables(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())

@@ -21,3 +21,25 @@ def test_materialize_writes_a_table_under_the_root(spark):
     assert files and all(scratch_root(spark) in f for f in files)
     assert "Scan parquet" in out._jdf.queryExecution().executedPlan().toString() or \
         "FileScan parquet" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    import pytest
+
+    from wordlens import session
+    if spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        pytest.skip("the session names a folder")
+    monkeypatch.setattr(session, "_LOCAL_ROOTS", {})
+    monkeypatch.setattr(type(spark.sparkContext), "master", "spark://host:7077", raising=False)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_root(spark)
+
+
+def test_a_saved_table_is_replaced_as_a_whole(spark):
+    from wordlens.sinks.tables import read_saved, save_table, view_name
+    a = save_table(spark.range(3), "numbers", "one")
+    old = spark.table(view_name("numbers", "one"))
+    b = save_table(spark.range(5), "numbers", "one")
+    save_table(spark.range(7), "numbers", "two")
+    assert a != b and read_saved(spark, a).count() == 3 == old.count()
+    assert spark.table("one_numbers").count() == 5 and spark.table("two_numbers").count() == 7

@@ -2,11 +2,13 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from wordlens.operators import bloom, cms, counts
-from wordlens.params import bloom_shape, cms_shape
+from wordlens.operators.lookup import byte_size, fits_broadcast
+from wordlens.params import cms_shape
 from wordlens.session import materialize
 from wordlens.sources import tables
 
@@ -18,7 +20,8 @@ def _cells_dict(df):
 def test_shapes_follow_standard_sizing():
     assert cms_shape(0.01, 1e-3) == (7, 272)
     assert cms_shape(0.0005, 1e-3) == (7, 5437)
-    assert bloom_shape(1000, 0.03) == (7360, 5)
+    blocks, k = bloom.blocked_shape(1000, 0.03)
+    assert 7.3 * 1000 / 63 < blocks < 2 * 7.3 * 1000 / 63 and 1 <= k <= 10
 
 
 def test_sketch_never_underestimates_and_error_is_bounded(spark):
@@ -33,12 +36,6 @@ def test_sketch_never_underestimates_and_error_is_bounded(spark):
     assert over <= max(1, math.ceil(1e-3 * len(rows)))
 
 
-def test_preaggregated_build_equals_per_token_build(spark):
-    occ = counts.word_occurrences(tables.documents(spark, SF_SMALL))
-    assert _cells_dict(cms.sketch_cells(occ)) == _cells_dict(
-        cms.sketch_cells(occ, preaggregate=False))
-
-
 def test_merge_equals_sketch_of_union_and_commutes(spark):
     a = counts.word_occurrences(tables.documents(spark, SF_SMALL))
     b = counts.word_occurrences(tables.conversations(spark, SF_SMALL, ("text",)))
@@ -77,36 +74,69 @@ def test_heavy_hitters_contain_every_true_heavy_hitter(spark):
     assert len(hh) < 2 * len(true_hh) + 10
 
 
-def test_bloom_no_false_negatives_and_fpr_near_target(spark):
-    urls = tables.pages(spark, SF_MID, ("url",))
-    members = urls.where(F.col("url").startswith("https:"))
-    others = urls.where(~F.col("url").startswith("https:"))
-    n_members = members.count()
-    bits = materialize(bloom.bloom_bits(members, expected_items=n_members, fpp=0.05))
-    contained = bloom.might_contain(members, bits, expected_items=n_members, fpp=0.05)
-    assert contained.where(~F.col("might_contain")).count() == 0
-    probes = bloom.might_contain(others, bits, expected_items=n_members, fpp=0.05)
-    fpr = probes.where("might_contain").count() / others.count()
-    assert fpr <= 0.15
+def test_heavy_hitters_by_cells_equal_those_by_estimates(spark):
+    occ = counts.word_occurrences(tables.documents(spark, SF_MID))
+    wc = materialize(counts.count_words(occ))
+    cells = materialize(cms.sketch_from_counts(wc))
+    total = sum(r["count"] for r in wc.collect())
+    want = {(r.word, r.est) for r in cms.estimate(wc.select("word"), cells).collect() if r.est >= 0.001 * total}
+    assert {tuple(r) for r in cms.heavy_hitter_estimates(wc, cells).collect()} == want
+
+
+def test_sizes_and_thresholds(spark):
+    assert [byte_size(x) for x in ("-1", "10485760", "10MB", "64k", "1g", "256b", " 2 mb ")] == [
+        -1, 10485760, 10 << 20, 64 << 10, 1 << 30, 256, 2 << 20]
+    with pytest.raises(ValueError):
+        byte_size("much")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for value, fits in (("-1", False), ("0", False), ("10MB", True), ("1k", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert fits_broadcast(spark, 1000) is fits
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        occ = counts.word_occurrences(tables.documents(spark, SF_SMALL))
+        wc = materialize(counts.count_words(occ))
+        cells = materialize(cms.sketch_from_counts(wc))
+        for df in (cms.estimate(wc.select("word"), cells), cms.heavy_hitter_estimates(wc, cells)):
+            assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_frequent_items_are_counted_exactly(spark):
+    occ = counts.word_occurrences(tables.documents(spark, SF_SMALL))
+    want = [tuple(r) for r in counts.top_words(counts.count_words(occ), 10).collect()]
+    assert [tuple(r) for r in cms.frequent_items(occ, 10).collect()] == want
+
+
+@pytest.mark.parametrize("members,fpp", [(20, 0.05), (500, 0.03), (5000, 0.01)])
+def test_bloom_no_false_negatives_and_rate_near_target(spark, members, fpp):
+    urls = spark.range(2 * members).selectExpr("id", "concat('http://x/', id) AS url")
+    bits = materialize(bloom.bloom_bits(urls.where(f"id < {members}"), expected_items=members, fpp=fpp))
+    probed = bloom.might_contain(urls, bits, expected_items=members, fpp=fpp)
+    got = {r.inside: (r.yes, r.n) for r in probed.groupBy((F.col("id") < members).alias("inside")).agg(
+        F.sum(F.col("might_contain").cast("int")).alias("yes"), F.count("*").alias("n")).collect()}
+    assert got[True] == (members, members)
+    assert got[False][0] <= 3 * fpp * members + 4
 
 
 def test_bloom_merge_is_filter_of_union(spark):
     urls = tables.pages(spark, SF_SMALL, ("url",))
     a = urls.where(F.col("url").startswith("https:"))
     b = urls.where(~F.col("url").startswith("https:"))
-    merged = {r.bit for r in bloom.bloom_merge(bloom.bloom_bits(a), bloom.bloom_bits(b)).collect()}
-    assert merged == {r.bit for r in bloom.bloom_bits(urls).collect()}
+    merged = {tuple(r) for r in bloom.bloom_merge(bloom.bloom_bits(a), bloom.bloom_bits(b)).collect()}
+    assert merged == {tuple(r) for r in bloom.bloom_bits(urls).collect()}
 
 
-def test_bloom_shuffle_fallback_agrees(spark):
-    urls = tables.pages(spark, SF_SMALL, ("url",))
-    bits = materialize(bloom.bloom_bits(urls.where(F.col("url").startswith("https:"))))
-    fast = {r.url for r in bloom.new_urls_bloom(urls, bits).collect()}
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
-    try:
-        slow = {r.url for r in bloom.new_urls_bloom(urls, bits).collect()}
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert fast == slow
-    assert all(not u.startswith("https:") for u in fast)
+@pytest.mark.parametrize("expected", [10, 1000])
+def test_a_full_filter_hides_no_new_url(spark, expected):
+    """5000 members in a filter for far fewer: almost all probes are maybe, none is lost."""
+    urls = spark.range(8000).selectExpr("concat('http://x/', id) AS url", "id")
+    processed = urls.where("id < 5000").select("url")
+    bits = materialize(bloom.bloom_bits(processed, expected_items=expected))
+    got = bloom.new_urls_bloom(urls.select("url"), bits, processed, expected_items=expected)
+    assert {r.url for r in got.collect()} == {f"http://x/{i}" for i in range(5000, 8000)}
+
+
+def test_slices_grow(spark):
+    assert [bloom.slice_for(n, 10) for n in (0, 9, 10, 29, 30, 69, 70)] == [0, 0, 1, 1, 2, 2, 3]

@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wordlens.operators import counts, urls
-from wordlens.params import WordCloudConfig
+from wordlens.params import TermConfig
 from wordlens.session import scratch_path
-from wordlens.sinks.tables import read_saved
 from wordlens.sources import tables
-from wordlens.sources.urls import land_files
-from wordlens.streaming import wordcloud as stream
+from wordlens.sources.urls import land
+from wordlens.streaming import jobs
 
 
 def _hot_events(spark):
@@ -43,34 +42,28 @@ def test_hot_word_count_is_exact(spark):
 
 
 def test_url_job_with_hot_url(spark):
-    """One URL is a third of every batch: counted once, its arrivals all recorded."""
-    texts = spark.createDataFrame([("a", "red apple"), ("b", "blue berry"), ("c", "green")],
-                                  "url string, description string")
-    src = scratch_path(spark, "test-hot-url")
+    """One URL is a third of every batch or more: counted once, its arrivals all recorded."""
+    texts = jobs.save_page_texts(spark.createDataFrame(
+        [("a", "red apple"), ("b", "blue berry"), ("c", "green")], "url string, description string"), scratch_path(spark, "test-texts"))
+    src, root = scratch_path(spark, "test-hot-url"), scratch_path(spark, "test-root")
     for batch in (["a"] * 30 + ["b"] * 30 + ["z"] * 30, ["a"] * 30 + ["c"] * 60):
-        land_files(spark.createDataFrame([(u,) for u in batch], "key string"), src, 1,
-                   mode="append")
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, src, "key string", max_files_per_trigger=1),
-        WordCloudConfig(mode="count"), page_texts=texts)
-    stream.await_done(query)
-    words = {r.words: r["count"] for r in read_saved(spark, job.last["wordCloud"]).collect()}
+        land(spark.createDataFrame([(u,) for u in batch], "key string"), src)
+        query, job = jobs.start_terms(jobs.file_stream(spark, src, "key string"), TermConfig(mode="count"),
+                                      root=root, page_texts=texts)
+        jobs.await_done(query)
+    words = {r.words: r["count"] for r in job.term_counts().collect()}
     assert words == {"red": 1, "apple": 1, "blue": 1, "berry": 1, "green": 1}
     metrics = {r.batch: (r.n_urls, r.n_distinct, r.n_valid) for r in job.metrics().collect()}
     assert metrics == {0: (90, 3, 2), 1: (90, 2, 1)}
 
 
-def test_dedup_stream_with_hot_url(spark):
-    """Built-in dedup stream: repeats pre-dropped per Arrow batch, results exact."""
-    texts = spark.createDataFrame([("a", "red apple"), ("b", "blue berry")],
-                                  "url string, description string")
-    src = scratch_path(spark, "test-hot-dedup")
-    land_files(spark.createDataFrame([("a",)] * 300 + [("b",)] * 10 + [("z",)] * 5,
-                                     "key string"), src, 2)
-    land_files(spark.createDataFrame([("a",)] * 300 + [("b",)] * 10, "key string"), src, 2,
-               mode="append")
-    query, sink = stream.start_valid_dedup(
-        stream.file_stream(spark, src, "key string", max_files_per_trigger=2), texts)
-    stream.await_done(query)
-    got = {r.word: r["count"] for r in read_saved(spark, sink.last_path).collect()}
-    assert got == {"red": 1, "apple": 1, "blue": 1, "berry": 1}
+def test_a_hot_url_is_one_row_before_any_join(spark):
+    log = spark.createDataFrame([("a", i % 2) for i in range(100)] + [("b", 1)], "key string, wave int")
+    valid = spark.createDataFrame([("a",), ("b",)], "url string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = urls.first_valid_wave(log, valid)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.index("SortMergeJoin") < plan.index("partial_min")  # the tree prints from the top

@@ -1,145 +1,209 @@
-"""Streams equal their batch twins; restarts and replays do not change totals."""
+"""Streams equal their batch twins; restarts, crashes and replays neither lose nor repeat anything."""
+
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wordlens.operators import cms, counts
-from wordlens.params import WordCloudConfig
+from wordlens.params import TermConfig
 from wordlens.session import scratch_path
-from wordlens.sinks.tables import read_saved
+from wordlens.sinks.tables import read_saved, view_name
 from wordlens.sources import tables
-from wordlens.sources.urls import land_files
-from wordlens.streaming import wordcloud as stream
+from wordlens.sources.urls import land, landed_bytes
+from wordlens.streaming import jobs
 
 
-def _as_dict(df, key="word", value="count"):
+def _as_dict(df, key="words", value="count"):
     return {r[key]: r[value] for r in df.collect()}
 
 
 @pytest.fixture(scope="module")
 def landed(spark):
     docs = tables.documents(spark, SF_SMALL)
-    path = land_files(docs, scratch_path(spark, "test-landing"), 4, key="doc_id")
-    return path, docs.schema, _as_dict(counts.word_count(docs))
+    path = land(docs, scratch_path(spark, "test-landing"), 3, key="doc_id")
+    return path, docs.schema, _as_dict(counts.word_count(docs), "word")
 
 
-@pytest.mark.parametrize("files_per_trigger", [1, 4])
-def test_stream_word_count_equals_batch(spark, landed, files_per_trigger):
-    path, schema, want = landed
-    query, sink = stream.start_word_count(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=files_per_trigger))
-    stream.await_done(query)
-    assert _as_dict(read_saved(spark, sink.last_path)) == want
-    assert query.lastProgress["batchId"] == (4 // files_per_trigger) - 1
+def _docs_stream(spark, landed, parts=3):
+    path, schema, _ = landed
+    return jobs.file_stream(spark, path, schema, max_bytes_per_trigger=landed_bytes(spark, path) // parts)
 
 
-def test_stream_sketch_equals_batch(spark, landed):
-    path, schema, _ = landed
-    query, sink = stream.start_sketch(stream.file_stream(spark, path, schema))
-    stream.await_done(query)
-    got = {(r.row, r.bucket): r.cnt for r in read_saved(spark, sink.last_path).collect()}
-    occ = counts.word_occurrences(tables.documents(spark, SF_SMALL))
-    want = {(r.row, r.bucket): r.cnt for r in cms.sketch_cells(occ).collect()}
-    assert got == want
+def _texts(spark, rows):
+    return jobs.save_page_texts(spark.createDataFrame(rows, "url string, description string"),
+                                scratch_path(spark, "test-texts"))
+
+
+def _send(spark, src, urls):
+    land(spark.createDataFrame([(u,) for u in urls], "key string"), src)
+
+
+def _run(spark, src, config=TermConfig(mode="count"), **how):
+    query, job = jobs.start_terms(jobs.file_stream(spark, src, "key string"), config, **how)
+    jobs.await_done(query)
+    return job
+
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_word_count_equals_batch(spark, landed, parts):
+    query, sink = jobs.start_word_count(_docs_stream(spark, landed, parts))
+    jobs.await_done(query)
+    assert _as_dict(read_saved(spark, sink.last_path), "word") == landed[2]
+    assert sink.batches >= parts
 
-def test_restart_from_checkpoint_keeps_totals(spark, landed):
-    """Stop after part of the input, add files, restart on the same checkpoint."""
-    _, schema, want = landed
+
+def test_word_count_restarts_from_its_checkpoint(spark, landed):
     docs = tables.documents(spark, SF_SMALL)
-    src = scratch_path(spark, "test-restart-src")
-    checkpoint = scratch_path(spark, "test-restart-ck")
-    first = docs.where(F.col("doc_id") % 2 == 0)
-    land_files(first, src, 2)
-    q1, s1 = stream.start_word_count(stream.file_stream(spark, src, schema),
-                                     checkpoint=checkpoint)
-    stream.await_done(q1)
-    assert _as_dict(read_saved(spark, s1.last_path)) == _as_dict(counts.word_count(first))
-    land_files(docs.where(F.col("doc_id") % 2 == 1), src, 2, mode="append")
-    q2, s2 = stream.start_word_count(stream.file_stream(spark, src, schema),
-                                     checkpoint=checkpoint)
-    stream.await_done(q2)
-    assert _as_dict(read_saved(spark, s2.last_path)) == want
-
-
-def test_wordcloud_job_both_modes(spark, landed):
-    path, schema, want = landed
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=1), WordCloudConfig())
-    stream.await_done(query)
-    got = read_saved(spark, job.last["wordCloud"])
-    assert got.columns == ["words", "count"]
-    assert _as_dict(got, "words") == want
-    top = [r.word for r in read_saved(spark, job.last["topKWords"]).collect()]
-    exact_top = [w for w, _ in sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))[:10]]
-    assert len(top) == 10 and set(top) == set(exact_top)
-
-
-def test_wordcloud_job_replay_is_idempotent(spark, landed):
-    path, schema, want = landed
-    job = stream.WordCloudJob(spark, WordCloudConfig(mode="count"),
-                              scratch_path(spark, "test-replay"))
-    batch = spark.read.schema(schema).parquet(path)
-    job(batch, 0)
-    job(batch, 0)  # replay of the same batch id: same version rewritten
-    assert _as_dict(spark.read.parquet(job.last["wordCloud"]), "words") == want
-
-
-def test_seeded_stream(spark, landed):
-    path, schema, want = landed
+    src, checkpoint = scratch_path(spark, "test-src"), scratch_path(spark, "test-ck")
+    for part in (0, 1):
+        land(docs.where(F.col("doc_id") % 2 == part), src)
+        query, sink = jobs.start_word_count(jobs.file_stream(spark, src, docs.schema), checkpoint=checkpoint)
+        jobs.await_done(query)
+    assert _as_dict(read_saved(spark, sink.last_path), "word") == landed[2]
+
+
+def test_seeded_word_count(spark, landed):
     seed = counts.seed_state(spark, [("amazon", 1)])
-    seed_path = scratch_path(spark, "test-seed")
-    seed.write.parquet(seed_path)
-    query, sink = stream.start_word_count(
-        stream.file_stream(spark, path, schema),
-        seed_stream=stream.file_stream(spark, seed_path, seed.schema))
-    stream.await_done(query)
-    got = _as_dict(read_saved(spark, sink.last_path))
-    want = dict(want)
+    path = scratch_path(spark, "test-seed")
+    seed.write.parquet(path)
+    query, sink = jobs.start_word_count(_docs_stream(spark, landed), seed_stream=jobs.file_stream(spark, path, seed.schema))
+    jobs.await_done(query)
+    want = dict(landed[2])
     want["amazon"] = want.get("amazon", 0) + 1
-    assert got == want
+    assert _as_dict(read_saved(spark, sink.last_path), "word") == want
+
+
+@pytest.mark.parametrize("compact_every", [1, 2, 16])
+def test_job_equals_batch_in_all_outputs(spark, landed, compact_every):
+    query, job = jobs.start_terms(_docs_stream(spark, landed), TermConfig(), compact_every=compact_every, namespace="t")
+    jobs.await_done(query)
+    assert job._last()["batch"] >= 2
+    assert _as_dict(job.term_counts()) == landed[2]
+    assert _as_dict(spark.table(view_name("term_counts", "t"))) == landed[2]
+    occ = counts.word_occurrences(tables.documents(spark, SF_SMALL))
+    cells = {(r.row, r.bucket): r.cnt for r in cms.sketch_cells(occ).collect()}
+    assert {(r.row, r.bucket): r.cnt for r in job.cells().collect()} == cells
+    wc = counts.count_words(occ)
+    want = [r.word for r in cms.sketch_topk(wc, 10, cms.sketch_cells(occ)).collect()]
+    assert [r.word for r in job.top_words().collect()] == want
+    assert [r.word for r in spark.table(view_name("top_words", "t")).collect()] == want
+
+
+def test_seeds_of_counts_sketch_and_urls(spark):
+    src = scratch_path(spark, "test-src")
+    _send(spark, src, ["a", "b"])
+    job = _run(spark, src, TermConfig(mode="both", seed_counts=(("seeded", 2),), seed_urls=("b",)),
+               page_texts=_texts(spark, [("a", "red"), ("b", "blue")]), membership="bloom")
+    assert _as_dict(job.term_counts()) == {"seeded": 2, "red": 1}
+    assert job.cells().where("row = 0").agg(F.sum("cnt")).first()[0] == 3
 
 
 @pytest.mark.parametrize("membership", ["exact", "bloom"])
-def test_url_job_remembers_only_valid_urls(spark, membership):
-    """Wave 0: a, z, a. Wave 1: a, b, z. z has no page: retried, never counted."""
-    texts = spark.createDataFrame([("a", "red apple"), ("b", "blue berry apple")],
-                                  "url string, description string")
-    src = scratch_path(spark, "test-url-src")
-    for batch in (["a", "z", "a"], ["a", "b", "z"]):
-        land_files(spark.createDataFrame([(u,) for u in batch], "key string"), src, 1,
-                   mode="append")
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, src, "key string", max_files_per_trigger=1),
-        WordCloudConfig(mode="count"), page_texts=texts, membership=membership)
-    stream.await_done(query)
-    words = _as_dict(read_saved(spark, job.last["wordCloud"]), "words")
-    assert words == {"red": 1, "apple": 2, "blue": 1, "berry": 1}
+@pytest.mark.parametrize("compact_every", [1, 16])
+def test_only_valid_urls_are_remembered(spark, membership, compact_every):
+    """z has no page at first, then it has: it is tried again and counted once."""
+    src, root = scratch_path(spark, "test-src"), scratch_path(spark, "test-root")
+    rows = [("a", "red apple"), ("b", "blue berry apple"), ("e", "")]
+    for n, urls in enumerate((["a", "z", "a"], ["a", "b", "z", "e"], ["z", "z", "e", "a"])):
+        _send(spark, src, urls)
+        texts = _texts(spark, rows + ([("z", "zebra apple")] if n == 2 else []))
+        job = _run(spark, src, root=root, page_texts=texts, membership=membership, compact_every=compact_every)
+    assert _as_dict(job.term_counts()) == {"red": 1, "apple": 3, "blue": 1, "berry": 1, "zebra": 1}
     metrics = {r.batch: (r.n_urls, r.n_distinct, r.n_valid) for r in job.metrics().collect()}
-    assert metrics == {0: (3, 2, 1), 1: (3, 3, 1)}
-
-
-def test_url_job_restart_counts_url_that_became_valid(spark):
-    """Run 1: a valid, z has no page. Then z's page is crawled. Run 2 (same checkpoint and
-    state): a and z re-sent; a is already processed, z is now valid and counted."""
-    texts_dir = scratch_path(spark, "test-d13-texts")
-    spark.createDataFrame([("a", "red apple")], "url string, description string") \
-        .write.parquet(texts_dir)
-    src = scratch_path(spark, "test-d13-src")
-    root = scratch_path(spark, "test-d13-root")
-    land_files(spark.createDataFrame([("a",), ("z",)], "key string"), src, 1)
-    q1, job1 = stream.start_wordcloud(
-        stream.file_stream(spark, src, "key string"), WordCloudConfig(mode="count"),
-        root=root, page_texts=spark.read.parquet(texts_dir))
-    stream.await_done(q1)
-    assert _as_dict(read_saved(spark, job1.last["wordCloud"]), "words") == {"red": 1, "apple": 1}
-    spark.createDataFrame([("z", "zebra apple")], "url string, description string") \
-        .write.mode("append").parquet(texts_dir)
-    land_files(spark.createDataFrame([("a",), ("z",)], "key string"), src, 1, mode="append")
-    q2, job2 = stream.start_wordcloud(
-        stream.file_stream(spark, src, "key string"), WordCloudConfig(mode="count"),
-        root=root, page_texts=spark.read.parquet(texts_dir))
-    stream.await_done(q2)
-    assert _as_dict(read_saved(spark, job2.last["wordCloud"]), "words") == \
-        {"red": 1, "apple": 2, "zebra": 1}
+    assert metrics == {0: (3, 2, 1), 1: (4, 4, 2), 2: (4, 3, 1)}
+
+
+def test_filter_far_beyond_its_design_point_loses_nothing(spark):
+    """40 expected items, 600 arrive: new slices are added, every URL is counted once."""
+    src, root = scratch_path(spark, "test-src"), scratch_path(spark, "test-root")
+    urls = [f"http://x/{i}" for i in range(600)]
+    texts = _texts(spark, [(u, f"w{i}") for i, u in enumerate(urls)])
+    config = TermConfig(mode="count", bloom_expected_items=40)
+    for batch in (urls[:200], urls[:500], urls, urls[100:]):
+        _send(spark, src, batch)
+        job = _run(spark, src, config, root=root, page_texts=texts, membership="bloom")
+    assert _as_dict(job.term_counts()) == {f"w{i}": 1 for i in range(600)}
+    assert job._last()["bloom_slices"] > 2 and job._last()["bloom_items"] == 600
+
+
+def test_restart_with_the_checkpoint_alone_goes_on(spark):
+    src, checkpoint = scratch_path(spark, "test-src"), scratch_path(spark, "test-ck")
+    texts = _texts(spark, [("a", "red apple"), ("b", "blue apple")])
+    for url in ("a", "b"):
+        _send(spark, src, [url])
+        job = _run(spark, src, checkpoint=checkpoint, page_texts=texts)
+    assert _as_dict(job.term_counts()) == {"red": 1, "apple": 2, "blue": 1}
+
+
+def test_crash_inside_the_first_batch_is_replayed(spark):
+    """Half-written folders of batch 0 and no commit: the replay writes them again."""
+    root = scratch_path(spark, "test-root")
+    local = root.removeprefix("file://")
+    for kind in ("valid/slot=0", "seen/delta/slot=0", "counts/delta/slot=0", "commits/slot=0"):
+        os.makedirs(f"{local}/{kind}/_temporary/0")
+    job = jobs.TermJob(spark, TermConfig(mode="count"), root, page_texts=_texts(spark, [("a", "red")]))
+    batch = spark.createDataFrame([("a",), ("z",)], "key string")
+    for _ in range(2):  # and a replay after the commit changes nothing
+        job(batch, 0)
+        assert _as_dict(job.term_counts()) == {"red": 1}
+    job(batch, 1)
+    job(batch, 1)
+    assert _as_dict(job.term_counts()) == {"red": 1}
+
+
+@pytest.mark.parametrize("compact_every", [1, 2])
+def test_replay_of_any_batch_is_idempotent(spark, compact_every):
+    root = scratch_path(spark, "test-root")
+    texts = _texts(spark, [(c, f"{c}word common") for c in "abcdef"])
+    config = TermConfig(mode="both", bloom_expected_items=2)
+    for n, urls in enumerate(("ab", "bc", "cd", "de", "ef", "af")):
+        for _ in range(2):
+            job = jobs.TermJob(spark, config, root, page_texts=texts, membership="bloom", compact_every=compact_every)
+            job(spark.createDataFrame([(u,) for u in urls], "key string"), n)
+    assert _as_dict(job.term_counts()) == {"common": 6} | {f"{c}word": 1 for c in "abcdef"}
+    assert job.cells().where("row = 0").agg(F.sum("cnt")).first()[0] == 12
+
+
+def test_missing_state_and_changed_mode_raise(spark):
+    root = scratch_path(spark, "test-root")
+    texts = _texts(spark, [("a", "red")])
+    batch = spark.createDataFrame([("a",)], "key string")
+    with pytest.raises(RuntimeError, match="lacks the commit of batch 6"):
+        jobs.TermJob(spark, TermConfig(mode="count"), root, page_texts=texts)(batch, 7)
+    jobs.TermJob(spark, TermConfig(mode="count"), root, page_texts=texts)(batch, 0)
+    with pytest.raises(RuntimeError, match="mode count, not both"):
+        jobs.TermJob(spark, TermConfig(mode="both"), root, page_texts=texts)(batch, 1)
+    with pytest.raises(RuntimeError, match="membership exact, not bloom"):
+        jobs.TermJob(spark, TermConfig(mode="count"), root, page_texts=texts, membership="bloom")(batch, 1)
+
+
+def test_a_batch_reads_only_the_buckets_it_touches(spark):
+    """One URL in a later batch: its bucket of the page table and of the processed table is read, no other."""
+    urls = [f"http://x/{i}" for i in range(200)]
+    texts = _texts(spark, [(u, "text") for u in urls])
+    job = jobs.TermJob(spark, TermConfig(mode="count"), scratch_path(spark, "test-root"), page_texts=texts, compact_every=1)
+    for n in range(2):
+        job(spark.createDataFrame([(u,) for u in urls], "key string"), n)
+    state = job._last()
+    bucket = jobs.bucketed(spark.createDataFrame([(urls[7],)], "url string")).first().bucket
+    for df in (job._seen([bucket], 2, state), texts.where(F.col("bucket").isin([bucket]))):
+        files = df._jdf.queryExecution().executedPlan().toString()
+        assert "bucket#" in files and "PartitionFilters: [" in files and str(bucket) in files
+        assert df.count() == sum(r.bucket == bucket for r in jobs.bucketed(spark.createDataFrame([(u,) for u in urls], "url string")).collect())
+
+
+def test_processing_time_trigger(spark):
+    src = scratch_path(spark, "test-src")
+    _send(spark, src, ["a"])
+    query, job = jobs.start_terms(jobs.file_stream(spark, src, "key string"), TermConfig(mode="count", batch_seconds=1),
+                                  continuous=True, page_texts=_texts(spark, [("a", "red"), ("b", "blue")]))
+    try:
+        query.processAllAvailable()
+        _send(spark, src, ["b", "a"])
+        query.processAllAvailable()
+        assert _as_dict(job.term_counts()) == {"red": 1, "blue": 1}
+        assert query.lastProgress["batchId"] >= 1
+    finally:
+        query.stop()

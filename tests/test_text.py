@@ -77,15 +77,6 @@ def test_page_description_first_paragraph(spark):
     assert got == ["Big & bold text <ok> next", None]
 
 
-def test_page_description_product_container(spark):
-    html = ("<div id=\"productDescription\" class=\"a\"><p>Soft cotton,&nbsp;blue.</p>"
-            "<p>other</p></div>")
-    df = spark.createDataFrame([(html,)], "html string")
-    got = df.select(T.page_description(
-        "html", container=T.PRODUCT_DESCRIPTION_CONTAINER, container_end="/div")).first()[0]
-    assert got == "Soft cotton, blue."
-
-
 ascii_text = st.text(alphabet=st.sampled_from(list("abcXYZ éñ’–.,!?'&-_ \t\n")), max_size=40)
 
 
@@ -97,3 +88,39 @@ def test_tokenizer_matches_brute_force(spark, texts):
     for i, text in enumerate(texts):
         assert kept[i] == clean(text), repr(text)
         assert compat[i] == clean(text, drop_empty=False), repr(text)
+
+
+PAGES = [
+    # page, description by the rule: the first paragraph within the container, ended by any block-level tag
+    ("<article><h1>T</h1></article><footer><p>Footer text</p></footer>", None),
+    ("<article><p>H<sub>2</sub>O un<b>believ</b>able</p></article>", "H2O unbelievable"),
+    ("<article><p>caf&eacute; it&rsquo;s &#8211; &apos;q&apos; &#x1F600;</article>", "café it’s – 'q' 😀"),
+    ("<article><p>one<ul><li>two</li></ul></article>", "one"),
+    ("<article><p></p><p>real</p></article>", ""),
+    ("<article><p>a<br>b<BR/>c\n  d&nbsp;e</p></article>", "a b c d e"),
+    ("<article><p>&amp;lt; &#38;amp; &bogus; a&b &#0; 1 < 2</p></article>", "&lt; &amp; &bogus; a&b &#0; 1 < 2"),
+    ("<!-- <article><p>no</p></article> --><article><script>'<p>x</p>'</script><p class='k'>yes</p></article>", "yes"),
+    ("<p>out</p><article><pre>x</pre></article>", None),
+    ("<articles><p>no</p></articles>", None),
+    ("", None),
+    (None, None),
+]
+
+
+def test_page_description_of_hand_made_pages(spark):
+    df = spark.createDataFrame([(str(i), h) for i, (h, _) in enumerate(PAGES)], "url string, html string")
+    got = {r.url: r.d for r in df.select("url", T.page_description("html").alias("d")).collect()}
+    assert got == {str(i): want for i, (_, want) in enumerate(PAGES)}
+    valid = {r.url: r.description for r in T.described_pages(df).collect()}
+    assert valid == {str(i): want for i, (_, want) in enumerate(PAGES) if want is not None}
+
+
+def test_container_by_id(spark):
+    pages = ["<p>no</p><div class=x id='productDescription'><p>yes</p></div>", "<div id=productDescription2><p>no</p></div>",
+             "<section id=\"productDescription\"></section><p>no</p>"]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    assert [r[0] for r in df.select(T.page_description("html", T.element_by_id("productDescription"))).collect()] == ["yes", None, None]
+
+
+def test_comma_list():
+    assert T.comma_list(" a, b,,c ,") == ["a", "b", "c"] and T.comma_list("") == []

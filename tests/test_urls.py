@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from wordlens.operators import urls
 from wordlens.sources import tables
-from wordlens.sources.urls import line_count, url_log, url_records
+from wordlens.sources.urls import arrivals, line_count, url_records
 
 
 def test_url_records_and_count(spark):
@@ -26,15 +26,17 @@ def test_url_file_source(spark, tmp_path):
     assert urls.distinct_urls(df).count() == 2
 
 
-def test_url_log_offsets_unique_and_ordered_by_wave(spark):
-    log = url_log(tables.pages(spark, SF_SMALL, ("page_id", "url")), waves=3, partitions=2)
-    n_pages = tables.pages(spark, SF_SMALL, ("url",)).count()
-    assert log.count() == 3 * n_pages
-    assert log.select("partition", "offset").distinct().count() == 3 * n_pages
-    ranges = {(r.partition): r for r in urls.offset_ranges(log).collect()}
-    assert sum(r.n for r in ranges.values()) == 3 * n_pages
-    # every URL lands in one partition in every wave (key partitioning)
-    assert log.groupBy("key").agg(F.countDistinct("partition").alias("p")).where("p > 1").count() == 0
+def test_arrivals_come_again_in_every_later_wave(spark):
+    log = arrivals(tables.pages(spark, SF_SMALL, ("url",)), 3)
+    waves = log.groupBy("key").agg(F.min("wave").alias("a"), F.max("wave").alias("b"), F.count("*").alias("n")).collect()
+    assert len(waves) == tables.pages(spark, SF_SMALL, ("url",)).count()
+    assert all(r.b == 2 and r.n == 3 - r.a for r in waves) and {r.a for r in waves} == {0, 1, 2}
+
+
+def test_offset_ranges(spark):
+    log = spark.createDataFrame([("t", 0, 5), ("t", 0, 9), ("t", 1, 2)], "topic string, partition int, offset bigint")
+    got = {r.partition: (r.from_offset, r.until_offset, r.n) for r in urls.offset_ranges(log).collect()}
+    assert got == {0: (5, 10, 2), 1: (2, 3, 1)}
 
 
 def test_latest_per_key_matches_pandas(spark):
@@ -72,19 +74,21 @@ def test_valid_pages_have_text(spark):
 
 def test_kafka_record_encoding_round_trip(spark):
     from wordlens.sources.kafka import decode_url_records, encode_url_records
-    recs = spark.createDataFrame([("http://a.com/x", 0), ("http://b.com/y", 258)],
-                                 "key string, value int")
-    enc = encode_url_records(recs)
-    assert [bytes(r.value) for r in enc.collect()] == [b"\x00\x00\x00\x00", b"\x00\x00\x01\x02"]
-    raw = enc.select(F.lit("wordCloud").alias("topic"), F.lit(0).alias("partition"),
+    rows = [("http://a.com/x", 0), ("http://b.com/y", 258), ("n", -1), ("low", -(1 << 31)), ("high", (1 << 31) - 1)]
+    enc = encode_url_records(spark.createDataFrame(rows, "key string, value int"))
+    assert [bytes(r.value) for r in enc.collect()] == [(v % (1 << 32)).to_bytes(4, "big") for _, v in rows]
+    raw = enc.select(F.lit("urls").alias("topic"), F.lit(0).alias("partition"),
                      F.monotonically_increasing_id().alias("offset"),
                      F.col("key").cast("binary").alias("key"), "value")
-    back = {(r.key, r.value) for r in decode_url_records(raw).collect()}
-    assert back == {("http://a.com/x", 0), ("http://b.com/y", 258)}
-
-
-def test_publish_writer_builds_without_connector(spark):
-    from wordlens.sources.kafka import publish_urls_writer
-    recs = url_records(tables.pages(spark, SF_SMALL, ("url",)))
-    writer = publish_urls_writer(recs, "broker:9092")
-    assert writer is not None  # .save() needs the Kafka connector on the classpath
+    assert {(r.key, r.value) for r in decode_url_records(raw).collect()} == set(rows)
+
+
+def test_kafka_options():
+    from wordlens.params import TermConfig
+    from wordlens.sources.kafka import publish_options, subscribe_options
+    read = subscribe_options("broker:9092", TermConfig(topics="urls, more,").topics, "earliest", 40)
+    assert read == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "urls,more", "startingOffsets": "earliest",
+                    "maxOffsetsPerTrigger": "40"}
+    assert "maxOffsetsPerTrigger" not in subscribe_options("b")
+    write = publish_options("broker:9092", "urls", acks="1", linger_ms=7)
+    assert write["topic"] == "urls" and write["kafka.acks"] == "1" and write["kafka.linger.ms"] == "7"

@@ -5,10 +5,10 @@ Layout
 functions/  Column -> Column expressions (tokenizer, stop words, page text, hashes)
 sources/    table, URL-log, file-stream and Kafka sources
 operators/  DataFrame -> DataFrame operators (URL dedup, counts, Bloom, count-min)
-sinks/      table sinks (versioned overwrite, saveAsTable)
-streaming/  Structured Streaming jobs (word count, sketch, dedup, foreachBatch)
+sinks/      saved tables published as views
+streaming/  Structured Streaming jobs (built-in state; foreachBatch with table state)
 plans/      the query catalogue used by __spark_entry__ and bench.py
 """
 
-from wordlens.params import WordCloudConfig  # noqa: F401
+from wordlens.params import TermConfig  # noqa: F401
 from wordlens.session import build_session, scratch_root  # noqa: F401

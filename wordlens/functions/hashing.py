@@ -44,6 +44,17 @@ def position(h1: Column, h2: Column, index: Column | int, modulus: int) -> Colum
     return F.pmod(h1 + idx.cast("bigint") * h2, F.lit(modulus))
 
 
+def wide_pair(item: Column, seed: int | str) -> tuple[Column, Column]:
+    """Two independent values in [0, 2^60) of ``seed:item`` (15 hex digits each), for filters of any size."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), item.cast("string")))
+    return tuple(F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint") for at in (1, 17))
+
+
+def sql_wide(item_sql: str, seed: int | str, half: int) -> str:
+    """The DuckDB expression for one of the wide pair (half 0 or 1)."""
+    return f"CAST(('0x' || substr(md5('{seed}:' || CAST({item_sql} AS VARCHAR)), {1 + 16 * half}, 15)) AS BIGINT)"
+
+
 def hash_bucket(item: Column, seed: int | str, modulus: int) -> Column:
     """A single portable bucket in [0, modulus) (h1 mod m), e.g. a Kafka-style partition."""
     h1, _ = hash_pair(item, seed)

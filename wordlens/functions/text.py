@@ -8,6 +8,7 @@ trailing delimiters yield nothing.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -109,61 +110,94 @@ def comma_list(value: str) -> list[str]:
     return [v.strip() for v in value.split(",") if v.strip()]
 
 
-# HTML handling for the product-description extraction.
-# Blocks whose content is never visible text: comments, scripts, styles.
+# Fixed values of HTML. Blocks whose content is never visible text:
 INVISIBLE_BLOCKS = r"(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>"
-ANY_TAG = r"<[^>]+>"
-# Entities decoded, in this order (&amp; last so "&amp;lt;" stays "&lt;").
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&"))
-# Container of the description: the first <article> on the page. The original job
-# looked for the element with id "productDescription"; pass that as ``container``.
-DEFAULT_CONTAINER = r"<article[^>]*>"
-PRODUCT_DESCRIPTION_CONTAINER = r"""<[a-z][a-z0-9]*\s[^>]*id\s*=\s*["']?productDescription\b[^>]*>"""
-CONTAINER_END = r"/article"
-
-
-def first_paragraph_pattern(container: str = DEFAULT_CONTAINER,
-                            container_end: str = CONTAINER_END) -> str:
-    """Regex whose group 1 is the inner HTML of the first <p> inside ``container``.
-
-    A paragraph ends at ``</p>``, at the next ``<p>`` (HTML's implicit close) or at the
-    container's end tag. No look-ahead, so the same pattern runs in Java and RE2.
+# Tags that end an open paragraph, whether they open or close:
+BLOCK_TAGS = ("p", "address", "article", "aside", "blockquote", "details", "dd", "dir", "div", "dl", "dt",
+              "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+              "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "pre", "section", "table", "ul")
+# Named character references (case matters) and what they stand for:
+NAMED_ENTITIES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "iexcl": "¡", "cent": "¢",
+    "pound": "£", "yen": "¥", "sect": "§", "copy": "©", "laquo": "«", "raquo": "»", "reg": "®", "deg": "°",
+    "plusmn": "±", "middot": "·", "frac12": "½", "iquest": "¿", "times": "×", "divide": "÷", "szlig": "ß",
+    "Agrave": "À", "Aacute": "Á", "Acirc": "Â", "Atilde": "Ã", "Auml": "Ä", "Aring": "Å", "AElig": "Æ",
+    "Ccedil": "Ç", "Egrave": "È", "Eacute": "É", "Ecirc": "Ê", "Euml": "Ë", "Igrave": "Ì", "Iacute": "Í",
+    "Icirc": "Î", "Iuml": "Ï", "Ntilde": "Ñ", "Ograve": "Ò", "Oacute": "Ó", "Ocirc": "Ô", "Otilde": "Õ",
+    "Ouml": "Ö", "Oslash": "Ø", "Ugrave": "Ù", "Uacute": "Ú", "Ucirc": "Û", "Uuml": "Ü", "agrave": "à",
+    "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä", "aring": "å", "aelig": "æ", "ccedil": "ç",
+    "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í", "icirc": "î",
+    "iuml": "ï", "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô", "otilde": "õ", "ouml": "ö",
+    "oslash": "ø", "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü", "yuml": "ÿ", "oelig": "œ",
+    "OElig": "Œ", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
+    "bull": "•", "hellip": "…", "euro": "€", "trade": "™",
+}
+# The description's container: the first <article>. For an element by its id, see element_by_id.
+DEFAULT_CONTAINER = r"(?is)<(article)(?:\s[^>]*)?>(.*?)(?:</article\s*>|$)"
+
+
+def element_by_id(element_id: str) -> str:
+    """A container pattern for the first element with this id (group 2 is its inside, up to the first end
+    tag of the same name)."""
+    return (r"""(?is)<([a-z][a-z0-9]*)\s(?:[^>]*\s)?id\s*=\s*["']?""" + re.escape(element_id)
+            + r"""(?=["'\s>])[^>]*>(.*?)(?:</\1\s*>|$)""")
+
+
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _decoded(text: Column) -> Column:
+    """Character references decoded in one pass, from each & to the end of its reference."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED_ENTITIES.items() for x in pair])
+    pattern = r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+
+    def piece(x: Column, i: Column) -> Column:
+        name = F.regexp_extract(x, pattern, 1)
+        digits = F.regexp_replace(name, "^#[xX]?", "")
+        code = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.lpad(digits, 8, "0")).otherwise(
+            F.lpad(F.hex(F.try_to_number(digits, F.lit("9999999")).cast("bigint")), 8, "0"))
+        known = F.conv(code, 16, 10).cast("bigint")
+        numeric = F.when((known > 0) & (known <= 0x10FFFF) & ~known.between(0xD800, 0xDFFF),
+                         F.decode(F.unhex(code), "UTF-32"))
+        char = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(names, name))
+        rest = F.regexp_replace(x, pattern, "")
+        return F.when(i == 0, x).when(char.isNull(), F.concat(F.lit("&"), x)).otherwise(F.concat(char, rest))
+
+    return F.when(~F.contains(text, F.lit("&")), text).otherwise(
+        F.array_join(F.transform(F.split(text, "&"), piece), ""))
+
+
+def description_html(html: Column | str, container: str = DEFAULT_CONTAINER) -> Column:
+    """Inner HTML of the first paragraph within the container's own span; null if there is none.
+
+    A paragraph ends at any block-level tag, as a parser would close it there.
     """
-    return (r"(?is)" + container + r".*?<p(?:\s[^>]*)?>(.*?)<(?:/?p[\s>/]|"
-            + container_end + r")")
+    visible = F.regexp_replace(_col(html), INVISIBLE_BLOCKS, " ")
+    inside = F.regexp_extract(visible, container, 2)
+    stop = r"</?(?:" + "|".join(BLOCK_TAGS) + r")(?=[\s>/])"
+    # group 1 is never empty, as it starts with the tag's own ">": "" means that no paragraph was found
+    found = F.regexp_extract(inside, r"(?is)<p(?=[\s>])[^>]*(>.*?)(?:" + stop + "|$)", 1)
+    return _let(found, lambda x: F.when(x != "", F.substr(x, F.lit(2))))
 
 
-def page_text(html: Column | str, container: str = DEFAULT_CONTAINER,
-              container_end: str = CONTAINER_END) -> Column:
-    """Visible text of the first paragraph of the description container; "" if none.
+def page_description(html: Column | str, container: str = DEFAULT_CONTAINER) -> Column:
+    """Visible text of the first paragraph in the container ("" if that is empty), null for a page without one.
 
-    Invisible blocks are blanked first (scripts may contain a literal ``</p>``), then
-    the paragraph is extracted, tags become spaces, entities are decoded and runs of
-    whitespace collapse to one space.
+    <br> separates words, inline tags do not; character references are decoded and runs of white space are one space.
     """
-    visible = F.regexp_replace(_col(html), INVISIBLE_BLOCKS, " ")
-    inner = F.regexp_extract(visible, first_paragraph_pattern(container, container_end), 1)
-    text = F.regexp_replace(inner, ANY_TAG, " ")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
-
-
-def page_description(html: Column | str, container: str = DEFAULT_CONTAINER,
-                     container_end: str = CONTAINER_END) -> Column:
-    """``page_text`` with NULL for pages that have no description."""
-    return F.nullif(page_text(html, container, container_end), F.lit(""))
+    inner = description_html(html, container)
+    text = F.regexp_replace(F.regexp_replace(inner, r"(?i)<br\s*/?>", " "), r"<[a-zA-Z/!][^>]*>", "")
+    return F.trim(F.regexp_replace(_let(text, _decoded), r"\s+", " "))
 
 
 def described_pages(pages, url: str = "url", html: str = "html", **container):
-    """(url, description) of the pages that have one, extracting each page once.
+    """(url, description) of the pages that have a description, extracting each page once.
 
-    The description is produced by a generator (an exploded one-element array with
-    the empty text removed) rather than filtered with ``IS NOT NULL``: a filter would be
-    pushed below the projection with the whole regex chain inlined, so every page
-    would be parsed twice.
+    The description comes from a generator (an exploded array, empty where there is none) rather than
+    an ``IS NOT NULL`` filter, which would be pushed below the projection with the whole regex
+    chain inlined, so that every page would be parsed twice.
     """
-    text = page_text(F.col(html), **container)
-    return pages.select(F.col(url).alias("url"),
-                        F.explode(F.array_remove(F.array(text), "")).alias("description"))
+    text = page_description(F.col(html), **container)
+    return pages.select(F.col(url).alias("url"), F.explode(F.array_compact(F.array(text))).alias("description"))

@@ -13,13 +13,14 @@ at least 1 - delta (Cormode and Muthukrishnan, 2005).
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.functions.hashing import position, with_hash_pair
-from wordlens.operators.lookup import probe_positions
+from wordlens.operators.lookup import fits_broadcast, probe_positions
 from wordlens.params import CMS_DELTA, CMS_HEAVY_HITTER_PCT, CMS_SEED, cms_shape
 
 DEFAULT_EPS = CMS_HEAVY_HITTER_PCT / 2
@@ -27,19 +28,15 @@ DEFAULT_EPS = CMS_HEAVY_HITTER_PCT / 2
 
 def sketch_cells(words: DataFrame, word: str = "word", weight: str | None = None,
                  eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
-                 seed: int = CMS_SEED, preaggregate: bool = True) -> DataFrame:
+                 seed: int = CMS_SEED) -> DataFrame:
     """(row, bucket, cnt) of all word occurrences (or of ``weight`` per row).
 
-    ``preaggregate`` (batch): occurrences are first summed per word, so the digest and
-    the d-fold explode run once per distinct word instead of once per token; the word
-    aggregate is partial in every map task. Streams use ``preaggregate=False`` (a
-    stateful stream allows one aggregation; its state is then just the d*w cells).
+    Occurrences are first summed per word, so the digest and the d-fold explode run once per
+    distinct word instead of once per token; the word aggregate is partial in every map task.
     """
     amount = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    if preaggregate:
-        weighted = words.groupBy(F.col(word).alias("word")).agg(F.sum(amount).alias("count"))
-        return sketch_from_counts(weighted, eps=eps, delta=delta, seed=seed)
-    return _cells(words.select(F.col(word).alias("_w"), amount.alias("_n")), eps, delta, seed)
+    weighted = words.groupBy(F.col(word).alias("word")).agg(F.sum(amount).alias("count"))
+    return sketch_from_counts(weighted, eps=eps, delta=delta, seed=seed)
 
 
 def sketch_from_counts(counts: DataFrame, word: str = "word", count: str = "count",
@@ -96,33 +93,38 @@ def estimate(words: DataFrame, cells: DataFrame, word: str = "word",
     return probed.withColumn(out, est.cast("bigint")).drop(*[f"_c{i}" for i in range(depth)])
 
 
-def heavy_hitters(estimates: DataFrame, cells: DataFrame,
-                  pct: float = CMS_HEAVY_HITTER_PCT, est: str = "est") -> DataFrame:
-    """Rows whose estimate is at least ``pct`` of all counted items.
+def heavy_cells(cells: DataFrame, pct: float = CMS_HEAVY_HITTER_PCT) -> DataFrame:
+    """Cells that hold at least ``pct`` of all counted items: at most 1 / pct in each row of the sketch.
 
-    N is a scalar subquery over the sketch (one value), evaluated once by Spark. The
-    share is a decimal literal, so ``pct * N`` is exact (no binary rounding at the
-    threshold).
+    N is a scalar subquery over the sketch, evaluated once. The share is a decimal literal,
+    so ``pct * N`` is exact at the threshold.
     """
     total = sketch_total(cells).scalar()
-    return estimates.where(F.col(est) >= F.lit(Decimal(repr(pct))) * total)
-
-
-def vocabulary(words: DataFrame, word: str = "word") -> DataFrame:
-    """Distinct words: the candidates whose estimates are checked."""
-    return words.select(word).distinct()
+    return cells.where(F.col("cnt") >= F.lit(Decimal(repr(pct))) * total)
 
 
 def heavy_hitter_estimates(vocab: DataFrame, cells: DataFrame, eps: float = DEFAULT_EPS,
                            delta: float = CMS_DELTA, seed: int = CMS_SEED,
                            pct: float = CMS_HEAVY_HITTER_PCT,
                            word: str = "word") -> DataFrame:
-    """(word, est) for every candidate whose estimate passes the heavy-hitter share.
+    """(word, est) for every candidate whose estimate is at least ``pct`` of all counted items.
 
-    ``vocab`` holds distinct candidate words (e.g. the keys of a word aggregate).
+    A word passes only if all its cells are heavy, and a sketch row has at most 1 / pct heavy
+    cells. So the candidates are inner-joined with the heavy cells row by row: the first join
+    drops almost all of them. ``vocab`` holds distinct words (e.g. the keys of a word aggregate).
     """
-    est = estimate(vocab.select(word), cells, word, eps, delta, seed)
-    return heavy_hitters(est, cells, pct)
+    depth, width = cms_shape(eps, delta)
+    spark = vocab.sparkSession
+    heavy = heavy_cells(cells, pct)
+    if fits_broadcast(spark, depth * math.ceil(1 / pct)):
+        heavy = F.broadcast(heavy)
+    found = with_hash_pair(vocab.select(word), word, seed)
+    for i in range(depth):
+        own = heavy.select(F.col("row").alias("_row"), F.col("bucket").alias("_bucket"), F.col("cnt").alias(f"_c{i}"))
+        place = position(F.col("_h1"), F.col("_h2"), i, width)
+        found = found.join(own, (F.col("_bucket") == place) & (F.col("_row") == i)).drop("_row", "_bucket")
+    cnts = [F.col(f"_c{i}") for i in range(depth)]
+    return found.select(word, (F.least(*cnts) if depth > 1 else cnts[0]).cast("bigint").alias("est"))
 
 
 def sketch_topk(vocab: DataFrame, k: int, cells: DataFrame, eps: float = DEFAULT_EPS,
@@ -133,6 +135,18 @@ def sketch_topk(vocab: DataFrame, k: int, cells: DataFrame, eps: float = DEFAULT
     return hh.orderBy(F.desc("est"), F.asc(word)).limit(k)
 
 
+def frequent_items(words: DataFrame, k: int, tracked: int = 10_000, word: str = "word") -> DataFrame:
+    """Exact counts of the k most frequent words, found by Spark's frequent-items sketch.
+
+    The sketch proposes up to ``tracked`` words (at least k); their counts are then
+    exact, from a semi-join of the occurrences. A word whose share exceeds 1 / tracked is always proposed.
+    """
+    proposed = words.agg(F.expr(f"approx_top_k({word}, {max(k, tracked // 10)}, {max(k, tracked)})").alias("top"))
+    proposed = proposed.select(F.explode("top.item").alias(word))
+    counted = words.join(F.broadcast(proposed), word, "left_semi").groupBy(word).agg(F.count(F.lit(1)).alias("count"))
+    return counted.orderBy(F.desc("count"), F.asc(word)).limit(k)
+
+
 def audit(counts: DataFrame, cells: DataFrame, eps: float = DEFAULT_EPS,
           delta: float = CMS_DELTA, seed: int = CMS_SEED) -> DataFrame:
     """(word, count, est, err) for every word of an exact count; err = est - count.

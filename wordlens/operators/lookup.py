@@ -1,38 +1,40 @@
-"""Keyed lookups of k hash positions against a small keyed table.
+"""Keyed look-ups of k hash positions against a small keyed table.
 
-Sketch probes (Bloom membership, count-min estimates) look up k positions per row in a
-table whose row count is bounded by the sketch parameters (m bits, d x w cells), not
-by the data. When that bound fits under the broadcast threshold, the table is
-broadcast once and probed k times inside one stage (k broadcast hash joins over the
-same reused exchange, no shuffle of the probe side). Otherwise the positions are
-exploded, joined with a shuffle on the position and re-aggregated per row.
+Sketch estimates look up k positions per row in a table whose row count is bounded by the sketch's
+parameters (d x w cells), not by the data. When that bound fits Spark's broadcast
+threshold, the table is broadcast once and probed k times inside one stage. Otherwise, and where the threshold turns
+broadcasts off (-1), the positions are exploded, joined with a shuffle and re-aggregated per row.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes per lookup-table row used for the size bound: an 8-byte key, an 8-byte value
 # and the hash-relation overhead of an unsafe row.
 ROW_BYTES = 48
-# Used when the session disables auto-broadcast (-1): sketches still get broadcast up
-# to this size, because their size is known from parameters, not estimated.
-DEFAULT_LIMIT_BYTES = 64 * 1024 * 1024
+UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """Bytes of a Spark size setting: a number with an optional unit (b, k, kb, m, mb, ...)."""
+    match = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", str(text).lower())
+    if not match:
+        raise ValueError(f"not a size: {text!r}")
+    return int(match[1]) * UNITS[match[2]]
 
 
 def broadcast_limit_bytes(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        value = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        value = DEFAULT_LIMIT_BYTES
-    return value if value > 0 else DEFAULT_LIMIT_BYTES
+    """The session's broadcast threshold; negative or 0 if broadcasts are off."""
+    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
 def fits_broadcast(spark: SparkSession, max_rows: int) -> bool:
-    """True when a table of at most ``max_rows`` rows is safe to broadcast."""
-    return max_rows * ROW_BYTES <= broadcast_limit_bytes(spark)
+    """True when a table of at most ``max_rows`` rows is within the session's threshold."""
+    return 0 < max_rows * ROW_BYTES <= broadcast_limit_bytes(spark)
 
 
 def probe_positions(df: DataFrame, positions: list[Column], table: DataFrame, key: str,

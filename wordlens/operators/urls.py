@@ -74,11 +74,11 @@ def first_valid_wave(log: DataFrame, valid: DataFrame, key: str = "key",
 
     A URL is processed in the first batch it arrives in once it is valid; later
     arrivals are filtered. Returns (url, wave) pairs that are processed: the first
-    arrival of each valid URL. Invalid URLs never become members.
+    arrival of each valid URL. Invalid URLs never become members. The log is aggregated before
+    the join, so a URL that is a third of it is one row by then.
     """
-    return (log.select(F.col(key).alias("url"), F.col(wave).alias("wave"))
-            .join(valid.select("url"), "url", "left_semi")
-            .groupBy("url").agg(F.min("wave").alias("wave")))
+    firsts = log.groupBy(F.col(key).alias("url")).agg(F.min(F.col(wave)).alias("wave"))
+    return firsts.join(valid.select("url"), "url", "left_semi")
 
 
 def batch_url_counts(log: DataFrame, valid: DataFrame, key: str = "key",

@@ -1,4 +1,4 @@
-"""Parameters of the word-cloud job, as keyword arguments instead of a config file."""
+"""Parameters of the term-count job, as keyword arguments instead of a config file."""
 
 from __future__ import annotations
 
@@ -12,16 +12,10 @@ SHIPPED_STOP_WORDS = (
     "the", "is", "are", "and", "this", "that", "a", "&", "for", "to", "in", "with",
     "your", "of", "an", "or", "on",
 )
-# Stop words used when no configuration file is given (13 entries):
-CODE_DEFAULT_STOP_WORDS = (
-    "the", "is", "are", "and", "this", "that", "a", "&", "for", "to", "in", "with",
-    "your",
-)
 # Seeds the job starts its state from (count seed, URL-filter seed, sketch seed):
 SEED_WORD = "amazon"
 SEED_URL = "http://www.amazon.com/"
-# Kafka topic name in the shipped configuration, and the dummy record value:
-DEFAULT_TOPIC = "wordCloud"
+# The dummy value of a URL record:
 RECORD_VALUE = 0
 # Algorithm defaults: Bloom filter capacity / false-positive rate, count-min sketch
 # top-k, delta, eps, seed and heavy-hitter share; micro-batch interval in seconds.
@@ -34,20 +28,8 @@ CMS_SEED = 1
 CMS_HEAVY_HITTER_PCT = 0.001
 BATCH_SECONDS = 60
 # ---------------------------------------------------------------------------
-
-
-def bloom_shape(expected_items: int, fpp: float) -> tuple[int, int]:
-    """(number of bits, number of hash functions) for a Bloom filter.
-
-    Standard sizing m = -n ln p / (ln 2)^2, truncated, then rounded up to whole 64-bit
-    words; k = round(m / n * ln 2) on the unrounded m, at least 1.
-    """
-    if expected_items <= 0 or not 0.0 < fpp < 1.0:
-        raise ValueError("expected_items must be > 0 and 0 < fpp < 1")
-    raw_bits = int(-expected_items * math.log(fpp) / (math.log(2) ** 2))
-    bits = max(64, ((raw_bits + 63) // 64) * 64)
-    k = max(1, int(round(raw_bits / expected_items * math.log(2))))
-    return bits, k
+# Topic that URL records go to unless another is named.
+DEFAULT_TOPIC = "urls"
 
 
 def cms_shape(eps: float, delta: float) -> tuple[int, int]:
@@ -58,13 +40,13 @@ def cms_shape(eps: float, delta: float) -> tuple[int, int]:
 
 
 @dataclass(frozen=True)
-class WordCloudConfig:
-    """All knobs of the word-cloud job in one place.
+class TermConfig:
+    """All knobs of the streaming term-count job in one place.
 
-    ``mode`` replaces the numeric switch: "count" (0), "topk" (1), "both" (2).
-    ``cms_eps`` defaults to half the heavy-hitter share: with the shipped 0.01 the
-    error bound (1% of all words) is ten times the threshold (0.1%) and every word
-    passes it. Pass ``cms_eps=CMS_EPS`` for the shipped sketch width.
+    ``mode`` is "count", "topk" or "both". ``cms_eps`` defaults to half the heavy-hitter share: with
+    CMS_EPS the error bound (1% of all words) is ten times the threshold (0.1%) and every word
+    passes it. ``topics`` and ``batch_seconds`` are the stream's topic list and trigger interval.
+    Seeds: ``seed_counts`` start the totals, the words among them also the sketch; ``seed_urls`` count as processed.
     """
 
     stop_words: tuple[str, ...] = SHIPPED_STOP_WORDS
@@ -80,6 +62,7 @@ class WordCloudConfig:
     cms_seed: int = CMS_SEED
     heavy_hitter_pct: float = CMS_HEAVY_HITTER_PCT
     seed_counts: tuple[tuple[str, int], ...] = field(default_factory=tuple)
+    seed_urls: tuple[str, ...] = field(default_factory=tuple)
 
     def __post_init__(self):
         if self.mode not in ("count", "topk", "both"):
@@ -92,11 +75,3 @@ class WordCloudConfig:
     @property
     def sketch_enabled(self) -> bool:
         return self.mode in ("topk", "both")
-
-    @property
-    def bloom(self) -> tuple[int, int]:
-        return bloom_shape(self.bloom_expected_items, self.bloom_fpp)
-
-    @property
-    def cms(self) -> tuple[int, int]:
-        return cms_shape(self.cms_eps, self.cms_delta)

@@ -5,10 +5,10 @@ over whole tables and whole texts. Stand-ins for the original job's inputs:
 
 * product descriptions -> ``documents.text`` (and ``conversations.text`` as a later
   batch for merges);
-* the URL topic -> ``url_log(pages)``: every page URL published once per wave, as the
-  producer re-sent its URL file; crawled pages -> ``pages.html``;
+* the URL topic -> ``arrivals(pages)``: page URLs by wave of arrival, re-sent in later waves; crawled
+  pages -> ``pages.html``;
 * "already processed" URLs -> valid pages served over https (an earlier crawl); the
-  incoming batch is the whole log;
+  incoming batch is all arrivals;
 * a generic keyed log for offsets and compaction -> ``events`` (key user_id, offset
   event_id, partition = hash of the key).
 """
@@ -21,35 +21,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlens.functions import text as TX
-from wordlens.functions.hashing import hash_bucket
 from wordlens.operators import bloom, cms, counts, urls
 from wordlens.params import (
-    BLOOM_EXPECTED_ITEMS,
-    BLOOM_FPP,
     CMS_DELTA,
     CMS_HEAVY_HITTER_PCT,
     CMS_SEED,
     CMS_TOPK,
+    DEFAULT_TOPIC,
+    SEED_URL,
     SEED_WORD,
-    WordCloudConfig,
-    bloom_shape,
+    TermConfig,
     cms_shape,
 )
 from wordlens.plans import sql as S
 from wordlens.session import materialize, scratch_path
-from wordlens.sinks.tables import read_saved, save_table
+from wordlens.sinks.tables import read_saved, save_table, view_name
 from wordlens.sources import tables
-from wordlens.sources.urls import land_files, line_count, log_partition, url_log, url_records
-from wordlens.streaming import wordcloud as stream
+from wordlens.sources.urls import (
+    ARRIVAL_HASH_SEED,
+    arrivals,
+    land,
+    landed_bytes,
+    line_count,
+    log_partition,
+    url_records,
+)
+from wordlens.streaming import jobs
 
 EPS = cms.DEFAULT_EPS
 DEPTH, WIDTH = cms_shape(EPS, CMS_DELTA)
-BITS, HASHES = bloom_shape(BLOOM_EXPECTED_ITEMS, BLOOM_FPP)
-WAVES = 2
+BLOCKS, HASHES = bloom.blocked_shape()
+WAVES = 3
 LOG_PARTITIONS = 4
-STREAM_FILES = 8
-LAND_SEED = "landing"
-LAND_BUCKETS = 2
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -76,7 +79,7 @@ def _occurrences(spark, sf):
 
 
 def _log(spark, sf):
-    return url_log(tables.pages(spark, sf, ("page_id", "url")), WAVES)
+    return arrivals(tables.pages(spark, sf, ("url",)), WAVES)
 
 
 def _processed(spark, sf):
@@ -85,19 +88,6 @@ def _processed(spark, sf):
     return urls.valid_pages(pages).select("url")
 
 
-def _land_log(log):
-    """Land the URL log as one file per (wave, bucket), in that order: micro-batch b of
-    a one-file-per-trigger stream is wave b // 2, bucket b % 2 (portable md5 bucket)."""
-    spark = log.sparkSession
-    path = scratch_path(spark, "landing", "urls")
-    bucketed = log.withColumn("_b", hash_bucket(F.col("key"), LAND_SEED, LAND_BUCKETS))
-    for wave in range(WAVES):
-        for b in range(LAND_BUCKETS):
-            part = bucketed.where((F.col("wave") == wave) & (F.col("_b") == b)).drop("_b")
-            land_files(part, path, 1, mode="append")
-    return path
-
-
 def _word_counts(spark, sf):
     """Exact (word, count) of the documents, computed once and checkpointed: it is
     the vocabulary for sketch probes and the weights of the sketch build."""
@@ -119,17 +109,16 @@ _EST = S.estimates(_VOCAB, _CELLS, DEPTH, WIDTH, CMS_SEED)
 _TOTAL = f"(SELECT sum(cnt) FROM ({_CELLS}) WHERE row = 0)"
 _HH = f"SELECT word, est FROM ({_EST}) WHERE est >= {CMS_HEAVY_HITTER_PCT!r} * {_TOTAL}"
 _WC = f"SELECT word, CAST(count(*) AS BIGINT) AS count FROM ({_W}) GROUP BY word"
-_LOG = f"SELECT url AS key, t.w AS wave FROM pages CROSS JOIN range({WAVES}) t(w)"
+_LOG = (f"SELECT url AS key, CAST(unnest(range({S.sql_hash_bucket('url', ARRIVAL_HASH_SEED, WAVES)}, {WAVES})) AS INTEGER) "
+        "AS wave FROM pages")
 _DESC = f"SELECT url, {S.page_description('html')} AS description FROM pages"
 _VALID = f"SELECT url, description FROM ({_DESC}) WHERE description IS NOT NULL"
 _PROCESSED = f"SELECT url FROM ({_VALID}) WHERE starts_with(url, 'https:')"
-_BITS = S.bloom_bits(_PROCESSED, BITS, HASHES, bloom.BLOOM_SEED)
 
 
 # --------------------------------------------------------------------------- sources
 
-@register("url_records", "SELECT 'wordCloud' AS topic, url AS key, CAST(0 AS INTEGER) AS value "
-                         "FROM pages")
+@register("url_records", f"SELECT '{DEFAULT_TOPIC}' AS topic, url AS key, CAST(0 AS INTEGER) AS value FROM pages")
 def q_url_records(spark, sf):
     """The URL file as producer records (topic, key = URL, value = 0)."""
     return url_records(tables.pages(spark, sf, ("url",)))
@@ -163,22 +152,11 @@ def q_latest_per_key(spark, sf):
     return urls.latest_per_key(tables.events(spark, sf), "user_id", "event_id", ["event_type"])
 
 
-@register("url_log_records", f"""
-SELECT 'wordCloud' AS topic,
-       CAST({S.sql_hash_bucket('url', 'partition', 2)} AS INTEGER) AS partition,
-       CAST(t.w AS BIGINT) * {1 << 40} + page_id AS offset, url AS key,
-       CAST(0 AS INTEGER) AS value, CAST(t.w AS INTEGER) AS wave
-FROM pages CROSS JOIN range({WAVES}) t(w)""")
-def q_url_log_records(spark, sf):
-    """S1/K4 offline twin: the URL topic as published in waves (partition, offset)."""
-    return _log(spark, sf)
-
-
 # --------------------------------------------------------------------------- URL filters
 
 @register("distinct_urls", f"SELECT DISTINCT key AS url FROM ({_LOG})")
 def q_distinct_urls(spark, sf):
-    """In-batch distinct over the whole log (every URL arrives once per wave)."""
+    """In-batch distinct over all arrivals (a URL comes again in later waves)."""
     return urls.distinct_urls(_log(spark, sf).select(F.col("key").alias("url")))
 
 
@@ -326,29 +304,28 @@ def q_exact_topk(spark, sf):
 
 # --------------------------------------------------------------------------- Bloom filter
 
-@register("bloom_bits", S.bloom_bits(_PROCESSED, BITS, HASHES, bloom.BLOOM_SEED))
+@register("bloom_bits", S.bloom_bits(_PROCESSED, BLOCKS, HASHES, bloom.BLOOM_SEED))
 def q_bloom_bits(spark, sf):
-    """A5: bits set by the processed URLs (m = 7360, k = 5 at 1000 items / 3%)."""
+    """A5: words of the processed URLs' filter (shape for 1000 items at 3%; it holds any number)."""
     return bloom.bloom_bits(_processed(spark, sf))
 
 
-@register("bloom_merge", S.bloom_bits(f"SELECT url FROM ({_VALID})", BITS, HASHES,
-                                      bloom.BLOOM_SEED))
+@register("bloom_merge", S.bloom_bits(f"SELECT url FROM ({_VALID})", BLOCKS, HASHES, bloom.BLOOM_SEED))
 def q_bloom_merge(spark, sf):
     """OR of the https filter and the http filter = filter of all valid URLs."""
-    valid = urls.valid_pages(tables.pages(spark, sf, ("url", "html"))).select("url")
+    valid = materialize(urls.valid_pages(tables.pages(spark, sf, ("url", "html"))).select("url"))
     https = bloom.bloom_bits(valid.where(F.col("url").startswith("https:")))
     http = bloom.bloom_bits(valid.where(~F.col("url").startswith("https:")))
     return bloom.bloom_merge(https, http)
 
 
-@register("new_urls_bloom", S.bloom_new(f"SELECT key AS url FROM ({_LOG})", _BITS, BITS,
-                                        HASHES, bloom.BLOOM_SEED))
+@register("new_urls_bloom", ORACLE_SQL["new_urls_exact"])
 def q_new_urls_bloom(spark, sf):
-    """A6 P3 (Bloom): log URLs the processed-URL filter does not contain."""
-    bits = materialize(bloom.bloom_bits(_processed(spark, sf)))
+    """A6 P3 (Bloom): URLs not yet processed; the filter spares the look-up of those it lacks."""
+    processed = materialize(_processed(spark, sf))
+    bits = materialize(bloom.bloom_bits(processed))
     incoming = _log(spark, sf).select(F.col("key").alias("url"))
-    return bloom.new_urls_bloom(incoming, bits)
+    return bloom.new_urls_bloom(incoming, bits, processed)
 
 
 # --------------------------------------------------------------------------- count-min
@@ -399,114 +376,120 @@ def q_cms_audit(spark, sf):
     return cms.audit(wc, _cells(spark, sf, wc))
 
 
-@register("topk_frequent_items")
+@register("topk_frequent_items", f"{_WC} ORDER BY count DESC, word LIMIT {CMS_TOPK}")
 def q_topk_frequent_items(spark, sf):
-    """Spark's built-in frequent-items sketch (approx_top_k), rows-only check."""
-    top = _occurrences(spark, sf).agg(
-        F.expr(f"approx_top_k(word, {CMS_TOPK}, 10000)").alias("top"))
-    return top.select(F.explode("top").alias("t")).select(
-        F.col("t.item").alias("word"), F.col("t.count").cast("bigint").alias("count"))
+    """The k most frequent words, proposed by Spark's frequent-items sketch and counted exactly."""
+    return cms.frequent_items(_occurrences(spark, sf), CMS_TOPK)
 
 
 # --------------------------------------------------------------------------- sinks
 
 @register("saved_word_table", f"SELECT word AS words, count FROM ({_WC})")
 def q_saved_word_table(spark, sf):
-    """Overwrite the wordCloud(words, count) table, then query it with SQL."""
-    table = (counts.count_words(_occurrences(spark, sf))
-             .select(F.col("word").alias("words"), "count")
-             .orderBy(F.desc("count"), F.asc("words")))
-    path = save_table(table, "wordCloud")
-    spark.sql("SELECT words, count FROM wordCloud ORDER BY count DESC LIMIT 1").collect()
-    return read_saved(spark, path)
+    """Save and publish the (words, count) table."""
+    table = counts.count_words(_occurrences(spark, sf)).select(F.col("word").alias("words"), "count")
+    return read_saved(spark, save_table(table, "term_counts", "saved"))
+
+
+@register("saved_table_sql", f"SELECT word AS words, count FROM ({_WC}) ORDER BY count DESC, words LIMIT 25")
+def q_saved_table_sql(spark, sf):
+    """K6: ad-hoc SQL on the published table."""
+    q_saved_word_table(spark, sf)
+    name = view_name("term_counts", "saved")
+    return spark.sql(f"SELECT words, count FROM {name} ORDER BY count DESC, words LIMIT 25")
 
 
 @register("topk_words_only", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_topk_words_only(spark, sf):
-    """K2: overwrite the topKWords(word) table with the sketch top-k."""
+    """K2: save and publish the top-k table (word)."""
     wc = _word_counts(spark, sf)
     top = cms.sketch_topk(wc, CMS_TOPK, _cells(spark, sf, wc)).select("word")
-    return read_saved(spark, save_table(top, "topKWords"))
+    return read_saved(spark, save_table(top, "top_words", "saved"))
 
 
 # --------------------------------------------------------------------------- streams
 
-def _landed_docs(spark, sf, files=STREAM_FILES):
+def _landed_docs(spark, sf):
+    """Documents landed by the tasks that read them; (path, schema, bytes of a third)."""
     docs = _docs(spark, sf)
-    path = land_files(docs, scratch_path(spark, "landing", "documents"), files, key="doc_id")
-    return path, docs.schema
+    path = land(docs, scratch_path(spark, "landing", "documents"), WAVES, key="doc_id")
+    return path, docs.schema, max(1, landed_bytes(spark, path) // WAVES)
+
+
+def _doc_stream(spark, sf):
+    """Documents as a stream of at least three micro-batches."""
+    path, schema, third = _landed_docs(spark, sf)
+    return jobs.file_stream(spark, path, schema, max_bytes_per_trigger=third)
+
+
+def _doc_job(spark, sf, mode, **how):
+    query, job = jobs.start_terms(_doc_stream(spark, sf), TermConfig(mode=mode), **how)
+    jobs.await_done(query)
+    return job
 
 
 @register("stream_word_count", _WC)
 def q_stream_word_count(spark, sf):
-    """Streaming word count (complete mode) over the landed documents."""
-    path, schema = _landed_docs(spark, sf)
-    query, sink = stream.start_word_count(stream.file_stream(spark, path, schema))
-    stream.await_done(query)
-    return read_saved(spark, sink.last_path).select("word", "count")
+    """Streaming word count in Spark's keyed state (complete mode), in three micro-batches or more."""
+    query, sink = jobs.start_word_count(_doc_stream(spark, sf))
+    jobs.await_done(query)
+    return read_saved(spark, sink.last_path)
 
 
 @register("stream_word_count_seeded", ORACLE_SQL["word_count_seeded"])
 def q_stream_word_count_seeded(spark, sf):
     """Streaming count whose state starts from the seed rows (a second stream)."""
-    path, schema = _landed_docs(spark, sf)
     seed = counts.seed_state(spark, [(SEED_WORD, 1)])
     seed_path = scratch_path(spark, "landing", "seed")
-    seed.write.mode("overwrite").parquet(seed_path)
-    query, sink = stream.start_word_count(
-        stream.file_stream(spark, path, schema),
-        seed_stream=stream.file_stream(spark, seed_path, seed.schema))
-    stream.await_done(query)
-    return read_saved(spark, sink.last_path).select("word", "count")
+    seed.write.parquet(seed_path)
+    query, sink = jobs.start_word_count(_doc_stream(spark, sf),
+                                        seed_stream=jobs.file_stream(spark, seed_path, seed.schema))
+    jobs.await_done(query)
+    return read_saved(spark, sink.last_path)
 
 
-@register("stream_batch_cap", _WC)
+@register("stream_batch_cap", f"SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS capped, true AS several FROM documents")
 def q_stream_batch_cap(spark, sf):
-    """One landed file per micro-batch (rate cap); totals equal the batch count."""
-    path, schema = _landed_docs(spark, sf)
-    query, sink = stream.start_word_count(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=2))
-    stream.await_done(query)
-    return read_saved(spark, sink.last_path).select("word", "count")
+    """A rate cap in bytes. Over the progress of all micro-batches: rows read in all, whether every batch
+    kept to the cap (its rows are fewer than all), and whether there were three batches or more."""
+    path, schema, third = _landed_docs(spark, sf)
+    query, _ = jobs.start_word_count(jobs.file_stream(spark, path, schema, max_bytes_per_trigger=third))
+    jobs.await_done(query)
+    read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    rows = spark.createDataFrame([(n,) for n in read], "n bigint")
+    return rows.agg(F.sum("n").alias("n_rows"), (F.max("n") < F.sum("n")).alias("capped"),
+                    (F.count("n") >= 3).alias("several"))
 
 
 @register("stream_cms", _CELLS)
 def q_stream_cms(spark, sf):
-    """The sketch as a streaming aggregation keyed by cell."""
-    path, schema = _landed_docs(spark, sf)
-    query, sink = stream.start_sketch(stream.file_stream(spark, path, schema))
-    stream.await_done(query)
-    return read_saved(spark, sink.last_path).select("row", "bucket", "cnt")
+    """The running sketch: each micro-batch's words are counted, then added to the cells."""
+    return _doc_job(spark, sf, "topk").cells()
 
 
-@register("stream_valid_dedup", f"""
-SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
-  SELECT unnest({S.clean_words('description')}) AS word
-  FROM ({_VALID}) WHERE url IN (SELECT key FROM ({_LOG})))
-GROUP BY word""")
-def q_stream_valid_dedup(spark, sf):
-    """URL log stream -> crawl -> valid -> first arrival -> word count."""
-    log = _log(spark, sf)
-    path = _land_log(log)
-    # the crawl's descriptions, extracted once into a table the stream joins against
-    texts = read_saved(spark, save_table(
-        TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
-    query, sink = stream.start_valid_dedup(
-        stream.file_stream(spark, path, log.schema, max_files_per_trigger=1), texts)
-    stream.await_done(query)
-    return read_saved(spark, sink.last_path).select("word", "count")
-
-
-def _url_job(spark, sf, membership, config=WordCloudConfig()):
-    """The full job on the URL log: 2 waves, one landed file per micro-batch."""
-    log = _log(spark, sf)
-    path = _land_log(log)
-    texts = read_saved(spark, save_table(
-        TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_text"))
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, log.schema, max_files_per_trigger=1), config,
-        page_texts=texts, membership=membership)
-    stream.await_done(query)
+@register("stream_both", f"SELECT word AS words, count FROM ({_WC})")
+def q_stream_both(spark, sf):
+    """Both outputs from one count of each batch; the totals."""
+    return _doc_job(spark, sf, "both", compact_every=2).term_counts()
+
+
+@register("stream_both_topk", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
+def q_stream_both_topk(spark, sf):
+    """Both outputs from one count of each batch; the top k."""
+    return _doc_job(spark, sf, "both").top_words()
+
+
+def _url_job(spark, sf, membership="exact", config=TermConfig(mode="count"), **how):
+    """The whole job on URLs: a micro-batch for each wave, each run going on from the last one's state."""
+    log = materialize(_log(spark, sf), "arrivals")
+    root, source = scratch_path(spark, "terms"), scratch_path(spark, "landing", "urls")
+    texts = jobs.save_page_texts(TX.described_pages(tables.pages(spark, sf, ("url", "html"))),
+                                 scratch_path(spark, "page_texts"))
+    for wave in range(WAVES):
+        land(log.where(F.col("wave") == wave), source)
+        query, job = jobs.start_terms(jobs.file_stream(spark, source, log.schema), config, root=root,
+                                      page_texts=texts, membership=membership, **how)
+        jobs.await_done(query)
     return job
 
 
@@ -517,54 +500,44 @@ SELECT word AS words, CAST(count(*) AS BIGINT) AS count FROM (
 GROUP BY word"""
 
 
-@register("stream_wordcloud_urls", _URL_WORDS)
-def q_stream_wordcloud_urls(spark, sf):
+@register("stream_valid_dedup", f"SELECT words AS word, count FROM ({_URL_WORDS})")
+def q_stream_valid_dedup(spark, sf):
+    """URL stream -> not processed -> crawl -> valid -> remembered -> words, folding its state every batch."""
+    return _url_job(spark, sf, compact_every=1).term_counts().withColumnRenamed("words", "word")
+
+
+@register("stream_url_words", _URL_WORDS)
+def q_stream_url_words(spark, sf):
     """The whole job (S1 P2 P3 T1 T2 P4 W7 A1 A3 K1): URL stream, exact membership."""
-    return read_saved(spark, _url_job(spark, sf, "exact").last["wordCloud"])
+    return _url_job(spark, sf).term_counts()
+
+
+@register("stream_url_words_bloom", _URL_WORDS)
+def q_stream_url_words_bloom(spark, sf):
+    """The same with Bloom membership (A5-A7 in the loop): equal at any size, as the filter's yes is confirmed."""
+    return _url_job(spark, sf, "bloom").term_counts()
 
 
-@register("stream_wordcloud_bloom", _URL_WORDS)
-def q_stream_wordcloud_bloom(spark, sf):
-    """Same job with Bloom membership (A5-A7 in the loop). Equals the exact job
-    whenever the filter reports no false positive, which holds on this log."""
-    return read_saved(spark, _url_job(spark, sf, "bloom").last["wordCloud"])
+@register("stream_url_words_seeded", f"""
+SELECT words, CAST(sum(count) AS BIGINT) AS count FROM (
+  SELECT words, count FROM ({_URL_WORDS}) UNION ALL SELECT '{SEED_WORD}', 1) GROUP BY words""")
+def q_stream_url_words_seeded(spark, sf):
+    """The job started from a count seed and a processed URL."""
+    config = TermConfig(mode="both", seed_counts=((SEED_WORD, 1),), seed_urls=(SEED_URL,))
+    return _url_job(spark, sf, "bloom", config).term_counts()
 
 
 @register("stream_url_metrics", f"""
-WITH log AS (
-  SELECT url AS key, t.w * {LAND_BUCKETS} + {S.sql_hash_bucket('url', LAND_SEED, LAND_BUCKETS)} AS batch
-  FROM pages CROSS JOIN range({WAVES}) t(w)),
-firsts AS (SELECT key, min(batch) AS batch FROM log
-           WHERE key IN (SELECT url FROM ({_VALID})) GROUP BY key),
-nv AS (SELECT batch, count(*) AS n_valid FROM firsts GROUP BY batch)
-SELECT CAST(l.batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_urls,
+WITH log AS ({_LOG}),
+firsts AS (SELECT key, min(wave) AS wave FROM log WHERE key IN (SELECT url FROM ({_VALID})) GROUP BY key),
+nv AS (SELECT wave, count(*) AS n_valid FROM firsts GROUP BY wave)
+SELECT CAST(l.wave AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_urls,
        CAST(count(DISTINCT l.key) AS BIGINT) AS n_distinct,
        CAST(coalesce(any_value(nv.n_valid), 0) AS BIGINT) AS n_valid
-FROM log l LEFT JOIN nv ON nv.batch = l.batch GROUP BY l.batch""")
+FROM log l LEFT JOIN nv ON nv.wave = l.wave GROUP BY l.wave""")
 def q_stream_url_metrics(spark, sf):
     """Per micro-batch URLs received, distinct, and new valid URLs processed."""
-    return _url_job(spark, sf, "exact", WordCloudConfig(mode="count")).metrics()
-
-
-@register("stream_both", f"SELECT word AS words, count FROM ({_WC})")
-def q_stream_both(spark, sf):
-    """foreachBatch job, mode both, batch reused by both outputs."""
-    path, schema = _landed_docs(spark, sf)
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=4), WordCloudConfig())
-    stream.await_done(query)
-    return read_saved(spark, job.last["wordCloud"])
-
-
-@register("stream_both_topk", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
-def q_stream_both_topk(spark, sf):
-    """The topKWords table of the foreachBatch job (sketch mode)."""
-    path, schema = _landed_docs(spark, sf)
-    query, job = stream.start_wordcloud(
-        stream.file_stream(spark, path, schema, max_files_per_trigger=4),
-        WordCloudConfig(mode="topk"))
-    stream.await_done(query)
-    return read_saved(spark, job.last["topKWords"])
+    return _url_job(spark, sf).metrics()
 
 
 def queries() -> dict[str, QueryFn]:

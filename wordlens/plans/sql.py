@@ -7,8 +7,8 @@ counts vertical tab as whitespace). Hash positions come from
 
 from __future__ import annotations
 
-from wordlens.functions import text as T
 from wordlens.functions.hashing import sql_hash_bucket, sql_hash_positions  # noqa: F401
+from wordlens.operators.bloom import sql_place
 from wordlens.params import SHIPPED_STOP_WORDS
 
 DELIM = r"[[:punct:]\s]+"
@@ -36,16 +36,32 @@ def tokens(text: str) -> str:
     return f"list_filter(string_split_regex(lower({text}), '{DELIM}'), lambda x: x <> '')"
 
 
-def page_description(html: str, container: str = T.DEFAULT_CONTAINER,
-                     container_end: str = T.CONTAINER_END) -> str:
-    visible = f"regexp_replace({html}, {quote(T.INVISIBLE_BLOCKS)}, ' ', 'g')"
-    pattern = T.first_paragraph_pattern(container, container_end)
-    inner = f"regexp_extract({visible}, {quote(pattern)}, 1)"
-    text = f"regexp_replace({inner}, {quote(T.ANY_TAG)}, ' ', 'g')"
-    for entity, char in T.ENTITIES:
-        text = f"replace({text}, {quote(entity)}, {quote(char)})"
-    text = f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
-    return f"nullif({text}, '')"
+#: Fixed values for the oracle's own reading of HTML: block-level tags, and references that the pages use.
+_BLOCKS = ("p address article aside blockquote details dd dir div dl dt fieldset figcaption figure footer form "
+           "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol pre section table ul").split()
+_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "#39": "\x27", "nbsp": " ", "amp": "&"}
+
+
+def page_description(html: str) -> str:
+    """Text of the first paragraph inside the first article, null if there is none. The page is cut at every "<"
+    into pieces (a tag and the text after it), and the wanted pieces are found by their tags' names."""
+    plain = f"regexp_replace({html}, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', ' ', 'g')"
+    name = "lower(regexp_extract(x, '^/?[A-Za-z][A-Za-z0-9]*'))"
+    pieces = f"list_transform(string_split({plain}, '<')[2:], lambda x: {{'tag': {name}, 'text': x[strpos(x, '>') + 1:]}})"
+    after = f"list_transform([{pieces}], lambda l: l[list_position(list_transform(l, lambda x: x.tag), 'article') + 1:])[1]"
+    inside = (f"list_transform([{after}], lambda l: CASE WHEN list_contains(list_transform(l, lambda x: x.tag), '/article') "
+              "THEN l[:list_position(list_transform(l, lambda x: x.tag), '/article') - 1] ELSE l END)[1]")
+    rest = (f"list_transform([{inside}], lambda l: CASE WHEN list_contains(list_transform(l, lambda x: x.tag), 'p') "
+            "THEN l[list_position(list_transform(l, lambda x: x.tag), 'p'):] END)[1]")
+    blocks = ", ".join(f"'{t}', '/{t}'" for t in _BLOCKS)
+    ends = f"list_position(list_transform(l[2:], lambda x: x.tag IN ({blocks})), true)"
+    own = f"list_transform([{rest}], lambda l: CASE WHEN {ends} IS NULL OR {ends} = 0 THEN l ELSE l[:{ends}] END)[1]"
+    text = (f"list_transform([{own}], lambda l: array_to_string(list_transform(l, "
+            "lambda x: CASE WHEN x.tag = 'br' THEN ' ' ELSE '' END || x.text), ''))[1]")
+    for entity, char in _REFERENCES.items():
+        text = f"replace({text}, '&{entity};', {quote(char)})"
+    found = f"list_contains(list_transform({pieces}, lambda x: x.tag), 'article') AND {rest} IS NOT NULL"
+    return f"CASE WHEN {found} THEN trim(regexp_replace({text}, '\\s+', ' ', 'g')) END"
 
 
 def url_short_name(url: str) -> str:
@@ -71,14 +87,6 @@ def estimates(vocab_sql: str, cells_sql: str, depth: int, width: int, seed: int)
             f"LEFT JOIN ({cells_sql}) c ON c.row = t.i AND c.bucket = {pos} GROUP BY v.word")
 
 
-def bloom_bits(urls_sql: str, bits: int, k: int, seed: str) -> str:
-    pos = sql_hash_positions("u.url", seed, "t.i", bits)
-    return (f"SELECT DISTINCT CAST({pos} AS BIGINT) AS bit FROM ({urls_sql}) u "
-            f"CROSS JOIN range({k}) t(i)")
-
-
-def bloom_new(urls_sql: str, bits_sql: str, bits: int, k: int, seed: str) -> str:
-    pos = sql_hash_positions("p.url", seed, "t.i", bits)
-    return (f"SELECT p.url FROM (SELECT DISTINCT url FROM ({urls_sql})) p "
-            f"CROSS JOIN range({k}) t(i) LEFT JOIN ({bits_sql}) b ON b.bit = {pos} "
-            f"GROUP BY p.url HAVING count(b.bit) < {k}")
+def bloom_bits(urls_sql: str, blocks: int, k: int, seed: str) -> str:
+    block, mask = sql_place("u.url", blocks, k, seed)
+    return f"SELECT {block} AS block, bit_or({mask}) AS bits FROM ({urls_sql}) u GROUP BY 1"

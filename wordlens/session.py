@@ -8,6 +8,7 @@ the shared folder named by ``spark.checkpoint.dir``. Only when that setting is a
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -71,8 +72,8 @@ def build_session(master: str | None = None, app: str = "wordlens",
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. If it is unset (local tests) a
-    folder is created once per application and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session. If it is unset, a local master (tests) gets a
+    folder of its own, once per application; a cluster must name one that all its machines share.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
@@ -85,6 +86,8 @@ def scratch_root(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     root = _LOCAL_ROOTS.get(app_id)
     if root is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="wordlens-")
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
         _LOCAL_ROOTS[app_id] = root

@@ -1,12 +1,12 @@
-"""Table sinks under the shared scratch folder.
+"""Saved result tables in the shared folder, published as views.
 
-Each write goes to a fresh versioned directory and the catalog table is re-pointed at
-it (``saveAsTable`` with an explicit path), so readers of an earlier version are never
-disturbed and a replayed batch simply writes its version again (idempotent).
+Every save goes to a fresh folder, and the name is then pointed at it by replacing a temporary view. Readers
+see the old table or the new one, never none; names may carry a namespace, so two jobs do not meet.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -14,27 +14,25 @@ from pyspark.sql import DataFrame
 from wordlens.session import scratch_path
 
 
-def table_dir(spark, name: str) -> str:
-    return scratch_path(spark, "tables", name, unique=False)
+def view_name(name: str, namespace: str = "") -> str:
+    """A view's name: letters, digits and underscores of the namespace and the name."""
+    return re.sub(r"\W", "_", f"{namespace}_{name}" if namespace else name)
 
 
-def save_table(df: DataFrame, name: str, version: str | int | None = None,
-               base: str | None = None) -> str:
-    """Overwrite table ``name`` with ``df``; returns the Parquet path written.
-
-    ``version`` (e.g. a micro-batch id) makes the path deterministic, so a retried
-    batch overwrites its own output instead of adding a new copy.
-    """
+def save_table(df: DataFrame, name: str, namespace: str = "") -> str:
+    """Write ``df`` to a new folder and publish it as view ``name``; returns the path."""
     spark = df.sparkSession
-    root = base or table_dir(spark, name)
-    if version is None:
-        path = f"{root}/v-{uuid.uuid4().hex[:12]}"
-    else:
-        path = f"{root}/v={int(version):09d}" if str(version).isdigit() else f"{root}/v={version}"
-    (df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name))
+    path = f"{scratch_path(spark, 'tables', view_name(name, namespace), unique=False)}/v-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    publish(spark.read.parquet(path), name, namespace)
     return path
 
 
+def publish(df: DataFrame, name: str, namespace: str = "") -> None:
+    """Point the view at ``df``."""
+    df.createOrReplaceTempView(view_name(name, namespace))
+
+
 def read_saved(spark, path: str) -> DataFrame:
-    """The exact version written at ``path`` (stable even if the table moves on)."""
+    """The exact version written at ``path`` (stable even if the name moves on)."""
     return spark.read.parquet(path)

@@ -1,8 +1,8 @@
 from wordlens.sources.tables import read_table, table_path  # noqa: F401
 from wordlens.sources.urls import (  # noqa: F401
-    land_files,
+    arrivals,
+    land,
     line_count,
     url_file,
-    url_log,
     url_records,
 )

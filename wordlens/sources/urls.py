@@ -1,9 +1,4 @@
-"""URL sources: line files, URL records, the replayed URL log, landed stream files.
-
-The original job read URLs from Kafka; a producer re-sent a URL file in waves. Here the
-log is a DataFrame with the Kafka record columns, derived from the crawled ``pages``
-table (``url_log``), so every stream and dedup query grows with the data.
-"""
+"""URL sources: line files, URL records, URLs by wave of arrival, landed stream files."""
 
 from __future__ import annotations
 
@@ -15,6 +10,8 @@ from wordlens.params import DEFAULT_TOPIC, RECORD_VALUE
 
 # Seed of the hash that assigns a key to a log partition.
 PARTITION_HASH_SEED = "partition"
+# Seed of the hash that assigns a URL its first wave.
+ARRIVAL_HASH_SEED = "arrival"
 
 
 def url_file(spark: SparkSession, path: str) -> DataFrame:
@@ -38,36 +35,28 @@ def log_partition(key: Column, partitions: int) -> Column:
     return hash_bucket(key, PARTITION_HASH_SEED, partitions).cast("int")
 
 
-def url_log(pages: DataFrame, waves: int = 2, partitions: int = 2,
-            topic: str = DEFAULT_TOPIC) -> DataFrame:
-    """The URL topic as a table: every page URL is published once per wave.
+def arrivals(urls: DataFrame, waves: int = 3, url: str = "url") -> DataFrame:
+    """(key, wave): each URL arrives in a wave of its own, by hash, and again in every later one, as a
+    producer that re-sends its file would have it."""
+    first = hash_bucket(F.col(url), ARRIVAL_HASH_SEED, waves).cast("int")
+    return urls.select(F.col(url).alias("key"), F.explode(F.sequence(first, F.lit(waves - 1))).alias("wave"))
 
-    Columns: topic, partition, offset, key (URL), value, wave. Offsets grow with the
-    wave and the page id (``wave * stride + page_id``), so they are unique and ordered
-    per partition without a global sort; gaps are allowed, as in a compacted topic.
-    ``stride`` is 2^40, far above any page id.
-    """
-    stride = 1 << 40
-    waves_col = F.explode(F.sequence(F.lit(0), F.lit(waves - 1))).alias("wave")
-    return (pages.select("page_id", "url", waves_col)
-            .select(F.lit(topic).alias("topic"),
-                    log_partition(F.col("url"), partitions).alias("partition"),
-                    (F.col("wave").cast("bigint") * F.lit(stride) + F.col("page_id"))
-                    .alias("offset"),
-                    F.col("url").alias("key"),
-                    F.lit(RECORD_VALUE).cast("int").alias("value"),
-                    F.col("wave").cast("int").alias("wave")))
-
-
-def land_files(df: DataFrame, path: str, files: int, key: str | None = None,
-               mode: str = "overwrite") -> str:
-    """Write ``df`` as ``files`` Parquet files under ``path`` (a file-stream source dir).
-
-    This is the offline twin of a Kafka topic with ``files`` partitions: a file stream
-    with ``maxFilesPerTrigger`` replays it in order. Rows are spread by ``key`` when
-    given (all records of a key land in one file) or round robin otherwise; ``mode``
-    "append" adds a later batch of files (a new wave) after the existing ones.
+
+def land(df: DataFrame, path: str, waves: int = 3, key: str | None = None, mode: str = "append") -> str:
+    """Write ``df`` under ``path`` as a file stream's source, in one job with the tasks that it has.
+
+    With ``key``, rows are told apart into ``waves`` file sets by its hash (``_wave=...`` folders), so that even a
+    table of one split gives several files, which a rate cap can deal out.
     """
-    spread = df.repartition(files, key) if key else df.repartition(files)
-    spread.write.mode(mode).parquet(path)
+    if key is None:
+        df.write.mode(mode).parquet(path)
+    else:
+        wave = hash_bucket(F.col(key), ARRIVAL_HASH_SEED, waves)
+        df.withColumn("_wave", wave).write.mode(mode).partitionBy("_wave").parquet(path)
     return path
+
+
+def landed_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under ``path`` (the listing alone is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
