@@ -2,10 +2,10 @@
 
 1. Kept suffixes start at content-selected places: the smallest ``GRAM``-gram hash of every ``SPAN`` words'
    grams (a minimiser), so a passage of ``MIN_WORDS`` words has one within its first SPAN places wherever it
-   stands, and at least ``KEY`` words of the passage follow it.
-2. Only suffixes whose first KEY words start another document's suffix too go on, with the words
-   around them as 32-bit symbols: RIGHT beyond the key, LEFT before the suffix. Suffixes with
-   equal surroundings are joined as one first, so copies cost one row in the sort.
+   stands, and at least KEY = MIN_WORDS - SPAN + 1 words of the passage follow it.
+2. Only suffixes whose first KEY words start another document's suffix too go on. Of those with
+   equal surroundings (SPAN - 1 words on either side) all but the first are matches as they stand; the first takes part
+   in the sort, with its surroundings as 24-bit symbols. So copies of any number cost one row in the sort.
 3. Sort by (key, right symbols): neighbours share the longest prefixes. Each suffix is compared with
    the ``NEIGHBOURS`` before it; a match is extended right by the sorted symbols and left by
    the others. Matches of at least MIN_WORDS words count. The sort deals rows out by range,
@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordlens.llm.arrays import gram_hashes, words
-from wordlens.llm.substring import row_key, sliding_argmin
+from wordlens.llm.arrays import gram_hashes, mix, span_hashes, words
+from wordlens.llm.substring import LAST_ID, row_key, sliding_argmin
 from wordlens.session import materialize
 
 MIN_WORDS, GRAM, SPAN, NEIGHBOURS = 50, 8, 24, 4
@@ -38,7 +38,9 @@ SEPARATOR = 0  # a symbol that stands for no word: before the first or after the
 
 
 def suffix_places(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """(key, id, th, place) of docs(id, th, text): the kept suffixes with at least a key's words."""
+    """(key, content, id, th, place, before, length) of docs(id, th, text): the kept suffixes with at least a
+    key's words. content is the hash of the key's words and span - 1 on either side, as far as the text goes; before
+    counts those on the left, length all of them."""
     key_words = min_words - span + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,13 +54,19 @@ def suffix_places(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN,
                 at = np.unique(least[whole])
                 at = at[at + key_words <= len(h)]
                 at = at[row[at] == row[at + key_words - 1]]
+                first, last = w.first[row[at]], w.first[row[at] + 1]
+                left, right = np.maximum(at - span + 1, first), np.minimum(at + key_words + span - 1, last)
                 take = pa.array(w.first_row + row[at])
+                # a text's edge is part of the content, so that equal contents end alike
+                content = span_hashes(h, left, right) ^ mix(((at - left) * 4096 + right - at).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(gram_hashes(h, key_words)[at].view(np.int64)), batch.column("id").take(take),
-                    batch.column("th").take(take), pa.array((at - w.first[row[at]]).astype(np.int32))],
-                    ["key", "id", "th", "place"])
+                    pa.array(gram_hashes(h, key_words)[at].view(np.int64)), pa.array(content.view(np.int64)),
+                    batch.column("id").take(take), batch.column("th").take(take), pa.array((at - first).astype(np.int32)),
+                    pa.array((at - left).astype(np.int16)), pa.array((right - left).astype(np.int16))],
+                    ["key", "content", "id", "th", "place", "before", "length"])
 
-    return docs.select("id", "th", "text").mapInArrow(run, "key bigint, id bigint, th bigint, place int")
+    return docs.select("id", "th", "text").mapInArrow(
+        run, "key bigint, content bigint, id bigint, th bigint, place int, before smallint, length smallint")
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch], key_words: int, reach: int) -> Iterator[pa.RecordBatch]:
@@ -66,49 +74,46 @@ def _surroundings(batches: Iterator[pa.RecordBatch], key_words: int, reach: int)
     for batch in batches:
         listed = batch.column("suffixes").to_pylist()
         for w in words(batch.column("text")):
-            symbols = (w.hashes() >> np.uint64(32)).astype(np.uint32)
+            symbols = (w.hashes() >> np.uint64(40)).astype(np.uint32)
             symbols[symbols == SEPARATOR] = 1
             sizes = w.counts()
-            rows, keys, places = [], [], []
-            for r in range(w.n_rows):
-                for x in listed[w.first_row + r]:
-                    rows.append(r)
-                    keys.append(x["key"])
-                    places.append(x["place"])
-            if not rows:
+            found = [(r, x["key"], x["place"]) for r in range(w.n_rows) for x in listed[w.first_row + r]]
+            if not found:
                 continue
-            row, place = np.array(rows), np.array(places, np.int64)
+            row, keys, place = (np.array(x, np.int64) for x in zip(*found))
 
             def around(offsets: np.ndarray) -> list[bytes]:
                 at = place[:, None] + offsets[None, :]
                 inside = (at >= 0) & (at < sizes[row][:, None])
-                found = symbols[np.where(inside, at + w.first[row][:, None], 0)]
-                return [x.tobytes() for x in np.where(inside, found, SEPARATOR).astype(">u4")]
+                own = np.where(inside, symbols[np.where(inside, at + w.first[row][:, None], 0)], SEPARATOR).astype(">u4")
+                return [x.tobytes() for x in own.view(np.uint8).reshape(len(row), -1, 4)[:, :, 1:]]
 
             take = pa.array(w.first_row + row)
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.int64()), pa.array(around(np.arange(key_words, key_words + reach)), pa.binary()),
+                pa.array(keys), pa.array(around(np.arange(key_words, key_words + reach)), pa.binary()),
                 pa.array(around(-1 - np.arange(reach)), pa.binary()), batch.column("id").take(take),
                 batch.column("th").take(take), pa.array(place.astype(np.int32))],
                 ["key", "right", "left", "id", "th", "place"])
 
 
 def common_symbols(a: bytes, b: bytes) -> int:
-    """Words that two runs of symbols share from their start on."""
-    x, y = np.frombuffer(a, ">u4"), np.frombuffer(b, ">u4")
-    n = min(len(x), len(y))
-    bad = np.flatnonzero((x[:n] != y[:n]) | (x[:n] == SEPARATOR))
-    return int(bad[0]) if len(bad) else n
+    """Words that two runs of symbols (3 bytes each) share from their start on."""
+    if a == b and SEPARATOR.to_bytes(3, "big") not in a:
+        return len(a) // 3
+    x, y = np.frombuffer(a, np.uint8).reshape(-1, 3), np.frombuffer(b, np.uint8).reshape(-1, 3)
+    bad = np.flatnonzero((x != y).any(axis=1) | ~x.any(axis=1))
+    return int(bad[0]) if len(bad) else len(x)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], key_words: int, min_words: int, neighbours: int,
                 edges: bool) -> Iterator[pa.RecordBatch]:
     """Matches (role 0) of a sorted range's rows with those shortly before; edges: also the first and last rows
-    (role 1 and 2) as they are. Input columns key, right, left, id, place (and old: no pair of two such)."""
+    (role 1 and 2) as they are. Input columns key, right, left, id, th, place
+    and side (without edges, rows of one side are not compared)."""
     number = TaskContext.get().partitionId()
-    names = ["role", "number", "key", "right", "left", "id", "place", "to_id", "to_place", "before", "length"]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(),
-             pa.int32(), pa.int32(), pa.int32()]
+    names = ["role", "number", "key", "right", "left", "id", "th", "place", "to_id", "to_place", "before", "length"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(),
+             pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     last: deque = deque(maxlen=neighbours)
     seen = 0
 
@@ -117,28 +122,30 @@ def _neighbours(batches: Iterator[pa.RecordBatch], key_words: int, min_words: in
 
     for batch in batches:
         out = []
-        columns = [batch.column(c).to_pylist() for c in ("key", "right", "left", "id", "place", "side")]
+        columns = [batch.column(c).to_pylist() for c in ("key", "right", "left", "id", "th", "place", "side")]
         for x in zip(*columns):
+            if last and last[-1][:6] == x[:6]:
+                continue  # a repeated row of the table
             if edges and seen < neighbours:
-                out.append((1, number, *x[:5], None, None, None, None))
+                out.append((1, number, *x[:6], None, None, None, None))
             seen += 1
             for y in last:
-                if y[0] != x[0] or y[3] == x[3] or (not edges and y[5] == x[5]):
+                if y[0] != x[0] or y[3] == x[3] or (not edges and y[6] == x[6]):
                     continue
                 before = common_symbols(x[2], y[2])
                 length = before + key_words + common_symbols(x[1], y[1])
                 if length >= min_words:
                     late, early = (x, y) if x[3] > y[3] else (y, x)
-                    out.append((0, number, None, None, None, late[3], late[4], early[3], early[4], before, length))
+                    out.append((0, number, None, None, None, late[3], late[4], late[5], early[3], early[5], before, length))
             last.append(x)
         if out:
             yield table(out)
     if edges and last:
-        yield table([(2, number, *y[:5], None, None, None, None) for y in last])
+        yield table([(2, number, *y[:6], None, None, None, None) for y in last])
 
 
-MATCHES = ("role int, number int, key bigint, right binary, left binary, id bigint, place int, to_id bigint, "
-           "to_place int, before int, length int")
+MATCHES = ("role int, number int, key bigint, right binary, left binary, id bigint, th bigint, place int, "
+           "to_id bigint, to_place int, before int, length int")
 
 
 def _merged(matches: DataFrame) -> DataFrame:
@@ -165,47 +172,36 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
     another. Other columns are ignored; an empty table gives an empty one.
     """
     key_words, reach = min_words - span + 1, span - 1
-    own = docs.select(*[c.alias(k) for k, c in row_key(docs).items()], "text").where("id < 9223372036854775807")
-    found = materialize(suffix_places(own, min_words, span), "suffix_places")
-    shared = found.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key")
-    lists = found.join(shared, "key", "left_semi").groupBy("id", "th").agg(
+    own = docs.select(*[c.alias(k) for k, c in row_key(docs).items()], "text").where(F.col("id") < LAST_ID)
+    found = suffix_places(own, min_words, span)
+    shared = materialize(found.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key"),
+                         "suffix_keys")
+    known = materialize(found.join(shared, "key", "left_semi"), "suffix_places")
+    # one suffix stands for all with the same surroundings: the first document's
+    firsts = materialize(known.groupBy("content").agg(F.min(F.struct("id", "th", "place")).alias("f")), "suffix_firsts")
+    settled = known.join(firsts, "content")
+    alike = settled.where((F.col("id") > F.col("f.id")) & (F.col("length") >= min_words)).select(
+        "id", "th", "place", F.col("f.id").alias("to_id"), F.col("f.place").alias("to_place"), "before", "length")
+    lists = settled.where("id = f.id and th = f.th and place = f.place").groupBy("id", "th").agg(
         F.collect_set(F.struct("key", "place")).alias("suffixes"))
-    suffixes = materialize(
-        own.join(lists, ["id", "th"]).select("id", "th", "text", "suffixes").mapInArrow(
-            lambda b: _surroundings(b, key_words, reach),
-            "key bigint, right binary, left binary, id bigint, th bigint, place int")
-        .withColumn("content", F.xxhash64("key", "right", "left")), "suffixes")
-    # one row for all suffixes with the same surroundings: the first document's
-    first = suffixes.groupBy("content").agg(F.min(F.struct("id", "th", "place")).alias("f"), F.max("id").alias("last"))
     order = ["key", "right", "left", "id"]
-    distinct = suffixes.groupBy("key", "right", "left").agg(F.min(F.struct("id", "th", "place")).alias("f")).select(
-        "key", "right", "left", "f.id", "f.place", F.lit(0).alias("side"))
-    ranges = materialize(distinct.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+    suffixes = own.join(lists, ["id", "th"]).select(
+        "id", "th", "text", "suffixes").mapInArrow(
+        lambda b: _surroundings(b, key_words, reach), "key bigint, right binary, left binary, id bigint, th bigint, place int")
+    suffixes = materialize(suffixes.withColumn("side", F.lit(0)), "suffixes")
+    ranges = materialize(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         lambda b: _neighbours(b, key_words, min_words, neighbours, True), MATCHES), "suffix_matches")
     # the last rows of a range meet the first of the next that has rows
     full = sorted(r.number for r in ranges.where("role = 1").select("number").distinct().collect())
     turn = docs.sparkSession.createDataFrame(list(zip(full, full[1:])), "number int, next int")
-    edge = ["key", "right", "left", "id", "place"]
+    edge = ["key", "right", "left", "id", "th", "place"]
     tails = ranges.where("role = 2").join(F.broadcast(turn), "number").select(F.col("next").alias("at"), *edge, F.lit(0).alias("side"))
     heads = ranges.where("role = 1").select(F.col("number").alias("at"), *edge, F.lit(1).alias("side"))
     across = (tails.unionByName(heads).repartition("at").sortWithinPartitions("at", "side", *order)
               .mapInArrow(lambda b: _neighbours(b, key_words, min_words, 2 * neighbours, False), MATCHES))
     pairs = ranges.where("role = 0").unionByName(across.where("role = 0")).select(
-        "id", "place", "to_id", "to_place", "before", "length")
-    alike = suffixes.join(first, "content").where("id > f.id").select(
-        "id", "th", "place", F.col("f.id").alias("to_id"), F.col("f.place").alias("to_place"), *_extent(key_words))
-    with_hash = suffixes.select("id", "place", "th").distinct()
-    matches = pairs.join(with_hash, ["id", "place"]).select("id", "th", "place", "to_id", "to_place", "before", "length")
-    whole = alike.where(F.col("length") >= min_words)
-    return _merged(matches.unionByName(whole)).select(
+        "id", "th", "place", "to_id", "to_place", "before", "length")
+    return _merged(pairs.unionByName(alike)).select(
         F.col("id").alias("doc_id"), F.col("start").cast("bigint").alias("start"),
         (F.col("end") - F.col("start")).cast("bigint").alias("n_words"), F.col("to_id").alias("first_doc_id"),
         (F.col("start") + F.col("diagonal")).cast("bigint").alias("first_start"))
-
-
-def _extent(key_words: int) -> list:
-    """(before, length) of a match of equal surroundings: the symbols up to the text's ends."""
-    def words_in(side: str):
-        zeros = F.locate("00000000", F.regexp_replace(F.hex(side), "(.{8})", "$1 "))
-        return F.when(zeros == 0, (F.length(side) / 4).cast("int")).otherwise(((zeros - 1) / 9).cast("int"))
-    return [words_in("left").alias("before"), (words_in("left") + words_in("right") + key_words).alias("length")]
