@@ -163,7 +163,7 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = batch.column("doc_id").type
         text = batch.column("text").fill_null("")
         at = 0
-        sizes = np.cumsum([0] + [len(x) for x in text.cast(pa.large_binary()).to_pylist()])
+        sizes = raw(text)[0]
         while at < len(text):
             to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + GROUP_BYTES, "right")) - 1)
             part = text.slice(at, to - at)
