@@ -89,9 +89,9 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int = MIN_TILE) -> list[tuple[int
             s = max(s // 2, least)
 
 
-def _items(benchmark: DataFrame, least: int, block_seeds: int) -> Iterator[dict]:
-    """Blocks of test items: ids, word hashes, and sorted seed hashes with their items. Items
-    arrive one at a time (a stated query set, read in blocks); a text is held once."""
+def _items(benchmark: DataFrame, block_seeds: int) -> Iterator[dict]:
+    """Blocks of test items (ids and word hashes). Items arrive one at a time: a stated query set,
+    read in blocks."""
     block: dict = {"ids": [], "words": [], "seeds": 0}
     rows = benchmark.select(F.col("item_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     for item in rows.orderBy("item_id", "text").toLocalIterator():
@@ -174,7 +174,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, least: int = MIN_T
     benchmark table gives an empty table.
     """
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    blocks = [_tile_block(own, b, least, coverage) for b in _items(benchmark, least, block_seeds)]
+    blocks = [_tile_block(own, b, least, coverage) for b in _items(benchmark, block_seeds)]
     if not blocks:
         none = own.limit(0).selectExpr("doc_id", "th", "0L as item_id", "0D as coverage", "0 as n_tiles", "0 as longest_tile")
         return none if with_hash else none.drop("th")
