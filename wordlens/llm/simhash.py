@@ -144,7 +144,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     parts = components(near_pairs(distinct.select("fp"), max_bits))
     rooted = (distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # a table of its own: a join right above an aggregation can't split a large component's rows
+    ids = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash_components")
     return own.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
 
 
