@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import _byte_powers, mix, raw, span_hashes, words
-from wordlens.session import materialize
+from wordlens.session import scratch_path
 
 PIECE, SECTION = 16, 8
 
@@ -210,8 +210,11 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     keys = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(*keys).sortWithinPartitions(*keys)
-    found = materialize(dealt.mapInArrow(
-        _in_order, f"doc_id {kind}, {RESULT}, role int, partition int, text string"), "merkle")
+    path = scratch_path(spark, "merkle")
+    # fingerprints are hexadecimal digits, which this codec halves
+    dealt.mapInArrow(_in_order, f"doc_id {kind}, {RESULT}, role int, partition int, text string").write.option(
+        "compression", "zstd").parquet(path)
+    found = spark.read.parquet(path)
     heads = found.where("role = 1").select(F.col("partition").alias("next"), F.col("text").alias("following"))
     tails = found.where("role = 2").select("doc_id", "partition", "text")
     full = sorted(r.partition for r in found.where("role = 1").select("partition").collect())
