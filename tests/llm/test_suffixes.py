@@ -69,3 +69,26 @@ def test_documents_without_repeats_are_left_alone(spark):
 
 def test_empty_table(spark):
     assert suffixes.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("n_words", [50, 60, 80])
+def test_every_window_of_an_earlier_document_is_covered(spark, n_words):
+    """200 documents, one passage, random surroundings: more partners than a suffix has neighbours."""
+    rng = random.Random(n_words)
+    text = lambda k: [f"w{rng.randrange(1000)}" for _ in range(k)]
+    passage = text(n_words)
+    texts = [text(rng.randrange(30, 60)) + passage + text(rng.randrange(30, 60)) for _ in range(200)]
+    texts[7] = texts[7] + texts[7]  # with the same surroundings twice
+    rows = [("s", i, " ".join(t), 1) for i, t in enumerate(texts)]
+    covered = {}
+    for r in suffixes.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect():
+        assert texts[r.doc_id][r.start:r.start + r.n_words] == texts[r.first_doc_id][r.first_start:r.first_start + r.n_words]
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.n_words))
+    known, want = set(), {}
+    for i, t in enumerate(texts):
+        grams = [tuple(t[k:k + 50]) for k in range(len(t) - 49)]
+        old = {p for k, g in enumerate(grams) if g in known for p in range(k, k + 50)}
+        if old:
+            want[i] = old
+        known.update(grams)
+    assert len(want) == 199 and covered == want

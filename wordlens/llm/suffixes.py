@@ -10,12 +10,13 @@
    the ``NEIGHBOURS`` before it; a match is extended right by the sorted symbols and left by
    the others. Matches of at least MIN_WORDS words count. The sort deals rows out by range,
    which splits a common key; the rows at a range's end are carried to the next one.
-4. Matches of two documents on one diagonal that touch or overlap are one passage.
+4. The windows of MIN_WORDS words that hold the key of a first document's suffix (also where it stands again with the
+   same surroundings) start at one of SPAN places. Each is matched with the first document that has it, by a group minimum of its 64-bit hash; so what the few neighbours leave out is found
+   however many texts share the key.
+5. Matches of two documents on one diagonal that touch or overlap are one passage.
 
-Passages of at least MIN_WORDS + SPAN - 1 words are found without exception: their first kept suffix has
-MIN_WORDS equal words to the right, and neighbours in the order have the longest such runs (if those are
-other texts that differ to the left, up to SPAN - 1 words at the passage's start may not be covered). For shorter
-ones a miss takes more than NEIGHBOURS other texts that share more to the right of the suffix and less to the left.
+So every window of MIN_WORDS words that stands in a document with a smaller id is covered. The group minimum has one row
+a task for a window, however many documents share it.
 """
 
 from __future__ import annotations
@@ -70,14 +71,14 @@ def suffix_places(docs: DataFrame, min_words: int = MIN_WORDS, span: int = SPAN,
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch], key_words: int, reach: int) -> Iterator[pa.RecordBatch]:
-    """The listed suffixes of each text with ``reach`` symbols to the right of the key, and to the left (nearest first)."""
+    """The listed suffixes of each text that are to be sorted, with ``reach`` symbols to the right of the key, and to the left (nearest first)."""
     for batch in batches:
         listed = batch.column("suffixes").to_pylist()
         for w in words(batch.column("text")):
             symbols = (w.hashes() >> np.uint64(40)).astype(np.uint32)
             symbols[symbols == SEPARATOR] = 1
             sizes = w.counts()
-            found = [(r, x["key"], x["place"]) for r in range(w.n_rows) for x in listed[w.first_row + r]]
+            found = [(r, x["key"], x["place"]) for r in range(w.n_rows) for x in listed[w.first_row + r] if x["sorted"]]
             if not found:
                 continue
             row, keys, place = (np.array(x, np.int64) for x in zip(*found))
@@ -96,6 +97,27 @@ def _surroundings(batches: Iterator[pa.RecordBatch], key_words: int, reach: int)
                 ["key", "right", "left", "id", "th", "place"])
 
 
+def _windows(batches: Iterator[pa.RecordBatch], min_words: int, span: int) -> Iterator[pa.RecordBatch]:
+    """The windows of min_words words around the key of each listed suffix: (window, id, th, place), place of the first word."""
+    for batch in batches:
+        listed = batch.column("suffixes").to_pylist()
+        for w in words(batch.column("text")):
+            grams = gram_hashes(w.hashes(), min_words)
+            found = [(r, x["place"]) for r in range(w.n_rows) for x in listed[w.first_row + r]]
+            if not found or not len(grams):
+                continue
+            row, place = (np.array(x, np.int64) for x in zip(*found))
+            at = (w.first[row] + place)[:, None] - np.arange(span)
+            own = np.repeat(row, span)[((at >= w.first[row][:, None]) & (at + min_words <= w.first[row + 1][:, None])).ravel()]
+            at = at[(at >= w.first[row][:, None]) & (at + min_words <= w.first[row + 1][:, None])]
+            at, first = np.unique(at, return_index=True)  # suffixes close by share windows
+            own = own[first]
+            take = pa.array(w.first_row + own)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(grams[at].view(np.int64)), batch.column("id").take(take), batch.column("th").take(take),
+                pa.array((at - w.first[own]).astype(np.int32))], ["window", "id", "th", "place"])
+
+
 def common_symbols(a: bytes, b: bytes) -> int:
     """Words that two runs of symbols (3 bytes each) share from their start on."""
     if a == b and SEPARATOR.to_bytes(3, "big") not in a:
@@ -166,8 +188,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
     stand in a document with a smaller doc_id too; places count words (maximal runs of
     non-white-space) from 0.
 
-    A passage is reported for a document against its neighbours in the suffix order, not against all
-    documents that have it. Null texts have no words. Rows with a null doc_id come after all others
+    Every window of min_words words that a document with a smaller doc_id has is covered. A passage is reported against
+    the first document of each window and the neighbours in the suffix order, not against all documents that have it. Null texts have no words. Rows with a null doc_id come after all others
     and are left out of the result (there is no id to report). Rows that share a doc_id are not compared with one
     another. Other columns are ignored; an empty table gives an empty one.
     """
@@ -182,11 +204,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
     settled = known.join(firsts, "content")
     alike = settled.where((F.col("id") > F.col("f.id")) & (F.col("length") >= min_words)).select(
         "id", "th", "place", F.col("f.id").alias("to_id"), F.col("f.place").alias("to_place"), "before", "length")
-    lists = settled.where("id = f.id and th = f.th and place = f.place").groupBy("id", "th").agg(
-        F.collect_set(F.struct("key", "place")).alias("suffixes"))
+    lists = settled.where("id = f.id").groupBy("id", "th").agg(F.collect_set(F.struct(
+        "key", "place", F.expr("th = f.th and place = f.place").alias("sorted"))).alias("suffixes"))
     order = ["key", "right", "left", "id"]
-    suffixes = own.join(lists, ["id", "th"]).select(
-        "id", "th", "text", "suffixes").mapInArrow(
+    listed = own.join(lists, ["id", "th"]).select("id", "th", "text", "suffixes")
+    suffixes = listed.mapInArrow(
         lambda b: _surroundings(b, key_words, reach), "key bigint, right binary, left binary, id bigint, th bigint, place int")
     suffixes = materialize(suffixes.withColumn("side", F.lit(0)), "suffixes")
     ranges = materialize(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
@@ -201,7 +223,14 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, span: int = S
               .mapInArrow(lambda b: _neighbours(b, key_words, min_words, 2 * neighbours, False), MATCHES))
     pairs = ranges.where("role = 0").unionByName(across.where("role = 0")).select(
         "id", "th", "place", "to_id", "to_place", "before", "length")
-    return _merged(pairs.unionByName(alike)).select(
+    windows = materialize(listed.mapInArrow(
+        lambda b: _windows(b, min_words, span), "window bigint, id bigint, th bigint, place int"), "suffix_windows")
+    earliest = materialize(windows.groupBy("window").agg(F.min(F.struct("id", "place")).alias("f"), F.max("id").alias("b"))
+                           .where("f.id < b").select("window", "f"), "suffix_earliest")
+    settled_windows = windows.join(earliest, "window").where(F.col("id") > F.col("f.id")).select(
+        "id", "th", "place", F.col("f.id").alias("to_id"), F.col("f.place").alias("to_place"),
+        F.lit(0).alias("before"), F.lit(min_words).alias("length"))
+    return _merged(pairs.unionByName(alike).unionByName(settled_windows)).select(
         F.col("id").alias("doc_id"), F.col("start").cast("bigint").alias("start"),
         (F.col("end") - F.col("start")).cast("bigint").alias("n_words"), F.col("to_id").alias("first_doc_id"),
         (F.col("start") + F.col("diagonal")).cast("bigint").alias("first_start"))
