@@ -140,3 +140,17 @@ def test_a_full_filter_hides_no_new_url(spark, expected):
 
 def test_slices_grow(spark):
     assert [bloom.slice_for(n, 10) for n in (0, 9, 10, 29, 30, 69, 70)] == [0, 0, 1, 1, 2, 2, 3]
+
+
+def test_frequent_items_of_a_flat_vocabulary(spark):
+    """Three words that stand five times among 60,000 that stand twice: the sketch alone cannot tell them."""
+    rows = [(f"w{i % 60_000:05d}",) for i in range(120_000)] + [(w,) for w in ("top1", "top2", "top3") for _ in range(5)]
+    rows = rows[-15:-8] + rows[:-15] + rows[-8:]
+    got = [tuple(r) for r in cms.frequent_items(spark.createDataFrame(rows, "word string"), 5).collect()]
+    assert got == [("top1", 5), ("top2", 5), ("top3", 5), ("w00000", 2), ("w00001", 2)]
+
+
+def test_frequent_items_of_a_steep_vocabulary(spark):
+    rows = [(f"w{i}",) for i in range(20) for _ in range(1000 >> min(i, 9))]
+    got = [tuple(r) for r in cms.frequent_items(spark.createDataFrame(rows, "word string"), 4).collect()]
+    assert got == [("w0", 1000), ("w1", 500), ("w2", 250), ("w3", 125)]

@@ -136,15 +136,29 @@ def sketch_topk(vocab: DataFrame, k: int, cells: DataFrame, eps: float = DEFAULT
 
 
 def frequent_items(words: DataFrame, k: int, tracked: int = 10_000, word: str = "word") -> DataFrame:
-    """Exact counts of the k most frequent words, found by Spark's frequent-items sketch.
+    """Exact counts of the k most frequent words, found by Spark's frequent-items sketch if it can tell them.
 
-    The sketch proposes up to ``tracked`` words (at least k); their counts are then
-    exact, from a semi-join of the occurrences. A word whose share exceeds 1 / tracked is always proposed.
+    The sketch proposes up to ``tracked`` / 10 words (at least k); their counts are then exact, from a semi-join of the
+    occurrences. A word that is not proposed occurs at most twice the sketch's error (3.5 / its map's size of all
+    occurrences), or at most as often as the last proposal's estimate where there were more. If the k-th count is not above
+    that (a flat or very large vocabulary), or fewer than k were proposed, all words are counted.
     """
-    proposed = words.agg(F.expr(f"approx_top_k({word}, {max(k, tracked // 10)}, {max(k, tracked)})").alias("top"))
-    proposed = proposed.select(F.explode("top.item").alias(word))
-    counted = words.join(F.broadcast(proposed), word, "left_semi").groupBy(word).agg(F.count(F.lit(1)).alias("count"))
-    return counted.orderBy(F.desc("count"), F.asc(word)).limit(k)
+    proposals, tracked = max(k, tracked // 10), max(k, tracked)
+    top, n = words.agg(F.expr(f"approx_top_k({word}, {proposals}, {tracked})").alias("top"), F.count(F.lit(1))).first()
+    map_size = 1 << math.ceil(math.log2(tracked / 0.75))
+    unseen = 2 * 3.5 * n / map_size
+    if top and len(top) >= proposals:
+        unseen = max(unseen, min(x["count"] for x in top))
+    spark = words.sparkSession
+    if top and len(top) >= k:
+        proposed = spark.createDataFrame([(x["item"],) for x in top], words.select(word).schema)
+        counted = words.join(F.broadcast(proposed), word, "left_semi").groupBy(word).agg(F.count(F.lit(1)).alias("count"))
+        best = counted.orderBy(F.desc("count"), F.asc(word)).limit(k)
+        found = best.collect()
+        if len(found) == k and found[-1]["count"] > unseen:
+            return spark.createDataFrame(found, best.schema).orderBy(F.desc("count"), F.asc(word))
+    exact = words.where(F.col(word).isNotNull()).groupBy(word).agg(F.count(F.lit(1)).alias("count"))
+    return exact.orderBy(F.desc("count"), F.asc(word)).limit(k)
 
 
 def audit(counts: DataFrame, cells: DataFrame, eps: float = DEFAULT_EPS,
