@@ -76,3 +76,11 @@ def test_loser_tree(k):
 
 def test_empty_table(spark):
     assert warc.capture_histories(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_common_payload_can_be_split(spark):
+    """The join with payloads reads a table of responses, so it does not stand above their aggregation."""
+    found = warc.captures(spark.createDataFrame(corpus(), SCHEMA))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
+    assert found.where("record_type = 'revisit'").count() == sum(r[3] == "revisit" for r in brute(corpus()))

@@ -54,9 +54,10 @@ def captures(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
         F.col("page_id").cast("bigint"), F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload"),
         url_key(F.col("url")).alias("url_key"), F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"),
         F.octet_length(payload).cast("bigint").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"))
-    first = (own.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
-             .select("payload_digest", "first_id"))
+    # a table of its own: a join right above an aggregation can't split a common payload's rows
+    first = materialize(own.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
+                        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1")
+                        .select("payload_digest", "first_id"), "warc_firsts")
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return own.join(first, "payload_digest", "left").select(
         *own.columns, F.when(revisits, "revisit").otherwise("response").alias("record_type"),
