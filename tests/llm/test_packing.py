@@ -80,3 +80,16 @@ def test_best_fit_takes_the_fullest_that_fits():
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA), tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("capacity,least", [((100, 3, 10_000), 100), ((100, 100, 1200), 100)])
+def test_documents_and_cost_can_bind(capacity, least):
+    """300 pieces of 20 tokens: 60 sequences by tokens alone; 3 documents, or the cost of 3 pieces, hold each sequence back."""
+    assert len(np.unique(packing.best_fit([20] * 300, (100, 100, 10_000))[0])) == 60
+    bins, _ = packing.best_fit([20] * 300, capacity)
+    assert np.bincount(bins).max() == 3 and len(np.unique(bins)) == least
+
+
+def test_special_names_in_a_text_are_text():
+    ids = np.frombuffer(packing.WordTokenizer(tokenizer_path()).ids(b"a <|endoftext|> <|startoftext|> b"), "<u4")
+    assert not {49406, 49407} & set(ids.tolist())
