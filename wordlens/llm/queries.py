@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import (language_model, licences, merkle, packing, quality, simhash, substring, suffixes,
+from wordlens.llm import (alignment, language_model, licences, merkle, packing, quality, simhash, substring, suffixes,
                           tiling, warc)
 
 QUERIES: dict = {}
@@ -96,6 +96,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def align_paths() -> tuple[str, str]:
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 @_query("op1_license_scan", LICENCE_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
@@ -156,3 +160,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability by add-one unigrams and by the trie."""
     return language_model.score_texts(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document overlap."""
+    return alignment.align(_table(spark, sf_dir, "documents"), *align_paths())
