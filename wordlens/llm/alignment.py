@@ -19,6 +19,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,13 +32,21 @@ from wordlens.llm.worker import kept
 from wordlens.session import materialize
 
 #: Bytes of text that are aligned at once, and segments and tokens that a worker's store holds at most.
-CHUNK_BYTES, KNOWN_SEGMENTS, KNOWN_TOKENS = 1 << 22, 300_000, 4_000_000
+CHUNK_BYTES, KNOWN_SEGMENTS, KNOWN_TOKENS = 1 << 20, 600_000, 8_000_000
 #: A place before a space and after a character that is no white space.
 BREAK = re.compile(r"(?<=\S)(?= )")
 #: White space that str.split(" ") with line feeds marked does not cut as BREAK does.
 ODD = re.compile(r"[^\S \n]|\s[ \n]|^[ \n]|[ \n]$")
 
 
+def regular(text: str) -> bool:
+    """Whether all white space in the text is single spaces and line feeds, each between two other characters."""
+    if not text.replace("\n", "").isprintable():  # then it may hold white space of other kinds
+        return not ODD.search(text)
+    pairs = ("  ", "\n\n", " \n", "\n ")
+    return text[0] not in " \n" and text[-1] not in " \n" and not any(x in text for x in pairs)
+
+
 def byte_level_alphabet() -> dict[str, int]:
     """The characters that byte-level vocabularies write for the 256 bytes: printable Latin-1 stands for itself, the
     other bytes take the characters from U+0100 on, in turn."""
@@ -74,54 +83,68 @@ class Segments:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.a_ids, self.b_ids, self.a_end, self.b_end = array("i"), array("i"), array("q", [0]), array("q", [0])
-        self.right = bytearray()  # 1 where the tokens' bytes are the segment's
+        self.size, self.right = array("q"), array("b")  # bytes; 1 where the tokens' bytes are the segment's
 
     def full(self) -> bool:
         return len(self.known) > KNOWN_SEGMENTS or len(self.a_ids) + len(self.b_ids) > KNOWN_TOKENS
 
     def parts(self, text: str) -> list[str]:
         """Segments of space + text. A word after a single space is given without it, all others whole."""
-        if self.lines and not ODD.search(text):
+        if self.lines and regular(text):
             return text.replace("\n", " \n").split(" ")
         return BREAK.split(" " + text) if self.parted else [" " + text]
 
     def add(self, segments: list[str]) -> None:
         """Encode segments that are not known yet."""
         whole = [x if x[0] in " \n" else " " + x for x in segments]
-        for x, text, a, b in zip(segments, whole, self.a.encode_batch(whole, add_special_tokens=False),
-                                 self.b.encode([x.removeprefix(" ") for x in whole], num_threads=1)):
+        a = [e.ids for e in self.a.encode_batch(whole, add_special_tokens=False)]
+        b = self.b.encode([x.removeprefix(" ") for x in whole], num_threads=1)
+        for i, text in enumerate(whole):
             if text[0] == "\n":
-                b = b[1:]  # without the space that the encoder puts first
+                del b[i][0]  # the space that the encoder puts first
             elif text == " ":
-                b = [self.space]
-            raw = text.encode()
-            ok = b"".join([self.a_bytes[i] for i in a.ids]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
-            self.known[x] = len(self.right)
-            self.right.append(ok)
-            self.a_ids.extend(a.ids)
-            self.b_ids.extend(b)
-            self.a_end.append(len(self.a_ids))
-            self.b_end.append(len(self.b_ids))
+                b[i] = [self.space]
+        raw = [x.encode() for x in whole]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        right = self._same(a, self.a_bytes, self.a_length, raw, size) & self._same(b, self.b_bytes, self.b_length, raw, size)
+        self.known.update(zip(segments, range(len(self.size), len(self.size) + len(segments))))
+        self.size.frombytes(size.tobytes())
+        self.right.frombytes(right.astype(np.int8).tobytes())
+        for own, ids, end in ((a, self.a_ids, self.a_end), (b, self.b_ids, self.b_end)):
+            end.frombytes((len(ids) + np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))).tobytes())
+            ids.extend(chain.from_iterable(own))
+
+    @staticmethod
+    def _same(ids: list[list[int]], names: list[bytes], lengths: np.ndarray, raw: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Whether each segment's tokens have its bytes."""
+        flat = list(chain.from_iterable(ids))
+        end = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        total = np.concatenate([[0], np.cumsum(lengths[np.array(flat, np.int64)])])
+        fits = np.diff(total[end], prepend=0) == size
+        if fits.all() and b"".join([names[i] for i in flat]) == b"".join(raw):
+            return fits
+        return np.array([b"".join([names[i] for i in own]) == x for own, x in zip(ids, raw)], bool)
 
     def numbers(self, texts: list[str | None]) -> list[np.ndarray]:
         """Each text's segments as numbers in the store; none for texts that are empty or whose tokens have other bytes."""
         parts = [self.parts(x) if x else [] for x in texts]
         if self.full():
             self.clear()
-        missing = list({x for own in parts for x in own} - self.known.keys())
+        missing = list(set(chain.from_iterable(parts)) - self.known.keys())
         if missing:
             self.add(missing)
-        right = np.frombuffer(bytes(self.right), bool)
-        out = [np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)) for own in parts]
-        return [x if right[x].all() else x[:0] for x in out]
+        flat = list(map(self.known.__getitem__, chain.from_iterable(parts)))
+        cuts = np.cumsum([len(x) for x in parts])[:-1]
+        right = np.array(self.right, bool)
+        return [x if right[x].all() else x[:0] for x in np.split(np.array(flat, np.int64), cuts)]
 
     def tokens(self, side: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, tokens of each segment) of a run of segments."""
         ids, end = (self.a_ids, self.a_end) if side == "a" else (self.b_ids, self.b_end)
-        ends = np.array(end, np.int64)
+        ends = np.frombuffer(end, np.int64)
         first, n = ends[numbers], ends[numbers + 1] - ends[numbers]
         at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.array(ids, np.int32)[at].astype(np.int64), n
+        return (np.frombuffer(ids, np.int32)[at] if len(at) else at).astype(np.int64), n
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
@@ -190,10 +213,9 @@ class _Aligner:
         numbers = self.store.numbers(texts)
         parts: list[tuple[int, np.ndarray, bool]] = []
         held = 0
-        a_end = np.array(self.store.a_end, np.int64)
-        a_bytes = np.concatenate([[0], np.cumsum(self.store.a_length[np.array(self.store.a_ids, np.int64)])])[a_end]
+        sizes = np.array(self.store.size, np.int64)
         for r, own in enumerate(numbers):
-            size = np.cumsum(np.diff(a_bytes)[own]) if len(own) else np.zeros(1, np.int64)
+            size = np.cumsum(sizes[own]) if len(own) else np.zeros(1, np.int64)
             cuts = np.searchsorted(size, np.arange(self.chunk_bytes, size[-1] + 1, self.chunk_bytes))
             cuts = np.unique(np.concatenate([[0], cuts[cuts < len(own)], [len(own)]]))
             pieces = list(zip(cuts[:-1], cuts[1:])) or [(0, 0)]
