@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlens.llm import (alignment, language_model, licences, merkle, packing, quality, simhash, substring, suffixes,
-                          tiling, warc)
+from wordlens.llm import (alignment, embedding_dedup, hard_negatives, language_model, licences, merkle, packing,
+                          quality, simhash, substring, suffixes, tiling, warc)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -166,3 +166,48 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers' tokens of every document overlap."""
     return alignment.align(_table(spark, sf_dir, "documents"), *align_paths())
+
+
+DEDUP_SQL = f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT r, vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.r, b.r AS s, b.vec_id FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= {embedding_dedup.LEAST_COSINE}),
+reach(r, s) AS (SELECT r, r FROM v UNION SELECT reach.r, links.s FROM reach JOIN links ON links.r = reach.s),
+least AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.s GROUP BY reach.r),
+counts AS (SELECT r, count(*) AS n FROM links GROUP BY r)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (r) LEFT JOIN counts USING (r)
+"""
+
+
+@_query("op13_embedding_dedup", DEDUP_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every vector."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+NEGATIVES_SQL = f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                 CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+positives AS (SELECT r, anchor_id, id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, id) AS p
+              FROM pairs WHERE same QUALIFY p <= {hard_negatives.POSITIVES}),
+negatives AS (SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.r, p.p ORDER BY n.score DESC, n.id) AS rank,
+                     n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+              FROM positives p JOIN pairs n ON n.r = p.r AND NOT n.same
+               AND {hard_negatives.LOW} * p.score <= 100 * n.score AND 100 * n.score <= {hard_negatives.HIGH} * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+
+@_query("op11_hard_negatives", NEGATIVES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positives of every anchor, and rows of other labels in each one's score window."""
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
