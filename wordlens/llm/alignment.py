@@ -33,6 +33,8 @@ from wordlens.session import materialize
 
 #: Bytes of text that are aligned at once, and segments and tokens that a worker's store holds at most.
 CHUNK_BYTES, KNOWN_SEGMENTS, KNOWN_TOKENS = 1 << 20, 600_000, 8_000_000
+#: New segments that are encoded as one text.
+RUN = 1_000
 #: A place before a space and after a character that is no white space.
 BREAK = re.compile(r"(?<=\S)(?= )")
 #: White space that str.split(" ") with line feeds marked does not cut as BREAK does.
@@ -55,6 +57,19 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+class _Numbers(dict):
+    """Numbers of segments in turn of their first look-up; ``new`` lists those not encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, segment: str) -> int:
+        number = self[segment] = len(self)
+        self.new.append(segment)
+        return number
+
+
 class Segments:
     """Token ids of both sides by segment, as flat arrays; cleared when full."""
 
@@ -81,7 +96,7 @@ class Segments:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.a_ids, self.b_ids, self.a_end, self.b_end = array("i"), array("i"), array("q", [0]), array("q", [0])
         self.size, self.right = array("q"), array("b")  # bytes; 1 where the tokens' bytes are the segment's
 
@@ -94,9 +109,36 @@ class Segments:
             return text.replace("\n", " \n").split(" ")
         return BREAK.split(" " + text) if self.parted else [" " + text]
 
-    def add(self, segments: list[str]) -> None:
-        """Encode segments that are not known yet."""
-        whole = [x if x[0] in " \n" else " " + x for x in segments]
+    def add(self) -> None:
+        """Encode the segments that are new: some at once as one text, in which they are parted as in any other, or one by one."""
+        new, self.known.new = self.known.new, []
+        for at in range(0, len(new), RUN):
+            whole = [x if x[0] in " \n" else " " + x for x in new[at:at + RUN]]
+            raw = [x.encode() for x in whole]
+            size = np.fromiter(map(len, raw), np.int64, len(raw))
+            a, b, right = self._at_once(whole, b"".join(raw), np.cumsum(size)) or self._one_by_one(whole, raw)
+            self.size.frombytes(size.tobytes())
+            self.right.frombytes(right.astype(np.int8).tobytes())
+            for (own, counts), ids, end in ((a, self.a_ids, self.a_end), (b, self.b_ids, self.b_end)):
+                end.frombytes((len(ids) + np.cumsum(counts)).tobytes())
+                ids.extend(own)
+
+    def _at_once(self, whole: list[str], raw: bytes, ends: np.ndarray):
+        if not self.parted or any(x[-1].isspace() for x in whole):
+            return None
+        text = "".join(whole)
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text)[1:] if text[0] == "\n" else self.b.encode(text[1:])
+        out = []
+        for ids, names, lengths in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
+            stops = np.cumsum(lengths[np.array(ids, np.int64)])
+            at = np.searchsorted(stops, ends)
+            if b"".join([names[i] for i in ids]) != raw or (stops[at] != ends).any():
+                return None
+            out.append((ids, np.diff(at + 1, prepend=0)))
+        return *out, np.ones(len(whole), bool)
+
+    def _one_by_one(self, whole: list[str], raw: list[bytes]):
         a = [e.ids for e in self.a.encode_batch(whole, add_special_tokens=False)]
         b = self.b.encode([x.removeprefix(" ") for x in whole], num_threads=1)
         for i, text in enumerate(whole):
@@ -104,36 +146,18 @@ class Segments:
                 del b[i][0]  # the space that the encoder puts first
             elif text == " ":
                 b[i] = [self.space]
-        raw = [x.encode() for x in whole]
-        size = np.fromiter(map(len, raw), np.int64, len(raw))
-        right = self._same(a, self.a_bytes, self.a_length, raw, size) & self._same(b, self.b_bytes, self.b_length, raw, size)
-        self.known.update(zip(segments, range(len(self.size), len(self.size) + len(segments))))
-        self.size.frombytes(size.tobytes())
-        self.right.frombytes(right.astype(np.int8).tobytes())
-        for own, ids, end in ((a, self.a_ids, self.a_end), (b, self.b_ids, self.b_end)):
-            end.frombytes((len(ids) + np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))).tobytes())
-            ids.extend(chain.from_iterable(own))
-
-    @staticmethod
-    def _same(ids: list[list[int]], names: list[bytes], lengths: np.ndarray, raw: list[bytes], size: np.ndarray) -> np.ndarray:
-        """Whether each segment's tokens have its bytes."""
-        flat = list(chain.from_iterable(ids))
-        end = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-        total = np.concatenate([[0], np.cumsum(lengths[np.array(flat, np.int64)])])
-        fits = np.diff(total[end], prepend=0) == size
-        if fits.all() and b"".join([names[i] for i in flat]) == b"".join(raw):
-            return fits
-        return np.array([b"".join([names[i] for i in own]) == x for own, x in zip(ids, raw)], bool)
+        same = lambda ids, names: [b"".join([names[i] for i in own]) == x for own, x in zip(ids, raw)]
+        right = np.array(same(a, self.a_bytes)) & np.array(same(b, self.b_bytes))
+        return *[(list(chain.from_iterable(x)), [len(y) for y in x]) for x in (a, b)], right
 
     def numbers(self, texts: list[str | None]) -> list[np.ndarray]:
         """Each text's segments as numbers in the store; none for texts that are empty or whose tokens have other bytes."""
         parts = [self.parts(x) if x else [] for x in texts]
         if self.full():
             self.clear()
-        missing = list(set(chain.from_iterable(parts)) - self.known.keys())
-        if missing:
-            self.add(missing)
         flat = list(map(self.known.__getitem__, chain.from_iterable(parts)))
+        if self.known.new:
+            self.add()
         cuts = np.cumsum([len(x) for x in parts])[:-1]
         right = np.array(self.right, bool)
         return [x if right[x].all() else x[:0] for x in np.split(np.array(flat, np.int64), cuts)]
@@ -148,15 +172,16 @@ class Segments:
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Pairs of overlapping tokens of a(doc, start, id) and b(doc, start, id), and which of a and b end together.
+    """Pairs (doc, a, b) of overlapping tokens of a(doc, start, id) and b(doc, start, id), and which of a and b end together.
 
     Both are sorted by start, which counts bytes over all documents; each document's tokens cover the same bytes.
     """
-    left = a.rename(columns={"id": "a"}).assign(a_start=a["start"])
-    right = b.rename(columns={"id": "b"})
-    by_a = pd.merge_asof(left, right, on="start", by="doc")
-    by_b = pd.merge_asof(right, left, on="start", by="doc")
-    links = pd.concat([by_a[["doc", "a", "b"]], by_b.loc[by_b["a_start"] != by_b["start"], ["doc", "a", "b"]]])
+    by_a = pd.merge_asof(a[["doc", "start"]], b, on="start", by="doc")
+    by_b = pd.merge_asof(b[["doc", "start"]], a.assign(other=a["start"]), on="start", by="doc")
+    apart = (by_b["other"] != by_b["start"]).to_numpy()  # a pair whose tokens begin together is in by_a
+    links = pd.DataFrame({"doc": np.concatenate([a["doc"], b["doc"].to_numpy()[apart]]),
+                          "a": np.concatenate([a["id"], by_b["id"].to_numpy()[apart]]),
+                          "b": np.concatenate([by_a["id"], b["id"].to_numpy()[apart]])})
 
     def last(x: pd.DataFrame) -> np.ndarray:  # of a group: the next token of both sides begins together, or none follows
         other = b if x is a else a
@@ -177,7 +202,7 @@ def _digits(most: int) -> np.ndarray:
 
 
 def group_strings(a: pd.DataFrame, b: pd.DataFrame, last_a: np.ndarray, last_b: np.ndarray, ends: np.ndarray,
-                  digits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                  digits: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of ``a1,a2|b1;a3|b2,b3`` for all tokens in turn, and each token's document beside its length in bytes.
     ``ends`` marks tokens of b after which nothing follows in their document."""
     group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
@@ -192,9 +217,11 @@ def group_strings(a: pd.DataFrame, b: pd.DataFrame, last_a: np.ndarray, last_b:
     marks[place_a] = np.where(last_a, ord("|"), ord(","))
     marks[place_b] = np.where(ends, 0, np.where(last_b, ord(";"), ord(",")))
     docs[place_a], docs[place_b] = a["doc"], b["doc"]
-    table = np.concatenate([digits[ids], marks[:, None]], axis=1)
-    full = table != 0
-    return table[full], np.bincount(docs, weights=full.sum(axis=1), minlength=0).astype(np.int64)
+    table = np.empty((total, digits.shape[1] + 1), np.uint8)
+    np.take(digits, ids, axis=0, out=table[:, :-1], mode="clip")
+    table[:, -1] = marks
+    size = widths[ids] + (marks > 0)
+    return table[table != 0], np.bincount(docs, weights=size).astype(np.int64)
 
 
 SCHEMA = ("chunk bigint, row bigint, doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
@@ -207,6 +234,7 @@ class _Aligner:
     def __init__(self, store: Segments, partition: int, chunk_bytes: int):
         self.store, self.next_chunk, self.chunk_bytes = store, partition << 32, chunk_bytes
         self.digits = _digits(max(len(store.a_length), len(store.b_length)))
+        self.widths = np.count_nonzero(self.digits, axis=1)
         self.open: dict[int, object] = {}  # digests of texts that go on
 
     def batch(self, rows: np.ndarray, texts: list[str | None], ids: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -243,7 +271,7 @@ class _Aligner:
         goes_on = np.array([not p[2] for p in parts])
         b_doc = b["doc"].to_numpy()
         final = np.append(b_doc[1:] != b_doc[:-1], True)[:len(b)] & ~goes_on[b_doc]
-        text, size = group_strings(a, b, last_a, last_b, final, self.digits)
+        text, size = group_strings(a, b, last_a, last_b, final, self.digits, self.widths)
         size = np.concatenate([size, np.zeros(n - len(size), np.int64)])
         at = np.concatenate([[0], np.cumsum(size)])
         digests = []
