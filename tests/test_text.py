@@ -102,6 +102,12 @@ PAGES = [
     ("<!-- <article><p>no</p></article> --><article><script>'<p>x</p>'</script><p class='k'>yes</p></article>", "yes"),
     ("<p>out</p><article><pre>x</pre></article>", None),
     ("<articles><p>no</p></articles>", None),
+    ("<article><div><article>inner</article></div><p>after</p></article>", "after"),
+    ("<article><article><p>deep</p></article><p>later</p></article><p>out</p>", "deep"),
+    ("<ARTICLE><article><article></article></ARTICLE></article><p>out</p>", None),
+    ("<article><articles></articles></article x><p>out</p>", None),
+    ("<article><article></article><p>never closed", "never closed"),
+    ("<article><p>1</p></article><article><p>2</p></article>", "1"),
     ("", None),
     (None, None),
 ]
@@ -117,9 +123,25 @@ def test_page_description_of_hand_made_pages(spark):
 
 def test_container_by_id(spark):
     pages = ["<p>no</p><div class=x id='productDescription'><p>yes</p></div>", "<div id=productDescription2><p>no</p></div>",
-             "<section id=\"productDescription\"></section><p>no</p>"]
+             "<section id=\"productDescription\"></section><p>no</p>",
+             "<div id=\"productDescription\"><div>box</div><p>real text</p></div>",
+             "<div id=productDescription><div><div></div><DIV>a</DIV></div></div><p>no</p>",
+             "<div id=productDescription><div><p>in</p></div></div>", "<img id=productDescription><p>no</p>",
+             "<my-box id=productDescription><my-box></my-box><p>own</p></my-box>"]
     df = spark.createDataFrame([(p,) for p in pages], "html string")
-    assert [r[0] for r in df.select(T.page_description("html", T.element_by_id("productDescription"))).collect()] == ["yes", None, None]
+    assert [r[0] for r in df.select(T.page_description("html", T.element_by_id("productDescription"))).collect()] == [
+        "yes", None, None, "real text", None, "in", None, "own"]
+
+
+def test_nested_pages_in_the_oracle(spark):
+    """The oracle finds the container's end in another way; both read the hand-made pages alike."""
+    import duckdb
+
+    from wordlens.plans.sql import page_description
+    nested = [h for h, _ in PAGES if h and "bogus" not in h and "&eacute" not in h]
+    con = duckdb.connect()
+    got = [con.execute(f"SELECT {page_description('h')} FROM (SELECT ? AS h)", [h]).fetchone()[0] for h in nested]
+    assert got == [want for h, want in PAGES if h in nested]
 
 
 def test_comma_list():

@@ -51,7 +51,7 @@ def remove_stop_words(words: Column | str,
     """Drop every occurrence of a stop word, keeping order and duplicates.
 
     (``array_except`` would also de-duplicate the remaining words, which is wrong here.)
-    The list is a short literal; for long lists explode and anti-join a broadcast table.
+    The list is a short literal; for a long one see ``counts.without_stop_table``.
     """
     stops = stop_word_array(stop_words)
     return F.filter(_col(words), lambda w: ~F.array_contains(stops, w))
@@ -69,7 +69,7 @@ def clean_words(text: Column | str,
     if drop_empty:
         return remove_stop_words(tokenize(text), stop_words)
     kept = remove_stop_words(split_tokens(text), stop_words)
-    return F.when(F.size(kept) == 0, F.array(F.lit(""))).otherwise(kept)
+    return _let(kept, lambda words: F.when(F.size(words) == 0, F.array(F.lit(""))).otherwise(words))
 
 
 def explode_clean_words(df, text: Column | str,
@@ -132,15 +132,17 @@ NAMED_ENTITIES = {
     "OElig": "Œ", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
     "bull": "•", "hellip": "…", "euro": "€", "trade": "™",
 }
-# The description's container: the first <article>. For an element by its id, see element_by_id.
-DEFAULT_CONTAINER = r"(?is)<(article)(?:\s[^>]*)?>(.*?)(?:</article\s*>|$)"
+# Elements that have no inside:
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+# The description's container: the first <article>, as a pattern of its start tag whose group 1 is the tag's name. For an
+# element by its id, see element_by_id.
+DEFAULT_CONTAINER = r"(?is)<(article)(?=[\s>/])[^>]*>"
 
 
 def element_by_id(element_id: str) -> str:
-    """A container pattern for the first element with this id (group 2 is its inside, up to the first end
-    tag of the same name)."""
-    return (r"""(?is)<([a-z][a-z0-9]*)\s(?:[^>]*\s)?id\s*=\s*["']?""" + re.escape(element_id)
-            + r"""(?=["'\s>])[^>]*>(.*?)(?:</\1\s*>|$)""")
+    """A container pattern for the first element with this id."""
+    return (r"""(?is)<([a-z][a-z0-9-]*)\s(?:[^>]*\s)?id\s*=\s*["']?""" + re.escape(element_id)
+            + r"""(?=["'\s>/])[^>]*>""")
 
 
 def _let(value: Column, body) -> Column:
@@ -169,13 +171,34 @@ def _decoded(text: Column) -> Column:
         F.array_join(F.transform(F.split(text, "&"), piece), ""))
 
 
+def _inside(name: Column, rest: Column) -> Column:
+    """``rest`` up to the end tag that closes an element ``name`` whose start tag stands just before it: the depth is folded over the
+    start and end tags of that name. An element that is never closed goes on to the end."""
+    pieces = F.split(rest, F.concat(F.lit("(?i)<(?=/?"), name, F.lit(r"[\s>/])")))
+
+    def scan(parts: Column) -> Column:
+        def step(so_far: Column, tag: Column) -> Column:
+            depth = so_far["depth"] + F.when(tag.startswith("/"), -1).otherwise(1)
+            return F.when(so_far["depth"] == 0, so_far).otherwise(F.struct(
+                depth.alias("depth"), (so_far["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n")))
+
+        start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("n"))
+        n = F.aggregate(F.slice(parts, 2, F.size(parts)), start, step, lambda x: x["n"])
+        return F.array_join(F.slice(parts, F.lit(1), n), "<")
+
+    return F.when(F.lower(name).isin(*VOID_TAGS), F.lit("")).otherwise(_let(pieces, scan))
+
+
 def description_html(html: Column | str, container: str = DEFAULT_CONTAINER) -> Column:
     """Inner HTML of the first paragraph within the container's own span; null if there is none.
 
-    A paragraph ends at any block-level tag, as a parser would close it there.
+    The container may hold elements of its own name, at any depth. A paragraph ends at any block-level tag, as a parser
+    would close it there.
     """
     visible = F.regexp_replace(_col(html), INVISIBLE_BLOCKS, " ")
-    inside = F.regexp_extract(visible, container, 2)
+    opened = _let(visible, lambda v: F.struct(F.regexp_extract(v, container, 1).alias("name"),
+                                              F.regexp_extract(v, container + "(.*)$", 2).alias("rest")))
+    inside = _let(opened, lambda x: _inside(x["name"], x["rest"]))
     stop = r"</?(?:" + "|".join(BLOCK_TAGS) + r")(?=[\s>/])"
     # group 1 is never empty, as it starts with the tag's own ">": "" means that no paragraph was found
     found = F.regexp_extract(inside, r"(?is)<p(?=[\s>])[^>]*(>.*?)(?:" + stop + "|$)", 1)

@@ -49,8 +49,10 @@ def page_description(html: str) -> str:
     name = "lower(regexp_extract(x, '^/?[A-Za-z][A-Za-z0-9]*'))"
     pieces = f"list_transform(string_split({plain}, '<')[2:], lambda x: {{'tag': {name}, 'text': x[strpos(x, '>') + 1:]}})"
     after = f"list_transform([{pieces}], lambda l: l[list_position(list_transform(l, lambda x: x.tag), 'article') + 1:])[1]"
-    inside = (f"list_transform([{after}], lambda l: CASE WHEN list_contains(list_transform(l, lambda x: x.tag), '/article') "
-              "THEN l[:list_position(list_transform(l, lambda x: x.tag), '/article') - 1] ELSE l END)[1]")
+    # the end tag after which as many articles were closed as opened, counted from the start for every piece
+    closed = ("list_position(list_transform(range(1, len(l) + 1), lambda i: list_sum(list_transform(l[:i], "
+              "lambda x: CASE x.tag WHEN 'article' THEN 1 WHEN '/article' THEN -1 ELSE 0 END)) = -1), true)")
+    inside = f"list_transform([{after}], lambda l: CASE WHEN {closed} > 0 THEN l[:{closed} - 1] ELSE l END)[1]"
     rest = (f"list_transform([{inside}], lambda l: CASE WHEN list_contains(list_transform(l, lambda x: x.tag), 'p') "
             "THEN l[list_position(list_transform(l, lambda x: x.tag), 'p'):] END)[1]")
     blocks = ", ".join(f"'{t}', '/{t}'" for t in _BLOCKS)
