@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -67,3 +68,19 @@ def test_token_positions_are_one_based_and_complete(spark):
     per_doc = pos.groupBy("doc_id").agg(F.max("pos").alias("m"), F.count("*").alias("n"))
     assert per_doc.where("m != n").count() == 0
     assert pos.agg(F.min("pos")).first()[0] == 1
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_long_stop_tables_keep_positions(spark, threshold):
+    """A list of 100,000 words, broadcast or not: no word of it is in the plan."""
+    stops = spark.range(100_000).select(F.concat(F.lit("Stop"), "id").alias("word")).unionByName(
+        spark.createDataFrame([(None,), ("THE",)], "word string"))
+    docs = spark.createDataFrame([(1, "the stop7 cat stop99999 sat stop100000 the"), (2, ""), (3, None)], "doc_id int, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        left = counts.without_stop_table(counts.token_positions(docs), stops)
+        assert sorted(tuple(r) for r in left.collect()) == [(1, 3, "cat"), (1, 5, "sat"), (1, 6, "stop100000")]
+        assert "stop99" not in left._jdf.queryExecution().toString().lower().replace("concat(stop", "")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

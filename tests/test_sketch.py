@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
+from wordlens.functions.hashing import with_hash_pair
 from wordlens.operators import bloom, cms, counts
 from wordlens.operators.lookup import byte_size, fits_broadcast
 from wordlens.params import cms_shape
@@ -154,3 +155,67 @@ def test_frequent_items_of_a_steep_vocabulary(spark):
     rows = [(f"w{i}",) for i in range(20) for _ in range(1000 >> min(i, 9))]
     got = [tuple(r) for r in cms.frequent_items(spark.createDataFrame(rows, "word string"), 4).collect()]
     assert got == [("w0", 1000), ("w1", 500), ("w2", 250), ("w3", 125)]
+
+
+def _weighted(spark, seed, n=30_000, heavy=60):
+    """Word counts with many words on either side of the heavy-hitter share."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    rows = [(f"w{i}", int(c)) for i, c in enumerate(rng.zipf(1.6, n).clip(max=3000))]
+    total = sum(c for _, c in rows)
+    rows += [(f"h{i}", int(total * rng.uniform(0.0006, 0.002))) for i in range(heavy)]
+    return spark.createDataFrame(rows, "word string, n bigint").repartition(4)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_hierarchy_finds_the_heavy_hitters_of_a_vocabulary(spark, seed):
+    counted = _weighted(spark, seed)
+    levels = materialize(cms.hierarchy_cells(counted, weight="n"))
+    assert _cells_dict(cms.word_cells(levels)) == _cells_dict(cms.sketch_cells(counted, weight="n"))
+    n = sum(r.cnt for r in levels.where("level = 0 and row = 0").collect())
+    plain = {tuple(r) for r in cms.heavy_hitter_estimates(counted, cms.word_cells(levels)).collect()}
+    got = {tuple(r) for r in cms.sketch_heavy_hitters(counted, levels).collect()}
+    exact = {r.word for r in counted.where(F.col("n") >= 0.001 * n).collect()}
+    assert exact <= {w for w, _ in got} and got <= plain and len(exact) > 20
+    half = {r.word for r in counted.where(F.col("n") >= 0.0005 * n).collect()}
+    assert {(w, e) for w, e in plain if w in half} <= got  # what it drops are light words with collisions in every row
+    for level, bits in enumerate(cms.PREFIX_BITS, 1):
+        found = [r.prefix for r in cms.heavy_prefixes(levels, level).collect()]
+        assert len(found) == len(set(found)) <= 2 / 0.001
+        true = with_hash_pair(counted, "word", 1).groupBy(cms._prefix(F.col("_h1"), bits).alias("p")).agg(F.sum("n").alias("n"))
+        assert {r.p for r in true.where(F.col("n") >= 0.0005 * n).collect()} <= set(found)
+    assert cms.found_words(counted, levels).count() <= 2 / 0.001  # of some 30,000: the others never meet the sketch
+
+
+def test_hierarchies_of_parts_merge(spark):
+    a, b = _weighted(spark, 4, 500), _weighted(spark, 5, 500)
+    parts = cms.hierarchy_cells(a, weight="n").unionByName(cms.hierarchy_cells(b, weight="n"))
+    merged = parts.groupBy("level", "row", "bucket").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+    whole = cms.hierarchy_cells(a.unionByName(b), weight="n")
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+
+
+def test_empty_hierarchy(spark):
+    levels = cms.hierarchy_cells(spark.createDataFrame([], "word string"))
+    assert cms.sketch_heavy_hitters(spark.createDataFrame([], "word string"), levels).count() == 0
+
+
+@pytest.mark.parametrize("words", [["a"] * 50 + ["b"] * 40 + ["c"] * 3, [f"w{i}" for i in range(60_000)] + ["top"] * 9])
+def test_merged_frequent_items(spark, words):
+    """A skewed and a flat vocabulary; the second is beyond what the sketch can tell, so all words are counted."""
+    parts = [spark.createDataFrame([(w,) for w in words[i::2]], "word string") for i in range(2)]
+    sketch = cms.merge_frequent(*[materialize(cms.frequent_sketch(p)) for p in parts])
+    assert sketch.first().n == len(words)
+    from collections import Counter
+    want = sorted(Counter(words).items(), key=lambda t: (-t[1], t[0]))[:3]
+    assert [tuple(r) for r in cms.top_of_sketch(sketch, parts[0].unionByName(parts[1]), 3).collect()] == want
+
+
+def test_filter_shape_follows_the_items(spark):
+    """20,000 items in a filter sized for them keep to the false-positive rate; the fixed shape would be full."""
+    items = spark.range(20_000).select(F.concat(F.lit("http://x/"), "id").alias("url"))
+    n = bloom.sized_for(items)
+    bits = materialize(bloom.bloom_bits(items, expected_items=n))
+    other = spark.range(20_000).select(F.concat(F.lit("http://y/"), "id").alias("url"))
+    assert n == 20_000 and bloom.might_contain(items, bits, expected_items=n).where("not might_contain").isEmpty()
+    assert bloom.might_contain(other, bits, expected_items=n).where("might_contain").count() < 0.04 * 20_000

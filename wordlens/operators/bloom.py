@@ -13,7 +13,7 @@ an exact anti-join. So a filter beyond its design point costs time and never a U
 from __future__ import annotations
 
 import math
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,20 +35,37 @@ def _false_positive_rate(load: float, k: int) -> float:
     return total
 
 
-def blocked_shape(expected_items: int = BLOOM_EXPECTED_ITEMS, fpp: float = BLOOM_FPP) -> tuple[int, int]:
-    """(number of words, bits per item): the fewest words that keep to the false-positive rate."""
-    if expected_items <= 0 or not 0.0 < fpp < 1.0:
-        raise ValueError("expected_items must be > 0 and 0 < fpp < 1")
-    best: tuple[int, int] | None = None
+@cache
+def items_per_block(fpp: float = BLOOM_FPP) -> tuple[float, int]:
+    """(items that a word takes, bits per item): the fullest words that keep to the false-positive rate."""
+    if not 0.0 < fpp < 1.0:
+        raise ValueError("fpp must be in (0, 1)")
+    loads = []
     for k in range(1, 11):
         low, high = 1e-4, 64.0
         for _ in range(50):
             middle = (low + high) / 2
             low, high = (middle, high) if _false_positive_rate(middle, k) <= fpp else (low, middle)
-        blocks = max(1, math.ceil(expected_items / low))
-        if best is None or blocks < best[0]:
-            best = (blocks, k)
-    return best
+        loads.append((low, k))
+    return max(loads)
+
+
+def blocked_shape(expected_items: int = BLOOM_EXPECTED_ITEMS, fpp: float = BLOOM_FPP) -> tuple[int, int]:
+    """(number of words, bits per item) of a filter for so many items."""
+    if expected_items <= 0:
+        raise ValueError("expected_items must be > 0")
+    load, k = items_per_block(fpp)
+    return max(1, math.ceil(expected_items / load)), k
+
+
+def sized_for(items: DataFrame, least: int = BLOOM_EXPECTED_ITEMS) -> int:
+    """Expected items of a table's filter: its rows, and the design point at least. Counts a written table's rows."""
+    return max(items.count(), least)
+
+
+def sql_blocks(count: str, fpp: float = BLOOM_FPP, least: int = BLOOM_EXPECTED_ITEMS) -> str:
+    """The DuckDB expression of that filter's number of words, for a count of items."""
+    return f"CAST(ceil(greatest({count}, {least}) / CAST({items_per_block(fpp)[0]!r} AS DOUBLE)) AS BIGINT)"
 
 
 def _place(item: Column, blocks: int, k: int, seed: str) -> tuple[Column, Column]:
@@ -59,7 +76,7 @@ def _place(item: Column, blocks: int, k: int, seed: str) -> tuple[Column, Column
     return F.pmod(where, F.lit(blocks)), reduce(Column.bitwiseOR, bits)
 
 
-def sql_place(item: str, blocks: int, k: int, seed: str) -> tuple[str, str]:
+def sql_place(item: str, blocks: int | str, k: int, seed: str) -> tuple[str, str]:
     """The DuckDB expressions of the same block and mask."""
     from wordlens.functions.hashing import sql_wide
     which = sql_wide(item, seed, 1)

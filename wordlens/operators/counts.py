@@ -35,6 +35,17 @@ def clean_word_positions(docs: DataFrame, key: str = "doc_id", text: str = "text
             .select(key, (F.col("p") + 1).cast("bigint").alias("pos"), "word"))
 
 
+def without_stop_table(words: DataFrame, stops: DataFrame, word: str = "word", stop: str = "word") -> DataFrame:
+    """Rows of ``words`` whose word is not in a stop list of any length, given as a table (compared in lower case).
+
+    An anti-join: other columns, as positions, are kept, and no word is a literal of the plan. Spark broadcasts the list if its
+    size, which it knows at run time, is within the broadcast threshold; else a word that is a large share of the rows is
+    split over tasks. Rows with a null word are kept; nulls in the list are ignored.
+    """
+    listed = stops.select(F.lower(stop).alias("_stop")).distinct()
+    return words.join(listed, F.col(word) == F.col("_stop"), "left_anti")
+
+
 def word_occurrences(docs: DataFrame, text: str = "text",
                      stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                      drop_empty: bool = True) -> DataFrame:

@@ -50,7 +50,7 @@ from wordlens.streaming import jobs
 
 EPS = cms.DEFAULT_EPS
 DEPTH, WIDTH = cms_shape(EPS, CMS_DELTA)
-BLOCKS, HASHES = bloom.blocked_shape()
+HASHES = bloom.items_per_block()[1]
 WAVES = 3
 LOG_PARTITIONS = 4
 
@@ -100,6 +100,11 @@ def _cells(spark, sf, word_counts=None):
     return materialize(cms.sketch_from_counts(wc))
 
 
+def _hierarchy(spark, sf):
+    """The documents' sketch with the levels of its hash prefixes."""
+    return materialize(cms.hierarchy_cells(_occurrences(spark, sf)))
+
+
 # SQL building blocks
 _W = S.word_rows("documents")
 _W_CONV = S.word_rows("conversations")
@@ -108,6 +113,7 @@ _VOCAB = f"SELECT DISTINCT word FROM ({_W})"
 _EST = S.estimates(_VOCAB, _CELLS, DEPTH, WIDTH, CMS_SEED)
 _TOTAL = f"(SELECT sum(cnt) FROM ({_CELLS}) WHERE row = 0)"
 _HH = f"SELECT word, est FROM ({_EST}) WHERE est >= {CMS_HEAVY_HITTER_PCT!r} * {_TOTAL}"
+_FOUND = S.found_in_hierarchy(_HH, S.hierarchy_cells(_W, DEPTH, WIDTH, CMS_SEED), WIDTH, CMS_SEED, CMS_HEAVY_HITTER_PCT - EPS)
 _WC = f"SELECT word, CAST(count(*) AS BIGINT) AS count FROM ({_W}) GROUP BY word"
 _LOG = (f"SELECT url AS key, CAST(unnest(range({S.sql_hash_bucket('url', ARRIVAL_HASH_SEED, WAVES)}, {WAVES})) AS INTEGER) "
         "AS wave FROM pages")
@@ -244,6 +250,17 @@ def q_stopword_filtered(spark, sf):
     return counts.clean_word_positions(_docs(spark, sf))
 
 
+@register("stop_table_filtered", f"""
+WITH t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+           FROM (SELECT doc_id, {S.tokens('text')} AS w FROM documents))
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, word FROM t
+WHERE word NOT IN (SELECT unnest({S.tokens('text')}) FROM conversations WHERE text IS NOT NULL)""")
+def q_stop_table_filtered(spark, sf):
+    """T5 with a long stop list, given as a table: every word that the conversations use. Positions are kept."""
+    stops = tables.conversations(spark, sf, ("text",)).select(F.explode(TX.tokenize("text")).alias("word"))
+    return counts.without_stop_table(counts.token_positions(_docs(spark, sf)), stops)
+
+
 @register("cleaned_text", f"""
 SELECT doc_id, array_to_string({S.clean_words('text')}, ' ') AS text FROM documents""")
 def q_cleaned_text(spark, sf):
@@ -304,18 +321,20 @@ def q_exact_topk(spark, sf):
 
 # --------------------------------------------------------------------------- Bloom filter
 
-@register("bloom_bits", S.bloom_bits(_PROCESSED, BLOCKS, HASHES, bloom.BLOOM_SEED))
+@register("bloom_bits", S.bloom_bits(_PROCESSED, HASHES, bloom.BLOOM_SEED))
 def q_bloom_bits(spark, sf):
-    """A5: words of the processed URLs' filter (shape for 1000 items at 3%; it holds any number)."""
-    return bloom.bloom_bits(_processed(spark, sf))
+    """A5: words of the processed URLs' filter, in the shape for their number (1000 at least) at 3%."""
+    processed = materialize(_processed(spark, sf))
+    return bloom.bloom_bits(processed, expected_items=bloom.sized_for(processed))
 
 
-@register("bloom_merge", S.bloom_bits(f"SELECT url FROM ({_VALID})", BLOCKS, HASHES, bloom.BLOOM_SEED))
+@register("bloom_merge", S.bloom_bits(f"SELECT url FROM ({_VALID})", HASHES, bloom.BLOOM_SEED))
 def q_bloom_merge(spark, sf):
     """OR of the https filter and the http filter = filter of all valid URLs."""
     valid = materialize(urls.valid_pages(tables.pages(spark, sf, ("url", "html"))).select("url"))
-    https = bloom.bloom_bits(valid.where(F.col("url").startswith("https:")))
-    http = bloom.bloom_bits(valid.where(~F.col("url").startswith("https:")))
+    n = bloom.sized_for(valid)
+    https = bloom.bloom_bits(valid.where(F.col("url").startswith("https:")), expected_items=n)
+    http = bloom.bloom_bits(valid.where(~F.col("url").startswith("https:")), expected_items=n)
     return bloom.bloom_merge(https, http)
 
 
@@ -323,9 +342,10 @@ def q_bloom_merge(spark, sf):
 def q_new_urls_bloom(spark, sf):
     """A6 P3 (Bloom): URLs not yet processed; the filter spares the look-up of those it lacks."""
     processed = materialize(_processed(spark, sf))
-    bits = materialize(bloom.bloom_bits(processed))
+    n = bloom.sized_for(processed)
+    bits = materialize(bloom.bloom_bits(processed, expected_items=n))
     incoming = _log(spark, sf).select(F.col("key").alias("url"))
-    return bloom.new_urls_bloom(incoming, bits, processed)
+    return bloom.new_urls_bloom(incoming, bits, processed, expected_items=n)
 
 
 # --------------------------------------------------------------------------- count-min
@@ -355,16 +375,27 @@ def q_cms_estimate(spark, sf):
 
 @register("cms_heavy_hitters", _HH)
 def q_cms_heavy_hitters(spark, sf):
-    """Words whose estimate is at least 0.1% of all words."""
+    """Words of a vocabulary whose estimate is at least 0.1% of all words."""
     wc = _word_counts(spark, sf)
     return cms.heavy_hitter_estimates(wc, _cells(spark, sf, wc))
 
 
+@register("cms_hierarchy", S.hierarchy_cells(_W, DEPTH, WIDTH, CMS_SEED))
+def q_cms_hierarchy(spark, sf):
+    """A8 for heavy hitters: the words' sketch and those of their hashes' prefixes."""
+    return cms.hierarchy_cells(_occurrences(spark, sf))
+
+
+@register("cms_hierarchy_heavy_hitters", _FOUND)
+def q_cms_hierarchy_heavy_hitters(spark, sf):
+    """A11 P8 from the sketch alone: hash prefixes are followed from the shortest on, and only found hashes meet words."""
+    return cms.sketch_heavy_hitters(_occurrences(spark, sf), _hierarchy(spark, sf))
+
+
 @register("cms_topk", f"{_HH} ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_cms_topk(spark, sf):
     """O3: top k heavy hitters by estimate."""
-    wc = _word_counts(spark, sf)
-    return cms.sketch_topk(wc, CMS_TOPK, _cells(spark, sf, wc))
+    return cms.best_estimates(cms.sketch_heavy_hitters(_occurrences(spark, sf), _hierarchy(spark, sf)), CMS_TOPK)
 
 
 @register("cms_audit", f"""
@@ -382,6 +413,16 @@ def q_topk_frequent_items(spark, sf):
     return cms.frequent_items(_occurrences(spark, sf), CMS_TOPK)
 
 
+@register("frequent_items_merged", f"""
+SELECT word, CAST(count(*) AS BIGINT) AS count FROM ({_W} UNION ALL {_W_CONV}) GROUP BY word
+ORDER BY count DESC, word LIMIT {CMS_TOPK}""")
+def q_frequent_items_merged(spark, sf):
+    """A12 over two tables: each one's frequent-items sketch is built and written on its own; the merged sketch proposes."""
+    tables_ = [_occurrences(spark, sf), counts.word_occurrences(tables.conversations(spark, sf, ("text",)))]
+    sketches = [materialize(cms.frequent_sketch(t)) for t in tables_]
+    return cms.top_of_sketch(cms.merge_frequent(*sketches), tables_[0].unionByName(tables_[1]), CMS_TOPK)
+
+
 # --------------------------------------------------------------------------- sinks
 
 @register("saved_word_table", f"SELECT word AS words, count FROM ({_WC})")
@@ -402,8 +443,8 @@ def q_saved_table_sql(spark, sf):
 @register("topk_words_only", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_topk_words_only(spark, sf):
     """K2: save and publish the top-k table (word)."""
-    wc = _word_counts(spark, sf)
-    top = cms.sketch_topk(wc, CMS_TOPK, _cells(spark, sf, wc)).select("word")
+    hitters = cms.sketch_heavy_hitters(_occurrences(spark, sf), _hierarchy(spark, sf))
+    top = cms.best_estimates(hitters, CMS_TOPK).select("word")
     return read_saved(spark, save_table(top, "top_words", "saved"))
 
 

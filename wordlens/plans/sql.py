@@ -8,7 +8,8 @@ counts vertical tab as whitespace). Hash positions come from
 from __future__ import annotations
 
 from wordlens.functions.hashing import sql_hash_bucket, sql_hash_positions  # noqa: F401
-from wordlens.operators.bloom import sql_place
+from wordlens.operators.bloom import sql_blocks, sql_place
+from wordlens.operators.cms import PREFIX_BITS, PREFIX_ROWS, sql_prefix_place
 from wordlens.params import SHIPPED_STOP_WORDS
 
 DELIM = r"[[:punct:]\s]+"
@@ -82,6 +83,33 @@ def sketch_cells(words_sql: str, depth: int, width: int, seed: int) -> str:
             f"GROUP BY ALL")
 
 
+def _prefix(word: str, seed: int, bits: int) -> str:
+    return f"(CAST(('0x' || substr(md5('{seed}:' || {word}), 1, 8)) AS BIGINT) >> {32 - bits})"
+
+
+def _levels(word: str, width: int, seed: int) -> list[tuple[int, int, str]]:
+    """(level, row, bucket) of a word's cells above the words' own."""
+    out = [(1, 0, _prefix(word, seed, PREFIX_BITS[0]))]
+    for level, bits in enumerate(PREFIX_BITS[1:], 2):
+        out += [(level, r, sql_prefix_place(_prefix(word, seed, bits), r, width)) for r in range(PREFIX_ROWS)]
+    return out
+
+
+def hierarchy_cells(words_sql: str, depth: int, width: int, seed: int) -> str:
+    own = f"SELECT 0 AS level, row, bucket, cnt FROM ({sketch_cells(words_sql, depth, width, seed)})"
+    above = [f"SELECT {level} AS level, {row} AS row, CAST({bucket} AS BIGINT) AS bucket, CAST(count(*) AS BIGINT) AS cnt "
+             f"FROM ({words_sql}) w GROUP BY ALL" for level, row, bucket in _levels("w.word", width, seed)]
+    return " UNION ALL ".join([own, *above])
+
+
+def found_in_hierarchy(hitters_sql: str, levels_sql: str, width: int, seed: int, share: float) -> str:
+    """Heavy hitters (word, est) all whose cells in the levels hold at least ``share`` of all items."""
+    places = ", ".join(f"({level}, {row}, {bucket})" for level, row, bucket in _levels("h.word", width, seed))
+    return (f"WITH cells AS ({levels_sql}), total AS (SELECT sum(cnt) AS n FROM cells WHERE level = 0 AND row = 0) "
+            f"SELECT h.word, h.est FROM ({hitters_sql}) h, total WHERE (SELECT min(coalesce(c.cnt, 0)) "
+            f"FROM (VALUES {places}) p(level, row, bucket) LEFT JOIN cells c USING (level, row, bucket)) >= {share!r} * total.n")
+
+
 def estimates(vocab_sql: str, cells_sql: str, depth: int, width: int, seed: int) -> str:
     pos = sql_hash_positions("v.word", seed, "t.i", width)
     return (f"SELECT v.word, CAST(min(coalesce(c.cnt, 0)) AS BIGINT) AS est "
@@ -89,6 +117,8 @@ def estimates(vocab_sql: str, cells_sql: str, depth: int, width: int, seed: int)
             f"LEFT JOIN ({cells_sql}) c ON c.row = t.i AND c.bucket = {pos} GROUP BY v.word")
 
 
-def bloom_bits(urls_sql: str, blocks: int, k: int, seed: str) -> str:
-    block, mask = sql_place("u.url", blocks, k, seed)
-    return f"SELECT {block} AS block, bit_or({mask}) AS bits FROM ({urls_sql}) u GROUP BY 1"
+def bloom_bits(urls_sql: str, k: int, seed: str) -> str:
+    """The filter of the URLs, in the shape for their number."""
+    block, mask = sql_place("u.url", sql_blocks("n.n"), k, seed)
+    return (f"WITH u AS ({urls_sql}), n AS (SELECT count(*) AS n FROM u) "
+            f"SELECT {block} AS block, bit_or({mask}) AS bits FROM u, n GROUP BY 1")
