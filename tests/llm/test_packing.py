@@ -22,7 +22,6 @@ def corpus():
 
 def brute(rows):
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     out = []
     for _, d, text, _ in rows:
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]
@@ -90,6 +89,20 @@ def test_documents_and_cost_can_bind(capacity, least):
     assert np.bincount(bins).max() == 3 and len(np.unique(bins)) == least
 
 
-def test_special_names_in_a_text_are_text():
-    ids = np.frombuffer(packing.WordTokenizer(tokenizer_path()).ids(b"a <|endoftext|> <|startoftext|> b"), "<u4")
-    assert not {49406, 49407} & set(ids.tolist())
+def test_special_names_are_the_files_own():
+    """A text with the name of a special token is encoded as the file has it; only the exact name is one."""
+    whole = Tokenizer.from_file(tokenizer_path())
+    given = ["hello <|endoftext|> world", "a<|startoftext|>b. <|endoftext|>", "A <|ENDOFTEXT|> b", "<|endoftext|", "x <|endoftext |> y"]
+    store = packing.WordTokenizer(tokenizer_path())
+    got = [np.frombuffer(x, "<u4").tolist() for x in store.ids([t.encode() for t in given])]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in given]
+    assert got[0] == [3306, 49407, 1002] and store.mark
+
+
+def test_a_full_store_starts_anew(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 30)
+    monkeypatch.setattr(packing, "RUN", 4)
+    whole, store = Tokenizer.from_file(tokenizer_path()), packing.WordTokenizer(tokenizer_path())
+    for i in range(12):
+        t = " ".join(f"w{i * 3 + j}," for j in range(8)) + " and and. the"
+        assert np.frombuffer(store.ids([t.encode()])[0], "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids

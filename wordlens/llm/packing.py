@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.arrays import texts
+from wordlens.llm.arrays import raw, row_chunks, texts
+from wordlens.llm.worker import kept
 from wordlens.session import materialize
 
 MAX_TOKENS, MAX_DOCUMENTS, MAX_COST = 2048, 2048, 2048 * 2048
@@ -30,51 +31,68 @@ END_ID = 0
 BLOCK_PIECES = 20_000
 #: Weights of tokens, documents and attention cost in the norm and the dot product.
 WEIGHTS = (1.0, 1e-3, 1e-3)
-#: Words whose ids a worker remembers at most.
-KNOWN_WORDS = 700_000
+#: Words whose ids a worker remembers at most, and new ones that are encoded at once.
+KNOWN_WORDS, RUN = 700_000, 1_000
 
 
 class WordTokenizer(dict):
-    """Ids of a text from a tokenizers file, remembered by white-space-separated word.
+    """Ids of texts from a tokenizers file, remembered by white-space-separated word.
 
     Right only for tokenizers whose tokens never span or depend on white space, that lower-case, and that part letters
-    from punctuation (as the one in use), so a text's ids are its words' ids in turn. The values are little-endian
-    unsigned 32-bit integers.
+    from punctuation (as the one in use), so a text's ids are its words' ids in turn. A text that holds the name of a
+    special token is encoded whole, as the file has it. The values are little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: bytes) -> bytes:
-        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            ids = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= KNOWN_WORDS:
+        self.whole, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.words.encode_special_tokens = True
+        added = {i: t.content for i, t in self.whole.get_added_tokens_decoder().items()}
+        self.names = [x.encode() for x in added.values()]
+        # a special token between two words keeps them apart, so that many can be encoded as one text
+        self.mark, self.mark_id = next(((x, i) for i, x in sorted(added.items()) if self._ids(self.whole, f"a{x}b").tolist() == [
+            *self._ids(self.words, "a"), i, *self._ids(self.words, "b")]), (None, -1))
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, words: set[bytes]) -> None:
+        """Add the ids of words that are not known; one that ends in a dot or comma after a letter is two words' ids."""
+        if len(self) + len(words) > KNOWN_WORDS:
             self.clear()
-        self[word] = ids
-        return ids
-
-    def ids(self, text: bytes) -> bytes:
+        words = words - self.keys()
+        ended = {w for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        new = list(words - ended | {w[:-1] for w in ended} - self.keys() | {w[-1:] for w in ended} - self.keys())
+        named = [w for w in new if not self.mark or any(x in w.lower() for x in self.names)]
+        for w in named:
+            self[w] = self._ids(self.words, w.decode("utf-8", "replace")).tobytes()
+        plain = list(set(new) - set(named)) if named else new
+        for at in range(0, len(plain), RUN):
+            run = plain[at:at + RUN]
+            ids = self._ids(self.whole, self.mark.join(w.decode("utf-8", "replace") for w in run))
+            cuts = np.flatnonzero(ids == self.mark_id)
+            for w, x, y in zip(run, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                self[w] = ids[x:y].tobytes()
+        for w in ended:
+            self[w] = self[w[:-1]] + self[w[-1:]]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Each text's ids."""
+        whole = {i: t for i, t in enumerate(texts) if any(x in t for x in self.names)}
         # combining marks (lead bytes 0xCC, 0xCD) may compose with a lower-case letter only; leave those texts' case
-        if b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.split()))
-
-
-def _worker_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer for each Python worker, so that its words stay known from task to task."""
-    import sys
-    import types
-
-    kept = sys.modules.setdefault("_worker_tokenizers", types.ModuleType("_worker_tokenizers")).__dict__
-    if path not in kept:
-        kept[path] = WordTokenizer(path)
-    return kept[path]
+        parts = [[] if i in whole else (t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for i, t in enumerate(texts)]
+        missing = {w for own in parts for w in own if w not in self}
+        if missing:
+            if len(self) + len(missing) > KNOWN_WORDS:
+                missing = {w for own in parts for w in own}
+            self.learn(missing)
+        out = [b"".join(map(self.__getitem__, own)) for own in parts]
+        for i, t in whole.items():
+            out[i] = self._ids(self.whole, t.decode("utf-8", "replace")).tobytes()
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
@@ -86,18 +104,20 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = _worker_tokenizer(tokenizer_path)
+        tokenizer = kept(("word tokenizer", tokenizer_path), lambda: WordTokenizer(tokenizer_path))
         end, step = np.array([end_id], "<u4").tobytes(), 4 * max_tokens
         for batch in batches:
             row, piece, length, crc = [], [], [], []
-            for r, text in enumerate(texts(batch.column("text"))):
-                ids = tokenizer.ids(text) + end
-                for i, at in enumerate(range(0, len(ids), step)):
-                    own = ids[at:at + step]
-                    row.append(r)
-                    piece.append(i)
-                    length.append(len(own) // 4)
-                    crc.append(zlib.crc32(own))
+            column = batch.column("text")
+            for first, last in row_chunks(raw(column)[0]):
+                for r, ids in enumerate(tokenizer.ids(list(texts(column.slice(first, last - first)))), first):
+                    ids += end
+                    for i, at in enumerate(range(0, len(ids), step)):
+                        own = ids[at:at + step]
+                        row.append(r)
+                        piece.append(i)
+                        length.append(len(own) // 4)
+                        crc.append(zlib.crc32(own))
             number = np.array(piece, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(number.astype(np.int32)),
