@@ -61,6 +61,20 @@ def test_edited_notices(spark, change, found):
     assert all((label in got[n].labels.split(",")) == found for label, n, _, _ in rows)
 
 
+@pytest.mark.parametrize("gap", ["", " and more. "])
+def test_repeated_notices(spark, gap):
+    """Copies of a notice in a row are one chain of diagonals, however many; each is found."""
+    rows = [(label, 10 * n + k, gap.join([text + " "] * times), 0) for n, (label, text) in enumerate(licences.NOTICES)
+            for k, times in enumerate([1, 2, 3, 50])]
+    rows.append(("all-rights-reserved", 9000, "Copyright. All rights reserved!\n" * 1000, 0))
+    half = licences.NOTICES[0][1].split()[:12]
+    rows.append(("", 9001, " ".join(half * 40), 0))  # many beginnings are no whole notice
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for label, d, _, _ in rows:
+        assert label in found[d].labels.split(",") and (d == 9001 or found[d].score == 1.0), (d, found[d])
+    assert found[9001].labels == ""
+
+
 def test_empty_table(spark):
     assert licences.scan(spark.createDataFrame([], SCHEMA)).count() == 0
 

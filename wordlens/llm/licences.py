@@ -4,8 +4,9 @@ The words of every text are hashed in rolling k-grams, which are joined to the p
 same k-grams in license templates (a fixed, small table, so its broadcast is bounded). A hit at word p of a
 text and word t of a template lies on diagonal p - t; a copied license puts its hits on one diagonal, and
 each inserted or dropped word moves the rest by one. Hits are aggregated by (text, template,
-diagonal), neighbouring diagonals that are at most ``MAX_SHIFT`` apart and within a template's length of one another are merged,
-and a merged span counts if its hits cover at least ``MIN_COVERAGE`` of the template's k-grams.
+diagonal). From every diagonal on, its neighbours (each at most ``MAX_SHIFT`` from the one before, all within a template's length of the
+first) are merged, and a merged span counts if its hits cover at least ``MIN_COVERAGE`` of the template's k-grams. A
+notice that is repeated has diagonals in a chain of any length, of which each copy's own are a span.
 The join compares the words themselves beside the hash, so hits are never collisions.
 
 Base phrases (a few words each) are templates too, whose span must be whole.
@@ -96,18 +97,20 @@ def scan(docs: DataFrame, max_shift: int = MAX_SHIFT, min_coverage: float = MIN_
     hits = joined.where(heads | F.coalesce(same, F.lit(False)))
     text, template = ["doc_id", "th"], ["template", "is_base", "label", "grams", "words"]
     diagonals = hits.groupBy(*text, *template, (F.col("pos") - F.col("t")).alias("diagonal")).agg(
-        F.collect_set("t").alias("ts"), F.min("pos").alias("start"), F.max("pos").alias("last"),
+        F.collect_set("t").alias("ts"), F.min("pos").alias("start"),
         F.max("n_words").alias("n_words"), F.sum(heads.cast("int")).alias("copies"))
     by = Window.partitionBy(*text, "template").orderBy("diagonal")
     reach = F.when(F.col("is_base"), 0).otherwise(max_shift)
     apart = F.when(F.col("diagonal") - F.lag("diagonal").over(by) <= reach, 0).otherwise(1)
-    spans = (diagonals.withColumn("apart", apart).withColumn("span", F.sum("apart").over(by))
-             .groupBy(*text, *template, "span")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("covered"), F.min("start").alias("start"),
-                  F.max("last").alias("last"), F.max("n_words").alias("n_words"), F.sum("copies").alias("copies")))
+    chained = diagonals.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(by))
+    # what follows within the longest template's length, cut to the own template's
+    ahead = (Window.partitionBy(*text, "template", "chain").orderBy("diagonal")
+             .rangeBetween(Window.currentRow, max(len(t.split()) for _, t in NOTICES)))
+    near = F.filter("following", lambda x: x["diagonal"] < F.col("diagonal") + F.col("words"))
+    spans = chained.withColumn("following", F.collect_list(F.struct("diagonal", "ts")).over(ahead)).withColumn(
+        "covered", F.size(F.array_distinct(F.flatten(F.transform(near, lambda x: x["ts"])))))
     coverage = F.col("covered") / F.col("grams")
-    verified = F.when(F.col("is_base"), F.col("covered") == F.col("grams")).otherwise(
-        (coverage >= min_coverage) & (F.col("last") - F.col("start") <= 2 * F.col("words")))
+    verified = F.when(F.col("is_base"), F.col("covered") == F.col("grams")).otherwise(coverage >= min_coverage)
     found = spans.where(F.col("template").isNull() | verified).withColumn("coverage", coverage)
     base = F.coalesce(F.col("is_base"), F.lit(False))
     result = found.groupBy(*text).agg(

@@ -43,15 +43,16 @@ grams AS (SELECT r, pos, array_to_string(ws[pos + 1:pos + 3], ' ') AS gram FROM
 marks AS (SELECT * EXCLUDE (ws), array_to_string(ws[t + 1:t + 3], ' ') AS gram
           FROM (SELECT *, unnest(range(grams)) AS t FROM templates)),
 diagonals AS (SELECT r, template, is_base, label, grams, words, pos - t AS diagonal, list(DISTINCT t) AS ts,
-                     min(pos) AS a, max(pos) AS b FROM grams JOIN marks USING (gram) GROUP BY ALL),
+                     min(pos) AS a FROM grams JOIN marks USING (gram) GROUP BY ALL),
 steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal)
                     <= CASE WHEN is_base THEN 0 ELSE {licences.MAX_SHIFT} END THEN 0 ELSE 1 END AS apart FROM diagonals),
-spans AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM steps),
-merged AS (SELECT r, template, is_base, label, grams, words, len(list_distinct(flatten(list(ts)))) AS covered,
-                  min(a) AS a, max(b) AS b FROM spans GROUP BY r, template, is_base, label, grams, words, span),
+chains AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS chain FROM steps),
+merged AS (SELECT f.r, f.template, f.is_base, f.label, f.grams, f.words, f.diagonal, f.a,
+                  len(list_distinct(flatten(list(n.ts)))) AS covered
+           FROM chains f JOIN chains n ON n.r = f.r AND n.template = f.template AND n.chain = f.chain
+            AND n.diagonal >= f.diagonal AND n.diagonal < f.diagonal + f.words GROUP BY ALL),
 found AS (SELECT *, covered / grams AS coverage FROM merged
-          WHERE CASE WHEN is_base THEN covered = grams
-                ELSE covered / grams >= {licences.MIN_COVERAGE} AND b - a <= 2 * words END)
+          WHERE CASE WHEN is_base THEN covered = grams ELSE covered / grams >= {licences.MIN_COVERAGE} END)
 SELECT doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_words, CAST(count(*) FILTER (is_base) AS BIGINT) AS n_base,
        CAST(min(a) FILTER (is_base) AS BIGINT) AS first_word, CAST(max(a) FILTER (is_base) AS BIGINT) AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base), '') AS base_labels,
