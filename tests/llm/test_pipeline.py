@@ -4,6 +4,7 @@ import random
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from wordlens.llm import quality, simhash, substring, tiling
 from wordlens.session import materialize
@@ -70,3 +71,17 @@ def test_registered_queries():
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "SimHash near-dedup", "substring dedup",
                                                "benchmark decontamination", "best-fit packing"]
+
+
+def test_clashing_columns_pass_through_every_stage(spark):
+    """Columns named like those that the stages make are carried as they are."""
+    names = "_id _th _key id ID_ th hash key marks text_hash keep root fp component_id item_id ids word row".split()
+    names = [n for n in names if n.lower() not in {m.lower() for m in names[:names.index(n)]}]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plain, wide = docs, docs.withColumns({n: F.concat(F.lit(f"{n}:"), "doc_id") for n in names})
+    for name, stage in pipeline.STAGES[:-1]:
+        plain, wide = materialize(stage(spark, plain, SF_SMALL), "test"), materialize(stage(spark, wide, SF_SMALL), "test")
+        assert wide.columns == docs.columns + names
+        assert sorted(map(tuple, wide.select(docs.columns).collect())) == sorted(map(tuple, plain.collect())), name
+        assert wide.where(" or ".join(f"`{n}` is null or `{n}` <> concat('{n}:', doc_id)" for n in names)).isEmpty(), name
+    assert pipeline.STAGES[-1][1](spark, wide, SF_SMALL).count() == pipeline.STAGES[-1][1](spark, plain, SF_SMALL).count()

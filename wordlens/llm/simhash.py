@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import texts
 from wordlens.llm.components import components
+from wordlens.llm.names import free
 from wordlens.session import materialize
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -155,8 +156,8 @@ def keep_one_per_group(docs: DataFrame, **how) -> DataFrame:
     last = F.lit((1 << 63) - 1)
     groups = near_duplicates(docs, **how)
     chosen = groups.groupBy("root").agg(
-        F.min(F.struct(F.coalesce("doc_id", last).alias("_id"), F.col("text_hash").alias("_th"))).alias("k"))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), last),
-                              "_th": F.xxhash64("text")})
-    kept = keyed.join(chosen.select("k._id", "k._th"), ["_id", "_th"], "left_semi")
-    return kept.dropDuplicates(["_id", "_th"]).select(*docs.columns)
+        F.min(F.struct(F.coalesce("doc_id", last).alias("id"), F.col("text_hash").alias("hash"))).alias("k"))
+    key = free(docs.columns, "id", "hash")
+    keyed = docs.withColumns({key[0]: F.coalesce(F.col("doc_id").cast("bigint"), last), key[1]: F.xxhash64("text")})
+    kept = keyed.join(chosen.select(F.col("k.id").alias(key[0]), F.col("k.hash").alias(key[1])), key, "left_semi")
+    return kept.dropDuplicates(key).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import gram_hashes, span_hashes, texts, words
+from wordlens.llm.names import free
 from wordlens.session import materialize
 
 WINDOW, ANCHOR_WORDS, HOT_RUNS = 50, 16, 1000
@@ -233,9 +234,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, keep_columns: list[str] | None,
-         schema_names: list[str]) -> Iterator[pa.RecordBatch]:
+         schema_names: list[str], marked: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        marks = batch.column("marks").to_pylist()
+        marks = batch.column(marked).to_pylist()
         n_words, n_removed, digests, kept_texts = [], [], [], []
         for text, own in zip(texts(batch.column("text")), marks):
             parts = text.split()
@@ -270,13 +271,16 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, keep_columns: list[str]
         yield pa.RecordBatch.from_arrays([columns[c] for c in schema_names], schema_names).filter(some)
 
 
-def _marked(docs: DataFrame, window: int, **how) -> DataFrame:
-    keyed = docs.withColumns({f"_{k}": c for k, c in row_key(docs).items()})
-    own = keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), "text")
+def _marked(docs: DataFrame, window: int, **how) -> tuple[DataFrame, str]:
+    """docs with a column of the marked windows, and its name."""
+    own_id, own_hash, marked = free(docs.columns, "id", "hash", "marks")
+    key = row_key(docs)
+    keyed = docs.withColumns({own_id: key["id"], own_hash: key["th"]})
+    own = keyed.select(F.col(own_id).alias("id"), F.col(own_hash).alias("th"), "text")
     marks = repeated_windows(own, window, **how).groupBy("id", "th").agg(
         F.collect_set(F.struct("start", "n")).alias("marks"))
-    marks = marks.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "marks")
-    return keyed.join(marks, ["_id", "_th"], "left").drop("_id", "_th")
+    marks = marks.select(F.col("id").alias(own_id), F.col("th").alias(own_hash), F.col("marks").alias(marked))
+    return keyed.join(marks, [own_id, own_hash], "left").drop(own_id, own_hash), marked
 
 
 def removal_digest(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
@@ -289,9 +293,9 @@ def removal_digest(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
     take nothing from one another either. Other columns are ignored; an empty
     table gives an empty one.
     """
-    marked = _marked(docs.select("doc_id", "text"), window, **how)
+    cut, marked = _marked(docs.select("doc_id", "text"), window, **how)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    return marked.mapInArrow(lambda b: _cut(b, window, None, names),
+    return cut.mapInArrow(lambda b: _cut(b, window, None, names, marked),
                              f"doc_id {dict(docs.dtypes)['doc_id']}, n_words bigint, "
                              "n_removed bigint, kept_sha256 string")
 
@@ -301,6 +305,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
     nothing stays as it is); rows that lose all their words go. Columns as in docs;
     n_chars, if there, follows the text."""
     names = list(docs.columns)
-    marked = _marked(docs, window, **how)
+    cut, marked = _marked(docs, window, **how)
     schema = ", ".join(f"`{c}` {'bigint' if c == 'n_chars' else t}" for c, t in docs.dtypes)
-    return marked.mapInArrow(lambda b: _cut(b, window, names, names), schema)
+    return cut.mapInArrow(lambda b: _cut(b, window, names, names, marked), schema)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import gram_hashes, words
+from wordlens.llm.names import free
 
 MIN_TILE, COVERAGE = 5, 0.5
 BLOCK_SEEDS = 1_000_000
@@ -184,8 +185,9 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, least: int = MIN_T
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of docs that no test item contaminates, with docs' columns."""
+    own_id, own_hash, own_key = free(docs.columns, "id", "hash", "key")
     bad = contaminated_pairs(docs, benchmark, with_hash=True, **how).select(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed["_key"] == bad["_th"]),
-                      "left_anti").drop("_key")
+        F.col("doc_id").alias(own_id), F.col("th").alias(own_hash)).distinct()
+    keyed = docs.withColumn(own_key, F.xxhash64("text"))
+    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad[own_id]) & (keyed[own_key] == bad[own_hash]),
+                      "left_anti").drop(own_key)
