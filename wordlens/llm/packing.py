@@ -31,67 +31,79 @@ END_ID = 0
 BLOCK_PIECES = 20_000
 #: Weights of tokens, documents and attention cost in the norm and the dot product.
 WEIGHTS = (1.0, 1e-3, 1e-3)
-#: Words whose ids a worker remembers at most, and new ones that are encoded at once.
-KNOWN_WORDS, RUN = 700_000, 1_000
+#: Words whose ids a worker remembers at most, and new ones that are encoded as one text.
+KNOWN_WORDS, RUN = 1_200_000, 200
+#: ASCII punctuation but the apostrophe, which may begin a token that goes on with letters.
+PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 
 
-class WordTokenizer(dict):
+class WordTokenizer:
     """Ids of texts from a tokenizers file, remembered by white-space-separated word.
 
-    Right only for tokenizers whose tokens never span or depend on white space, that lower-case, and that part letters
-    from punctuation (as the one in use), so a text's ids are its words' ids in turn. A text that holds the name of a
-    special token is encoded whole, as the file has it. The values are little-endian unsigned 32-bit integers.
+    Right only for tokenizers whose tokens never span or depend on white space, that lower-case, that part letters
+    from punctuation, and that mark a word's last token by a suffix (as the one in use), so a text's ids are its words' ids in
+    turn. A text that holds the name of a special token is encoded whole, as the file has it. Ids are
+    little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.known: dict[bytes, bytes] = {}
         self.whole, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.words.encode_special_tokens = True
-        added = {i: t.content for i, t in self.whole.get_added_tokens_decoder().items()}
-        self.names = [x.encode() for x in added.values()]
-        # a special token between two words keeps them apart, so that many can be encoded as one text
-        self.mark, self.mark_id = next(((x, i) for i, x in sorted(added.items()) if self._ids(self.whole, f"a{x}b").tolist() == [
-            *self._ids(self.words, "a"), i, *self._ids(self.words, "b")]), (None, -1))
+        self.names = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
+        suffix = self.words.model.end_of_word_suffix
+        size = max(self.words.get_vocab().values()) + 1
+        self.last = np.array([bool(suffix) and (self.words.id_to_token(i) or "").endswith(suffix) for i in range(size)])
 
     @staticmethod
-    def _ids(tokenizer, text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def _ids(tokenizer, text: bytes) -> np.ndarray:
+        return np.array(tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
 
     def learn(self, words: set[bytes]) -> None:
-        """Add the ids of words that are not known; one that ends in a dot or comma after a letter is two words' ids."""
-        if len(self) + len(words) > KNOWN_WORDS:
-            self.clear()
-        words = words - self.keys()
-        ended = {w for w in words if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
-        new = list(words - ended | {w[:-1] for w in ended} - self.keys() | {w[-1:] for w in ended} - self.keys())
-        named = [w for w in new if not self.mark or any(x in w.lower() for x in self.names)]
-        for w in named:
-            self[w] = self._ids(self.words, w.decode("utf-8", "replace")).tobytes()
-        plain = list(set(new) - set(named)) if named else new
-        for at in range(0, len(plain), RUN):
-            run = plain[at:at + RUN]
-            ids = self._ids(self.whole, self.mark.join(w.decode("utf-8", "replace") for w in run))
-            cuts = np.flatnonzero(ids == self.mark_id)
-            for w, x, y in zip(run, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                self[w] = ids[x:y].tobytes()
-        for w in ended:
-            self[w] = self[w[:-1]] + self[w[-1:]]
+        """Add the ids of words. One that ends in punctuation after a letter has the ids of the two parts; words of letters
+        alone are encoded many at once, as each ends with a last token."""
+        ended, letters, others, known = [], [], [], self.known
+        for w in words:
+            if w[-1] in PUNCTUATION:
+                x = w.rstrip(PUNCTUATION)
+                if x and (x[-1:].isalpha() or x[-1] > 127 and x.decode("utf-8", "replace")[-1].isalpha()):
+                    ended.append((w, x, w[len(x):]))
+                    continue
+            others.append(w)
+        parts = {x for _, x, _ in ended}.union(e for _, _, e in ended).difference(known, others)
+        new, others = [*others, *parts], []
+        for w in new:
+            (letters if w.isalpha() or w.decode("utf-8", "replace").isalpha() else others).append(w)
+        for at in range(0, len(letters), RUN):
+            run = letters[at:at + RUN]
+            ids = self._ids(self.words, b" ".join(run))
+            stops = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(stops) != len(run):
+                others += run
+                continue
+            flat = ids.tobytes()
+            known.update(zip(run, [flat[x:y] for x, y in zip([0, *stops], stops)]))
+        for w in others:
+            known[w] = self._ids(self.words, w).tobytes()
+        for w, x, end in ended:
+            known[w] = known[x] + known[end]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids."""
         whole = {i: t for i, t in enumerate(texts) if any(x in t for x in self.names)}
         # combining marks (lead bytes 0xCC, 0xCD) may compose with a lower-case letter only; leave those texts' case
         parts = [[] if i in whole else (t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for i, t in enumerate(texts)]
-        missing = {w for own in parts for w in own if w not in self}
-        if missing:
-            if len(self) + len(missing) > KNOWN_WORDS:
-                missing = {w for own in parts for w in own}
-            self.learn(missing)
-        out = [b"".join(map(self.__getitem__, own)) for own in parts]
+        words = set().union(*parts)
+        missing = words.difference(self.known)
+        if len(self.known) + len(missing) > KNOWN_WORDS:
+            self.known.clear()
+            missing = words
+        self.learn(missing)
+        out = [b"".join(map(self.known.__getitem__, own)) for own in parts]
         for i, t in whole.items():
-            out[i] = self._ids(self.whole, t.decode("utf-8", "replace")).tobytes()
+            out[i] = self._ids(self.whole, t).tobytes()
         return out
 
 
