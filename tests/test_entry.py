@@ -33,7 +33,8 @@ def con():
 
 @pytest.mark.parametrize("name", ["word_count", "exact_topk", "cms_heavy_hitters",
                                   "new_urls_bloom", "valid_pages", "latest_per_key", "topk_frequent_items",
-                                  "saved_table_sql", "stream_batch_cap", "stream_url_metrics"])
+                                  "saved_table_sql", "stream_batch_cap", "stream_url_metrics", "stream_url_offsets",
+                                  "cms_hierarchy_heavy_hitters", "frequent_items_merged", "stop_table_filtered"])
 def test_matches_oracle_on_smallest_tables(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
@@ -43,3 +44,22 @@ def test_matches_oracle_on_smallest_tables(spark, con, name):
     want = sorted(tuple(r[i] for i in order) for r in cur.fetchall())
     assert sorted(df.columns) == sorted(cols)
     assert got == want
+
+
+def test_queries_without_and_with_a_broken_subpackage(tmp_path):
+    """Without the subpackage's folder the other queries are there; an import that fails inside it is not passed over."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copytree(f"{root}/wordlens", tmp_path / "wordlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') for n in e.queries()))"
+    run = lambda: subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert run().stdout.split() == [str(len(catalog.queries())), "False"]
+    (tmp_path / "corpus_pipeline.py").write_text("import wordlens.llm\n")
+    (tmp_path / "wordlens" / "llm").mkdir()
+    (tmp_path / "wordlens" / "llm" / "__init__.py").write_text("import a_module_that_is_missing\n")
+    assert "a_module_that_is_missing" in run().stderr

@@ -42,4 +42,32 @@ def test_a_saved_table_is_replaced_as_a_whole(spark):
     b = save_table(spark.range(5), "numbers", "one")
     save_table(spark.range(7), "numbers", "two")
     assert a != b and read_saved(spark, a).count() == 3 == old.count()
-    assert spark.table("one_numbers").count() == 5 and spark.table("two_numbers").count() == 7
+    assert spark.newSession().table("wordlens.one_numbers").count() == 5 and spark.table("wordlens.two_numbers").count() == 7
+
+
+def test_held_readers_read_and_old_versions_go(spark):
+    """A reader that was opened before four further versions still reads; versions replaced long enough ago go."""
+    from wordlens.sinks.tables import expire, open_table, save_table
+    save_table(spark.range(1), "held", "one")
+    held = open_table(spark, "held", "one")
+    for n in range(2, 6):
+        save_table(spark.range(n), "held", "one", keep_seconds=3600)
+    assert held.count() == 1 and open_table(spark, "held", "one").count() == 5
+    assert expire(spark, "held", "one", 3600) == []
+    assert len(expire(spark, "held", "one", 0)) == 4 and expire(spark, "held", "one", 0) == []
+    assert open_table(spark, "held", "one").count() == 5
+    save_table(spark.range(9), "held", "one", keep_seconds=0)
+    assert open_table(spark, "held", "one").count() == 9
+
+
+def test_a_table_without_a_catalogue_entry_is_attached(spark):
+    """As another application finds it, whose catalogue does not know the table: from the shared folder."""
+    import pytest
+
+    from wordlens.sinks.tables import open_table, save_table, view_name
+    save_table(spark.range(4), "found", "one")
+    newest = save_table(spark.range(6), "found", "one")
+    spark.sql(f"DROP VIEW {view_name('found', 'one')}")
+    assert open_table(spark, "found", "one").count() == 6 and spark.table(newest).count() == 6
+    with pytest.raises(LookupError, match="no table"):
+        open_table(spark, "nothing", "one")

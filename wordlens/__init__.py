@@ -5,8 +5,8 @@ Layout
 functions/  Column -> Column expressions (tokenizer, stop words, page text, hashes)
 sources/    table, URL-log, file-stream and Kafka sources
 operators/  DataFrame -> DataFrame operators (URL dedup, counts, Bloom, count-min)
-sinks/      saved tables published as views
-streaming/  Structured Streaming jobs (built-in state; foreachBatch with table state)
+sinks/      named tables with versions; tables of growing totals
+streaming/  Structured Streaming jobs, keyed state, progress reports
 plans/      the query catalogue used by __spark_entry__ and bench.py
 """
 

@@ -134,14 +134,13 @@ NAMED_ENTITIES = {
 }
 # Elements that have no inside:
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-# The description's container: the first <article>, as a pattern of its start tag whose group 1 is the tag's name. For an
-# element by its id, see element_by_id.
-DEFAULT_CONTAINER = r"(?is)<(article)(?=[\s>/])[^>]*>"
+# The description's container: the first <article>, as a pattern of its start tag. For an element by its id, see element_by_id.
+DEFAULT_CONTAINER = r"(?is)<article(?=[\s>/])[^>]*>"
 
 
 def element_by_id(element_id: str) -> str:
     """A container pattern for the first element with this id."""
-    return (r"""(?is)<([a-z][a-z0-9-]*)\s(?:[^>]*\s)?id\s*=\s*["']?""" + re.escape(element_id)
+    return (r"""(?is)<[a-z][a-z0-9-]*\s(?:[^>]*\s)?id\s*=\s*["']?""" + re.escape(element_id)
             + r"""(?=["'\s>/])[^>]*>""")
 
 
@@ -196,9 +195,9 @@ def description_html(html: Column | str, container: str = DEFAULT_CONTAINER) ->
     would close it there.
     """
     visible = F.regexp_replace(_col(html), INVISIBLE_BLOCKS, " ")
-    opened = _let(visible, lambda v: F.struct(F.regexp_extract(v, container, 1).alias("name"),
-                                              F.regexp_extract(v, container + "(.*)$", 2).alias("rest")))
-    inside = _let(opened, lambda x: _inside(x["name"], x["rest"]))
+    # the start tag and all after it, told apart at the tag's end
+    inside = _let(F.regexp_extract(visible, container + ".*$", 0), lambda x: _inside(
+        F.regexp_extract(x, "^<([A-Za-z][A-Za-z0-9-]*)", 1), F.regexp_replace(x, "^[^>]*>", "")))
     stop = r"</?(?:" + "|".join(BLOCK_TAGS) + r")(?=[\s>/])"
     # group 1 is never empty, as it starts with the tag's own ">": "" means that no paragraph was found
     found = F.regexp_extract(inside, r"(?is)<p(?=[\s>])[^>]*(>.*?)(?:" + stop + "|$)", 1)

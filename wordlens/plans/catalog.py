@@ -15,9 +15,10 @@ over whole tables and whole texts. Stand-ins for the original job's inputs:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordlens.functions import text as TX
@@ -35,7 +36,7 @@ from wordlens.params import (
 )
 from wordlens.plans import sql as S
 from wordlens.session import materialize, scratch_path
-from wordlens.sinks.tables import read_saved, save_table, view_name
+from wordlens.sinks.tables import GrowingTable, open_table, read_saved, save_table, view_name
 from wordlens.sources import tables
 from wordlens.sources.urls import (
     ARRIVAL_HASH_SEED,
@@ -47,6 +48,7 @@ from wordlens.sources.urls import (
     url_records,
 )
 from wordlens.streaming import jobs
+from wordlens.streaming.state import idle_counts, read_state
 
 EPS = cms.DEFAULT_EPS
 DEPTH, WIDTH = cms_shape(EPS, CMS_DELTA)
@@ -434,10 +436,12 @@ def q_saved_word_table(spark, sf):
 
 @register("saved_table_sql", f"SELECT word AS words, count FROM ({_WC}) ORDER BY count DESC, words LIMIT 25")
 def q_saved_table_sql(spark, sf):
-    """K6: ad-hoc SQL on the published table."""
-    q_saved_word_table(spark, sf)
-    name = view_name("term_counts", "saved")
-    return spark.sql(f"SELECT words, count FROM {name} ORDER BY count DESC, words LIMIT 25")
+    """K6: ad-hoc SQL on the published table, from another session."""
+    namespace = _namespace()
+    table = counts.count_words(_occurrences(spark, sf)).select(F.col("word").alias("words"), "count")
+    save_table(table, "term_counts", namespace)
+    name = view_name("term_counts", namespace)
+    return spark.newSession().sql(f"SELECT words, count FROM {name} ORDER BY count DESC, words LIMIT 25")
 
 
 @register("topk_words_only", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
@@ -463,18 +467,24 @@ def _doc_stream(spark, sf):
     return jobs.file_stream(spark, path, schema, max_bytes_per_trigger=third)
 
 
-def _doc_job(spark, sf, mode, **how):
-    query, job = jobs.start_terms(_doc_stream(spark, sf), TermConfig(mode=mode), **how)
-    jobs.await_done(query)
-    return job
+def _doc_words(spark, sf):
+    return TX.explode_clean_words(_doc_stream(spark, sf), "text").withColumn("n", F.lit(1).cast("bigint"))
+
+
+def _namespace():
+    return f"run_{uuid.uuid4().hex[:8]}"
+
+
+def _doc_job(spark, sf, mode):
+    return jobs.TermJob(spark, TermConfig(mode=mode), namespace=_namespace()).run(_doc_stream(spark, sf))
 
 
 @register("stream_word_count", _WC)
 def q_stream_word_count(spark, sf):
-    """Streaming word count in Spark's keyed state (complete mode), in three micro-batches or more."""
+    """Streaming word count in Spark's keyed state (complete mode), in three micro-batches or more."""
     query, sink = jobs.start_word_count(_doc_stream(spark, sf))
     jobs.await_done(query)
-    return read_saved(spark, sink.last_path)
+    return sink.read(spark)
 
 
 @register("stream_word_count_seeded", ORACLE_SQL["word_count_seeded"])
@@ -486,51 +496,70 @@ def q_stream_word_count_seeded(spark, sf):
     query, sink = jobs.start_word_count(_doc_stream(spark, sf),
                                         seed_stream=jobs.file_stream(spark, seed_path, seed.schema))
     jobs.await_done(query)
-    return read_saved(spark, sink.last_path)
+    return sink.read(spark)
 
 
 @register("stream_batch_cap", f"SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS capped, true AS several FROM documents")
 def q_stream_batch_cap(spark, sf):
-    """A rate cap in bytes. Over the progress of all micro-batches: rows read in all, whether every batch
-    kept to the cap (its rows are fewer than all), and whether there were three batches or more."""
+    """A rate cap in bytes. Over all micro-batches: rows read in all, whether the files of every batch kept to the cap
+    (a file that is larger than it comes alone), and whether there were three batches or more."""
     path, schema, third = _landed_docs(spark, sf)
-    query, _ = jobs.start_word_count(jobs.file_stream(spark, path, schema, max_bytes_per_trigger=third))
+    stream = jobs.file_stream(spark, path, schema, max_bytes_per_trigger=third)
+    files = stream.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("bytes"))
+    read = scratch_path(spark, "batch_files")
+    query = (files.writeStream.outputMode("update").trigger(availableNow=True)
+             .option("checkpointLocation", scratch_path(spark, "checkpoints", "batch_cap"))
+             .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{read}/batch={number}")).start())
     jobs.await_done(query)
-    read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
-    rows = spark.createDataFrame([(n,) for n in read], "n bigint")
-    return rows.agg(F.sum("n").alias("n_rows"), (F.max("n") < F.sum("n")).alias("capped"),
-                    (F.count("n") >= 3).alias("several"))
+    batches = spark.read.parquet(read).groupBy("batch").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("files"))
+    return batches.agg(F.sum("n").alias("n_rows"), F.every((F.col("bytes") <= third) | (F.col("files") == 1)).alias("capped"),
+                       (F.count("*") >= 3).alias("several"))
 
 
 @register("stream_cms", _CELLS)
 def q_stream_cms(spark, sf):
-    """The running sketch: each micro-batch's words are counted, then added to the cells."""
-    return _doc_job(spark, sf, "topk").cells()
+    """The running sketch as keyed state of its cells; a batch writes the cells that it changed."""
+    query, sink = jobs.start_cells(_doc_words(spark, sf), scratch_path(spark, "checkpoints", "cells"))
+    jobs.await_done(query)
+    return sink.read(spark)
 
 
 @register("stream_both", f"SELECT word AS words, count FROM ({_WC})")
 def q_stream_both(spark, sf):
-    """Both outputs from one count of each batch; the totals."""
-    return _doc_job(spark, sf, "both", compact_every=2).term_counts()
+    """Both outputs from words that are cut once; the totals."""
+    return _doc_job(spark, sf, "both").term_counts()
 
 
 @register("stream_both_topk", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_stream_both_topk(spark, sf):
-    """Both outputs from one count of each batch; the top k."""
-    return _doc_job(spark, sf, "both").top_words()
+    """The sketch alone, whose frequent-items state names the words; the top k, from the published table."""
+    job = _doc_job(spark, sf, "topk")
+    return open_table(spark, "top_words", job.namespace)
+
+
+@register("stream_state_read", f"SELECT word AS words, count FROM ({_WC})")
+def q_stream_state_read(spark, sf):
+    """A finished stream's totals, read from its checkpoint's state and nothing else."""
+    checkpoint = scratch_path(spark, "checkpoints", "counts")
+    query, _ = jobs.start_counts(_doc_words(spark, sf), checkpoint)
+    jobs.await_done(query)
+    return read_state(spark, checkpoint).toDF("words", "count")
+
+
+def _page_texts(spark, sf):
+    return materialize(TX.described_pages(tables.pages(spark, sf, ("url", "html"))), "page_texts")
 
 
-def _url_job(spark, sf, membership="exact", config=TermConfig(mode="count"), **how):
-    """The whole job on URLs: a micro-batch for each wave, each run going on from the last one's state."""
+def _url_job(spark, sf, membership="exact", config=TermConfig(mode="count"), every_wave=False):
+    """The whole job on URLs: a run for each wave, each a job of its own that goes on from the state of the last."""
     log = materialize(_log(spark, sf), "arrivals")
     root, source = scratch_path(spark, "terms"), scratch_path(spark, "landing", "urls")
-    texts = jobs.save_page_texts(TX.described_pages(tables.pages(spark, sf, ("url", "html"))),
-                                 scratch_path(spark, "page_texts"))
+    texts, namespace = _page_texts(spark, sf), _namespace()
     for wave in range(WAVES):
         land(log.where(F.col("wave") == wave), source)
-        query, job = jobs.start_terms(jobs.file_stream(spark, source, log.schema), config, root=root,
-                                      page_texts=texts, membership=membership, **how)
-        jobs.await_done(query)
+        job = jobs.TermJob(spark, config, root, pages=texts, membership=membership, namespace=namespace)
+        job.run(jobs.file_stream(spark, source, log.schema), outputs=every_wave or wave == WAVES - 1)
     return job
 
 
@@ -543,14 +572,14 @@ GROUP BY word"""
 
 @register("stream_valid_dedup", f"SELECT words AS word, count FROM ({_URL_WORDS})")
 def q_stream_valid_dedup(spark, sf):
-    """URL stream -> not processed -> crawl -> valid -> remembered -> words, folding its state every batch."""
-    return _url_job(spark, sf, compact_every=1).term_counts().withColumnRenamed("words", "word")
+    """URL stream -> distinct -> crawl -> valid -> not given out before -> words, with outputs after every wave."""
+    return _url_job(spark, sf, every_wave=True).term_counts().withColumnRenamed("words", "word")
 
 
 @register("stream_url_words", _URL_WORDS)
 def q_stream_url_words(spark, sf):
-    """The whole job (S1 P2 P3 T1 T2 P4 W7 A1 A3 K1): URL stream, exact membership."""
-    return _url_job(spark, sf).term_counts()
+    """The whole job (S1 P2 P3 T1 T2 P4 W7 A1 A3 K1): URL stream, exact membership; the published table."""
+    return open_table(spark, "term_counts", _url_job(spark, sf).namespace)
 
 
 @register("stream_url_words_bloom", _URL_WORDS)
@@ -559,9 +588,12 @@ def q_stream_url_words_bloom(spark, sf):
     return _url_job(spark, sf, "bloom").term_counts()
 
 
-@register("stream_url_words_seeded", f"""
+_URL_WORDS_SEEDED = f"""
 SELECT words, CAST(sum(count) AS BIGINT) AS count FROM (
-  SELECT words, count FROM ({_URL_WORDS}) UNION ALL SELECT '{SEED_WORD}', 1) GROUP BY words""")
+  SELECT words, count FROM ({_URL_WORDS}) UNION ALL SELECT '{SEED_WORD}', 1) GROUP BY words"""
+
+
+@register("stream_url_words_seeded", _URL_WORDS_SEEDED)
 def q_stream_url_words_seeded(spark, sf):
     """The job started from a count seed and a processed URL."""
     config = TermConfig(mode="both", seed_counts=((SEED_WORD, 1),), seed_urls=(SEED_URL,))
@@ -572,13 +604,59 @@ def q_stream_url_words_seeded(spark, sf):
 WITH log AS ({_LOG}),
 firsts AS (SELECT key, min(wave) AS wave FROM log WHERE key IN (SELECT url FROM ({_VALID})) GROUP BY key),
 nv AS (SELECT wave, count(*) AS n_valid FROM firsts GROUP BY wave)
-SELECT CAST(l.wave AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_urls,
+SELECT CAST(row_number() OVER (ORDER BY l.wave) - 1 AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_urls,
        CAST(count(DISTINCT l.key) AS BIGINT) AS n_distinct,
        CAST(coalesce(any_value(nv.n_valid), 0) AS BIGINT) AS n_valid
 FROM log l LEFT JOIN nv ON nv.wave = l.wave GROUP BY l.wave""")
 def q_stream_url_metrics(spark, sf):
-    """Per micro-batch URLs received, distinct, and new valid URLs processed."""
-    return _url_job(spark, sf).metrics()
+    """Per micro-batch URLs received, distinct, and new valid URLs processed, as Spark observed them on the way."""
+    return _ordinal(_collected(spark, sf).metrics())
+
+
+@register("stream_url_offsets", f"""
+SELECT CAST(b - 1 AS BIGINT) AS batch, 0 AS partition, CAST(b - 1 AS BIGINT) AS from_offset, CAST(b AS BIGINT) AS until_offset, n_rows
+FROM (SELECT row_number() OVER (ORDER BY wave) AS b, CAST(count(*) AS BIGINT) AS n_rows FROM ({_LOG}) GROUP BY wave)""")
+def q_stream_url_offsets(spark, sf):
+    """The offset ranges of the live stream's batches, over three runs, from Spark's reports: each begins where the last ended."""
+    return _ordinal(_collected(spark, sf).offsets()).drop("source")
+
+
+def _collected(spark, sf):
+    """The URL job's stage alone, a run for each wave."""
+    log = materialize(_log(spark, sf), "arrivals")
+    root, source, texts = scratch_path(spark, "terms"), scratch_path(spark, "landing", "urls"), _page_texts(spark, sf)
+    for wave in range(WAVES):
+        land(log.where(F.col("wave") == wave), source)
+        job = jobs.TermJob(spark, TermConfig(mode="count"), root, pages=texts)
+        job.run(jobs.file_stream(spark, source, log.schema), outputs=False)
+    return job
+
+
+def _ordinal(batches):
+    """Batches numbered by turn: Spark also numbers those without input, which only clear state."""
+    turn = batches.select("batch").distinct().withColumn("turn", F.row_number().over(Window.orderBy("batch")) - 1)
+    return batches.join(turn, "batch").withColumn("batch", F.col("turn").cast("bigint")).drop("turn")
+
+
+@register("stream_user_state", _URL_WORDS_SEEDED)
+def q_stream_user_state(spark, sf):
+    """Running counts of the valid pages' words by an update function of keyed state, begun from seed rows; a word without
+    input for a day of event time would leave."""
+    words = TX.explode_clean_words(_page_texts(spark, sf).join(_log(spark, sf).select(F.col("key").alias("url")).distinct(), "url"),
+                                   "description")
+    at = F.timestamp_seconds(F.lit(100_000)).alias("at")
+    src, seed = scratch_path(spark, "landing", "words"), scratch_path(spark, "landing", "seed")
+    land(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", "n", at), src)
+    land(counts.seed_state(spark, [(SEED_WORD, 1)]).select("word", F.col("count").alias("n"), at), seed)
+    schema = "word string, n bigint, at timestamp"
+    state = idle_counts(jobs.file_stream(spark, src, schema, max_files_per_trigger=4), 86_400,
+                        jobs.file_stream(spark, seed, schema), late_seconds=3_600)
+    checkpoint = scratch_path(spark, "checkpoints", "user_state")
+    sink = GrowingTable("user_state", ["word"], ["count"], _namespace())
+    query = (state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .foreachBatch(sink).start())
+    jobs.await_done(query)
+    return sink.read(spark).withColumnRenamed("word", "words")
 
 
 def queries() -> dict[str, QueryFn]:

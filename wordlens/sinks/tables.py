@@ -1,38 +1,168 @@
-"""Saved result tables in the shared folder, published as views.
+"""Saved result tables: named versions in the catalogue, and a view that names the newest.
 
-Every save goes to a fresh folder, and the name is then pointed at it by replacing a temporary view. Readers
-see the old table or the new one, never none; names may carry a namespace, so two jobs do not meet.
+All are in one database whose folder is the shared one, so every session of the application sees them by name, and
+with a shared metastore every application does; without one, another application ``attach``es them from the folder.
+
+A save writes a new version and then points the view at it. Readers see the old table or the new one, never none, and a
+reader that holds a version keeps it: a version is only dropped once it has been replaced for ``keep_seconds``.
+Names may carry a namespace, so two jobs do not meet.
 """
 
 from __future__ import annotations
 
 import re
+import time
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordlens.session import scratch_path
 
+DATABASE = "wordlens"
+KEEP_SECONDS = 3600.0
+
 
 def view_name(name: str, namespace: str = "") -> str:
     """A view's name: letters, digits and underscores of the namespace and the name."""
-    return re.sub(r"\W", "_", f"{namespace}_{name}" if namespace else name)
+    return f"{DATABASE}." + re.sub(r"\W", "_", f"{namespace}_{name}" if namespace else name).lower()
+
+
+def _location(spark: SparkSession) -> str:
+    return scratch_path(spark, "tables", unique=False)
+
+
+def _database(spark: SparkSession) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{_location(spark)}'")
+
+
+def _tables(spark: SparkSession, view: str, mark: str) -> list[str]:
+    """Names of a view's tables of one kind, oldest first."""
+    _database(spark)
+    own = view.split(".")[1]
+    found = [r.tableName for r in spark.sql(f"SHOW TABLES IN {DATABASE} LIKE '{own}__{mark}*'").collect()]
+    return sorted(f"{DATABASE}.{t}" for t in found if re.fullmatch(rf"{own}__{mark}\d+(_\w+)?", t))
+
+
+def _made(version: str) -> float:
+    return int(re.search(r"__v(\d+)_", version)[1]) / 1000
+
+
+def save_table(df: DataFrame, name: str, namespace: str = "", keep_seconds: float = KEEP_SECONDS) -> str:
+    """Write ``df`` as a new version, publish it under ``name`` and drop old versions; returns the version's name."""
+    spark, view = df.sparkSession, view_name(name, namespace)
+    _database(spark)
+    version = f"{view}__v{time.time_ns() // 1_000_000:015d}_{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").saveAsTable(version)
+    publish(spark, version, view)
+    expire(spark, name, namespace, keep_seconds)
+    return version
+
+
+def publish(spark: SparkSession, version: str, view: str) -> None:
+    """Point the view at a version."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
+
+
+def expire(spark: SparkSession, name: str, namespace: str = "", keep_seconds: float = KEEP_SECONDS) -> list[str]:
+    """Drop versions that were replaced ``keep_seconds`` ago or earlier; returns their names. The newest always stays."""
+    versions = _tables(spark, view_name(name, namespace), "v")
+    old = [v for v, after in zip(versions, versions[1:]) if _made(after) <= time.time() - keep_seconds]
+    for version in old:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+    return old
+
+
+def read_saved(spark: SparkSession, version: str) -> DataFrame:
+    """The exact version that ``save_table`` returned (stable even if the name moves on)."""
+    return spark.table(version)
+
+
+def open_table(spark: SparkSession, name: str, namespace: str = "") -> DataFrame:
+    """The newest version under ``name``; one that another application wrote to the shared folder is attached first."""
+    view = view_name(name, namespace)
+    _database(spark)
+    if not spark.catalog.tableExists(view) and not attach(spark, name, namespace):
+        raise LookupError(f"no table {view} in the catalogue or in {_location(spark)}")
+    return spark.table(view)
+
+
+def attach(spark: SparkSession, name: str, namespace: str = "") -> str | None:
+    """Register the newest version found in the shared folder, and the view; returns its name. Files stay with their writer."""
+    view = view_name(name, namespace)
+    own = view.split(".")[1]
+    _database(spark)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+             .load(_location(spark)).select(F.regexp_extract("path", rf"/({own}__v\d+_\w+)/[^/]*$", 1).alias("version")))
+    newest = files.where("version <> ''").agg(F.max("version")).first()[0]
+    if newest is None:
+        return None
+    version = f"{DATABASE}.{newest}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {version} USING parquet LOCATION '{_location(spark)}/{newest}'")
+    publish(spark, version, view)
+    return version
+
+
+class TableSink:
+    """foreachBatch sink of a query in complete mode: each batch is a new version of a named table."""
+
+    def __init__(self, name: str, namespace: str = "", keep_seconds: float = KEEP_SECONDS):
+        self.name, self.namespace, self.keep_seconds = name, namespace, keep_seconds
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        save_table(batch, self.name, self.namespace, self.keep_seconds)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return open_table(spark, self.name, self.namespace)
+
+
+class GrowingTable:
+    """foreachBatch sink of a query in update mode whose values only grow (counts, cells of a sketch, bits).
+
+    A batch writes its changed rows, absolute values, as a table of its own; a key's newest value is its largest, so a batch that is
+    written again, or read beside what it was folded into, changes nothing. Every ``fold_every`` batches all is folded into a
+    version of the named table, and the batches that the fold before had are dropped. Batch 0 of a query starts the table anew.
+    """
 
+    def __init__(self, name: str, keys: Sequence[str], values: Sequence[str], namespace: str = "", fold_every: int = 16,
+                 keep_seconds: float = KEEP_SECONDS):
+        self.name, self.keys, self.values, self.namespace = name, list(keys), list(values), namespace
+        self.fold_every, self.keep_seconds = fold_every, keep_seconds
 
-def save_table(df: DataFrame, name: str, namespace: str = "") -> str:
-    """Write ``df`` to a new folder and publish it as view ``name``; returns the path."""
-    spark = df.sparkSession
-    path = f"{scratch_path(spark, 'tables', view_name(name, namespace), unique=False)}/v-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    publish(spark.read.parquet(path), name, namespace)
-    return path
+    @property
+    def view(self) -> str:
+        return view_name(self.name, self.namespace)
 
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id == 0:
+            for table in _tables(spark, self.view, "c") + _tables(spark, self.view, "v"):
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.sql(f"DROP VIEW IF EXISTS {self.view}")
+        _database(spark)
+        batch.select(*self.keys, *self.values).write.format("parquet").mode("overwrite").saveAsTable(f"{self.view}__c{batch_id:012d}")
+        if (batch_id + 1) % self.fold_every == 0:
+            self.fold(spark)
 
-def publish(df: DataFrame, name: str, namespace: str = "") -> None:
-    """Point the view at ``df``."""
-    df.createOrReplaceTempView(view_name(name, namespace))
+    def changes(self, spark: SparkSession) -> list[str]:
+        """Tables of the batches that are still there."""
+        return _tables(spark, self.view, "c")
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Keys and values up to the last batch written."""
+        tables = _tables(spark, self.view, "v")[-1:] + self.changes(spark)
+        if not tables:
+            raise LookupError(f"{self.view} has no batch")
+        for table in tables:
+            spark.catalog.refreshTable(table)  # a batch may have been written again by another session
+        parts = [spark.table(t) for t in tables]
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows.groupBy(*self.keys).agg(*[F.max(v).alias(v) for v in self.values])
 
-def read_saved(spark, path: str) -> DataFrame:
-    """The exact version written at ``path`` (stable even if the name moves on)."""
-    return spark.read.parquet(path)
+    def fold(self, spark: SparkSession) -> None:
+        """Publish all up to now as a version. The newest ``fold_every`` batches stay for those who are reading them."""
+        save_table(self.read(spark), self.name, self.namespace, self.keep_seconds)
+        for table in self.changes(spark)[:-self.fold_every]:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -1,52 +1,40 @@
-"""Structured Streaming jobs over texts or URLs.
+"""Structured Streaming jobs over texts or URLs. All state is in Spark's own state stores (RocksDB, see ``session``).
 
-* ``start_word_count``: Spark's own keyed state, a streaming ``groupBy(word)`` in complete mode
-  (RocksDB, see ``session``).
-* ``start_terms``: ``foreachBatch`` with the state in tables, for the whole job: in-batch distinct, URLs not yet
-  processed, page look-up, validity before remembering, exact counts and/or a sketch with its top k.
+A job (``TermJob``) is a few plain queries, each with a checkpoint of its own under one root:
 
-Table state (``TermJob``), all under one root; what a batch costs follows the batch:
+* ``pages`` (URL streams): in-batch distinct, the look-up in the crawled pages, and only then, so that pages without a description are
+  tried again, de-duplication over all batches by ``dropDuplicates``. New valid pages go, as words, to a file sink.
+* ``counts``: a streaming aggregation by word in update mode; a batch gives the changed totals.
+* ``cells``: the same by cell of the count-min sketch; a batch gives the changed cells.
+* ``names`` (sketch alone): a frequent-items sketch as one state row, which names the words that may be heavy hitters.
 
-  counts/delta/slot=s    (word, count) of one batch            counts/base/slot=s   totals up to a batch
-  seen/delta/slot=s      (url, bucket) new valid URLs          seen/base/slot=s     all up to a batch, by bucket
-  bloom/slice=n/slot=s   (block, bits) of a slice of the filter
-  cells/slot=s, candidates/slot=s                              sketch and heavy-hitter candidates
-  metrics/batch=b        (batch, n_urls, n_distinct, n_valid)
-  commits/slot=s         one row for each committed batch, written last
-
-A batch writes its deltas; every ``compact_every`` batches the deltas are folded into the base. Slots are
-used in turn, so a slot is only overwritten when nothing committed needs it, and storage stays bounded.
-
-Recovery: a batch starts from the commit of the batch before it, exactly; a missing one, or one of another
-mode or membership, raises. A replayed batch reads that same commit and writes its own slots again. What a
-crash leaves half-written is not in any commit. Offsets are in the checkpoint beside it; root and checkpoint
-follow from one another, so that one cannot be kept without the other.
+The file sink is read as a stream by the others, so a batch's pages are looked up, cleaned and tokenized once. Spark makes each
+step exactly-once: the file sink by its log, the aggregations by their checkpoints, and the tables of totals because a
+batch writes absolute values (``GrowingTable``), which may be written again.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
-from decimal import Decimal
-from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wordlens.functions.hashing import hash_bucket
-from wordlens.functions.text import explode_clean_words
+from wordlens.functions.hashing import position, with_hash_pair
+from wordlens.functions.text import clean_words, explode_clean_words
 from wordlens.operators import bloom, cms, counts
-from wordlens.params import SHIPPED_STOP_WORDS, TermConfig
-from wordlens.session import scratch_path
-from wordlens.sinks.tables import publish
+from wordlens.params import BLOOM_EXPECTED_ITEMS, BLOOM_FPP, SHIPPED_STOP_WORDS, TermConfig, cms_shape
+from wordlens.session import materialize, scratch_path
+from wordlens.sinks.tables import GrowingTable, TableSink, open_table, save_table
+from wordlens.streaming.progress import OFFSETS, ProgressListener, offset_rows
 
-#: Buckets of URLs in the processed table and the page table.
-URL_BUCKETS = 16
-COMPACT_EVERY = 16
-COMMIT = ("batch bigint, mode string, membership string, base bigint, base_slot int, bloom_items bigint, "
-          "bloom_slices int")
+#: How long after a batch its distinct URLs are remembered as such; more than clocks are ever set back.
+CLOCK_DRIFT = "10 minutes"
+FOLD_EVERY = 16
+PAGE_WORDS = "url string, words array<string>"
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
@@ -60,303 +48,300 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     return reader.load(path)
 
 
-def bucketed(df: DataFrame, url: str = "url", buckets: int = URL_BUCKETS) -> DataFrame:
-    """``df`` with the column ``bucket`` of its URL."""
-    return df.withColumn("bucket", hash_bucket(F.col(url), "url", buckets).cast("int"))
-
-
-def save_page_texts(texts: DataFrame, path: str, buckets: int = URL_BUCKETS) -> DataFrame:
-    """Write (url, description) partitioned by URL bucket, so that a batch reads the buckets it touches."""
-    own = bucketed(texts.select("url", "description"), buckets=buckets).repartition("bucket")
-    own.write.mode("overwrite").partitionBy("bucket").parquet(path)
-    return texts.sparkSession.read.schema("url string, description string, bucket int").parquet(path)
-
-
 def _trigger(writer, seconds: int | None):
     return writer.trigger(processingTime=f"{int(seconds)} seconds") if seconds else writer.trigger(availableNow=True)
 
 
-class SnapshotSink:
-    """foreachBatch sink: each batch overwrites one of two slots; the last one written is the result."""
+def _namespace(checkpoint: str) -> str:
+    """Tables of a query go by its checkpoint, so that a restart goes on with them."""
+    return "q" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
 
-    def __init__(self, base: str):
-        self.base, self.last_path, self.batches = base, None, 0
+def await_done(query: StreamingQuery) -> None:
+    """Block until an availableNow query has drained its source; re-raise failures."""
+    query.awaitTermination()
+    error = query.exception()
+    if error is not None:
+        raise RuntimeError(f"streaming query {query.name} failed: {error}")
 
-    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        path = f"{self.base}/slot={batch_id % 2}"
-        batch_df.write.mode("overwrite").parquet(path)
-        self.last_path, self.batches = path, self.batches + 1
 
+# --------------------------------------------------------------------------- single queries
 
 def start_word_count(stream: DataFrame, text: str = "text", stop_words: Iterable[str] = SHIPPED_STOP_WORDS,
                      drop_empty: bool = True, seed_stream: DataFrame | None = None, checkpoint: str | None = None,
-                     trigger_seconds: int | None = None) -> tuple[StreamingQuery, SnapshotSink]:
-    """Running exact word count over a text stream, a full snapshot (word, count) for each batch.
+                     trigger_seconds: int | None = None) -> tuple[StreamingQuery, TableSink]:
+    """Running exact word count over a text stream in complete mode: a version of table ``word_count`` for each batch.
 
     ``seed_stream`` (word, count) starts the state from initial counts: a second stream in the same aggregation.
     """
-    spark = stream.sparkSession
     words = (explode_clean_words(stream, text, stop_words, drop_empty)
              .withColumn("count", F.lit(1).cast("bigint")))
     if seed_stream is not None:
         words = words.unionByName(seed_stream.select("word", F.col("count").cast("bigint")))
     state = words.groupBy("word").agg(F.sum("count").cast("bigint").alias("count"))
-    checkpoint = checkpoint or scratch_path(spark, "checkpoints", "word_count")
-    sink = SnapshotSink(f"{checkpoint.rstrip('/')}-snapshot")
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "checkpoints", "word_count")
+    sink = TableSink("word_count", _namespace(checkpoint))
     writer = state.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger_seconds).foreachBatch(sink).queryName(f"word_count_{id(sink)}").start(), sink
 
 
-def await_done(query: StreamingQuery) -> None:
-    """Block until an availableNow query has drained its source; re-raise failures."""
-    query.awaitTermination()
-    error = query.exception()
-    if error is not None:
-        raise RuntimeError(f"streaming query {query.name} failed: {error}")
+def _update(state: DataFrame, sink, checkpoint: str, name: str, seconds: int | None) -> StreamingQuery:
+    writer = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return _trigger(writer, seconds).foreachBatch(sink).queryName(name).start()
 
 
-class TermJob:
-    """foreachBatch body of the whole job (see the module's docstring for its state).
+def start_counts(words: DataFrame, checkpoint: str, fold_every: int = FOLD_EVERY,
+                 seconds: int | None = None) -> tuple[StreamingQuery, GrowingTable]:
+    """Running totals (words, count) of a stream (word, n), changed words only."""
+    state = words.groupBy(F.col("word").alias("words")).agg(F.sum("n").cast("bigint").alias("count"))
+    sink = GrowingTable("term_counts", ["words"], ["count"], _namespace(checkpoint), fold_every)
+    return _update(state, sink, checkpoint, f"counts_{id(sink)}", seconds), sink
+
+
+def start_cells(words: DataFrame, checkpoint: str, config: TermConfig = TermConfig(), fold_every: int = FOLD_EVERY,
+                seconds: int | None = None) -> tuple[StreamingQuery, GrowingTable]:
+    """The running count-min sketch (row, bucket, cnt) of a stream (word, n), changed cells only.
 
-    Input is a stream of texts (column ``text``) or, with ``page_texts`` (``save_page_texts``), of URLs
-    (``url_col``): in-batch distinct, then only URLs not processed before, then those whose page has a
-    description; only these are remembered, so others are tried again when they come back.
+    Each map task sums its words' cells before the shuffle, so a batch sends depth x width rows a task at most.
+    """
+    depth, width = cms_shape(config.cms_eps, config.cms_delta)
+    hashed = with_hash_pair(words, "word", config.cms_seed)
+    places = F.array(*[position(F.col("_h1"), F.col("_h2"), i, width) for i in range(depth)])
+    cells = hashed.select(F.posexplode(places).alias("row", "bucket"), "n")
+    state = cells.groupBy("row", "bucket").agg(F.sum("n").cast("bigint").alias("cnt"))
+    sink = GrowingTable("cells", ["row", "bucket"], ["cnt"], _namespace(checkpoint), fold_every)
+    return _update(state, sink, checkpoint, f"cells_{id(sink)}", seconds), sink
+
+
+def start_names(words: DataFrame, checkpoint: str, seconds: int | None = None) -> tuple[StreamingQuery, TableSink]:
+    """The running frequent-items sketch (sketch) of a stream (word, n): one row of state, whatever the vocabulary. It tracks
+    every word that is more than 3.5 / its map's size of all occurrences, well below a heavy hitter's share."""
+    each = words.select(F.explode(F.expr("array_repeat(word, int(n))")).alias("word"))
+    state = each.groupBy().agg(F.expr(f"approx_top_k_accumulate(word, {cms.TRACKED})").alias("sketch"))
+    sink = TableSink("names", _namespace(checkpoint))
+    return _update(state, sink, checkpoint, f"names_{id(sink)}", seconds), sink
+
+
+def new_pages(urls: DataFrame, pages: DataFrame, known: DataFrame | None = None, bits: DataFrame | None = None,
+              items: int = BLOOM_EXPECTED_ITEMS, fpp: float = BLOOM_FPP) -> DataFrame:
+    """(url, description) of a stream of URLs: distinct within a batch, with a crawled page (pages: url, description), and
+    not given out before. Metrics ``urls`` and ``pages`` are observed on the way: n_urls, n_distinct and n_valid.
+
+    ``known`` are URLs that count as processed. With ``bits``, their Bloom filter for so many ``items``, a URL that the
+    filter lacks is new at once, and only others are compared with ``known``; the answer is the same.
+    """
+    timed = urls.select("url", F.current_timestamp().alias("at")).observe("urls", F.count(F.lit(1)).alias("n_urls"))
+    # a batch has one timestamp, which its replay has too; the state of this is the batch's
+    distinct = (timed.withWatermark("at", CLOCK_DRIFT).dropDuplicates(["url", "at"])
+                .observe("distinct", F.count(F.lit(1)).alias("n_distinct")))
+    if bits is not None:
+        asked = bloom.might_contain(distinct, bits, "url", items, fpp)
+        listed = known.select(F.col("url").alias("_known"))
+        distinct = asked.join(listed, F.col("might_contain") & (F.col("url") == F.col("_known")), "left_anti").drop("might_contain")
+    elif known is not None:
+        distinct = distinct.join(known, "url", "left_anti")
+    valid = distinct.join(pages.select("url", "description"), "url").select("url", "description")
+    return valid.dropDuplicates(["url"]).observe("pages", F.count(F.lit(1)).alias("n_valid"))
+
+
+# --------------------------------------------------------------------------- the whole job
 
-    ``membership``: "exact" joins every distinct URL of the batch with the processed table; "bloom" asks a growing
-    filter first and joins only what it may contain. Results are the same.
+class TermJob:
+    """Word totals and/or the sketch's top words of a stream of texts (column ``text``) or, with ``pages`` (url, description),
+    of URLs (``url_col``), for ``config.mode``.
 
-    Skew: a URL that is a third of a batch is one row after the partial distinct; words are counted with
-    partial aggregation.
+    ``run`` drains a stream and ends; another run, or another job with the same root, goes on from there. The mode may
+    change between runs: an output that is new reads the stream, or the sink, from its start. ``start`` runs on, with a
+    batch every ``config.batch_seconds``, until ``stop``.
 
-    Candidates: a word below the share in every batch is below it overall, so each batch's words at or
-    above the share join the candidates, and those whose estimate has fallen below it leave.
+    ``membership`` "bloom" asks a Bloom filter of the URLs that earlier runs processed before these are compared. Results are
+    the same as with "exact". Seeds: ``seed_counts`` are further occurrences, ``seed_urls`` count as processed.
+
+    Skew: a URL or word that is a third of the stream is one row a task after the partial aggregations.
     """
 
-    def __init__(self, spark: SparkSession, config: TermConfig, root: str, text: str = "text",
-                 page_texts: DataFrame | None = None, url_col: str = "key", membership: str = "exact",
-                 compact_every: int = COMPACT_EVERY, namespace: str = ""):
+    def __init__(self, spark: SparkSession, config: TermConfig, root: str | None = None, text: str = "text",
+                 pages: DataFrame | None = None, url_col: str = "key", membership: str = "exact", namespace: str = "",
+                 fold_every: int = FOLD_EVERY):
         if membership not in ("exact", "bloom"):
             raise ValueError("membership must be exact or bloom")
-        self.spark, self.config, self.root, self.text = spark, config, root.rstrip("/"), text
-        self.page_texts, self.url_col, self.membership = page_texts, url_col, membership
-        self.compact_every, self.namespace = compact_every, namespace
-        self.ring = 2 * compact_every
-
-    # -- tables ---------------------------------------------------------------
-    def _read(self, path: str, schema: str) -> DataFrame | None:
+        self.spark, self.config, self.text = spark, config, text
+        self.root = (root or scratch_path(spark, "terms")).rstrip("/")
+        self.pages, self.url_col, self.membership = pages, url_col, membership
+        self.namespace, self.fold_every = namespace, fold_every
+        self.queries: list[StreamingQuery] = []
+        self._heard: ProgressListener | None = None
+
+    @property
+    def staged(self) -> bool:
+        """Whether a file sink stands between the stream and the outputs: for URLs, and if two outputs read the words."""
+        return self.pages is not None or self.config.mode == "both"
+
+    def _checkpoint(self, name: str) -> str:
+        return f"{self.root}/checkpoints/{name}"
+
+    def _namespace(self, name: str) -> str:
+        return _namespace(self._checkpoint(name))
+
+    # -- queries --------------------------------------------------------------
+    def processed(self) -> DataFrame:
+        """(url): URLs processed up to now."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
+            return self.spark.read.schema(PAGE_WORDS).parquet(f"{self.root}/pages").select("url")
         except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _write(self, df: DataFrame, path: str, *by: str) -> None:
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*by) if by else writer).parquet(f"{self.root}/{path}")
-
-    def commit_of(self, batch_id: int) -> dict | None:
-        """The committed row of a batch, if it is still in its slot."""
-        found = self._read(f"commits/slot={batch_id % self.ring}", COMMIT)
-        rows = found.where(F.col("batch") == batch_id).collect() if found is not None else []
-        return rows[0].asDict() if rows else None
-
-    def _previous(self, batch_id: int) -> dict:
-        if batch_id == 0:
-            return {"batch": -1, "base": -1, "base_slot": 0, "bloom_items": 0, "bloom_slices": 0}
-        found = self.commit_of(batch_id - 1)
-        if found is None:
-            raise RuntimeError(f"batch {batch_id} has no state to go on from: {self.root} lacks the commit of batch "
-                               f"{batch_id - 1}; restore it, or start with a new checkpoint")
-        for name, own in (("mode", self.config.mode), ("membership", self.membership)):
-            if found[name] != own:
-                raise RuntimeError(f"{self.root} was built with {name} {found[name]}, not {own}")
-        return found
-
-    def _deltas(self, kind: str, schema: str, state: dict, upto: int) -> list[DataFrame]:
-        slots = [self._read(f"{kind}/delta/slot={b % self.ring}", schema) for b in range(state["base"] + 1, upto + 1)]
-        return [s for s in slots if s is not None]
-
-    def _all(self, kind: str, schema: str, state: dict, upto: int) -> DataFrame:
-        """Base and deltas up to a batch."""
-        base = self._read(f"{kind}/base/slot={state['base_slot']}", schema) if state["base"] >= 0 else None
-        parts = ([base] if base is not None else []) + self._deltas(kind, schema, state, upto)
-        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
-
-    # -- a batch --------------------------------------------------------------
-    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        c, state = self.config, dict(self._previous(batch_id))
-        if self.page_texts is not None:
-            texts, column = self._new_valid_pages(batch_df, batch_id, state), "description"
-        else:
-            texts, column = batch_df, self.text
-        batch_counts = counts.count_words(explode_clean_words(texts, column, c.stop_words, c.drop_empty))
-        if batch_id == 0 and c.seed_counts:
-            batch_counts = counts.merge_counts(batch_counts, counts.seed_state(self.spark, c.seed_counts))
-        slot = batch_id % self.ring
-        self._write(batch_counts, f"counts/delta/slot={slot}")
-        batch_counts = self._read(f"counts/delta/slot={slot}", "word string, count bigint")
-        if c.sketch_enabled:
-            self._sketch(batch_counts, batch_id)
-        if batch_id - state["base"] >= self.compact_every:
-            self._compact(state, batch_id)
-        row = {**state, "batch": batch_id, "mode": c.mode, "membership": self.membership}
-        names = [x.split()[0] for x in COMMIT.split(", ")]
-        self._write(self.spark.createDataFrame([tuple(row[n] for n in names)], COMMIT), f"commits/slot={slot}")
-        self._publish(row)
-
-    def _compact(self, state: dict, batch_id: int) -> None:
-        new_slot = 1 - state["base_slot"]
-        if self.config.counts_enabled:
-            self._write(self._totals(state, batch_id), f"counts/base/slot={new_slot}")
-        if self.page_texts is not None:
-            self._write(self._all("seen", "url string, bucket int", state, batch_id).repartition("bucket"),
-                        f"seen/base/slot={new_slot}", "bucket")
-        state["base"], state["base_slot"] = batch_id, new_slot
-
-    # -- URLs -----------------------------------------------------------------
-    def _new_valid_pages(self, batch_df: DataFrame, batch_id: int, state: dict) -> DataFrame:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], "url string")
+
+    def _known(self) -> dict:
+        """URLs that count as processed beforehand: the seeds and, to build a filter of, those of earlier runs."""
         c = self.config
-        slot = batch_id % self.ring
-        arrivals = bucketed(batch_df.groupBy(F.col(self.url_col).alias("url")).agg(F.count(F.lit(1)).alias("n")))
-        arrivals = arrivals.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch_id == 0 and c.seed_urls:
-                self._remember(self.spark.createDataFrame([(u,) for u in c.seed_urls], "url string"), "seen/seed", state)
-            touched = [r.bucket for r in arrivals.select("bucket").distinct().collect()]  # URL_BUCKETS numbers at most
-            new = self._not_processed(arrivals.select("url", "bucket"), touched, batch_id, state)
-            pages = self.page_texts.where(F.col("bucket").isin(touched)).select("url", "description")
-            self._write(new.join(pages, "url").select("url", "bucket", "description"), f"valid/slot={slot}")
-            valid = self._read(f"valid/slot={slot}", "url string, bucket int, description string")
-            self._remember(valid.select("url"), f"seen/delta/slot={slot}", state)
-            batch = F.lit(batch_id).cast("bigint").alias("batch")
-            zero = F.lit(0).cast("bigint")
-            received = arrivals.agg(F.coalesce(F.sum("n"), zero).alias("n_urls"), F.count(F.lit(1)).alias("n_distinct"))
-            kept = valid.agg(F.count(F.lit(1)).alias("n_valid"))
-            rows = received.select(batch, "n_urls", "n_distinct", zero.alias("n_valid")).unionByName(
-                kept.select(batch, zero.alias("n_urls"), zero.alias("n_distinct"), "n_valid"))
-            self._write(rows.groupBy("batch").agg(*[F.sum(x).alias(x) for x in ("n_urls", "n_distinct", "n_valid")]),
-                        f"metrics/batch={batch_id}")
-        finally:
-            arrivals.unpersist()
-        return valid
-
-    def _seen(self, touched: list[int], batch_id: int, state: dict) -> DataFrame:
-        """Processed URLs of the touched buckets (partition pruning in base and deltas)."""
-        schema = "url string, bucket int"
-        found = self._all("seen", schema, state, batch_id - 1)
-        seed = self._read("seen/seed", schema)
-        found = found if seed is None else found.unionByName(seed)
-        return found.where(F.col("bucket").isin(touched)).select("url")
-
-    def _not_processed(self, urls: DataFrame, touched: list[int], batch_id: int, state: dict) -> DataFrame:
-        seen = self._seen(touched, batch_id, state)
-        if self.membership == "exact" or not state["bloom_slices"]:
-            return urls.join(seen, "url", "left_anti")
+        seeds = self.spark.createDataFrame([(u,) for u in c.seed_urls], "url string")
+        if self.membership == "exact":
+            return {"known": seeds} if c.seed_urls else {}
+        known = materialize(seeds.unionByName(self.processed()).distinct(), "known_urls")
+        items = bloom.sized_for(known, c.bloom_expected_items)
+        bits = materialize(bloom.bloom_bits(known, "url", items, c.bloom_fpp), "known_bits")
+        return {"known": known, "bits": bits, "items": items, "fpp": c.bloom_fpp}
+
+    def _stage(self, stream: DataFrame, name: str, seconds: int | None) -> StreamingQuery:
+        c = self.config
+        if self.pages is not None:
+            found = new_pages(stream.select(F.col(self.url_col).alias("url")), self.pages, **self._known())
+            column = "description"
+        else:
+            found, column = stream.withColumn("url", F.lit(None).cast("string")), self.text
+        words = found.select("url", clean_words(column, c.stop_words, c.drop_empty).alias("words"))
+        writer = (words.writeStream.format("parquet").outputMode("append").queryName(name)
+                  .option("checkpointLocation", self._checkpoint("pages")).option("path", f"{self.root}/pages"))
+        return _trigger(writer, seconds).start()
+
+    def _words(self, stream: DataFrame) -> DataFrame:
+        """The stream (word, n) that the outputs count: occurrences, and the seeds once."""
         c = self.config
-        slices = self._slices(range(state["bloom_slices"]), batch_id - 1)
-        asked = bloom.in_any_slice(urls, slices, range(state["bloom_slices"]), "url", c.bloom_expected_items, c.bloom_fpp)
-        maybe = asked.where("might_contain").select("url", "bucket")
-        return asked.where("not might_contain").select("url", "bucket").unionByName(maybe.join(seen, "url", "left_anti"))
-
-    def _slices(self, numbers: range, upto: int) -> DataFrame:
-        """(slice, block, bits) as of a batch: the newest version of each slice that is not newer than it."""
-        parts = [self.spark.createDataFrame([], "slice int, block bigint, bits bigint")]
-        for n in numbers:
-            for slot in range(2):
-                found = self._read(f"bloom/slice={n}/slot={slot}", "version bigint, block bigint, bits bigint")
-                if found is not None:
-                    parts.append(found.where(F.col("version") <= upto).select(F.lit(n).alias("slice"), "block", "bits"))
-        return reduce(DataFrame.unionByName, parts).groupBy("slice", "block").agg(F.bit_or("bits").alias("bits"))
-
-    def _remember(self, urls: DataFrame, path: str, state: dict) -> None:
-        """Write URLs as processed, and add them to the filter's slice that has room."""
-        self._write(bucketed(urls).repartition("bucket"), path, "bucket")
-        if self.membership != "bloom":
+        if self.staged:
+            each = file_stream(self.spark, f"{self.root}/pages", PAGE_WORDS).select(F.explode("words").alias("word"))
+        else:
+            each = explode_clean_words(stream, self.text, c.stop_words, c.drop_empty)
+        words = each.withColumn("n", F.lit(1).cast("bigint"))
+        if not c.seed_counts:
+            return words
+        seeds = counts.seed_state(self.spark, c.seed_counts).withColumnRenamed("count", "n")
+        seeds.write.mode("ignore").parquet(f"{self.root}/seeds")
+        return words.unionByName(file_stream(self.spark, f"{self.root}/seeds", "word string, n bigint"))
+
+    def _outputs(self, stream: DataFrame, seconds: int | None) -> list[StreamingQuery]:
+        c, out = self.config, []
+        if c.counts_enabled:
+            out.append(start_counts(self._words(stream), self._checkpoint("counts"), self.fold_every, seconds)[0])
+        if c.sketch_enabled:
+            out.append(start_cells(self._words(stream), self._checkpoint("cells"), c, self.fold_every, seconds)[0])
+            if not c.counts_enabled:  # else the totals name the words
+                out.append(start_names(self._words(stream), self._checkpoint("names"), seconds)[0])
+        return out
+
+    # -- runs -----------------------------------------------------------------
+    def collect(self, stream: DataFrame) -> None:
+        """Drain the stream into the file sink, and note what Spark reports of the batches. Nothing to do without a sink."""
+        if not self.staged:
             return
-        c, added = self.config, self._read(path, "url string, bucket int")
-        version = -1 if path == "seen/seed" else state["batch"] + 1  # seeds come before batch 0
-        n = bloom.slice_for(state["bloom_items"], c.bloom_expected_items)
-        fresh = bloom.bloom_bits(added, "url", bloom.slice_capacity(n, c.bloom_expected_items), c.bloom_fpp, f"{bloom.BLOOM_SEED}{n}")
-        before = self._slices(range(n, n + 1), version - 1).where(F.col("slice") == n)
-        merged = bloom.bloom_merge(before, fresh).withColumn("version", F.lit(version).cast("bigint"))
-        self._write(merged.select("version", "block", "bits"), f"bloom/slice={n}/slot={version % 2}")
-        state["bloom_items"] += added.count()
-        state["bloom_slices"] = max(state["bloom_slices"], n + 1)
-
-    # -- outputs --------------------------------------------------------------
-    def _totals(self, state: dict, upto: int) -> DataFrame:
-        found = self._all("counts", "word string, count bigint", state, upto)
-        return found.groupBy("word").agg(F.sum("count").cast("bigint").alias("count"))
-
-    def _sketch(self, batch_counts: DataFrame, batch_id: int) -> None:
-        c, slot, before = self.config, batch_id % 2, (batch_id - 1) % 2
-        kw = dict(eps=c.cms_eps, delta=c.cms_delta, seed=c.cms_seed)
-        cells = cms.sketch_from_counts(batch_counts, **kw)
-        schema = "row int, bucket bigint, cnt bigint"
-        if batch_id:
-            cells = cms.merge_sketches(self._read(f"cells/slot={before}", schema), cells)
-        self._write(cells, f"cells/slot={slot}")
-        total = batch_counts.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
-        heavy = batch_counts.where(F.col("count") >= F.lit(Decimal(repr(c.heavy_hitter_pct))) * total).select("word")
-        if batch_id:
-            heavy = heavy.unionByName(self._read(f"candidates/slot={before}", "word string, est bigint").select("word"))
-        passing = cms.heavy_hitter_estimates(heavy.distinct(), self._read(f"cells/slot={slot}", schema),
-                                             pct=c.heavy_hitter_pct, **kw)
-        self._write(passing, f"candidates/slot={slot}")
-
-    def _last(self) -> dict:
-        """The newest commit."""
-        found = self._read("commits", COMMIT + ", slot int")
-        row = found.orderBy(F.desc("batch")).first() if found is not None else None
-        if row is None:
-            raise RuntimeError(f"{self.root} has no commit")
-        return row.asDict()
-
-    def _publish(self, state: dict) -> None:
-        if self.config.counts_enabled:
-            publish(self.term_counts(state), "term_counts", self.namespace)
-        if self.config.sketch_enabled:
-            publish(self.top_words(state), "top_words", self.namespace)
-
-    def term_counts(self, state: dict | None = None) -> DataFrame:
-        """(words, count) up to the last commit, unsorted; readers of the view sort as they need."""
-        state = state or self._last()
-        return self._totals(state, state["batch"]).select(F.col("word").alias("words"), "count")
+        name = f"pages_{id(self)}"
+        with ProgressListener(self.spark, name) as heard:
+            query = self._stage(stream, name, None)
+            reports = heard.drained(query)
+        await_done(query)
+        self._note(reports)
+
+    def run(self, stream: DataFrame, outputs: bool = True) -> TermJob:
+        """Drain the stream, then (``outputs``) bring the outputs up to it and publish them."""
+        self.collect(stream)
+        if outputs:
+            for query in self._outputs(stream, None):
+                await_done(query)
+            self.publish()
+        return self
+
+    def start(self, stream: DataFrame) -> TermJob:
+        """Run on, in the background."""
+        seconds = self.config.batch_seconds
+        if self.staged:
+            name = f"pages_{id(self)}"
+            self._heard = ProgressListener(self.spark, name)
+            self.spark.streams.addListener(self._heard)
+            self.queries.append(self._stage(stream, name, seconds))
+        self.queries += self._outputs(stream, seconds)
+        return self
+
+    def process_all_available(self) -> None:
+        """Block until what has arrived is in the outputs (of a started job)."""
+        for query in self.queries:
+            query.processAllAvailable()
+
+    def stop(self) -> None:
+        """End a started job and publish its outputs."""
+        for query in self.queries:
+            query.stop()
+        if self._heard is not None:
+            self._note(self._heard.drained(self.queries[0]))
+            self.spark.streams.removeListener(self._heard)
+        self.queries, self._heard = [], None
+        self.publish()
+
+    # -- results --------------------------------------------------------------
+    def _table(self, name: str, keys: list[str], values: list[str], of: str) -> GrowingTable:
+        return GrowingTable(name, keys, values, self._namespace(of), self.fold_every)
+
+    @property
+    def _metrics(self) -> GrowingTable:
+        return self._table("metrics", ["batch"], ["n_urls", "n_distinct", "n_valid"], "pages")
+
+    @property
+    def _offsets(self) -> GrowingTable:
+        return self._table("offsets", ["batch", "source", "partition"], ["from_offset", "until_offset", "n_rows"], "pages")
+
+    def _note(self, reports: list[dict]) -> None:
+        """Keep the batches' offsets and, of URLs, metrics."""
+        if not reports:
+            return
+        first = reports[0]["batchId"]
+        self._offsets(self.spark.createDataFrame(offset_rows(reports), OFFSETS), first)
+        if self.pages is not None:
+            rows = []
+            for r in reports:
+                seen = {k: v for row in r["observed"].values() for k, v in row.items()}
+                rows.append((r["batchId"], *[seen.get(k, 0) for k in self._metrics.values]))
+            self._metrics(self.spark.createDataFrame(rows, "batch bigint, n_urls bigint, n_distinct bigint, n_valid bigint"), first)
 
-    def cells(self) -> DataFrame:
-        """The sketch up to the last commit."""
-        return self._read(f"cells/slot={self._last()['batch'] % 2}", "row int, bucket bigint, cnt bigint")
+    def metrics(self) -> DataFrame:
+        """(batch, n_urls, n_distinct, n_valid): URLs received, distinct, and new valid ones, of each batch that had any."""
+        return self._metrics.read(self.spark)
 
-    def top_words(self, state: dict | None = None) -> DataFrame:
-        """(word): the top k heavy hitters by estimate."""
-        state = state or self._last()
-        found = self._read(f"candidates/slot={state['batch'] % 2}", "word string, est bigint")
-        return found.orderBy(F.desc("est"), F.asc("word")).limit(self.config.topk).select("word")
+    def offsets(self) -> DataFrame:
+        """(batch, source, partition, from_offset, until_offset, n_rows) of the staged stream's batches."""
+        return self._offsets.read(self.spark)
 
-    def metrics(self) -> DataFrame:
-        """Per-batch URL metrics (batch, n_urls, n_distinct, n_valid)."""
-        return self._read("metrics", "n_urls bigint, n_distinct bigint, n_valid bigint, batch bigint").select(
-            "batch", "n_urls", "n_distinct", "n_valid")
+    def term_counts(self) -> DataFrame:
+        """(words, count) up to the last batch, unsorted."""
+        return self._table("term_counts", ["words"], ["count"], "counts").read(self.spark)
 
+    def cells(self) -> DataFrame:
+        """(row, bucket, cnt): the sketch up to the last batch."""
+        return self._table("cells", ["row", "bucket"], ["cnt"], "cells").read(self.spark)
 
-def start_terms(stream: DataFrame, config: TermConfig = TermConfig(), text: str = "text", root: str | None = None,
-                checkpoint: str | None = None, continuous: bool = False, page_texts: DataFrame | None = None,
-                url_col: str = "key", membership: str = "exact", compact_every: int = COMPACT_EVERY,
-                namespace: str = "") -> tuple[StreamingQuery, TermJob]:
-    """Start the job on a stream of texts or of URLs; ``continuous`` triggers every config.batch_seconds.
+    def top_words(self) -> DataFrame:
+        """(word): the top k heavy hitters by estimate, among the counted words or those that the frequent-items sketch tracks."""
+        c = self.config
+        if c.counts_enabled:
+            named = self.term_counts().select(F.col("words").alias("word"))
+        else:
+            tracked = F.expr(f"approx_top_k_estimate(sketch, {cms.TRACKED})")
+            named = open_table(self.spark, "names", self._namespace("names")).select(F.explode(tracked).alias("x")).select("x.item")
+            named = named.withColumnRenamed("item", "word")
+        return cms.sketch_topk(named, c.topk, self.cells(), c.cms_eps, c.cms_delta, c.cms_seed, c.heavy_hitter_pct).select("word")
 
-    Give ``root`` or ``checkpoint`` to go on after a restart; each follows from the other.
-    """
-    spark = stream.sparkSession
-    if root is None:
-        root = f"{checkpoint.rstrip('/')}-state" if checkpoint else scratch_path(spark, "terms")
-    checkpoint = checkpoint or f"{root.rstrip('/')}/_checkpoint"
-    job = TermJob(spark, config, root, text, page_texts, url_col, membership, compact_every, namespace)
-    writer = stream.writeStream.option("checkpointLocation", checkpoint)
-    query = _trigger(writer, config.batch_seconds if continuous else None).foreachBatch(job).queryName(f"terms_{id(job)}").start()
-    return query, job
-
-
-__all__ = ["SnapshotSink", "TermJob", "await_done", "bucketed", "file_stream", "save_page_texts", "start_terms",
-           "start_word_count"]
+    def publish(self) -> None:
+        """Save the outputs as new versions of the named tables ``term_counts`` and ``top_words``."""
+        if self.config.counts_enabled:
+            save_table(self.term_counts(), "term_counts", self.namespace)
+        if self.config.sketch_enabled:
+            save_table(self.top_words(), "top_words", self.namespace)
