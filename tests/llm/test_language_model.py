@@ -1,4 +1,4 @@
-"""Language model: base scores against brute force, the trie against plain look-ups."""
+"""Language model: base scores against brute force, scores against the same model by dictionaries, the trie's parts."""
 
 import math
 import random
@@ -7,13 +7,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wordlens.llm import language_model as lm
-from wordlens.llm.ngram_trie import EliasFano, Trie, open_trie, quantise
+from wordlens.llm.ngram_trie import CONTEXT_BITS, EliasFano, Level, codebook, codes
 
-SCHEMA = "word string, doc_id bigint, text string, c int"
+SCHEMA = "word string, doc_id bigint, text string, chunk int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SMALL = {"shard_tokens": 300, "chunk_bytes": 2_000}
 
 
 def corpus(n=150):
@@ -41,109 +43,16 @@ def brute(rows):
 key = lambda t: tuple((x is None, x or 0) for x in t)
 
 
-@pytest.mark.parametrize("share", [1e-6, 0.02, 1.0])
-def test_base_scores(spark, share):
+@pytest.mark.parametrize("how", [{}, SMALL, SMALL | {"common_share": 0.2}, SMALL | {"common_share": 0.01}])
+def test_base_scores(spark, how):
     rows = corpus()
-    got = sorted((tuple(r) for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA), share, share).collect()), key=key)
+    got = sorted((tuple(r) for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(2), **how).collect()), key=key)
     want = sorted(brute(rows), key=key)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9)
     assert all(g[6] < 0 for g in got)
 
 
-def test_model_beats_unigrams_on_held_out_texts(spark):
-    rng = random.Random(9)
-    rows = []
-    for i in range(600):
-        w = rng.randrange(40)
-        text = []
-        for _ in range(40):
-            text.append(f"w{w}")
-            w = (w * 7 + rng.choice([1, 1, 1, 2])) % 40
-        rows.append(("c", i, " ".join(text), 1))
-    got = [r for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
-    assert len(got) > 30 and sum(r.score for r in got) > 0.6 * sum(r.base_score for r in got)
-
-
-def test_empty_tables(spark):
-    assert lm.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
-    ids = [i for i in range(50) if held_out(i)][:3]
-    got = lm.score_texts(spark.createDataFrame([("c", i, "a b", 1) for i in ids], SCHEMA)).collect()
-    assert [(r.train_tokens, r.n_known, r.base_score) for r in got] == [(0, 0, 0.0)] * len(ids)
-
-
-@pytest.mark.parametrize("n,bound", [(0, 1), (1, 1), (5, 3), (1000, 1 << 40), (1000, 900), (3000, 1 << 20)])
-def test_elias_fano(n, bound):
-    rng = np.random.default_rng(n)
-    values = np.sort(rng.integers(0, bound, n))
-    ef = EliasFano.build(values)
-    assert (ef.get(np.arange(n)) == values).all()
-    probe = np.concatenate([values, rng.integers(0, bound, 200)])
-    found = ef.find(probe)
-    known = {}
-    for i, v in enumerate(values.tolist()):
-        known.setdefault(v, i)
-    assert found.tolist() == [known.get(v, -1) for v in probe.tolist()]
-    assert ef.unpacked().find(probe).tolist() == found.tolist()
-
-
-def test_trie_against_plain_lookups(tmp_path):
-    rng = np.random.default_rng(3)
-    ids = 9
-    bigrams = np.unique(rng.integers(0, ids * ids, 40))
-    pairs = set(bigrams.tolist())
-    trigrams = np.array([u * ids * ids + v * ids + w for u in range(ids) for v in range(ids) for w in range(ids)
-                         if u * ids + v in pairs and v * ids + w in pairs and rng.random() < 0.5], np.int64)
-    p1, b1, p2, b2, p3 = (-rng.integers(1, 200, k) / 64 for k in (ids, ids, len(bigrams), len(bigrams), len(trigrams)))
-    trie = Trie.build(p1, b1, bigrams, p2, b2, trigrams, p3)
-    path = tmp_path / "model"
-    path.write_bytes(trie.to_bytes())
-    words = rng.integers(0, ids, 500)
-    starts = rng.random(500) < 0.1
-    starts[0] = True
-
-    def plain(i):
-        w, v = words[i], words[i - 1]
-        u = words[i - 2] if not starts[i - 1] else None
-        two, ctx = v * ids + w, None if u is None else u * ids + v
-        at = {x: k for k, x in enumerate(bigrams.tolist())}
-        third = {x: k for k, x in enumerate(trigrams.tolist())}
-        if u is not None and (u * ids + v) * ids + w in third:
-            return p3[third[(u * ids + v) * ids + w]]
-        low = p2[at[two]] if two in at else b1[v] + p1[w]
-        return low + (b2[at[ctx]] if ctx in at else 0)
-
-    want = [0 if starts[i] else plain(i) for i in range(500)]
-    for t in (trie, Trie.from_buffer(trie.to_bytes()), open_trie(str(path)), open_trie(str(path)).unpacked()):
-        assert np.allclose(t.score(words, starts), want)
-
-
-def test_contexts_sum_to_one():
-    rng = np.random.default_rng(5)
-    seq = rng.integers(0, 4, 3000)
-    size = 6  # four words, the rare class, the start
-    counts = np.bincount(seq, minlength=4)
-    v = lm.Vocabulary(np.arange(4, dtype=np.uint64), counts, 3000, 4)
-    b, c2 = np.unique(seq[:-1] * size + seq[1:], return_counts=True)
-    t, c3 = np.unique((seq[:-2] * size + seq[1:-1]) * size + seq[2:], return_counts=True)
-    b, c2 = b[c2 > 150], c2[c2 > 150]
-    ok = np.isin(t // size, b) & np.isin(t % (size * size), b) & (c3 > 45)
-    trie = lm.smoothed(v, b, c2, t[ok], c3[ok], 1)
-    for u in range(4):
-        for w in range(4):
-            words = np.array([x for z in range(5) for x in (u, w, z)])
-            p = 10 ** trie.score(words, np.arange(15) % 3 == 0)[2::3]
-            assert abs(p.sum() - 1) < 0.01
-
-
-def test_quantise_keeps_few_values_exactly():
-    place, book = quantise(np.array([1.0, 2.0, 1.0, 5.0]))
-    assert book[place].tolist() == [1.0, 2.0, 1.0, 5.0]
-    many = np.random.default_rng(0).normal(size=5000)
-    place, book = quantise(many)
-    assert len(book) == 256 and np.abs(book[place] - many).mean() < 0.01
-
-
 def plain_scores(rows):
     """The same model by dictionaries: all words, all n-grams that training has twice."""
     seqs = [["<s>"] + tokens(t) for _, d, t, _ in rows if not held_out(d)]
@@ -169,17 +78,41 @@ def plain_scores(rows):
         s = ["<s>"] + tokens(text)
         return sum(math.log10(p(tuple(s[max(0, i - 2):i]), s[i])) for i in range(1, len(s)))
 
-    return [(d, score(t)) for _, d, t, _ in rows]
+    return [(d, score(t), len(tokens(t))) for _, d, t, _ in rows]
 
 
-@pytest.mark.parametrize("shard_tokens", [2_000_000, 500])
-def test_scores_against_plain_model(spark, monkeypatch, shard_tokens):
-    monkeypatch.setattr(lm, "SHARD_TOKENS", shard_tokens)
+@pytest.mark.parametrize("bits,near", [(16, 2e-4), (8, 0.03)])
+@pytest.mark.parametrize("how", [{}, SMALL, SMALL | {"common_share": 0.2}, SMALL | {"common_share": 0.01}])
+def test_scores_against_plain_model(spark, how, bits, near):
+    """Off by the codebook's steps at most, whatever the shards, chunks and contexts that are dealt out."""
     rows = corpus()
-    got = sorted(((r.doc_id, r.score) for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect()), key=key)
+    got = sorted(((r.doc_id, r.score) for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA).repartition(2), bits=bits, **how).collect()), key=key)
     want = sorted(plain_scores(rows), key=key)
     assert [g[0] for g in got] == [w[0] for w in want]
-    assert np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-9)
+    assert all(abs(g[1] - w[1]) <= near * w[2] for g, w in zip(got, want))
+
+
+def test_scores_come_from_the_trie(spark, monkeypatch):
+    def search(self, *_):
+        raise RuntimeError("the trie was asked")
+
+    monkeypatch.setattr(Level, "search", search)
+    with pytest.raises(Exception, match="the trie was asked"):
+        lm.score_texts(spark.createDataFrame(corpus(), SCHEMA)).collect()
+
+
+def test_model_beats_unigrams_on_held_out_texts(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        w = rng.randrange(40)
+        text = []
+        for _ in range(40):
+            text.append(f"w{w}")
+            w = (w * 7 + rng.choice([1, 1, 1, 2])) % 40
+        rows.append(("c", i, " ".join(text), 1))
+    got = [r for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
+    assert len(got) > 30 and sum(r.score for r in got) > 0.6 * sum(r.base_score for r in got)
 
 
 def test_an_ngram_counts_the_same_in_a_large_corpus(spark):
@@ -191,3 +124,87 @@ def test_an_ngram_counts_the_same_in_a_large_corpus(spark):
     rows += [("c", i, "a b c d e f g h " * 160, 1) for i in train[2:]]
     got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, SCHEMA)).collect()}[ask]
     assert got.train_tokens > 3_000_000 and got.score > 0.3 * got.base_score
+
+
+def test_a_common_bigram_does_not_swell_a_shard(spark):
+    """"the of" is a third of all bigrams, with another word after it each time: its successors go to all shards."""
+    rows = [("c", i, " ".join(f"the of x{i}y{j}" for j in range(60)), 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text")
+    n, _, common = lm.common_words(docs, 1e-3, 20_000)
+    shared = spark.sparkContext.broadcast(common)
+    sizes = Counter()
+    for r in lm.packed_grams(docs, shared, 8, 20_000).collect():
+        sizes[r.level, r.shard] += len(lm.unpack(r.pairs, np.uint64))
+    own = [sizes[1, s] for s in range(8)]
+    assert n > 20_000 and max(own) < 1.5 * np.mean(own)
+
+
+def test_empty_tables(spark):
+    assert lm.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+    ids = [i for i in range(50) if held_out(i)][:3]
+    got = lm.score_texts(spark.createDataFrame([("c", i, "a b", 1) for i in ids], SCHEMA)).collect()
+    assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in got] == [(0, 0, 0.0, 0.0)] * len(ids)
+
+
+@pytest.mark.parametrize("n,bound", [(0, 1), (1, 1), (5, 3), (1000, 1 << 62), (1000, 900), (3000, 1 << 20)])
+def test_elias_fano(n, bound):
+    rng = np.random.default_rng(n)
+    values = np.sort(rng.integers(0, bound, n))
+    ef = EliasFano.of(*EliasFano.build(values).parts())
+    assert (ef.values() == values).all()
+    probe = np.concatenate([values, rng.integers(0, bound, 200)])
+    known = {}
+    for i, v in enumerate(values.tolist()):
+        known.setdefault(v, i)
+    assert ef.find(probe).tolist() == [known.get(v, -1) for v in probe.tolist()]
+
+
+def test_a_level_against_plain_lookups():
+    rng = np.random.default_rng(3)
+    contexts = np.unique(rng.integers(0, 1 << CONTEXT_BITS, 300))
+    pairs = sorted({(int(rng.integers(300)), int(rng.integers(1 << 24))) for _ in range(900)})
+    parent, word = (np.array(x) for x in zip(*pairs))
+    parent = parent % len(contexts)
+    order = np.lexsort((word, parent))
+    parent, word = parent[order], word[order]
+    totals, back, prob = rng.integers(1, 10 ** 9, len(contexts)), rng.random(len(contexts)), rng.random(len(parent))
+    level = Level.mapped(Level.build(contexts, totals, back, parent, word, prob).to_bytes())
+    asked = np.concatenate([contexts[::3], contexts[::3] + 1])
+    ask_parent, ask_word = np.repeat(np.arange(len(asked)), 4), rng.choice(word, 4 * len(asked))
+    total, b, p = level.search(asked, ask_parent, ask_word)
+    where = {c: i for i, c in enumerate(contexts.tolist())}
+    found = {(int(x), int(y)): i for i, (x, y) in enumerate(zip(parent, word))}
+    assert total.tolist() == [int(totals[where[c]]) if c in where else 0 for c in asked.tolist()]
+    assert b.tolist() == [int(codes(back, 8)[where[c]]) if c in where else 0 for c in asked.tolist()]
+    hits = [found.get((where.get(int(asked[i]), -1), int(w)), -1) for i, w in zip(ask_parent, ask_word)]
+    assert p.tolist() == [int(codes(prob, 8)[i]) if i >= 0 else 0 for i in hits]
+    own = level.search(contexts, parent, word)[2]
+    assert (own == codes(prob, 8)).all()
+    assert Level.mapped(level.to_bytes()).to_bytes() == level.to_bytes()
+
+
+@pytest.mark.parametrize("bits", [8, 16])
+def test_the_codebook_is_near(bits):
+    p = 10.0 ** -np.random.default_rng(1).uniform(0, 9.9, 5000)
+    off = np.abs(np.log10(codebook(bits)[codes(p, bits)] / p))
+    assert off.max() <= 10 / (2 ** bits - 2) / 2 + 1e-9 and codebook(bits)[0] == 0 and codes(np.array([1.0]), bits)[0] == 1
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.uint16, np.uint32, np.uint64])
+def test_packed_integers(kind):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        values = rng.integers(0, np.iinfo(kind).max, n, dtype=kind, endpoint=True)
+        assert (lm.unpack(lm.pack(values), kind) == values).all()
+
+
+def test_chunks_do_not_depend_on_batches():
+    texts = [None, "", "a" * 30, "b", "c" * 5, "", "d" * 100, "e"] * 5
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    want = None
+    for step in (1, 3, 7, 40):
+        batches = [rows.slice(i, step) for i in range(0, len(texts), step)]
+        got = [(n, a.to_pylist(), b.to_pylist()) for n, a, b in lm.chunked(iter(batches), 50)]
+        assert [x for _, a, _ in got for x in a] == list(range(len(texts)))
+        want = want or got
+        assert got == want

@@ -1,21 +1,23 @@
-"""Language-model scoring of whole texts with an n-gram model of the whole corpus, held in Elias-Fano shards.
-
-Counts cover all training documents: every word, and every bigram and trigram that stands there ``LEAST`` times,
-whatever the corpus' size. Nothing of the model but its totals passes through the driver, and only the words of at least
-``CACHE_SHARE`` of the tokens (at most 1 / CACHE_SHARE) are broadcast; other words' counts are joined.
-
-1. Every text's n-grams (64-bit hashes) are dealt out to shards by hash, packed by text. A shard counts the training ones,
-   names a text for each that is frequent enough, and keeps what each text has of those.
-2. The named texts give the words of each kept n-gram; probabilities and back-off weights are then joins of tables.
-3. A text's log probability is the sum of its words' (add-one unigrams), its words' back-off weights as contexts, and a
-   term for each kept n-gram, which replaces what the lower orders gave. A shard's kept n-grams are an Elias-Fano
-   sequence in which those of the texts are searched.
-
-Smoothing: interpolated absolute discounting; what is pruned goes to the back-off weights, so each context's
-probabilities sum to one. A word that training does not have is of the unigrams' one unseen type.
-
-Skew: a frequent word never meets in a join of texts (its counts come by broadcast). A very frequent n-gram's occurrences
-are in one shard, at 8 bytes each. Tables of n-grams are written before the joins on their words, so that those can be split.
+"""Language-model scoring of whole texts by a trigram model of the whole corpus, in shards of an Elias-Fano trie.
+
+Counts cover all training documents. Texts are read in chunks; a chunk's distinct bigrams and trigrams, as (context, word)
+pairs of hashes, go to the shard of their context, sorted and packed, so an n-gram costs some bytes a chunk however often it
+stands there.
+
+1. ``common_words``: the tokens' number, and words that are a large share of them. Contexts of such words alone have too many
+   successors for one shard, and are dealt out by successor.
+2. ``packed_grams``: every chunk's pairs with training counts, by level and shard.
+3. ``answers``: a shard sums the counts, keeps every n-gram that stands ``LEAST`` times (at any size), smooths by interpolated
+   absolute discounting, builds its part of the trie's level, and looks up the pairs of each chunk in it. Answers are 8-bit numbers in
+   the order of the chunk's pairs.
+4. ``score_texts``: each chunk's texts meet its answers; probabilities of its distinct pairs are put together and summed by text.
+
+Smoothing needs a context's own counts only, so no n-grams are joined with one another: p(w | u v) = q3 + g(u v) p(w | v) and
+p(w | v) = q2 + g(v) p(w), with q the discounted share of a kept n-gram and g what the discounts leave. For contexts that were dealt
+out, the sums of counts and discounts come as a table of (common word, or pair of common words), which their share bounds.
+
+Contexts are known by 39-bit hashes and words within one by 24 bits, so about one n-gram in 10^5 meets another's numbers at
+0.1 GB, and one context in 300 at 30 GB. Word counts (base_score) go by the contexts' hashes too.
 """
 
 from __future__ import annotations
@@ -26,23 +28,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlens.llm.arrays import Words, mix, words
-from wordlens.llm.ngram_trie import EliasFano, Trie
-from wordlens.session import scratch_path
+from wordlens.llm.arrays import mix, words
+from wordlens.llm.ngram_trie import CONTEXT_BITS, WORD_BITS, Level, codebook
+from wordlens.session import materialize
 
 FOLDS, HELD_OUT = 7, 2
 LEAST, DISCOUNT = 2, 0.75
-#: Words that are broadcast; only where their counts are looked up depends on it.
-CACHE_SHARE = 1e-6
-#: Tokens a shard counts, and n-grams that a task packs at a time.
-SHARD_TOKENS, PACK = 2_000_000, 2_000_000
+#: Bytes of text in a chunk, tokens of a shard, and the share of all tokens from which a word is common.
+CHUNK_BYTES, SHARD_TOKENS, COMMON_SHARE = 8 << 20, 2_000_000, 1e-3
+#: Bits of a probability.
+BITS = 8
 #: Stand for the end and the start of a text among word hashes.
 END_HASH, START_HASH = np.uint64(0x9D39247E33776D41), np.uint64(0x2545F4914F6CDD1D)
-#: Keys a task tallies before it hands them on.
-TALLY = 3_000_000
+#: Marks a context that is dealt out by successor.
+DEALT = np.uint64(1 << (CONTEXT_BITS - 1))
 
 
 def is_held_out(doc_id) -> bool:
@@ -50,386 +53,351 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-class Tally:
-    """Counts of 64-bit keys, handed on in batches when many have come together."""
+# --------------------------------------------------------------------------- packed integers
 
-    def __init__(self, key: str):
-        self.key, self.parts, self.size = key, [], 0
+def pack(values: np.ndarray) -> bytes:
+    """Integers as compressed planes of their bytes."""
+    size = values.dtype.itemsize
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), size).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else bytes(8)
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(keys):
-            self.parts.append(np.unique(keys, return_counts=True))
-            self.size += len(self.parts[-1][0])
-        if self.size > TALLY:
-            self._merge()
-            if self.size > TALLY // 2:
-                yield from self.rest()
 
-    def _merge(self) -> None:
-        keys = np.concatenate([p[0] for p in self.parts])
-        counts = np.concatenate([p[1] for p in self.parts])
-        known, place = np.unique(keys, return_inverse=True)
-        self.parts = [(known, np.bincount(place, counts).astype(np.int64))]
-        self.size = len(known)
+def unpack(data: bytes, kind) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
 
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            self._merge()
-            keys, counts = self.parts[0]
-            self.parts, self.size = [], 0
-            for at in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at:at + 100_000].view(np.int64)), pa.array(counts[at:at + 100_000])], [self.key, "c"])
 
+# --------------------------------------------------------------------------- chunks of texts
 
-@dataclass
-class Vocabulary:
-    """Sorted hashes of the frequent words (the end among them), their counts, and the totals of training.
+def _context_id(hashes: np.ndarray, dealt: np.ndarray) -> np.ndarray:
+    return (mix(hashes) & (DEALT - np.uint64(1))) | np.where(dealt, DEALT, np.uint64(0))
 
-    ids: 0 to len(hashes) - 1 the frequent words, then the class of all others, then the start of a text.
-    """
-
-    hashes: np.ndarray
-    counts: np.ndarray
-    tokens: int
-    types: int
 
-    @property
-    def rare(self) -> int:
-        return len(self.hashes)
-
-    @property
-    def start(self) -> int:
-        return len(self.hashes) + 1
-
-    @property
-    def size(self) -> int:
-        return len(self.hashes) + 2
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
-        if not len(self.hashes):
-            return np.full(len(hashes), self.rare)
-        return np.where(self.hashes[at] == hashes, at, self.rare)
-
-    def rare_total(self) -> float:
-        """Denominator of a word within the class of rare words."""
-        return self.tokens - int(self.counts.sum()) + self.types - len(self.counts) + 1
-
-
-def _gram(context: np.ndarray, word: np.ndarray, order: int) -> np.ndarray:
-    """Hash of a context (a word's hash or a bigram's) and a word, below 2**63; the last bit tells trigrams."""
-    x = mix(context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(word.astype(np.uint64)))
-    return ((x >> np.uint64(2) << np.uint64(1)) | np.uint64(order - 2)).astype(np.int64)
+def _word_bits(hashes: np.ndarray) -> np.ndarray:
+    return mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - WORD_BITS)
 
 
 @dataclass
-class Grams:
-    """The bigrams and then the trigrams of a chunk of texts: hash, row, and the two parts (words, or bigrams)."""
+class Pairs:
+    """The distinct (context, word) pairs of a level in a chunk, ascending; which of them each event is; their shards."""
 
-    gram: np.ndarray
-    row: np.ndarray
-    first: np.ndarray
-    last: np.ndarray
+    pairs: np.ndarray
+    event: np.ndarray
+    shard: np.ndarray
+    order: np.ndarray
 
     @classmethod
-    def of(cls, w: Words) -> "Grams":
-        at = w.first[:-1] + 2 * np.arange(w.n_rows)
-        seq = np.full(len(w.starts) + 2 * w.n_rows, END_HASH)
-        seq[np.arange(len(w.starts)) + 2 * w.row() + 1] = w.hashes()
-        seq[at] = START_HASH
-        row = np.repeat(np.arange(w.n_rows), w.counts() + 2)
-        two = np.flatnonzero(row[1:] == row[:-1]) + 1
-        bigrams = np.zeros(len(seq), np.int64)
-        bigrams[two] = _gram(seq[two - 1], seq[two], 2)
-        three = np.flatnonzero(row[2:] == row[:-2]) + 2
-        trigrams = _gram(bigrams[three - 1], seq[three], 3)
-        return cls(np.concatenate([bigrams[two], trigrams]), np.concatenate([row[two], row[three]]),
-                   np.concatenate([seq[two - 1].view(np.int64), bigrams[three - 1]]),
-                   np.concatenate([seq[two].view(np.int64), bigrams[three]]))
-
-
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    def of(cls, context: np.ndarray, word: np.ndarray, shards: int) -> Pairs:
+        pairs, event = np.unique((context << np.uint64(WORD_BITS)) | word, return_inverse=True)
+        own = pairs >> np.uint64(WORD_BITS)
+        spread = np.where(own & DEALT > 0, pairs, own)  # a dealt context's pairs go by themselves
+        shard = (mix(spread * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)).astype(np.int64)
+        return cls(pairs, event, shard, np.argsort(shard, kind="stable"))
+
+    def by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each shard and the places of its pairs, ascending."""
+        own = self.shard[self.order]
+        cuts = np.flatnonzero(np.diff(own)) + 1
+        for part in np.split(self.order, cuts):
+            if len(part):
+                yield int(self.shard[part[0]]), part
+
+
+def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, the context of each pair by place, words) of ascending pairs."""
+    contexts, parent = np.unique(pairs >> np.uint64(WORD_BITS), return_inverse=True)
+    return contexts.astype(np.int64), parent, (pairs & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)
+
+
+class Chunk:
+    """Texts as one sequence of word hashes, each text with START before and END after it, and its pairs of both levels."""
+
+    def __init__(self, texts: pa.Array, common: np.ndarray, shards: int):
+        hashes, rows, done = [], [], 0
+        for w in words(texts, lower=True):
+            seq = np.full(len(w.starts) + 2 * w.n_rows, END_HASH)
+            seq[np.arange(len(w.starts)) + 2 * w.row() + 1] = w.hashes()
+            seq[w.first[:-1] + 2 * np.arange(w.n_rows)] = START_HASH
+            hashes.append(seq)
+            rows.append(np.repeat(np.arange(w.n_rows) + done, w.counts() + 2))
+            done += w.n_rows
+        self.n = done
+        self.seq = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        self.row = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        frequent = np.isin(self.seq, common)
+        self.two = np.flatnonzero(self.row[1:] == self.row[:-1]) + 1
+        self.three = np.flatnonzero(self.row[2:] == self.row[:-2]) + 2
+        before, word = self.seq[self.two - 1], _word_bits(self.seq)
+        self.context2 = _context_id(before, frequent[self.two - 1])
+        u, v = self.seq[self.three - 2], self.seq[self.three - 1]
+        self.context3 = _context_id(mix(u * np.uint64(0xD6E8FEB86659FD93)) + v, frequent[self.three - 2] & frequent[self.three - 1])
+        self.levels = [Pairs.of(self.context2, word[self.two], shards), Pairs.of(self.context3, word[self.three], shards)]
+
+    def events(self, level: int) -> np.ndarray:
+        """Places in the sequence of a level's events."""
+        return self.two if level == 0 else self.three
+
+
+def chunked(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, pa.Array, pa.Array]]:
+    """(chunk, doc ids, texts) of runs of rows of about chunk_bytes of text; the same rows give the same chunks in any pass."""
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    number = (context.partitionId() if context else 0) << 32
+    ids, texts, held = [], [], 0
     for batch in batches:
-        train = pa.array([not is_held_out(d) for d in batch.column("doc_id").to_pylist()], pa.bool_())
-        yield from words(batch.column("text").filter(train), lower=True)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c): the training count of every word, by its hash; the end of a text is END_HASH."""
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)).astype(np.int64))
+        at, before = 0, 0
+        while at < batch.num_rows:
+            to = min(int(np.searchsorted(sizes, before + chunk_bytes - held)) + 1, batch.num_rows)
+            ids.append(batch.column("doc_id").slice(at, to - at))
+            texts.append(batch.column("text").slice(at, to - at))
+            held += int(sizes[to - 1]) - before
+            at, before = to, int(sizes[to - 1])
+            if held >= chunk_bytes:
+                yield number, pa.concat_arrays(ids), pa.concat_arrays(texts)
+                number, ids, texts, held = number + 1, [], [], 0
+    if ids:
+        yield number, pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+
+def _fingerprint(ids: pa.Array, texts: pa.Array) -> int:
+    """Tells apart the rows of chunks, should a second reading not give the same ones."""
+    total = pc.sum(pc.fill_null(pc.binary_length(texts), 0)).as_py() or 0
+    ends = "".join(str(x) for x in (len(ids), total, *ids.slice(0, 5).to_pylist(), *ids.slice(max(len(ids) - 5, 0)).to_pylist()))
+    return zlib.crc32(ends.encode())
+
+
+# --------------------------------------------------------------------------- passes over the corpus
+
+def common_words(docs: DataFrame, share: float = COMMON_SHARE, chunk_bytes: int = CHUNK_BYTES) -> tuple[int, int, np.ndarray]:
+    """(training tokens, training texts, hashes of common words, START among them).
+
+    A chunk lists the words that are ``share`` of its own tokens, so a word with that share of all is listed somewhere; those whose
+    listed counts come to a quarter of it are taken, 4 / share at most. The list only decides where pairs are counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally("word")
-        for w in _training(batches):
-            yield from tally.add(np.concatenate([w.hashes(), np.full(w.n_rows, END_HASH)]))
-        yield from tally.rest()
-
-    return docs.mapInArrow(run, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+        for _, ids, texts in chunked(batches, chunk_bytes):
+            train = pa.array([not is_held_out(d) for d in ids.to_pylist()], pa.bool_())
+            found = [w.hashes() for w in words(texts.filter(train), lower=True)]
+            known, n = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
+            n_texts = pc.sum(train).as_py() or 0
+            often = n >= share * max(n.sum(), 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *known[often].view(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()) + n_texts, *n[often].tolist()], pa.int64()),
+                 pa.array([n_texts] + [0] * int(often.sum()), pa.int64())], ["word", "n", "texts"])
+
+    listed = docs.mapInArrow(run, "word bigint, n bigint, texts bigint").groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+    listed = materialize(listed, "lm_common")
+    total = listed.where("word is null").first()
+    tokens, n_texts = (int(total.n), int(total.texts)) if total else (0, 0)
+    found = listed.where(F.col("word").isNotNull() & (F.col("n") >= share / 4 * tokens)).select("word").toArrow().column("word").to_numpy()
+    return tokens, n_texts, np.append(found.astype(np.int64).view(np.uint64), START_HASH)
+
+
+def packed_grams(docs: DataFrame, common, shards: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(level, shard, chunk, print, pairs, counts): each chunk's distinct pairs, as differences, and their training counts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, texts in chunked(batches, chunk_bytes):
+            chunk, seal = Chunk(texts, common.value, shards), _fingerprint(ids, texts)
+            train = np.array([not is_held_out(d) for d in ids.to_pylist()], float)
+            rows: list[tuple] = []
+            for level, own in enumerate(chunk.levels):
+                counts = np.bincount(own.event, train[chunk.row[chunk.events(level)]], len(own.pairs)).astype(np.uint32)
+                rows += [(level, shard, number, seal, pack(np.diff(own.pairs[part], prepend=np.uint64(0))), pack(counts[part]))
+                         for shard, part in own.by_shard()]
+            if rows:
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)],
+                                                 ["level", "shard", "chunk", "print", "pairs", "counts"])
+
+    return docs.mapInArrow(run, "level int, shard int, chunk bigint, print bigint, pairs binary, counts binary")
+
+
+def build_level(pairs: np.ndarray, counts: np.ndarray, scale: float, least: int, bits: int = BITS) -> tuple[Level, np.ndarray, np.ndarray, np.ndarray]:
+    """The trie's level for a shard's distinct pairs and their counts, and (contexts, totals, discounts) of its dealt contexts.
+
+    Contexts are in it from ``least`` occurrences on. Probabilities of a dealt context's successors are shares of ``scale``,
+    as its own total is not known here.
+    """
+    contexts, parent, word = _split(pairs)
+    totals = np.bincount(parent, counts, len(contexts)).astype(np.int64)
+    kept = counts >= LEAST
+    taken = np.bincount(parent[kept], counts[kept] - DISCOUNT, len(contexts))
+    dealt = contexts & int(DEALT) > 0
+    some, there = totals >= least, dealt & (totals > 0)
+    place = np.cumsum(some) - 1
+    of = np.where(dealt, scale, np.maximum(totals, 1))
+    backoff = (totals - taken) / np.maximum(totals, 1)
+    level = Level.build(contexts[some], totals[some], backoff[some], place[parent[kept]], word[kept],
+                        (counts[kept] - DISCOUNT) / of[parent[kept]], bits)
+    return level, contexts[there], totals[there], taken[there]
 
-PACKED = "shard int, keys binary, sizes binary, grams binary"
 
+ANSWERS = ("level int, shard int, chunk bigint, print bigint, totals binary, backoff binary, prob binary, contexts array<bigint>, "
+           "sums array<bigint>, taken array<double>, words bigint")
 
-def _pack(shard: np.ndarray, key: np.ndarray, train: np.ndarray, gram: np.ndarray) -> Iterator[tuple]:
-    """(shard, keys, sizes, grams) of each shard: its texts' keys, how many n-grams each has (negative: held out), those."""
-    order = np.argsort(shard.astype(np.uint16) if shard.max(initial=0) < 1 << 16 else shard, kind="stable")
-    shard, key, train, gram = shard[order], key[order], train[order], gram[order]
-    new = np.ones(len(shard), bool)
-    new[1:] = (shard[1:] != shard[:-1]) | (key[1:] != key[:-1])
-    at = np.flatnonzero(new)
-    sizes = np.diff(np.append(at, len(shard))) * np.where(train[at], 1, -1)
-    for s in np.unique(shard):
-        a, b = np.searchsorted(shard[at], [s, s + 1])
-        i, j = at[a], at[b] if b < len(at) else len(shard)
-        yield int(s), key[at[a:b]].tobytes(), sizes[a:b].astype(np.int32).tobytes(), gram[i:j].tobytes()
 
+def answers(packed: DataFrame, scale: float, bits: int = BITS) -> DataFrame:
+    """A row (level, shard, chunk, ...) for each packed row, with what the shard's level of the trie knows of its pairs; and one a
+    shard (chunk null) with its dealt contexts' sums and how many other contexts training has."""
 
-def _dealt(docs: DataFrame, shards: int) -> DataFrame:
-    """The n-grams of all texts of docs(key, doc_id, text), packed by shard."""
+    def run(table: pa.Table) -> pa.Table:
+        level, shard = (table.column(c)[0].as_py() for c in ("level", "shard"))
+        lists = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in table.column("pairs").to_pylist()]
+        pairs, place = np.unique(np.concatenate(lists), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([unpack(x, np.uint32) for x in table.column("counts").to_pylist()])).astype(np.int64)
+        # words count from one occurrence on, pairs as contexts from those that are in the model
+        built, contexts, sums, taken = build_level(pairs, counts, scale, LEAST if level else 1, bits)
+        trie = Level.mapped(built.to_bytes())
+        out: list[list] = [[], [], []]
+        for own in lists:
+            asked, parent, word = _split(own)
+            total, backoff, prob = trie.search(asked, parent, word)
+            for x, y in zip(out, (pack(total[:0 if level else None].astype(np.uint32)), pack(backoff), pack(prob))):
+                x.append(y)
+        n = len(lists)
+        column = lambda x, kind: pa.array([*x, None], kind)
+        nothing = [None] * n
+        return pa.table({
+            "level": pa.array([level] * (n + 1), pa.int32()), "shard": pa.array([shard] * (n + 1), pa.int32()),
+            "chunk": column(table.column("chunk").to_pylist(), pa.int64()), "print": column(table.column("print").to_pylist(), pa.int64()),
+            "totals": column(out[0], pa.binary()), "backoff": column(out[1], pa.binary()), "prob": column(out[2], pa.binary()),
+            "contexts": pa.array([*nothing, contexts.tolist()], pa.list_(pa.int64())), "sums": pa.array([*nothing, sums.tolist()], pa.list_(pa.int64())),
+            "taken": pa.array([*nothing, taken.tolist()], pa.list_(pa.float64())),
+            "words": pa.array([*nothing, built.contexts.n - len(contexts)], pa.int64())})
+
+    return packed.groupBy("level", "shard").applyInArrow(run, ANSWERS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-
-        def flush() -> pa.RecordBatch:
-            key, train, gram = (np.concatenate(x) for x in zip(*parts))
-            packed = _pack((gram >> 1) % shards, key, train, gram)
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*packed), [pa.int32()] + 3 * [pa.binary()])],
-                                              ["shard", "keys", "sizes", "grams"])
-
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            train = np.array([not is_held_out(d) for d in batch.column("doc_id").to_pylist()], bool)
-            for w in words(batch.column("text"), lower=True):
-                g = Grams.of(w)
-                order = np.argsort(g.row, kind="stable")  # a text's bigrams and trigrams side by side
-                row = w.first_row + g.row[order]
-                parts.append((keys[row], train[row], g.gram[order]))
-                held += len(row)
-                if held > PACK:
-                    yield flush()
-                    parts, held = [], 0
-        if held:
-            yield flush()
-
-    return docs.select("key", "doc_id", "text").mapInArrow(run, PACKED)
-
-
-def _unpacked(table: pa.Table, what: str, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, is training, n-gram or its place) of each occurrence in packed rows."""
-    join = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-    sizes = join("sizes", np.int32)
-    return (np.repeat(join("keys", np.int64), np.abs(sizes)), np.repeat(sizes > 0, np.abs(sizes)), join(what, kind))
-
-
-def _counted(dealt: DataFrame, least: float) -> DataFrame:
-    """Rows (gram, c, key) of each n-gram that training has at least ``least`` times, key naming a text that has it; and a row
-    (shard, keys, sizes, places, level) a shard, with those n-grams as an Elias-Fano sequence and their places there for each text."""
 
-    def run(table: pa.Table) -> pa.Table:
-        key, train, gram = _unpacked(table, "grams", np.int64)
-        order = np.argsort(gram)
-        gram, own = gram[order], train[order]
-        at = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        c = np.add.reduceat(own.astype(np.int64), at)
-        keep = c >= least
-        known, c = gram[at[keep]], c[keep]
-        there, place = np.zeros(len(gram), bool), np.zeros(len(gram), np.int32)
-        times = np.diff(np.append(at, len(gram)))
-        there[order] = np.repeat(keep, times)
-        place[order] = np.repeat(np.cumsum(keep) - 1, times)
-        of = np.where(own, np.arange(len(gram)), len(gram))  # a training text of each
-        name = key[order[np.minimum.reduceat(of, at)[keep]]]
-        shard = table.column("shard")[0].as_py()
-        level = b"".join(x.tobytes() for x in EliasFano.build(known).parts())
-        n = int(there.sum())
-        packed = [(*x, level) for x in _pack(np.full(n, shard), key[there], train[there], place[there])]
-        whole = lambda x: pa.concat_arrays([pa.array(x.astype(np.int64)), pa.nulls(len(packed), pa.int64())])
-        rest = [pa.array([None] * len(known) + [x[i] for x in packed], t) for i, t in enumerate([pa.int32()] + 4 * [pa.binary()])]
-        return pa.table([whole(known), whole(c), whole(name), *rest],
-                        ["gram", "c", "key", "shard", "keys", "sizes", "places", "level"])
-
-    return dealt.groupBy("shard").applyInArrow(
-        run, "gram bigint, c bigint, key bigint, shard int, keys binary, sizes binary, places binary, level binary")
-
-
-def _defined(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """(gram, c, first, last) of kept(gram, c, key), from the named texts of docs(key, text)."""
+@dataclass
+class Model:
+    """Numbers that all chunks need: totals of training, and the sums of dealt contexts by level (ascending contexts)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("listed")
-            for w in words(batch.column("text"), lower=True):
-                listed = lists.slice(w.first_row, w.n_rows).flatten()
-                asked, c = (listed.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                asked, one = np.unique(asked, return_index=True)  # a repeated row of the table asks again
-                g = Grams.of(w)
-                known, at = np.unique(g.gram, return_index=True)
-                at = at[np.searchsorted(known, asked)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (asked, c[one], g.first[at], g.last[at])],
-                                                 ["gram", "c", "first", "last"])
-
-    lists = kept.groupBy("key").agg(F.collect_list(F.struct("gram", "c")).alias("listed"))
-    found = docs.select("key", "text").join(lists, "key").select("text", "listed").mapInArrow(
-        run, "gram bigint, c bigint, first bigint, last bigint")
-    repeats = docs.groupBy("key").count().where("count > 1").limit(1).count()
-    return found.dropDuplicates(["gram"]) if repeats else found
-
-
-def _written(table: DataFrame, name: str) -> DataFrame:
-    """A written table; the files of shuffles that only led to tables before it can go."""
-    spark, path = table.sparkSession, scratch_path(table.sparkSession, name)
-    table.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
-
-
-def _log(x: Column) -> Column:
-    return F.log10(F.greatest(x, F.lit(1e-12)))
-
-
-def _weights(grams: DataFrame, counts: DataFrame, total: int, ends: int, least_word: float) -> tuple[DataFrame, DataFrame]:
-    """(gram, f): what each kept n-gram adds to a text's log probability; and (word, log_b1), for words with kept bigrams."""
-    sides = counts.unionByName(counts.sparkSession.createDataFrame([(int(START_HASH.view(np.int64)), ends)], "word bigint, c bigint"))
-    edge = [int(x.view(np.int64)) for x in (START_HASH, END_HASH)]
-    sides = sides.where((F.col("c") >= F.lit(least_word)) | F.col("word").isin(edge))
-    is_tri = F.col("gram").bitwiseAND(1) == 1
-    two = _written(grams.where(~is_tri).join(sides.select(F.col("word").alias("last"), (
-        (F.col("c") + 1) / F.lit(total)).alias("p1")), "last").join(
-        sides.select(F.col("word").alias("first"), F.col("c").alias("c1")), "first"), "lm_bigrams")
-    contexts = _written(two.groupBy("first").agg(F.sum(F.col("c") - DISCOUNT).alias("taken"), F.first("c1").alias("c1"))
-                           .select("first", ((F.col("c1") - F.col("taken")) / F.col("c1")).alias("b1")), "lm_contexts")
-    two = _written(two.join(contexts, "first").select(
-        "gram", "c", "b1", "p1", ((F.col("c") - DISCOUNT) / F.col("c1") + F.col("b1") * F.col("p1")).alias("p2")), "lm_bigrams")
-    three = _written(grams.where(is_tri).select("gram", F.col("c").alias("c3"), "first", "last").join(
-        two.select(F.col("gram").alias("last"), F.col("p2").alias("tail")), "last").drop("last"), "lm_trigrams")
-    taken = three.groupBy("first").agg(F.sum(F.col("c3") - DISCOUNT).alias("taken")).withColumnRenamed("first", "gram")
-    two = _written(two.join(taken, "gram", "left").withColumn(
-        "b2", (F.col("c") - F.coalesce("taken", F.lit(0.0))) / F.col("c")), "lm_bigrams")
-    f2 = two.select("gram", (_log(F.col("p2")) - _log(F.col("b1")) - _log(F.col("p1")) + _log(F.col("b2"))).alias("f"))
-    p3 = (F.col("c3") - DISCOUNT) / F.col("c") + F.col("b2") * F.col("tail")
-    f3 = three.join(two.select(F.col("gram").alias("first"), "c", "b2"), "first").select(
-        "gram", (_log(p3) - _log(F.col("b2")) - _log(F.col("tail"))).alias("f"))
-    return f2.unionByName(f3), contexts.select(F.col("first").alias("word"), _log(F.col("b1")).alias("log_b1"))
-
-
-def _gram_scores(occurrences: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
-    """(key, grams): the sum over each text's kept n-grams; rows of docs with one key are summed together."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        key, _, place = _unpacked(left, "places", np.int32)
-        data = left.column("level")[0].as_py()
-        head = np.frombuffer(data, np.int64, 2)
-        size = (int(head[0]) * int(head[1]) // 64 + 2) * 8
-        level = EliasFano.of(head, np.frombuffer(data, np.uint64, size // 8, 16), np.frombuffer(data, np.uint8, -1, 16 + size))
-        f = np.zeros(level.n)  # what a word's share keeps out adds nothing
-        f[level.unpacked().find(right.column("gram").to_numpy().astype(np.int64))] = right.column("f").to_numpy()
-        f = f[place]
-        known, place = np.unique(key, return_inverse=True)
-        return pa.table([known, np.bincount(place, f, len(known))], ["key", "part"])
-
-    by = weights.withColumn("shard", (F.shiftright("gram", 1) % shards).cast("int")).groupBy("shard")
-    found = occurrences.select("shard", "keys", "sizes", "places", "level").groupBy("shard").cogroup(by).applyInArrow(
-        run, "key bigint, part double")
-    return found.groupBy("key").agg(F.sum("part").alias("grams"))
-
-
-def smoothed(vocabulary: Vocabulary, bigrams: np.ndarray, c2: np.ndarray, trigrams: np.ndarray, c3: np.ndarray,
-             training_docs: int, discount: float = DISCOUNT) -> Trie:
-    """The trie of an interpolated, absolutely discounted back-off model, for counts that fit in memory."""
-    size, total = vocabulary.size, vocabulary.tokens + vocabulary.types + 1
-    c1 = np.concatenate([vocabulary.counts, [vocabulary.tokens - vocabulary.counts.sum(), training_docs]]).astype(float)
-    p1 = np.concatenate([(vocabulary.counts + 1) / total, [vocabulary.rare_total() / total], [1.0]])
-    u, w = bigrams // size, bigrams % size
-    taken = np.bincount(u, c2 - discount, minlength=size)
-    b1 = np.where(c1 > 0, (c1 - taken) / np.maximum(c1, 1), 1.0)
-    p2 = (c2 - discount) / c1[u] + b1[u] * p1[w] if len(bigrams) else np.empty(0)
-    node = np.searchsorted(bigrams, trigrams // size)
-    tail = np.searchsorted(bigrams, trigrams % (size * size))
-    b2 = (c2 - np.bincount(node, c3 - discount, minlength=len(bigrams))) / np.maximum(c2, 1) if len(bigrams) else np.empty(0)
-    p3 = (c3 - discount) / c2[node] + b2[node] * p2[tail] if len(trigrams) else np.empty(0)
-    log = lambda x: np.log10(np.maximum(x, 1e-12))
-    return Trie.build(log(p1), log(b1), bigrams, log(p2), log(b2), trigrams, log(p3))
-
-
-def _partial_scores(docs: DataFrame, shared) -> DataFrame:
-    """A row for each text: what the words broadcast give, and its other words with their counts."""
-    kind = dict(docs.dtypes)["doc_id"]
+    tokens: int
+    types: int
+    texts: int
+    scale: float
+    dealt: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    bits: int = BITS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, log_b1, start = shared.value
-        log_counts = np.append(np.log10(vocabulary.counts + 1.0), 0.0)
-        is_known, backs = np.append(vocabulary.counts > 0, False), np.append(log_b1, 0.0)
-        for batch in batches:
-            ids_of_rows, keys = batch.column("doc_id"), batch.column("key")
-            end = vocabulary.ids(np.array([END_HASH]))[0]
-            for w in words(batch.column("text"), lower=True):
-                hashes, of = w.hashes(), w.row()
-                ids = vocabulary.ids(hashes)
-                sums = lambda x: np.bincount(of, x[ids], w.n_rows)
-                rare = np.flatnonzero(ids == vocabulary.rare)
-                row = of[rare]
-                order = np.lexsort((hashes[rare], row))
-                row, word = row[order], hashes[rare][order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(row)))
-                offsets = pa.array(np.searchsorted(row[first], np.arange(w.n_rows + 1)).astype(np.int32))
-                own_ids = ids_of_rows.slice(w.first_row, w.n_rows)
-                known = (sums(is_known) + is_known[end]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    own_ids, keys.slice(w.first_row, w.n_rows), pa.array([is_held_out(d) for d in own_ids.to_pylist()], pa.bool_()),
-                    pa.array(w.counts() + 1, pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(sums(log_counts) + log_counts[end], pa.float64()), pa.array(sums(backs) + start, pa.float64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(word[first].view(np.int64))),
-                    pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))],
-                    ["doc_id", "key", "held_out", "n_tokens", "n_known", "logs", "backs", "word", "times"])
-
-    return docs.select("doc_id", "key", "text").mapInArrow(
-        run, f"doc_id {kind}, key bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, "
-             "backs double, word array<bigint>, times array<int>")
-
-
-def score_texts(docs: DataFrame, word_share: float = 0.0, gram_share: float = 0.0) -> DataFrame:
+    @classmethod
+    def of(cls, found: DataFrame, tokens: int, n_texts: int, scale: float, bits: int) -> Model:
+        per_shard = found.where("chunk is null")
+        sums = per_shard.select("level", F.inline(F.arrays_zip("contexts", "sums", "taken"))).groupBy("level", "contexts").agg(
+            F.sum("sums").alias("sums"), F.sum("taken").alias("taken")).toArrow()
+        dealt = []
+        for level in range(2):
+            own = sums.filter(pc.equal(sums.column("level"), level))
+            order = np.argsort(own.column("contexts").to_numpy())
+            dealt.append(tuple(own.column(c).to_numpy()[order] for c in ("contexts", "sums", "taken")))
+        words = per_shard.where("level = 0").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+        # a common word is one dealt context, START is no word, END is one and no context
+        types = int(words) + len(dealt[0][0]) - (n_texts > 0) + (n_texts > 0)
+        return cls(tokens, types, n_texts, scale, dealt, bits)
+
+    def sums(self, level: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(is dealt, total, discounts) of contexts."""
+        known, sums, taken = self.dealt[level]
+        at = np.minimum(np.searchsorted(known, contexts), max(len(known) - 1, 0))
+        hit = (known[at] == contexts) if len(known) else np.zeros(len(contexts), bool)
+        pick = lambda x: np.where(hit, x[at], 0) if len(known) else np.zeros(len(contexts))
+        return hit, pick(sums), pick(taken)
+
+
+def score_chunk(chunk: Chunk, model: Model, answered: dict[tuple[int, int], tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, ...]:
+    """(tokens, known tokens, base score, score) of each text of a chunk, from the answers by (level, shard)."""
+    kind, book = (np.uint8 if model.bits == 8 else np.uint16), codebook(model.bits)
+    pair_of, parent_of, total_of, back_of = [], [], [], []
+    for level, own in enumerate(chunk.levels):
+        contexts, parent, _ = _split(own.pairs)
+        total, back, prob = np.zeros(len(contexts)), np.zeros(len(contexts)), np.zeros(len(own.pairs))
+        for shard, part in own.by_shard():
+            totals, backoff, probs = answered[level, shard]
+            asked = np.unique(parent[part])
+            back[asked] = book[unpack(backoff, kind)]
+            if not level:
+                total[asked] = unpack(totals, np.uint32)
+            prob[part] = book[unpack(probs, kind)]
+        hit, sums, taken = model.sums(level, contexts)
+        least = 1 if not level else LEAST
+        total[hit] = sums[hit]
+        back[hit] = np.where(sums[hit] >= least, (sums[hit] - taken[hit]) / np.maximum(sums[hit], 1), 0.0)
+        scaled = hit[parent]
+        prob[scaled] *= model.scale / np.maximum(sums[parent[scaled]], 1)
+        pair_of.append(prob[own.event])
+        parent_of.append(parent[own.event])
+        total_of.append(total)
+        back_of.append(back)
+    # counts of tokens: a word's is its total as a context, which it is wherever it stands; an end's is the texts'
+    now = chunk.two
+    count = np.full(len(chunk.seq), float(model.texts))
+    count[now - 1] = total_of[0][parent_of[0]]
+    c, denominator = count[now], model.tokens + model.types + 1.0
+    p1 = (c + 1.0) / denominator
+    of = parent_of[0]
+    p2 = pair_of[0] + np.where(total_of[0][of] > 0, back_of[0][of], 1.0) * p1
+    p = np.zeros(len(chunk.seq))
+    p[now] = p2
+    g3 = back_of[1][parent_of[1]]
+    p[chunk.three] = np.where(g3 > 0, pair_of[1] + g3 * p[chunk.three], p[chunk.three])
+    row = chunk.row[now]
+    sums = lambda x: np.bincount(row, x, chunk.n)
+    return (np.bincount(row, minlength=chunk.n).astype(np.int64), sums(c > 0).astype(np.int64), sums(np.log10(p1)),
+            sums(np.log10(np.minimum(p[now], 1.0))))
+
+
+def score_texts(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, chunk_bytes: int = CHUNK_BYTES,
+                common_share: float = COMMON_SHARE, bits: int = BITS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs(doc_id, text).
 
     Tokens are the words (maximal runs of non-white-space, A-Z lower-cased) and one end. base_score
-    sums log10((c + 1) / (N + V + 1)) over them; score is the back-off model's log10 probability of the
-    text. A null text is empty (its end is its one token); a null doc_id counts as the empty text in
+    sums log10((c + 1) / (N + V + 1)) over them; score is the trie's log10 probability of the text, with probabilities of ``bits``
+    (8 or 16) each. A null text is empty (its end is its one token); a null doc_id counts as the empty text in
     the fold rule. Repeated rows count as often as they stand and give repeated rows; other
     columns are ignored. An empty table gives an empty one; without training rows N = V = 0.
-    By default n-grams of LEAST occurrences are in the model; shares of the tokens can ask for more, of n-grams and of their words.
+
+    docs is read three times and must give the same rows in the same partitions each time, as files do; a chunk that
+    comes out otherwise raises.
     """
-    sc = docs.sparkSession.sparkContext
-    own = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
-    counts = _written(word_counts(own), "word_counts")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
-                        F.coalesce(F.max(F.when(F.col("word") == int(END_HASH.view(np.int64)), F.col("c"))), F.lit(0))).first()
-    tokens, types, ends = (int(x) for x in totals)
-    total, shards = tokens + types + 1, tokens // SHARD_TOKENS + 1
-    counted = _written(_counted(_dealt(own, shards), max(LEAST, tokens * gram_share)), "lm_counted")
-    grams = _written(_defined(own, counted.where("gram is not null").select("gram", "c", "key")), "lm_grams")
-    weights, backs = _weights(grams, counts, total, ends, tokens * word_share)
-    model = _written(counts.join(backs, "word", "left").select("word", "c", F.coalesce("log_b1", F.lit(0.0)).alias("log_b1")),
-                        "lm_words")
-    start = backs.where(F.col("word") == int(START_HASH.view(np.int64))).select("log_b1").first()
-    found = model.where((F.col("c") >= F.lit(max(float(LEAST), tokens * CACHE_SHARE)))
-                        | (F.col("word") == int(END_HASH.view(np.int64)))).toArrow()
-    hashes = found.column("word").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    vocabulary = Vocabulary(hashes[order], found.column("c").to_numpy().astype(np.int64)[order], tokens, types)
-    shared = sc.broadcast((vocabulary, found.column("log_b1").to_numpy()[order], start[0] if start else 0.0))
-    parts = _written(_partial_scores(own, shared).withColumn("at", F.monotonically_increasing_id()), "lm_scores")
-    rare = parts.select("at", F.inline(F.arrays_zip("word", "times")))
-    others = (rare.join(model, "word", "left").groupBy("at")
-              .agg(F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("rare_logs"),
-                   F.sum(F.col("times") * F.col("log_b1")).alias("rare_backs"),
-                   F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
-    by_key = _gram_scores(counted.where("gram is null"), weights, shards).join(
-        parts.groupBy("key").agg(F.count("*").alias("rows")), "key").select("key", (F.col("grams") / F.col("rows")).alias("grams"))
-    zero = F.lit(0.0)
-    base = F.col("logs") + F.coalesce("rare_logs", zero) - F.col("n_tokens") * F.lit(float(np.log10(total)))
-    return parts.drop("word", "times").join(others, "at", "left").join(by_key, "key", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("backs") + F.coalesce("rare_backs", zero) + F.coalesce("grams", zero)).alias("score"))
+    kind = dict(docs.dtypes)["doc_id"]
+    own = docs.select("doc_id", "text")
+    tokens, n_texts, common = common_words(own, common_share, chunk_bytes)
+    shards, scale = tokens // shard_tokens + 1, float(max(tokens, 1))
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+    found = materialize(answers(packed_grams(own, shared, shards, chunk_bytes), scale, bits), "lm_answers")
+    model = docs.sparkSession.sparkContext.broadcast(Model.of(found, tokens, n_texts, scale, bits))
+
+    def stow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, texts in chunked(batches, chunk_bytes):
+            held = pa.BufferOutputStream()
+            batch = pa.RecordBatch.from_arrays([ids, texts], ["doc_id", "text"])
+            with pa.ipc.new_stream(held, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([_fingerprint(ids, texts)]), pa.array([held.getvalue().to_pybytes()])],
+                                             ["chunk", "print", "rows"])
+
+    def score(stowed: pa.Table, answered: pa.Table) -> pa.Table:
+        parts = []
+        for rows, seal in zip(stowed.column("rows").to_pylist(), stowed.column("print").to_pylist()):
+            batch = pa.ipc.open_stream(rows).read_all().combine_chunks()
+            if set(answered.column("print").to_pylist()) != {seal}:
+                raise RuntimeError("docs gave other rows when it was read again; write it to a table first")
+            by = {(x["level"], x["shard"]): (x["totals"], x["backoff"], x["prob"]) for x in
+                  answered.select(["level", "shard", "totals", "backoff", "prob"]).to_pylist()}
+            ids = batch.column("doc_id")
+            texts = batch.column("text").combine_chunks()
+            n, known, base, whole = score_chunk(Chunk(texts, shared.value, shards), model.value, by)
+            parts.append(pa.table({"doc_id": ids, "held_out": pa.array([is_held_out(d) for d in ids.to_pylist()], pa.bool_()), "n_tokens": n,
+                                   "n_known": known, "train_tokens": np.full(len(n), tokens), "base_score": base, "score": whole}))
+        return pa.concat_tables(parts)
+
+    texts = own.mapInArrow(stow, "chunk bigint, print bigint, rows binary").groupBy("chunk")
+    return texts.cogroup(found.where("chunk is not null").groupBy("chunk")).applyInArrow(
+        score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -1,16 +1,12 @@
-"""Elias-Fano n-gram trie: the levels of a back-off model in compact, mappable arrays.
-
-Level 1 holds a probability and a back-off weight for each word id. Level n holds, for each node of
-level n - 1 in turn, its successors. Each level is one monotone sequence in Elias-Fano form: the low
-bits of every value packed, the high bits in unary. At level 2 a value is context * ids + word; at
-level 3 a word is written relative to its context: as its rank among the successors of the
-middle word at level 2, on top of the number of such successors of all nodes before. So a
-lookup is a successor search among the values that share its high bits. Pointers are Elias-Fano too.
-Probabilities and back-off weights are 8-bit numbers of a codebook for each level.
-
-``to_bytes`` lays all arrays end to end; ``from_buffer`` maps them without a copy (bytes that
-Spark broadcast, or a memory-mapped file by ``open_trie``). A task that scores many texts lays the two
-levels out first (``unpacked``): their sizes are bounded, and a search then costs one binary search for each value.
+"""Elias-Fano n-gram trie: levels of contexts and their successors in compact, memory-mapped arrays.
+
+A level holds the contexts of one length (hashes, ascending) and, for each in turn, the words that follow it. All of its integers
+are monotone sequences in Elias-Fano form (low bits packed, high bits in unary): the contexts, the pointers to each one's
+first successor, and the successors, each written relative to its context (the context's place, then the word), so
+that a look-up is a successor search within the context's own range. Smoothed probabilities and back-off weights
+are numbers of a codebook whose steps are equal in the logarithm; it follows from the number of bits alone.
+
+``to_bytes`` lays all arrays end to end; ``mapped`` copies them once to a memory map, and the level's arrays are views of it.
 """
 
 from __future__ import annotations
@@ -20,188 +16,126 @@ import mmap
 
 import numpy as np
 
-BINS = 256
+#: Bits of a word within its context, and of a context.
+WORD_BITS, CONTEXT_BITS = 24, 40
+#: The codebook reaches down to 10 to minus this.
+DECADES = 10.0
+
+
+def codes(p: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers of probabilities in the codebook, from 1 on; 0 is kept for what isn't there."""
+    steps = (1 << bits) - 2
+    found = np.rint(-np.log10(np.maximum(p, 1e-300)) * (steps / DECADES))
+    return (np.clip(found, 0, steps) + 1).astype(np.uint8 if bits == 8 else np.uint16)
+
+
+def codebook(bits: int) -> np.ndarray:
+    """The probability of each number; 0 for number 0."""
+    steps = (1 << bits) - 2
+    return np.append(0.0, 10.0 ** (-np.arange(steps + 1) * (DECADES / steps)))
 
 
 class EliasFano:
-    """A non-decreasing sequence of integers below a bound, with search and access."""
+    """A non-decreasing sequence of integers below 2**63, with access and search."""
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.bits, self.low, self.high = n, bits, low, high
-        ones = np.flatnonzero(np.unpackbits(high, bitorder="little"))[:n]
-        self._bucket = (ones - np.arange(n)).astype(np.int64)  # the high part of each value
-        last = int(self._bucket[-1]) if n else 0
-        counts = np.bincount(self._bucket, minlength=last + 1) if n else np.zeros(1, np.int64)
-        self._start = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        self._most = int(counts.max())
         self._plain: np.ndarray | None = None
 
     @classmethod
-    def build(cls, values: np.ndarray) -> "EliasFano":
-        values = np.asarray(values, np.uint64)
+    def build(cls, values: np.ndarray) -> EliasFano:
+        values = np.asarray(values).astype(np.uint64)
         n = len(values)
         bound = int(values[-1]) + 1 if n else 1
         bits = max(0, (bound // max(n, 1)).bit_length() - 1)
-        low = np.zeros(n * bits // 64 + 2, np.uint64)
-        if bits:
-            part = values & np.uint64((1 << bits) - 1)
-            at = np.arange(n, dtype=np.uint64) * np.uint64(bits)
-            word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-            np.bitwise_or.at(low, word, part << shift)
-            over = shift + np.uint64(bits) > 64
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+        part = (values & np.uint64((1 << bits) - 1)).astype("<u8").view(np.uint8).reshape(n, 8)
+        low = np.packbits(np.unpackbits(part, axis=1, count=bits, bitorder="little"), bitorder="little") if bits and n else np.empty(0, np.uint8)
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
-        high = np.zeros(int(ones[-1]) + 1 if n else 1, np.uint8)
+        high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         high[ones] = 1
         return cls(n, bits, low, np.packbits(high, bitorder="little"))
 
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        if not self.bits:
-            return np.zeros(len(i), np.uint64)
-        at = i.astype(np.uint64) * np.uint64(self.bits)
-        word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-        value = self.low[word] >> shift
-        rest = np.uint64(64) - shift
-        value |= np.where(shift > 0, self.low[word + 1] << (rest & np.uint64(63)), np.uint64(0))
-        return value & np.uint64((1 << self.bits) - 1)
-
-    def get(self, i: np.ndarray) -> np.ndarray:
-        """The values at places i."""
-        i = np.asarray(i, np.int64)
-        return ((self._bucket[i].astype(np.uint64) << np.uint64(self.bits)) | self._low(i)).astype(np.int64)
-
-    def unpacked(self) -> "EliasFano":
-        """Itself, with its values laid out once for searches of many values (8 bytes each)."""
-        self._plain = self.get(np.arange(self.n))
-        return self
-
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Place of each value, -1 if it isn't there (the first of equal ones): a successor search, within the
-        values of the same high bits, or over all if they are unpacked."""
-        values = np.asarray(values, np.int64)
-        if not self.n or not len(values):
-            return np.full(len(values), -1, np.int64)
-        if self._plain is not None:
-            at = np.searchsorted(self._plain, values)
-            return np.where(self._plain[np.minimum(at, self.n - 1)] == values, at, -1)
-        bucket = np.minimum(values >> self.bits, len(self._start) - 1)
-        inside = bucket < len(self._start) - 1
-        bucket = np.where(inside, bucket, 0)
-        low = (values & ((1 << self.bits) - 1)).astype(np.uint64)
-        at, end = self._start[bucket], self._start[bucket + 1]
-        stop = end.copy()
-        for _ in range(self._most.bit_length()):
-            middle = (at + stop) >> 1
-            less = (at < stop) & (self._low(np.minimum(middle, self.n - 1)) < low)
-            at, stop = np.where(less, middle + 1, at), np.where(less | (at >= stop), stop, middle)
-        hit = inside & (at < end) & (self._low(np.minimum(at, self.n - 1)) == low)
-        return np.where(hit, at, -1)
+    def values(self) -> np.ndarray:
+        """All values, laid out once for many searches."""
+        if self._plain is None:
+            ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
+            plain = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.bits)
+            if self.bits and self.n:
+                part = np.unpackbits(self.low, count=self.n * self.bits, bitorder="little").reshape(self.n, self.bits)
+                whole = np.zeros((self.n, 64), np.uint8)
+                whole[:, :self.bits] = part
+                plain |= np.packbits(whole, axis=1, bitorder="little").view("<u8").ravel()
+            self._plain = plain.astype(np.int64)
+        return self._plain
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each value (the first of equal ones), -1 if it isn't there."""
+        wanted = np.asarray(wanted, np.int64)
+        if not self.n or not len(wanted):
+            return np.full(len(wanted), -1, np.int64)
+        plain = self.values()
+        at = np.searchsorted(plain, wanted)
+        return np.where(plain[np.minimum(at, self.n - 1)] == wanted, at, -1)
 
     def parts(self) -> list[np.ndarray]:
         return [np.array([self.n, self.bits], np.int64), self.low, self.high]
 
     @classmethod
-    def of(cls, head: np.ndarray, low: np.ndarray, high: np.ndarray) -> "EliasFano":
+    def of(cls, head: np.ndarray, low: np.ndarray, high: np.ndarray) -> EliasFano:
         return cls(int(head[0]), int(head[1]), low, high)
 
 
-def quantise(values: np.ndarray, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
-    """(number of each value's bin, codebook): bins of about equal size, each with its mean."""
-    if not len(values):
-        return np.empty(0, np.uint8), np.zeros(1)
-    known, place = np.unique(values, return_inverse=True)
-    if len(known) > bins:
-        rank = np.empty(len(values), np.int64)
-        rank[np.argsort(values, kind="stable")] = np.arange(len(values))
-        place = rank * bins // len(values)
-    total = np.bincount(place, values)
-    return place.astype(np.uint8), total / np.maximum(np.bincount(place), 1)
+class Level:
+    """One level of the trie: contexts with totals and back-off weights, and their successors with probabilities."""
 
-
-class Trie:
-    """A back-off trigram model over word ids 0 to ids - 1 (all but contexts alone have level-1 data)."""
-
-    NAMES = ["p1", "p1_book", "b1", "b1_book", "p2", "p2_book", "b2", "b2_book", "p3", "p3_book"]
-
-    def __init__(self, arrays: dict[str, np.ndarray], level2: EliasFano, pointers2: EliasFano, level3: EliasFano):
-        self.arrays, self.level2, self.pointers2, self.level3 = arrays, level2, pointers2, level3
-        self.ids = len(arrays["b1"])
-        self._first2 = pointers2.get(np.arange(self.ids + 1))
-        middle = (level2.get(np.arange(level2.n)) % self.ids).astype(np.int64)
-        width = (self._first2[1:] - self._first2[:-1])[middle]
-        self._base3 = np.concatenate([[0], np.cumsum(width)]).astype(np.int64)
-
-    def _value(self, name: str, i: np.ndarray) -> np.ndarray:
-        return self.arrays[f"{name}_book"][self.arrays[name][i]]
+    def __init__(self, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, totals: np.ndarray, backoff: np.ndarray,
+                 prob: np.ndarray):
+        self.contexts, self.pointers, self.successors = contexts, pointers, successors
+        self.totals, self.backoff, self.prob = totals, backoff, prob
 
     @classmethod
-    def build(cls, log_p1: np.ndarray, log_b1: np.ndarray, bigrams: np.ndarray, log_p2: np.ndarray,
-              log_b2: np.ndarray, trigrams: np.ndarray, log_p3: np.ndarray) -> "Trie":
-        """bigrams: sorted keys u * ids + w; trigrams: sorted keys (u * ids + v) * ids + w, of which both
-        bigrams are there. Values are log10 probabilities and back-off weights."""
-        ids = len(log_b1)
-        arrays = {}
-        for name, v in (("p1", log_p1), ("b1", log_b1), ("p2", log_p2), ("b2", log_b2), ("p3", log_p3)):
-            arrays[name], arrays[f"{name}_book"] = quantise(np.asarray(v, np.float64))
-        level2 = EliasFano.build(bigrams)
-        first = np.searchsorted(bigrams, np.arange(ids + 1) * ids)
-        out = cls(arrays, level2, EliasFano.build(first), EliasFano.build(np.empty(0, np.int64)))
-        node = np.searchsorted(bigrams, trigrams // ids)
-        middle, word = trigrams // ids % ids, trigrams % ids
-        rank = np.searchsorted(bigrams, middle * ids + word) - first[middle]
-        out.level3 = EliasFano.build(out._base3[node] + rank)
-        return out
-
-    def score(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probability of each id given the two before it; starts: True where a text begins (its first
-        id is only a context and gets 0)."""
-        n = len(words)
-        out = np.zeros(n)
-        if n < 2:
-            return out
-        now = np.flatnonzero(~starts)
-        w, v = words[now], words[now - 1]
-        node = np.full(n, -1, np.int64)  # of (word before, word)
-        node[now] = self.level2.find(v * self.ids + w)
-        own, context = node[now], node[now - 1]
-        third = np.full(len(now), -1, np.int64)
-        ask = np.flatnonzero((own >= 0) & (context >= 0))
-        third[ask] = self.level3.find(self._base3[context[ask]] + own[ask] - self._first2[v[ask]])
-        p = np.where(own >= 0, self._value("p2", np.maximum(own, 0)) if self.level2.n else 0.0,
-                     self._value("b1", v) + self._value("p1", w))
-        if self.level2.n:
-            p = p + np.where(context >= 0, self._value("b2", np.maximum(context, 0)), 0.0)
-        if self.level3.n:
-            p = np.where(third >= 0, self._value("p3", np.maximum(third, 0)), p)
-        out[now] = p
-        return out
-
-    def unpacked(self) -> "Trie":
-        """Itself, laid out for scoring many texts."""
-        self.level2.unpacked()
-        self.level3.unpacked()
-        return self
+    def build(cls, contexts: np.ndarray, totals: np.ndarray, backoff: np.ndarray, parent: np.ndarray, words: np.ndarray,
+              prob: np.ndarray, bits: int = 8) -> Level:
+        """contexts ascend; parent (each successor's context, by place) and then words ascend. backoff and prob are probabilities."""
+        pointers = np.searchsorted(parent, np.arange(len(contexts) + 1))
+        relative = (parent.astype(np.int64) << WORD_BITS) | words.astype(np.int64)
+        return cls(EliasFano.build(contexts), EliasFano.build(pointers), EliasFano.build(relative),
+                   totals.astype(np.int64), codes(backoff, bits), codes(prob, bits))
+
+    def search(self, contexts: np.ndarray, parent: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(total, code of the back-off weight) of each context and the code of each successor (parent: its context among
+        those asked for); 0 where the level has none."""
+        node = self.contexts.find(contexts)
+        there = node >= 0
+        total, backoff = np.zeros(len(node), np.int64), np.zeros(len(node), self.backoff.dtype)
+        total[there], backoff[there] = self.totals[node[there]], self.backoff[node[there]]
+        first = self.pointers.values()
+        full = np.zeros(len(node), bool)
+        full[there] = first[node[there] + 1] > first[node[there]]
+        prob = np.zeros(len(parent), self.prob.dtype)
+        ask = np.flatnonzero(full[parent])  # contexts without successors are not searched
+        place = self.successors.find((node[parent[ask]] << WORD_BITS) | words[ask].astype(np.int64))
+        prob[ask[place >= 0]] = self.prob[place[place >= 0]]
+        return total, backoff, prob
 
     def to_bytes(self) -> bytes:
-        parts = [self.arrays[n] for n in self.NAMES]
-        for s in (self.level2, self.pointers2, self.level3):
-            parts += s.parts()
-        head = json.dumps([[str(p.dtype), len(p)] for p in parts]).encode()
-        body = b"".join(bytes(p.tobytes()) + b"\0" * (-p.nbytes % 8) for p in parts)
+        parts = [*self.contexts.parts(), *self.pointers.parts(), *self.successors.parts(), self.totals, self.backoff, self.prob]
+        head = json.dumps([[p.dtype.str, len(p)] for p in parts]).encode()
+        body = b"".join(p.tobytes() + b"\0" * (-p.nbytes % 8) for p in parts)
         return len(head).to_bytes(8, "little") + head + b"\0" * (-len(head) % 8) + body
 
     @classmethod
-    def from_buffer(cls, buffer) -> "Trie":
+    def from_buffer(cls, buffer) -> Level:
         size = int.from_bytes(bytes(buffer[:8]), "little")
         at, parts = 8 + size + -size % 8, []
         for kind, n in json.loads(bytes(buffer[8:8 + size])):
             parts.append(np.frombuffer(buffer, kind, n, at))
             at += parts[-1].nbytes + -parts[-1].nbytes % 8
-        names = len(cls.NAMES)
-        return cls(dict(zip(cls.NAMES, parts)), *[EliasFano.of(*parts[i:i + 3]) for i in (names, names + 3, names + 6)])
-
+        return cls(*[EliasFano.of(*parts[i:i + 3]) for i in (0, 3, 6)], *parts[9:])
 
-def open_trie(path: str) -> Trie:
-    """A trie whose arrays are memory-mapped from a file of ``to_bytes``."""
-    with open(path, "rb") as f:
-        return Trie.from_buffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+    @classmethod
+    def mapped(cls, data: bytes) -> Level:
+        """The level over a memory map of the bytes."""
+        held = mmap.mmap(-1, len(data))
+        held.write(data)
+        return cls.from_buffer(held)
