@@ -46,6 +46,22 @@ def test_histories(spark):
     assert order == sorted(order) and len({r.place for r in got}) == len(got)
 
 
+@pytest.mark.parametrize("range_rows", [10 ** 6, 9])
+def test_captures_of_a_key_are_counted(spark, range_rows):
+    """Keys that reach over several ranges, too: page 1 has most captures."""
+    rng = random.Random(8)
+    rows = [("r", i, "http://a/hot" if i % 3 else f"http://a/{rng.randrange(20)}", f"body {i}", 1) for i in range(150)]
+    index = warc.read_archives(warc.write_archives(warc.captures(spark.createDataFrame(rows, SCHEMA).repartition(4))))
+    got = warc.merge_index(index, range_rows).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r.place):
+        by.setdefault(r.url_key, []).append(r)
+    assert len(got) == 150 and max(map(len, by.values())) == 100
+    for own in by.values():
+        assert [r.capture for r in own] == list(range(len(own)))
+        assert [r.page_id for r in own] == [r.page_id for r in sorted(own, key=lambda r: (r.captured_at, r.page_id))]
+
+
 def test_an_archive_is_a_gzip_file_of_its_records(spark):
     rows = corpus()
     archives = warc.write_archives(warc.captures(spark.createDataFrame(rows, SCHEMA).coalesce(1)))

@@ -73,7 +73,8 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to,
        CASE WHEN plain = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
             || CASE WHEN path = '' THEN '/' ELSE path END END AS url_key,
-       strftime(TIMESTAMP '2020-01-01' + to_seconds(page_id % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+       strftime(TIMESTAMP '2020-01-01' + to_seconds(page_id % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at,
+       row_number() OVER (PARTITION BY url_key ORDER BY captured_at, page_id NULLS FIRST) - 1 AS capture
 FROM f
 """
 
@@ -117,7 +118,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, as read back from the archives."""
     return warc.capture_histories(_table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "capture")
 
 
 @_query("op4_best_fit_packing")

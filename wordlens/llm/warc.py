@@ -22,13 +22,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import texts
 from wordlens.session import materialize
 
 MIN_REVISIT_BYTES = 100
+#: Index entries of a range, which a task merges in memory.
+RANGE_ROWS = 200_000
 #: Captures are dated by page_id: so many seconds after this moment (the pages table has no time).
 FIRST_CAPTURE = "2020-01-01 00:00:00"
 LEVEL = 1
@@ -180,8 +182,9 @@ def loser_tree_merge(runs: list[Iterable[tuple]]) -> Iterator[tuple[tuple, int]]
             node //= 2
 
 
-def merge_index(entries: DataFrame) -> DataFrame:
-    """The entries in global order of (URL key, time, page): ``place`` grows along it, without being gapless."""
+def merge_index(entries: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The entries in global order of (URL key, time, page): ``place`` grows along it, without being gapless, and ``capture``
+    counts a URL key's captures from 0. Ranges of about ``range_rows`` entries are merged, each from the runs that reach into it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))  # a range of the index
@@ -191,20 +194,34 @@ def merge_index(entries: DataFrame) -> DataFrame:
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
         keys = list(zip(table.column("url_key").to_pylist(), table.column("captured_at").to_pylist(),
                         [(x is not None, x or 0) for x in table.column("page_id").to_pylist()], range(len(number))))
-        order = [e[3] for e, _ in loser_tree_merge([keys[a:b] for a, b in zip(bounds[:-1], bounds[1:])])]
-        first = TaskContext.get().partitionId() << 40
-        out = table.take(pa.array(order, pa.int64())).append_column("place", pa.array(np.arange(len(order)) + first))
+        order, capture, before = [], [], None
+        for (url_key, _, _, at), _ in loser_tree_merge([keys[a:b] for a, b in zip(bounds[:-1], bounds[1:])]):
+            capture.append(capture[-1] + 1 if order and url_key == before else 0)
+            order.append(at)
+            before = url_key
+        of = TaskContext.get().partitionId()
+        out = table.take(pa.array(order, pa.int64())).append_column("place", pa.array(np.arange(len(order)) + (of << 40)))
+        out = out.append_column("capture", pa.array(capture, pa.int64())).append_column("range", pa.array([of] * len(order), pa.int32()))
         yield from out.to_batches()
 
-    dealt = entries.repartitionByRange("url_key", "captured_at", "page_id").sortWithinPartitions(
+    ranges = max(1, -(-entries.count() // range_rows))
+    dealt = entries.repartitionByRange(ranges, "url_key", "captured_at", "page_id").sortWithinPartitions(
         "run", "url_key", "captured_at", "page_id")
-    schema = ", ".join(f"{c} {t}" for c, t in entries.dtypes) + ", place bigint"
-    return dealt.mapInArrow(run, schema)
+    schema = ", ".join(f"{c} {t}" for c, t in entries.dtypes) + ", place bigint, capture bigint, range int"
+    merged = materialize(dealt.mapInArrow(run, schema), "warc_index")
+    # a key that goes on from the range before has its count there added: only a range's first and last keys can
+    edges = merged.groupBy("range").agg(F.min("url_key").alias("low"), F.max("url_key").alias("high"))
+    lasts = (merged.join(F.broadcast(edges), "range").where((F.col("url_key") == F.col("low")) | (F.col("url_key") == F.col("high")))
+             .groupBy("range", "url_key").agg(F.count("*").alias("n")))  # two rows a range at most
+    earlier = Window.partitionBy("url_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lasts.select("range", "url_key", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("done"))
+    return (merged.join(F.broadcast(offsets), ["range", "url_key"], "left")
+            .withColumn("capture", F.col("capture") + F.coalesce("done", F.lit(0))).drop("done", "range"))
 
 
 def capture_histories(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, captured_at, run, offset,
-    place) per row of pages(page_id, url, html), as read back from the archives.
+    place, capture) per row of pages(page_id, url, html), as read back from the archives.
 
     A null html is an empty payload, a null url sorts first, a null page_id is written without a number and
     is no response if an equal payload has one. Equal rows are records of their own. Other columns are ignored;
@@ -212,4 +229,4 @@ def capture_histories(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataF
     """
     index = read_archives(write_archives(captures(pages, least)))
     return merge_index(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                                     "url_key", "captured_at", "run", "offset", "place")
+                                     "url_key", "captured_at", "run", "offset", "place", "capture")
