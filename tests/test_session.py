@@ -71,3 +71,18 @@ def test_a_table_without_a_catalogue_entry_is_attached(spark):
     assert open_table(spark, "found", "one").count() == 6 and spark.table(newest).count() == 6
     with pytest.raises(LookupError, match="no table"):
         open_table(spark, "nothing", "one")
+
+
+def test_a_scope_empties_its_scratch_tables(spark):
+    import os
+
+    from wordlens.session import scratch_scope
+    outside = materialize(spark.range(1000), "test-scope")
+    with scratch_scope(spark):
+        inside = materialize(spark.range(100_000).selectExpr("id", "array(id) AS a"), "test-scope")
+        assert inside.count() == 100_000
+        files = [f.removeprefix("file://") for f in inside.inputFiles()]
+    assert outside.count() == 1000
+    assert not any(os.path.exists(f) for f in files)
+    again = spark.read.parquet(os.path.dirname(files[0]))
+    assert again.count() == 0 and again.columns == ["id", "a"]

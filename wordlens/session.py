@@ -11,12 +11,15 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_SCOPES: list[list] = []
 
 
 def build_session(master: str | None = None, app: str = "wordlens",
@@ -114,4 +117,25 @@ def materialize(df, name: str = "materialized"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    for scope in _SCOPES:
+        scope.append((path, df.schema))
     return spark.read.parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes within are emptied at the end, when what was made of them has been written or read:
+
+        with scratch_scope(spark):
+            operator(docs).write.parquet(result)
+
+    DataFrames that read them must not be used afterwards. Scopes may be nested; each empties its own tables and those inside.
+    """
+    written: list = []
+    _SCOPES.append(written)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(written)
+        for path, schema in written:
+            spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
