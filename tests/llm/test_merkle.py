@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -84,3 +85,56 @@ def test_one_document_and_none(spark):
     one = merkle.edited_likeness(spark.createDataFrame([("", 1, "ab\ncd", 1)], SCHEMA)).collect()
     assert [(r.n_chars, r.near_next, r.edited_sha256) for r in one] == [(5, 1.0, hashlib.sha256(b"ab\nab").hexdigest())]
     assert merkle.edited_likeness(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plain_tree(text):
+    """(fingerprint, its pieces with lengths) by the rules of the module's docstring, letter by letter."""
+    import re
+
+    import plain_hashes as ph
+
+    data = text.encode()
+    if not data:
+        return "0" * 16 + "|", Counter()
+    cuts = {0, len(data)} | {i + 1 for i, c in enumerate(data) if c == 10}
+    cuts |= {m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data) if ph.of_bytes(m[0]) % merkle.PIECE == 0}
+    cuts = sorted(cuts)
+    sections, paragraphs, pieces, every = [], [], [], Counter()
+    digests = []
+    for a, b in zip(cuts, cuts[1:]):
+        piece = data[a:b]
+        points = sum(c & 0xC0 != 0x80 for c in piece)
+        pieces.append((ph.of_bytes(piece), points, piece))
+        every[pieces[-1][0] & 0xFFFFFFFF, points] += 1
+        if piece[-1:] == b"\n" or b == len(data):
+            digest = ph.of_sequence([p[0] for p in pieces])
+            blank = b"".join(p[2] for p in pieces) == b"\n"
+            paragraphs.append((digest, ",".join(f"{h & 0xFFFFFFFF:08x}{n}" for h, n, _ in pieces)))
+            pieces = []
+            if blank or digest % merkle.SECTION == 0 or b == len(data):
+                digests.append(ph.of_sequence([p[0] for p in paragraphs]))
+                sections.append(f"{digests[-1] & 0xFFFFFFFF:08x}:" + ";".join(p[1] for p in paragraphs))
+                paragraphs = []
+    return f"{ph.of_sequence(digests):016x}|" + "/".join(sections), every
+
+
+def plain_likeness(a, b):
+    if a[0][:16] == b[0][:16]:
+        return 1.0
+    whole = sum(n * c for t in (a, b) for (_, n), c in t[1].items())
+    return 2 * sum(n * c for (_, n), c in (a[1] & b[1]).items()) / whole
+
+
+def test_fingerprints_and_likeness_by_plain_rules(spark):
+    rows = corpus(40)
+    order = sorted(spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", "xxhash64(text) AS h").collect(),
+                   key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    texts = [r.text or "" for r in order]
+    want = []
+    for i, (r, t) in enumerate(zip(order, texts)):
+        following, half = texts[(i + 1) % len(texts)], len(t) // 2
+        a, b, c = (plain_tree(x) for x in (t, t[:len(t) - half] + following[:half], following))
+        want.append((r.doc_id, a[0], b[0], plain_likeness(a, b), plain_likeness(a, c)))
+    got = merkle.edited_likeness(spark.createDataFrame(rows, SCHEMA)).select(
+        "doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)

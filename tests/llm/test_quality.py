@@ -93,3 +93,48 @@ def test_real_labels(spark):
     good = [got[r.doc_id] for r in held if r.quality == 1 and r.toxic == 0]
     bad = [got[r.doc_id] for r in held if r.quality == 0 or r.toxic == 1]
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.25
+
+
+def plain_score(text, model):
+    """(expected grade, p_good) from the model's numbers, word by word."""
+    import math
+    import re
+    from collections import Counter
+
+    import plain_hashes as ph
+
+    kind = lambda c: 97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c
+    found, before, repeats = Counter(), None, 0
+    ws = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    for w in ws:
+        lowered = re.sub(rb"[A-Z]", lambda m: m[0].lower(), w)
+        found[ph.of_bytes(lowered)] += 1
+        for k in (4, 5):
+            if len(w) > k:
+                found[ph.mix(ph.of_bytes(lowered[:k]) + k)] += 1
+        found[ph.mix((kind(w[0]) << 16) + (kind(w[max(len(w) - 2, 0)]) << 8) + kind(w[-1]) + (1 << 24))] += 1
+        repeats += lowered == before
+        before = lowered
+    if repeats:
+        found[ph.mix(8 * repeats // len(ws) + (1 << 32))] += 1
+    by = Counter()
+    for h, n in found.items():
+        by[h % quality.DIMENSIONS] += n
+    x = {f: (1 + math.log(n)) * model.idf[f] for f, n in by.items()}
+    norm = max(math.sqrt(sum(v * v for v in x.values())), 1e-12)
+    score = sum(v / norm * model.weights[f] for f, v in x.items())
+    tails = [1 / (1 + math.exp(-max(-40, min(40, score - t)))) for t in model.thresholds]
+    return sum(tails), tails[quality.KEEP_GRADE - 1]
+
+
+def test_grades_and_tails_by_plain_rules(spark):
+    docs, labels = corpus(300)
+    docs += [("x", 1000, None, None), ("x", 1001, "", None), ("x", 1002, "Ünïcode VILE vile vile 99 x!", None), docs[5]]
+    frame, known = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    model = quality.fit(frame, known)
+    assert model.weights.any() and model.thresholds[0] < model.thresholds[1]
+    got = {r.doc_id: r for r in quality.score_quality(frame, known).collect()}
+    for _, d, text, _ in docs:
+        expected, good = plain_score(text, model)
+        assert abs(got[d].expected_grade - expected) < 1e-9 and abs(got[d].p_good - good) < 1e-9
+        assert got[d].keep == (good >= quality.KEEP_PROBABILITY)
