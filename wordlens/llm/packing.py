@@ -13,7 +13,9 @@ a few sequences part-filled, which is about one in ten thousand.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,14 +58,18 @@ class WordTokenizer:
         suffix = self.words.model.end_of_word_suffix
         size = max(self.words.get_vocab().values()) + 1
         self.last = np.array([bool(suffix) and (self.words.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        # lower-case ASCII words are what the model itself sees
+        self.model, sample = self.words.model, "abcdefghijklmnopqrstuvwxyz"
+        self.plain = array("I").itemsize == 4 and sys.byteorder == "little" and all(
+            [t.id for t in self.model.tokenize(x)] == self._ids(self.words, x.encode()).tolist() for x in (sample, sample[::-1], "the"))
 
     @staticmethod
     def _ids(tokenizer, text: bytes) -> np.ndarray:
         return np.array(tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
 
     def learn(self, words: set[bytes]) -> None:
-        """Add the ids of words. One that ends in punctuation after a letter has the ids of the two parts; words of letters
-        alone are encoded many at once, as each ends with a last token."""
+        """Add the ids of words. One that ends in punctuation after a letter has the ids of the two parts; words of lower-case
+        ASCII letters go to the model itself; others of letters alone are encoded many at once, as each ends with a last token."""
         ended, letters, others, known = [], [], [], self.known
         for w in words:
             if w[-1] in PUNCTUATION:
@@ -75,10 +81,14 @@ class WordTokenizer:
         parts = {x for _, x, _ in ended}.union(e for _, _, e in ended).difference(known, others)
         new, others = [*others, *parts], []
         for w in new:
-            (letters if w.isalpha() or w.decode("utf-8", "replace").isalpha() else others).append(w)
-        for at in range(0, len(letters), RUN):
-            run = letters[at:at + RUN]
-            ids = self._ids(self.words, b" ".join(run))
+            if w.isalpha() and w.islower() and self.plain:
+                known[w] = array("I", [t.id for t in self.model.tokenize(w.decode())]).tobytes()
+            else:
+                (letters if w.decode("utf-8", "replace").isalpha() else others).append(w)
+        runs = [letters[at:at + RUN] for at in range(0, len(letters), RUN)]
+        encoded = self.words.encode_batch([b" ".join(x).decode("utf-8", "replace") for x in runs], add_special_tokens=False)
+        for run, found in zip(runs, encoded):
+            ids = np.array(found.ids, "<u4")
             stops = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(stops) != len(run):
                 others += run
