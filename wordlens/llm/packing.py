@@ -34,7 +34,7 @@ BLOCK_PIECES = 20_000
 #: Weights of tokens, documents and attention cost in the norm and the dot product.
 WEIGHTS = (1.0, 1e-3, 1e-3)
 #: Words whose ids a worker remembers at most, and new ones that are encoded as one text.
-KNOWN_WORDS, RUN = 1_200_000, 200
+KNOWN_WORDS, RUN = 700_000, 200
 #: ASCII punctuation but the apostrophe, which may begin a token that goes on with letters.
 PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 
