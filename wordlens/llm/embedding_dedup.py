@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from wordlens.llm.components import components
 from wordlens.llm.vectors import matrices, unit
+from wordlens.llm.worker import receive, send
 from wordlens.session import materialize
 
 LEAST_COSINE = 0.95
@@ -157,12 +158,12 @@ class Cells:
 
 def assign(classes: DataFrame, cells: Cells | None, dim: int, theta: float, probes: int, kind: str) -> DataFrame:
     """Adds cells (home first) and core. Vectors of another length than ``dim`` are in one cell for each length, -length."""
-    shared = classes.sparkSession.sparkContext.broadcast(cells)
+    shared = send(classes.sparkSession, cells)
     half, wide = math.cos(theta / 2 - 1e-9), math.cos(min(1.5 * theta + 1e-6, math.pi))
     size = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = receive(shared)
         for batch in batches:
             own: list = [None] * batch.num_rows
             core = np.zeros(batch.num_rows, bool)

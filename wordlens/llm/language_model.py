@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import mix, words
 from wordlens.llm.ngram_trie import CONTEXT_BITS, WORD_BITS, Level, codebook
+from wordlens.llm.worker import receive, send
 from wordlens.session import materialize
 
 FOLDS, HELD_OUT = 7, 2
@@ -372,7 +373,7 @@ def score_texts(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, chunk_bytes:
     shards, scale = tokens // shard_tokens + 1, float(max(tokens, 1))
     shared = docs.sparkSession.sparkContext.broadcast(common)
     found = materialize(answers(packed_grams(own, shared, shards, chunk_bytes), scale, bits), "lm_answers")
-    model = docs.sparkSession.sparkContext.broadcast(Model.of(found, tokens, n_texts, scale, bits))
+    model = send(docs.sparkSession, Model.of(found, tokens, n_texts, scale, bits))
 
     def stow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, texts in chunked(batches, chunk_bytes):
@@ -393,7 +394,7 @@ def score_texts(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, chunk_bytes:
                   answered.select(["level", "shard", "totals", "backoff", "prob"]).to_pylist()}
             ids = batch.column("doc_id")
             texts = batch.column("text").combine_chunks()
-            n, known, base, whole = score_chunk(Chunk(texts, shared.value, shards), model.value, by)
+            n, known, base, whole = score_chunk(Chunk(texts, shared.value, shards), receive(model), by)
             parts.append(pa.table({"doc_id": ids, "held_out": pa.array([is_held_out(d) for d in ids.to_pylist()], pa.bool_()), "n_tokens": n,
                                    "n_known": known, "train_tokens": np.full(len(n), tokens), "base_score": base, "score": whole}))
         return pa.concat_tables(parts)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlens.llm.arrays import Words, mix, words
+from wordlens.llm.worker import receive, send
 
 DIMENSIONS = 1 << 18
 GRADES = 3
@@ -207,11 +208,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
 
 def _score(docs: DataFrame, model: CumulativeLink, keep_probability: float, only_kept: bool) -> DataFrame:
     """docs' columns, then expected_grade, p_good and keep (only_kept: just docs' kept rows)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send(docs.sparkSession, model)
     names = list(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = receive(shared)
         for batch in batches:
             scores = np.concatenate([np.empty(0)] + [
                 model.score(*features(w), w.n_rows) for w in words(batch.column("text"))])
