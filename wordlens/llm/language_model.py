@@ -40,7 +40,7 @@ from wordlens.session import materialize
 FOLDS, HELD_OUT = 7, 2
 LEAST, DISCOUNT = 2, 0.75
 #: Bytes of text in a chunk, tokens of a shard, and the share of all tokens from which a word is common.
-CHUNK_BYTES, SHARD_TOKENS, COMMON_SHARE = 8 << 20, 2_000_000, 1e-3
+CHUNK_BYTES, SHARD_TOKENS, COMMON_SHARE = 5 << 20, 1_000_000, 1e-3
 #: Bits of a probability.
 BITS = 8
 #: Stand for the end and the start of a text among word hashes.
