@@ -1,6 +1,7 @@
 """Keyed state with a function of the user's own, progress reports, and start positions."""
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def test_a_start_position_goes_on_where_the_ranges_end(spark):
 
 def test_a_growing_table_folds_and_starts_anew(spark):
     """Changed rows of batches, two of them written twice; folds drop what was folded before; batch 0 begins again."""
-    sink = GrowingTable("growing", ["k"], ["n"], "test", fold_every=2)
+    sink = GrowingTable("growing", ["k"], ["n"], f"test_{uuid.uuid4().hex[:8]}", fold_every=2)
     df = lambda rows: spark.createDataFrame(rows, "k string, n bigint")
     total = {}
     for number in range(7):

@@ -195,3 +195,34 @@ def test_processing_time_trigger(spark):
         job.stop()
     assert [(r.n_urls, r.n_valid) for r in job.metrics().orderBy("batch").collect()] == [(1, 1), (2, 1)]
     assert _as_dict(open_table(spark, "term_counts", "t_started")) == {"red": 1, "blue": 1}
+
+
+def test_a_job_goes_on_in_another_application(spark, tmp_path):
+    """Two applications, one after another, that share nothing but the folder: totals are those of both."""
+    import json
+    import subprocess
+    import sys
+
+    code = """
+import json, sys
+from pyspark.sql import functions as F
+from wordlens import TermConfig, build_session
+from wordlens.sinks import open_table
+from wordlens.streaming import jobs
+folder, urls = sys.argv[1], sys.argv[2].split(",")
+spark = build_session("local[2]", shuffle_partitions=2, extra={"spark.checkpoint.dir": f"file://{folder}/shared"})
+texts = spark.createDataFrame([("a", "red apple"), ("b", "blue apple"), ("c", "red")], "url string, description string")
+spark.createDataFrame([(u,) for u in urls], "key string").write.mode("append").parquet(f"{folder}/urls")
+job = jobs.TermJob(spark, TermConfig(mode="both"), f"file://{folder}/root", pages=texts, namespace="apps")
+try:
+    before = open_table(spark, "term_counts", "apps").count()
+except LookupError:
+    before = 0
+job.run(jobs.file_stream(spark, f"{folder}/urls", "key string"))
+print(json.dumps([before, {r.words: r["count"] for r in job.term_counts().collect()}, job.metrics().count(),
+                  job.cells().where("row = 0").agg(F.sum("cnt")).first()[0]]))
+spark.stop()
+"""
+    said = [json.loads(subprocess.run([sys.executable, "-c", code, str(tmp_path), urls], capture_output=True, text=True).stdout)
+            for urls in ("a", "b,a,z")]
+    assert said == [[0, {"red": 1, "apple": 1}, 1, 2], [2, {"red": 1, "apple": 2, "blue": 1}, 2, 4]]

@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ def expire(spark: SparkSession, name: str, namespace: str = "", keep_seconds: fl
     versions = _tables(spark, view_name(name, namespace), "v")
     old = [v for v, after in zip(versions, versions[1:]) if _made(after) <= time.time() - keep_seconds]
     for version in old:
-        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        _drop(spark, version)
     return old
 
 
@@ -89,20 +90,50 @@ def open_table(spark: SparkSession, name: str, namespace: str = "") -> DataFrame
     return spark.table(view)
 
 
-def attach(spark: SparkSession, name: str, namespace: str = "") -> str | None:
-    """Register the newest version found in the shared folder, and the view; returns its name. Files stay with their writer."""
-    view = view_name(name, namespace)
+def _attach_all(spark: SparkSession, view: str, mark: str) -> list[str]:
+    """Register a view's tables of some kinds ("v", "c" or "[vc]") that are in the shared folder and not in the catalogue; returns
+    all that are in the folder, oldest first. Their files stay if such a table is dropped."""
     own = view.split(".")[1]
     _database(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-             .load(_location(spark)).select(F.regexp_extract("path", rf"/({own}__v\d+_\w+)/[^/]*$", 1).alias("version")))
-    newest = files.where("version <> ''").agg(F.max("version")).first()[0]
-    if newest is None:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    try:
+        found = files.load(f"{_location(spark)}/{own}__*").select(
+            F.regexp_extract("path", rf"/({own}__{mark}\d+(_\w+)?)/[^/]*$", 1).alias("name")).where("name <> ''").distinct()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    names = sorted(r.name for r in found.collect())
+    for name in names:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {DATABASE}.{name} USING parquet LOCATION '{_location(spark)}/{name}'")
+    return [f"{DATABASE}.{n}" for n in names]
+
+
+def attach(spark: SparkSession, name: str, namespace: str = "") -> str | None:
+    """Register the newest version found in the shared folder, and the view; returns its name."""
+    view = view_name(name, namespace)
+    versions = _attach_all(spark, view, "v")
+    if not versions:
         return None
-    version = f"{DATABASE}.{newest}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {version} USING parquet LOCATION '{_location(spark)}/{newest}'")
-    publish(spark, version, view)
-    return version
+    publish(spark, versions[-1], view)
+    return versions[-1]
+
+
+def _write(rows: DataFrame, table: str) -> None:
+    """Write all rows of a table at a folder of its own in the shared one, whether it, or what a crash left of it, is there or not."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{_location(spark)}/{table.split('.')[1]}'")
+    spark.catalog.refreshTable(table)  # another session may have written it
+    rows.write.mode("overwrite").insertInto(table)
+
+
+def _drop(spark: SparkSession, version: str) -> None:
+    """Drop a version and its rows; one that was attached leaves an empty folder."""
+    if spark.catalog.getTable(version).tableType == "EXTERNAL":
+        _write(spark.createDataFrame([], spark.table(version).schema).coalesce(1), version)
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
 
 
 class TableSink:
@@ -121,9 +152,9 @@ class TableSink:
 class GrowingTable:
     """foreachBatch sink of a query in update mode whose values only grow (counts, cells of a sketch, bits).
 
-    A batch writes its changed rows, absolute values, as a table of its own; a key's newest value is its largest, so a batch that is
-    written again, or read beside what it was folded into, changes nothing. Every ``fold_every`` batches all is folded into a
-    version of the named table, and the batches that the fold before had are dropped. Batch 0 of a query starts the table anew.
+    A batch writes its changed rows, absolute values, to a table of its own, of which there are ``2 * fold_every``, used in turn. A
+    key's newest value is its largest, so a batch that is written again, or read beside what it was folded into, changes
+    nothing. Every ``fold_every`` batches all is folded into a version of the named table. Batch 0 of a query starts anew.
     """
 
     def __init__(self, name: str, keys: Sequence[str], values: Sequence[str], namespace: str = "", fold_every: int = 16,
@@ -137,32 +168,38 @@ class GrowingTable:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        self._attach(spark)
         if batch_id == 0:
-            for table in _tables(spark, self.view, "c") + _tables(spark, self.view, "v"):
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            for table in self.changes(spark):
+                _write(spark.createDataFrame([], spark.table(table).schema).coalesce(1), table)
+            for version in _tables(spark, self.view, "v"):
+                _drop(spark, version)
             spark.sql(f"DROP VIEW IF EXISTS {self.view}")
-        _database(spark)
-        batch.select(*self.keys, *self.values).write.format("parquet").mode("overwrite").saveAsTable(f"{self.view}__c{batch_id:012d}")
+        _write(batch.select(*self.keys, *self.values), f"{self.view}__c{batch_id % (2 * self.fold_every):04d}")
         if (batch_id + 1) % self.fold_every == 0:
             self.fold(spark)
 
+    def _attach(self, spark: SparkSession) -> None:
+        """A query that goes on in another application finds its tables in the shared folder."""
+        _database(spark)
+        if not self.changes(spark):
+            _attach_all(spark, self.view, "[vc]")
+
     def changes(self, spark: SparkSession) -> list[str]:
-        """Tables of the batches that are still there."""
+        """Tables of changed rows."""
         return _tables(spark, self.view, "c")
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Keys and values up to the last batch written."""
+        self._attach(spark)
         tables = _tables(spark, self.view, "v")[-1:] + self.changes(spark)
         if not tables:
             raise LookupError(f"{self.view} has no batch")
         for table in tables:
-            spark.catalog.refreshTable(table)  # a batch may have been written again by another session
-        parts = [spark.table(t) for t in tables]
-        rows = reduce(DataFrame.unionByName, parts)
+            spark.catalog.refreshTable(table)
+        rows = reduce(DataFrame.unionByName, [spark.table(t) for t in tables])
         return rows.groupBy(*self.keys).agg(*[F.max(v).alias(v) for v in self.values])
 
     def fold(self, spark: SparkSession) -> None:
-        """Publish all up to now as a version. The newest ``fold_every`` batches stay for those who are reading them."""
+        """Publish all up to now as a version."""
         save_table(self.read(spark), self.name, self.namespace, self.keep_seconds)
-        for table in self.changes(spark)[:-self.fold_every]:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -305,12 +305,14 @@ class TermJob:
             return
         first = reports[0]["batchId"]
         self._offsets(self.spark.createDataFrame(offset_rows(reports), OFFSETS), first)
+        self._offsets.fold(self.spark)  # once a run, so the tables of changes may be used again
         if self.pages is not None:
             rows = []
             for r in reports:
                 seen = {k: v for row in r["observed"].values() for k, v in row.items()}
                 rows.append((r["batchId"], *[seen.get(k, 0) for k in self._metrics.values]))
             self._metrics(self.spark.createDataFrame(rows, "batch bigint, n_urls bigint, n_distinct bigint, n_valid bigint"), first)
+            self._metrics.fold(self.spark)
 
     def metrics(self) -> DataFrame:
         """(batch, n_urls, n_distinct, n_valid): URLs received, distinct, and new valid ones, of each batch that had any."""
