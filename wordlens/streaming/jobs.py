@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wordlens.functions.hashing import position, with_hash_pair
 from wordlens.functions.text import clean_words, explode_clean_words
 from wordlens.operators import bloom, cms, counts
+from wordlens.operators.urls import fewer_repeats
 from wordlens.params import BLOOM_EXPECTED_ITEMS, BLOOM_FPP, SHIPPED_STOP_WORDS, TermConfig, cms_shape
 from wordlens.session import materialize, scratch_path
 from wordlens.sinks.tables import GrowingTable, TableSink, open_table, save_table
@@ -132,7 +133,7 @@ def new_pages(urls: DataFrame, pages: DataFrame, known: DataFrame | None = None,
     """
     timed = urls.select("url", F.current_timestamp().alias("at")).observe("urls", F.count(F.lit(1)).alias("n_urls"))
     # a batch has one timestamp, which its replay has too; the state of this is the batch's
-    distinct = (timed.withWatermark("at", CLOCK_DRIFT).dropDuplicates(["url", "at"])
+    distinct = (fewer_repeats(timed, "url").withWatermark("at", CLOCK_DRIFT).dropDuplicates(["url", "at"])
                 .observe("distinct", F.count(F.lit(1)).alias("n_distinct")))
     if bits is not None:
         asked = bloom.might_contain(distinct, bits, "url", items, fpp)
@@ -157,7 +158,7 @@ class TermJob:
     ``membership`` "bloom" asks a Bloom filter of the URLs that earlier runs processed before these are compared. Results are
     the same as with "exact". Seeds: ``seed_counts`` are further occurrences, ``seed_urls`` count as processed.
 
-    Skew: a URL or word that is a third of the stream is one row a task after the partial aggregations.
+    Skew: a word that is a third of the stream is one row a task after the partial aggregations, a URL one an Arrow batch.
     """
 
     def __init__(self, spark: SparkSession, config: TermConfig, root: str | None = None, text: str = "text",
