@@ -219,3 +219,12 @@ def test_filter_shape_follows_the_items(spark):
     other = spark.range(20_000).select(F.concat(F.lit("http://y/"), "id").alias("url"))
     assert n == 20_000 and bloom.might_contain(items, bits, expected_items=n).where("not might_contain").isEmpty()
     assert bloom.might_contain(other, bits, expected_items=n).where("might_contain").count() < 0.04 * 20_000
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_names_of_cells_give_the_top_words(spark, seed):
+    counted = _weighted(spark, seed, 5000)
+    cells = materialize(cms.named_cells(counted, weight="n"))
+    plain = cells.select("row", "bucket", "cnt")
+    assert _cells_dict(plain) == _cells_dict(cms.sketch_cells(counted, weight="n"))
+    assert [tuple(r) for r in cms.named_topk(cells, 10).collect()] == [tuple(r) for r in cms.sketch_topk(counted, 10, plain).collect()]

@@ -31,7 +31,7 @@ from wordlens.params import CMS_DELTA, CMS_HEAVY_HITTER_PCT, CMS_SEED, cms_shape
 DEFAULT_EPS = CMS_HEAVY_HITTER_PCT / 2
 #: Bits of the hash prefixes of the levels (the first level counts its prefixes exactly) and rows of a later level's sketch. An
 #: inner level only has to keep light prefixes few, so it needs fewer rows than the words' own sketch.
-PREFIX_BITS, PREFIX_ROWS = (8, 16, 24, 32), 3
+PREFIX_BITS, PREFIX_ROWS = (10, 21, 32), 4
 PRIME = 2 ** 31 - 1
 
 
@@ -208,10 +208,10 @@ def heavy_prefixes(hierarchy: DataFrame, level: int, eps: float = DEFAULT_EPS, d
 
 def found_words(words: DataFrame, hierarchy: DataFrame, word: str = "word", eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
                 seed: int = CMS_SEED, pct: float = CMS_HEAVY_HITTER_PCT) -> DataFrame:
-    """(word): distinct words of ``words`` whose hash the hierarchy finds heavy."""
+    """(word): distinct words of ``words`` whose hash the hierarchy finds heavy. All others are dropped where they are read."""
     found = heavy_prefixes(hierarchy, len(PREFIX_BITS), eps, delta, pct)
-    hashed = with_hash_pair(words.select(word).distinct(), word, seed)
-    return hashed.join(found, _prefix(F.col("_h1"), PREFIX_BITS[-1]) == F.col("prefix"), "left_semi").select(word)
+    hashed = with_hash_pair(words.select(word), word, seed)
+    return hashed.join(found, _prefix(F.col("_h1"), PREFIX_BITS[-1]) == F.col("prefix"), "left_semi").select(word).distinct()
 
 
 def sketch_heavy_hitters(words: DataFrame, hierarchy: DataFrame, eps: float = DEFAULT_EPS, delta: float = CMS_DELTA,
@@ -226,6 +226,32 @@ def sketch_heavy_hitters(words: DataFrame, hierarchy: DataFrame, eps: float = DE
     return heavy_hitter_estimates(named, word_cells(hierarchy), eps, delta, seed, pct, word)
 
 
+def named_cells(words: DataFrame, word: str = "word", weight: str | None = None, eps: float = DEFAULT_EPS,
+                delta: float = CMS_DELTA, seed: int = CMS_SEED) -> DataFrame:
+    """(row, bucket, cnt, name): the words' sketch, each cell with its most frequent word (of equals, the last)."""
+    depth, width = cms_shape(eps, delta)
+    amount = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    weighted = words.groupBy(F.col(word).alias("_w")).agg(F.sum(amount).alias("_n"))
+    places = F.array(*[position(F.col("_h1"), F.col("_h2"), i, width) for i in range(depth)])
+    cells = with_hash_pair(weighted, "_w", seed).select(F.posexplode(places).alias("row", "bucket"), "_n", "_w")
+    return cells.groupBy("row", "bucket").agg(F.sum("_n").cast("bigint").alias("cnt"), F.max(F.struct("_n", "_w")).alias("best")).select(
+        "row", "bucket", "cnt", F.col("best._w").alias("name"))
+
+
+def named_topk(cells: DataFrame, k: int, eps: float = DEFAULT_EPS, delta: float = CMS_DELTA, seed: int = CMS_SEED,
+               pct: float = CMS_HEAVY_HITTER_PCT) -> DataFrame:
+    """(word, est): the top k heavy hitters by estimate (ties by word) among the names of heavy cells, at most 1 / pct a row. A
+    word is not named only if a more frequent one shares its cell in every row; of the top words, practically none."""
+    depth, width = cms_shape(eps, delta)
+    heavy = heavy_cells(cells, pct)
+    named = with_hash_pair(heavy.select(F.col("name").alias("word")).distinct(), "word", seed)
+    places = F.array(*[position(F.col("_h1"), F.col("_h2"), i, width) for i in range(depth)])
+    found = named.select("word", F.posexplode(places).alias("row", "bucket")).join(
+        heavy.select("row", "bucket", "cnt"), ["row", "bucket"])
+    hitters = found.groupBy("word").agg(F.min("cnt").alias("est"), F.count(F.lit(1)).alias("n")).where(F.col("n") == depth)
+    return best_estimates(hitters.select("word", "est"), k)
+
+
 def sketch_topk(vocab: DataFrame, k: int, cells: DataFrame, eps: float = DEFAULT_EPS,
                 delta: float = CMS_DELTA, seed: int = CMS_SEED,
                 pct: float = CMS_HEAVY_HITTER_PCT, word: str = "word") -> DataFrame:

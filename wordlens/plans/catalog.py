@@ -396,8 +396,8 @@ def q_cms_hierarchy_heavy_hitters(spark, sf):
 
 @register("cms_topk", f"{_HH} ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_cms_topk(spark, sf):
-    """O3: top k heavy hitters by estimate."""
-    return cms.best_estimates(cms.sketch_heavy_hitters(_occurrences(spark, sf), _hierarchy(spark, sf)), CMS_TOPK)
+    """O3: top k heavy hitters by estimate, from a sketch whose cells name their most frequent word."""
+    return cms.named_topk(materialize(cms.named_cells(_occurrences(spark, sf))), CMS_TOPK)
 
 
 @register("cms_audit", f"""
@@ -447,8 +447,7 @@ def q_saved_table_sql(spark, sf):
 @register("topk_words_only", f"SELECT word FROM ({_HH}) ORDER BY est DESC, word LIMIT {CMS_TOPK}")
 def q_topk_words_only(spark, sf):
     """K2: save and publish the top-k table (word)."""
-    hitters = cms.sketch_heavy_hitters(_occurrences(spark, sf), _hierarchy(spark, sf))
-    top = cms.best_estimates(hitters, CMS_TOPK).select("word")
+    top = cms.named_topk(materialize(cms.named_cells(_occurrences(spark, sf))), CMS_TOPK).select("word")
     return read_saved(spark, save_table(top, "top_words", "saved"))
 
 
