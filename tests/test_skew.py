@@ -72,3 +72,25 @@ def test_a_hot_url_is_one_row_before_any_join(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.index("SortMergeJoin") < plan.index("partial_min")  # the tree prints from the top
+
+
+def test_a_hot_word_is_not_sorted_against_a_stop_table(spark):
+    """Nothing sorts the words of a list too long to broadcast, and a word with most of the rows is split over tasks."""
+    words = spark.range(400_000, numPartitions=8).select(F.col("id").alias("pos"), F.when(F.col("id") % 10 < 7, F.lit("hot")).when(
+        F.col("id") % 10 == 7, F.lit("stopped")).when(F.col("id") % 10 == 8, F.concat(F.lit("w"), "id")).alias("word"))
+    stops = spark.createDataFrame([("Stopped",), ("STOPPED",), (None,), ("other",)], "word string")
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        left = counts.without_stop_table(words, stops)
+        got = left.collect()
+        plan = left._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.pos for r in got) == [i for i in range(400_000) if i % 10 != 7]
+    assert sum(r.word is None for r in got) == 40_000
+    assert "Sort" not in plan and "ShuffledHashJoin" in plan and "skewed" in plan
