@@ -5,8 +5,10 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from wordlens.llm import simhash
+from wordlens.session import materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "extra string, doc_id bigint, text string, fp string"
@@ -92,6 +94,16 @@ def test_pairs_are_exact_and_single(spark, most):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_a_small_table_of_fingerprints_is_not_broadcast_with_all_its_keys(spark):
+    """Each has about 37 keys, which Spark's estimate of the exploded table leaves out."""
+    own = materialize(spark.range(3000).select(F.xxhash64("id").alias("fp")), "test")
+    pairs = simhash.near_pairs(own)
+    plan = pairs._jdf.queryExecution().executedPlan()
+    assert "Broadcast" not in plan.toString() and "SortMergeJoin" in plan.toString()
+    pairs.collect()
+    assert "Broadcast" not in plan.toString()  # nor once the sizes are known
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -85,7 +85,11 @@ def _segments(max_bits: int) -> list[tuple[int, int]]:
 
 def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """All pairs (a, b) of different values of column fp (distinct) that differ in at
-    most ``max_bits`` bits, each once."""
+    most ``max_bits`` bits, each once.
+
+    Neither side is broadcast, however small: Spark takes each to be as large as fps, but it has
+    5 and about 37 rows for each of its values (at the default number of bits).
+    """
     if max_bits < 1:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     segs = _segments(max_bits)
@@ -121,7 +125,7 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     first = F.coalesce(*[F.when(chain(i), F.lit(i)) for i in range(m)])
     second = F.element_at(F.array(*[F.col(f"c{(i + 1) % m}") for i in range(m)]), F.col("start") + 1)
-    return (index.join(probe, ["start", "key"]).where("a <> b")
+    return (index.join(probe.hint("merge"), ["start", "key"]).where("a <> b")
             .select("a", "b", "start", *differ)
             .where((first == F.col("start")) & ((second > 0) | (F.col("a") < F.col("b"))))
             .select("a", "b"))
