@@ -3,6 +3,7 @@
 import random
 import re
 
+import __spark_entry__ as entry
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -104,6 +105,19 @@ def test_a_small_table_of_fingerprints_is_not_broadcast_with_all_its_keys(spark)
     assert "Broadcast" not in plan.toString()  # nor once the sizes are known
 
 
+def test_op8_broadcasts_no_table_of_keys(spark, tmp_path, monkeypatch):
+    spark.range(300).selectExpr("id AS doc_id", "concat('w', id, ' a b c d') AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    plans, find = [], simhash.components
+
+    def components(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return find(links)
+
+    monkeypatch.setattr(simhash, "components", components)
+    assert entry.queries()["op8_simhash"](spark, str(tmp_path)).count() == 300
+    assert len(plans) == 1 and "Generate" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
